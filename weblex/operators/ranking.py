@@ -94,14 +94,21 @@ def top_domains(td: DataFrame, max_domains: int, key: str = "term",
               .withColumn("rank", F.col("rank").cast("bigint")))
 
 
+def first_seen_rank(td: DataFrame, max_domains: int, first: str = "first_seen",
+                    key: str = "term", item: str = "domain") -> DataFrame:
+    """Per key, the first ``max_domains`` distinct items met, ranked by
+    the position (``first``) where each pair was first seen."""
+    w = Window.partitionBy(key).orderBy(F.asc(first), F.asc(item))
+    return (td.withColumn("rank", F.row_number().over(w))
+              .filter(F.col("rank") <= max_domains)
+              .withColumn("rank", F.col("rank").cast("bigint")))
+
+
 def first_seen_domains(occ: DataFrame, max_domains: int, order: str = "ord",
                        key: str = "term", item: str = "domain") -> DataFrame:
-    """The first ``max_domains`` distinct items met per key, by ``order``."""
+    """W4 from raw occurrences (key, item, order)."""
     first = occ.groupBy(key, item).agg(F.min(order).alias("first_seen"))
-    w = Window.partitionBy(key).orderBy(F.asc("first_seen"), F.asc(item))
-    return (first.withColumn("rank", F.row_number().over(w))
-                 .filter(F.col("rank") <= max_domains)
-                 .withColumn("rank", F.col("rank").cast("bigint")))
+    return first_seen_rank(first, max_domains, "first_seen", key, item)
 
 
 def domain_lists(ranked: DataFrame, key: str = "term", item: str = "domain",

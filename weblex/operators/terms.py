@@ -68,18 +68,32 @@ def url_terms(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
     return words.join(stems, "word").select(*keep, "domain", "term")
 
 
-def word_domain_counts(words: DataFrame) -> DataFrame:
-    """(word, domain, n): occurrences per pair, partial-aggregated map-side."""
-    return words.groupBy("word", "domain").agg(F.count(F.lit(1)).alias("n"))
+def word_domain_counts(words: DataFrame, first_seen: str | None = None,
+                       by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., word, domain, n[, first_seen]): occurrences per pair,
+    partial-aggregated map-side; ``first_seen`` keeps the smallest value of
+    that order column; ``by`` adds grouping keys (e.g. a batch id)."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if first_seen:
+        aggs.append(F.min(first_seen).alias("first_seen"))
+    return words.groupBy(*by, "word", "domain").agg(*aggs)
+
+
+def term_domain_counts(words: DataFrame, min_len: int = 3,
+                       first_seen: str | None = None,
+                       by: tuple[str, ...] = ()) -> DataFrame:
+    """A4: (by..., term, domain, n[, first_seen]) from kept words."""
+    wd = word_domain_counts(words, first_seen, by)
+    stems = stem_dictionary(wd, "word", min_len)
+    aggs = [F.sum("n").cast("bigint").alias("n")]
+    if first_seen:
+        aggs.append(F.min("first_seen").alias("first_seen"))
+    return wd.join(stems, "word").groupBy(*by, "term", "domain").agg(*aggs)
 
 
-def term_domain_counts(words: DataFrame, min_len: int = 3) -> DataFrame:
-    """A4: (term, domain, n) from kept words."""
-    wd = word_domain_counts(words)
-    stems = stem_dictionary(wd, "word", min_len)
-    return (wd.join(stems, "word")
-              .groupBy("term", "domain")
-              .agg(F.sum("n").cast("bigint").alias("n")))
+def term_domain_counts_from_terms(occ: DataFrame) -> DataFrame:
+    """A4 from term occurrences (term, domain per row)."""
+    return occ.groupBy("term", "domain").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def term_counts(td: DataFrame) -> DataFrame:

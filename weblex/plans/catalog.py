@@ -254,3 +254,357 @@ def j3_kept_term_domains(spark, sf_dir):
 def q4_term_frequency(spark, sf_dir):
     """Flagship: term, frequency, top-1000 domains of the link URLs."""
     return jobs.term_frequency(_links(spark, sf_dir), fixture_rules(spark), share=SHARE)
+
+
+# ====================================================================
+# Sources, dedup, counts, sinks, streaming and the remaining jobs.
+# Inputs that the source reads from files (manifests, index files, line
+# files, stream folders) are written by Spark from the driver's tables
+# into a fresh folder under the shared checkpoint folder.
+# ====================================================================
+
+import os  # noqa: E402
+
+from ..operators import counts, dedup  # noqa: E402
+from ..operators.ordinal import with_ordinal  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks import read_term_csv, write_lines, write_term_csv  # noqa: E402
+from ..sources import index as idx  # noqa: E402
+from ..sources.lines import line_numbers, read_lines, sample_every_nth  # noqa: E402
+from ..streaming import incremental, normalize  # noqa: E402
+
+BATCH_PAGES = 100          # pages per input range (partial-count batches)
+LIMIT_ROWS = 100           # rows per index file for the limited extract
+EVERY = 3                  # every-Nth line sample
+Q5_EVERY, Q5_DOMAINS = 2, 10
+W4_N = 3
+
+
+def _ordered_links(spark, sf_dir):
+    return _links(spark, sf_dir).withColumn("ord", F.struct("page_id", "pos"))
+
+
+def _index_entries(spark, sf_dir, broken: bool = False) -> tuple[str, list[str]]:
+    """Write an index folder and its manifest; return (manifest, entries).
+
+    Entries: pages (URL column ``url``), a text note (not Parquet), the
+    documents and events tables (no URL column), and a link file derived
+    from pages whose URL column is spelled ``URL``, in (page_id, pos) order.
+    """
+    root = scratch_path(spark, "index")
+    links_dir = os.path.join(root, "links_URL.parquet")
+    (_links(spark, sf_dir).orderBy("page_id", "pos").coalesce(1)
+        .select(F.col("url").alias("URL"), "page_id", "pos").write.parquet(links_dir))
+    entries = [idx.local_table_path(sf_dir, "pages"), "notes.txt",
+               idx.local_table_path(sf_dir, "documents"),
+               idx.local_table_path(sf_dir, "events"), links_dir]
+    if broken:
+        bad = os.path.join(root, "broken.parquet")
+        spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(bad)
+        entries += [bad, os.path.join(root, "missing.parquet")]
+    manifest = idx.write_manifest(spark, entries, os.path.join(root, "manifest.gz"))
+    return manifest, entries
+
+
+def _index(spark, sf_dir, limit_files=None, limit_rows=None, broken=False):
+    manifest, _ = _index_entries(spark, sf_dir, broken)
+    paths = idx.read_manifest(spark, manifest, "", limit_files)
+    return idx.read_index(spark, paths, limit_rows, tolerant=broken)
+
+
+def _labelled(df, value):
+    return df.select(idx.index_label(F.col("file_path")).alias("file"), value)
+
+
+_HOSTS_BY_FILE_SQL = (
+    f"SELECT 'pages.parquet' AS file, host FROM (SELECT DISTINCT {O.host_sql('url')} AS host FROM pages) "
+    f"WHERE host IS NOT NULL UNION ALL "
+    f"SELECT 'links_URL.parquet' AS file, host FROM (SELECT DISTINCT {O.host_sql('url')} AS host "
+    f"FROM links) WHERE host IS NOT NULL")
+_URLS_BY_FILE_SQL = (
+    "SELECT DISTINCT 'pages.parquet' AS file, url FROM pages WHERE url IS NOT NULL UNION ALL "
+    "SELECT DISTINCT 'links_URL.parquet' AS file, url FROM links WHERE url IS NOT NULL")
+
+
+@register("q1_extract_hosts", lambda: _sql([("links", LINKS_SQL)], _HOSTS_BY_FILE_SQL))
+def q1_extract_hosts(spark, sf_dir):
+    """Q1 (S1, S2, F6, P2, D1): distinct hosts per index file."""
+    return _labelled(jobs.extract_hosts(_index(spark, sf_dir)), "host")
+
+
+@register("q2_extract_urls", lambda: _sql([("links", LINKS_SQL)], _URLS_BY_FILE_SQL))
+def q2_extract_urls(spark, sf_dir):
+    """Q2 (S1, S2, F6, D2): distinct URLs per index file."""
+    return _labelled(jobs.extract_urls(_index(spark, sf_dir)), "url")
+
+
+@register("s3_limit_rows", lambda: _sql([("links", LINKS_SQL)], (
+    f"SELECT DISTINCT 'pages.parquet' AS file, url FROM pages WHERE page_id < {LIMIT_ROWS} "
+    f"AND url IS NOT NULL UNION ALL SELECT DISTINCT 'links_URL.parquet' AS file, url FROM "
+    f"(SELECT url, row_number() OVER (ORDER BY page_id, pos) AS rn FROM links) "
+    f"WHERE rn <= {LIMIT_ROWS} AND url IS NOT NULL")))
+def s3_limit_rows(spark, sf_dir):
+    """S3: the first LIMIT_ROWS rows of each index file, then distinct URLs."""
+    return _labelled(jobs.extract_urls(_index(spark, sf_dir, limit_rows=LIMIT_ROWS)), "url")
+
+
+@register("s1_manifest_limit_files", lambda: (
+    "SELECT 'pages.parquet' AS file, CAST(count(DISTINCT url) AS BIGINT) AS n FROM pages"))
+def s1_manifest_limit_files(spark, sf_dir):
+    """S1 + A1: the first 3 manifest lines (one is not Parquet, one has no
+    URL column) -> distinct URLs per file."""
+    index = _index(spark, sf_dir, limit_files=3)
+    return _labelled(counts.rows_per_file(jobs.extract_urls(index)), "n")
+
+
+@register("a1_extract_counts", lambda: _sql([("links", LINKS_SQL)], (
+    "SELECT file, CAST(count(*) AS BIGINT) AS n FROM (" + _URLS_BY_FILE_SQL + ") GROUP BY file")))
+def a1_extract_counts(spark, sf_dir):
+    """A1: distinct URLs written per index file."""
+    return _labelled(counts.rows_per_file(jobs.extract_urls(_index(spark, sf_dir))), "n")
+
+
+@register("s7_tolerant_scan", lambda: _sql([("links", LINKS_SQL)], _URLS_BY_FILE_SQL))
+def s7_tolerant_scan(spark, sf_dir):
+    """A manifest with a corrupt and a missing file still yields Q2."""
+    return _labelled(jobs.extract_urls(_index(spark, sf_dir, broken=True)), "url")
+
+
+def _padded_lines(spark, sf_dir) -> str:
+    """Link URLs as text lines with blanks around them and blank lines."""
+    path = scratch_path(spark, "lines")
+    links = _links(spark, sf_dir)
+    padded = links.select(F.concat(F.lit("  "), "url", F.lit(" \t")).alias("value"))
+    blanks = links.filter(F.col("pos") == 0).select(F.lit("   ").alias("value"))
+    padded.unionByName(blanks).write.text(path)
+    return path
+
+
+@register("s4_read_lines", lambda: _sql([("links", LINKS_SQL)], "SELECT url FROM links"))
+def s4_read_lines(spark, sf_dir):
+    """Line files -> stripped, non-empty URLs."""
+    return read_lines(spark, _padded_lines(spark, sf_dir), "url")
+
+
+@register("s5_sample_every_nth", lambda: _sql([("links", LINKS_SQL)], (
+    f"SELECT page_id, pos, url FROM (SELECT *, row_number() OVER (ORDER BY page_id, pos) AS rn "
+    f"FROM links) WHERE rn % {EVERY} = 0")))
+def s5_sample_every_nth(spark, sf_dir):
+    """Every 3rd link URL in (page_id, pos) order, via dense ordinals."""
+    links = with_ordinal(_links(spark, sf_dir), [F.asc("page_id"), F.asc("pos")], "line_no")
+    return sample_every_nth(links, EVERY, "line_no").select("page_id", "pos", "url")
+
+
+@register("d3_distinct_sorted_urls", lambda: _sql(
+    [("u", ALL_URLS_SQL)], "SELECT DISTINCT url FROM u WHERE url IS NOT NULL"))
+def d3_distinct_sorted_urls(spark, sf_dir):
+    """D3: global distinct URLs, sorted."""
+    return dedup.distinct_sorted(all_urls(spark, sf_dir), "url")
+
+
+@register("d4_adjacent_dedup", lambda: (
+    "SELECT event_id, event_type FROM (SELECT event_id, event_type, "
+    "lag(event_type) OVER (ORDER BY event_id) AS prev FROM events WHERE event_type IS NOT NULL) "
+    "WHERE prev IS NULL OR prev <> event_type"))
+def d4_adjacent_dedup(spark, sf_dir):
+    """Events in id order, repeated event types within a run dropped."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    return dedup.drop_adjacent_repeats(ev, "event_type", "event_id", bucket_rows=1000)
+
+
+def _page_hosts(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", url_host(F.col("url")).alias("host"))
+
+
+_PAGE_DOMAINS_CTES = [("ph", f"SELECT page_id, {O.host_sql('url')} AS host FROM pages"),
+                      ("rules", O.rules_sql())] + O.registered_ctes("ph", "host") + [
+    ("pd", "SELECT p.page_id, r.domain FROM ph p JOIN regd r ON r.host = p.host "
+           "WHERE r.domain IS NOT NULL AND p.host <> ''")]
+
+
+@register("q3_normalize_runs", lambda: _sql(_PAGE_DOMAINS_CTES, (
+    "SELECT page_id, domain FROM (SELECT page_id, domain, lag(domain) OVER (ORDER BY page_id) AS prev "
+    "FROM pd) WHERE prev IS NULL OR prev <> domain")))
+def q3_normalize_runs(spark, sf_dir):
+    """Q3 exact variant (P3, D4): page hosts in page order -> registered
+    domains, adjacent repeats dropped."""
+    return jobs.normalize_domains_in_order(_page_hosts(spark, sf_dir), fixture_rules(spark), "page_id")
+
+
+@register("a2_normalize_counts", lambda: _sql(_PAGE_DOMAINS_CTES, (
+    "SELECT (SELECT CAST(count(*) AS BIGINT) FROM pd) AS domain_count, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM (SELECT domain, lag(domain) OVER (ORDER BY page_id) AS prev "
+    "FROM pd) WHERE prev IS NULL OR prev <> domain) AS unique_count")))
+def a2_normalize_counts(spark, sf_dir):
+    """A2: hosts with a registered domain, and rows emitted by the run dedup."""
+    rules = fixture_rules(spark)
+    hosts = _page_hosts(spark, sf_dir).filter(F.col("host").isNotNull())
+    norm = registered_domain(hosts, "host", rules, "domain").select("page_id", "domain")
+    emitted = dedup.drop_adjacent_repeats(norm, "domain", "page_id")
+    return counts.normalize_counts(norm, emitted)
+
+
+_ALL_HOST_DOMAINS_CTES = [("u", ALL_URLS_SQL),
+                          ("h", f"SELECT {O.host_sql('url')} AS host FROM u"),
+                          ("rules", O.rules_sql())] + O.registered_ctes("h", "host")
+
+
+def _host_lines(spark, sf_dir) -> str:
+    """K1 + S4: hosts of all URLs written as a line file."""
+    path = scratch_path(spark, "hosts")
+    hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host"))
+    return write_lines(hosts.filter(F.col("host").isNotNull()), "host", path)
+
+
+@register("q3_normalize_domains", lambda: _sql(
+    _ALL_HOST_DOMAINS_CTES, "SELECT DISTINCT domain FROM regd WHERE domain IS NOT NULL"))
+def q3_normalize_domains(spark, sf_dir):
+    """Q3 (S4, P3, D5): a host line file -> unique registered domains."""
+    hosts = read_lines(spark, _host_lines(spark, sf_dir), "host")
+    return jobs.normalize_domains(hosts, fixture_rules(spark))
+
+
+@register("k1_write_lines", lambda: _sql(
+    _ALL_HOST_DOMAINS_CTES, "SELECT DISTINCT domain FROM regd WHERE domain IS NOT NULL"))
+def k1_write_lines(spark, sf_dir):
+    """K1: unique registered domains written as lines and read back."""
+    hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host"))
+    domains = jobs.normalize_domains(hosts.filter(F.col("host").isNotNull()), fixture_rules(spark))
+    path = write_lines(domains, "domain", scratch_path(spark, "domains"))
+    return read_lines(spark, path, "domain")
+
+
+def _batched_words(spark, sf_dir):
+    links = _links(spark, sf_dir).withColumn(
+        "batch", F.floor(F.col("page_id") / BATCH_PAGES).cast("bigint"))
+    return terms.url_words(links, fixture_rules(spark), keep=("batch",))
+
+
+_BATCH_SQL = "SELECT *, CAST(floor(page_id / %d) AS BIGINT) AS batch FROM (%s)" % (BATCH_PAGES, LINKS_SQL)
+
+
+@register("d6_union_partials", lambda: _sql(
+    O.term_ctes(_BATCH_SQL, keep="batch, "),
+    "SELECT batch, term, domain, CAST(count(*) AS BIGINT) AS n FROM occ GROUP BY batch, term, domain"))
+def d6_union_partials(spark, sf_dir):
+    """Per-range partial pair counts, concatenated."""
+    return terms.term_domain_counts(_batched_words(spark, sf_dir), by=("batch",))
+
+
+@register("a7_merge_partials", lambda: _term_sql("SELECT term, domain, n FROM td"))
+def a7_merge_partials(spark, sf_dir):
+    """Merging the per-range partials gives the whole-corpus counts."""
+    parts = terms.term_domain_counts(_batched_words(spark, sf_dir), by=("batch",))
+    return counts.merge_partials(parts)
+
+
+@register("a8_per_batch_stats", lambda: _sql(O.term_ctes(_BATCH_SQL, keep="batch, "), (
+    "SELECT r.batch, r.processed_urls, r.unique_domains, coalesce(t.unique_terms, 0) AS unique_terms, "
+    "coalesce(t.total_terms, 0) AS total_terms FROM "
+    "(SELECT batch, CAST(count(*) AS BIGINT) AS processed_urls, "
+    "CAST(count(DISTINCT domain) AS BIGINT) AS unique_domains FROM recs GROUP BY batch) r LEFT JOIN "
+    "(SELECT batch, CAST(count(DISTINCT term) AS BIGINT) AS unique_terms, "
+    "CAST(count(*) AS BIGINT) AS total_terms FROM occ GROUP BY batch) t ON t.batch = r.batch")))
+def a8_per_batch_stats(spark, sf_dir):
+    """Corpus statistics per input range."""
+    links = _links(spark, sf_dir).withColumn(
+        "batch", F.floor(F.col("page_id") / BATCH_PAGES).cast("bigint"))
+    recs = terms.url_records(links, fixture_rules(spark), keep=("batch",))
+    td = terms.term_domain_counts(terms.words_of(recs, keep=("batch",)), by=("batch",))
+    return counts.per_source_stats(recs, td, "batch")
+
+
+_FIRST_SEEN_CTES = O.term_ctes(LINKS_SQL, keep="page_id, pos, ") + [
+    ("fs", "SELECT term, domain, min(struct_pack(p := page_id, q := pos)) AS first_seen "
+           "FROM occ GROUP BY term, domain")]
+
+
+@register("w4_first_seen_domains", lambda: _sql(_FIRST_SEEN_CTES, (
+    f"SELECT term, domain, rank FROM (SELECT term, domain, CAST(row_number() OVER "
+    f"(PARTITION BY term ORDER BY first_seen, domain) AS BIGINT) AS rank FROM fs) WHERE rank <= {W4_N}")))
+def w4_first_seen_domains(spark, sf_dir):
+    """Each term's first 3 distinct domains in (page_id, pos) order."""
+    occ = terms.url_terms(_ordered_links(spark, sf_dir), fixture_rules(spark), keep=("ord",))
+    return ranking.first_seen_domains(occ, W4_N, "ord").select("term", "domain", "rank")
+
+
+@register("q6_first_seen_term_frequency", lambda: _sql(_FIRST_SEEN_CTES + [O.cutoff_cte(SHARE)], (
+    "SELECT k.term, k.n AS frequency, l.domains FROM kept k JOIN ("
+    "SELECT term, string_agg(domain, ',' ORDER BY rank) AS domains FROM ("
+    "SELECT term, domain, row_number() OVER (PARTITION BY term ORDER BY first_seen, domain) AS rank "
+    "FROM fs) WHERE rank <= 1000 GROUP BY term) l ON l.term = k.term")))
+def q6_first_seen_term_frequency(spark, sf_dir):
+    """Q6: term report with first-seen domains."""
+    return jobs.first_seen_term_frequency(_ordered_links(spark, sf_dir), fixture_rules(spark),
+                                          "ord", share=SHARE)
+
+
+_Q5_CORPUS = (f"SELECT page_id, pos, url FROM (SELECT *, row_number() OVER (ORDER BY page_id, pos) "
+              f"AS rn FROM ({LINKS_SQL})) WHERE rn % {Q5_EVERY} = 0")
+
+
+@register("q5_sampled_term_frequency", lambda: O.term_frequency_sql(_Q5_CORPUS, SHARE, Q5_DOMAINS))
+def q5_sampled_term_frequency(spark, sf_dir):
+    """Q5: every 2nd link URL, top 10 domains per kept term."""
+    links = with_ordinal(_links(spark, sf_dir), [F.asc("page_id"), F.asc("pos")], "line_no")
+    return jobs.sampled_term_frequency(links, fixture_rules(spark), Q5_EVERY, "line_no",
+                                       share=SHARE, max_domains=Q5_DOMAINS)
+
+
+@register("k2_term_csv", lambda: O.term_frequency_sql(LINKS_SQL, SHARE, 1000))
+def k2_term_csv(spark, sf_dir):
+    """K2: the Q4 report written as CSV and read back."""
+    path = write_term_csv(q4_term_frequency(spark, sf_dir), scratch_path(spark, "report-csv"))
+    return read_term_csv(spark, path)
+
+
+def _stream_inputs(spark, sf_dir, folder: str, ranges: list[tuple[int, int]]):
+    """Write link URLs of page ranges [lo, hi) as separate line files."""
+    links = _links(spark, sf_dir)
+    for lo, hi in ranges:
+        part = links.filter((F.col("page_id") >= lo) & (F.col("page_id") < hi)).select("url")
+        part.coalesce(1).write.text(os.path.join(folder, f"pages-{lo}-{hi}"))
+
+
+def _incremental_partials(spark, sf_dir) -> str:
+    """Three runs over a growing folder (the last one finds nothing new)."""
+    root = scratch_path(spark, "incremental")
+    src, parts, ckpt = (os.path.join(root, d) for d in ("in", "partials", "checkpoint"))
+    n_pages = read_table(spark, sf_dir, "pages").agg(F.max("page_id")).first()[0] or 0
+    cut = (n_pages + 1) // 2
+    rules = fixture_rules(spark)
+    _stream_inputs(spark, sf_dir, src, [(0, cut)])
+    incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
+    _stream_inputs(spark, sf_dir, src, [(cut, n_pages + 1)])
+    incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
+    incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
+    return parts
+
+
+@register("t1_incremental_partials", lambda: _term_sql("SELECT term, domain, n FROM td"))
+def t1_incremental_partials(spark, sf_dir):
+    """T1 + A7: streaming partials over two arrivals and a no-op run, merged."""
+    return incremental.merged_counts(spark, _incremental_partials(spark, sf_dir))
+
+
+@register("t2_merged_report", lambda: O.term_frequency_sql(LINKS_SQL, SHARE, 1000))
+def t2_merged_report(spark, sf_dir):
+    """The term report recomputed over all stored partials."""
+    return incremental.merged_report(spark, _incremental_partials(spark, sf_dir), SHARE, 1000)
+
+
+@register("t3_streaming_normalize", lambda: _sql(
+    _ALL_HOST_DOMAINS_CTES, "SELECT DISTINCT domain FROM regd WHERE domain IS NOT NULL"))
+def t3_streaming_normalize(spark, sf_dir):
+    """Host files arriving in two steps; each domain emitted once."""
+    root = scratch_path(spark, "normalize")
+    src, sink, ckpt = (os.path.join(root, d) for d in ("in", "out", "checkpoint"))
+    hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host")) \
+        .filter(F.col("host").isNotNull())
+    rules = fixture_rules(spark)
+    hosts.filter(F.col("host") < "t").coalesce(1).write.text(os.path.join(src, "a"))
+    normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules)
+    hosts.coalesce(1).write.text(os.path.join(src, "b"))
+    normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules)
+    return normalize.read_domains(spark, sink)

@@ -39,3 +39,67 @@ def term_frequency(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
     words = terms.url_words(urls, rules, url_col, min_len, stopwords)
     td = materialize(terms.term_domain_counts(words, min_len), "term-domain", store)
     return term_report(td, share, max_domains)
+
+
+def extract_hosts(index: DataFrame) -> DataFrame:
+    """Q1: distinct hosts per index file: (file_path, host)."""
+    from ..functions.urls import url_host
+    from ..operators.dedup import distinct_per_file
+    hosts = index.filter(F.col("url").isNotNull()).select("file_path", url_host(F.col("url")).alias("host"))
+    return distinct_per_file(hosts, "host")
+
+
+def extract_urls(index: DataFrame) -> DataFrame:
+    """Q2: distinct URLs per index file: (file_path, url)."""
+    from ..operators.dedup import distinct_per_file
+    return distinct_per_file(index, "url")
+
+
+def normalize_domains(hosts: DataFrame, rules: SuffixRules, col: str = "host") -> DataFrame:
+    """Q3: unique registered domains of a host list."""
+    from ..functions.urls import strip_text
+    from ..operators.dedup import unique_values
+    from ..operators.domains import registered_domain
+    df = hosts.select(strip_text(F.col(col)).alias(col)).filter(F.col(col) != "")
+    return unique_values(registered_domain(df, col, rules, "domain"), "domain")
+
+
+def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
+                               col: str = "host") -> DataFrame:
+    """Q3, exact variant: registered domains with adjacent repeats dropped
+    (D4), in ``order``: (order, domain)."""
+    from ..functions.urls import strip_text
+    from ..operators.dedup import drop_adjacent_repeats
+    from ..operators.domains import registered_domain
+    df = hosts.select(order, strip_text(F.col(col)).alias(col)).filter(F.col(col) != "")
+    norm = registered_domain(df, col, rules, "domain").select(order, "domain")
+    return drop_adjacent_repeats(norm, "domain", order)
+
+
+def sampled_term_frequency(urls: DataFrame, rules: SuffixRules, every: int,
+                           ordinal: str, share: float = 0.8, max_domains: int = 1000,
+                           min_len: int = 3, store: str = "parquet") -> DataFrame:
+    """Q5: every Nth URL (by a dense 1-based ordinal), then Q4."""
+    from ..sources.lines import sample_every_nth
+    return term_frequency(sample_every_nth(urls, every, ordinal), rules, "url",
+                          share, max_domains, min_len, store=store)
+
+
+def first_seen_term_frequency(urls: DataFrame, rules: SuffixRules, order: str,
+                              share: float = 0.8, max_domains: int = 1000,
+                              min_len: int = 3, store: str = "parquet") -> DataFrame:
+    """Q6: Q4 with each term's first ``max_domains`` distinct domains in
+    input order (W4) instead of its most frequent ones.
+
+    The pair table carries the first position a pair was seen, so the
+    same pre-aggregation as Q4 serves both counts and first-seen order.
+    """
+    words = terms.url_words(urls, rules, "url", min_len, keep=(order,))
+    td = materialize(terms.term_domain_counts(words, min_len, first_seen=order),
+                     "term-domain-first", store)
+    kept = ranking.share_cutoff(terms.term_counts(td), share)
+    first = ranking.first_seen_rank(ranking.restrict_to(td, kept), max_domains)
+    lists = ranking.domain_lists(first)
+    return (kept.join(lists, "term")
+                .select("term", F.col("n").alias("frequency"), "domains")
+                .orderBy(F.desc("frequency"), F.asc("term")))
