@@ -34,11 +34,12 @@ def per_source_stats(records: DataFrame, td_by_source: DataFrame,
                      source: str = "batch") -> DataFrame:
     """A6 per input source (file, batch or range).
 
-    ``records``: (source, url, domain) processed URLs; ``td_by_source``:
+    ``records``: (source, url, domain), domain null for skipped URLs;
+    ``td_by_source``:
     (source, term, domain, n) partial pair counts.  One grouped aggregate
     over the union of both (no join).
     """
-    a = records.select(source, F.lit(1).cast("bigint").alias("_u"), "domain",
+    a = records.select(source, F.col("domain").isNotNull().cast("bigint").alias("_u"), "domain",
                        F.lit(None).cast("string").alias("term"),
                        F.lit(0).cast("bigint").alias("n"))
     b = td_by_source.select(source, F.lit(0).cast("bigint").alias("_u"),

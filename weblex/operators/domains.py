@@ -1,9 +1,11 @@
 """Host -> registered domain (public suffix + one label).
 
-One left join per suffix depth k = 1..max_depth probes the last k labels of
-the host against the merged rule table.  The rule table is tiny and of
-checked size, so every join is a broadcast hash join: rows are never
-shuffled, and the same operator works on streams (stream-static joins).
+For each suffix depth k = 1..max_depth the last k labels of the host are
+looked up among the rules of that depth.  A rule set is small and its size
+is checked when loaded (``sources.suffixes``): up to INLINE_RULES_LIMIT keys
+the lookups are hash-set membership tests inside the generated code; a
+larger list is probed with one broadcast hash join per depth.  Either way
+rows are never shuffled, and the operator works on streams as well.
 
 Suffix length L:
   * an exception rule "!key" at depth k gives k-1 and wins over all others;
@@ -27,33 +29,100 @@ def _greatest(cols: list[Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.greatest(*cols)
 
 
+# Rule sets up to this many keys are tested with hash-set membership
+# (Spark's InSet) inside one expression; larger ones with one broadcast hash
+# join per depth.
+INLINE_RULES_LIMIT = 20000
+
+
+def _depth_flags(rules: SuffixRules, k: int):
+    keys = [r for r in rules.rows if r[4] == k]
+    return ([r[0] for r in keys if r[1]], [r[0] for r in keys if r[2]],
+            [r[0] for r in keys if r[3]])
+
+
+def _member(probe: Column, values: list[str]) -> Column:
+    return probe.isin(values) if values else F.lit(False)
+
+
+def _suffix_length(flags) -> Column:
+    """Suffix length L from per-depth (plain, wild, exc, n) flags."""
+    excs, others = [], []
+    for k, (kp, kw, kx, n) in enumerate(flags, start=1):
+        excs.append(F.when(kx, F.lit(k - 1)))
+        others.append(F.when(kp, F.lit(k)))
+        others.append(F.when(kw & (n > k), F.lit(k + 1)))
+    return F.coalesce(_greatest(excs), _greatest(others), F.lit(0))
+
+
+def _domain_of(h: Column, L: Column) -> Column:
+    """Last L+1 labels of h, or null when nothing is registered."""
+    labels = F.split(h, r"\.")
+    n = F.size(labels)
+    label = F.try_element_at(labels, -(L + 1))
+    ok = (L >= 1) & (n >= L + 1) & (label != "")
+    return F.when(ok, F.array_join(F.slice(labels, -(L + 1), L + 1), "."))
+
+
 def with_registered_domain(df: DataFrame, host: Column, rules: SuffixRules,
                            out: str = "domain") -> DataFrame:
-    """Add column ``out``: registered domain of the (already lenient) host."""
+    """Add column ``out``: registered domain of the (already lenient) host.
+
+    Helper columns are added step by step; each step reads the previous
+    ones several times, so the optimizer keeps them as separate
+    projections instead of copying the long host expression into every use.
+    Callers should not filter on ``out`` directly (a pushed-down filter
+    would copy the whole expression); see ``present``.
+    """
+    if rules.max_depth == 0:  # empty rule set: nothing is registered
+        return df.withColumn(out, F.lit(None).cast("string"))
     h, n, L = "_rd_h", "_rd_n", "_rd_len"
-    df = df.withColumn(h, host).withColumn(n, F.size(F.split(F.col(h), r"\.")))
-    table = F.broadcast(rules.df) if rules.broadcastable else rules.df
-    excs, others, helper = [], [], []
-    for k in range(1, rules.max_depth + 1):
-        kk, kp, kw, kx = f"_rk{k}", f"_rp{k}", f"_rw{k}", f"_rx{k}"
-        side = table.select(F.col("key").alias(kk), F.col("plain").alias(kp),
-                            F.col("wild").alias(kw), F.col("exc").alias(kx))
-        probe = F.when(F.col(n) >= k, F.substring_index(F.col(h), ".", -k))
-        df = df.join(side, probe == F.col(kk), "left")
-        excs.append(F.when(F.col(kx), F.lit(k - 1)))
-        others.append(F.when(F.col(kp), F.lit(k)))
-        others.append(F.when(F.col(kw) & (F.col(n) > k), F.lit(k + 1)))
-        helper += [kk, kp, kw, kx]
-    if not helper:  # empty rule set: nothing is registered
-        return df.withColumn(out, F.lit(None).cast("string")).drop(h, n)
-    df = df.withColumn(L, F.coalesce(_greatest(excs), _greatest(others), F.lit(0)))
-    label = F.expr(f"try_element_at(split({h}, '[.]'), -({L} + 1))")
-    ok = (F.col(L) >= 1) & (F.col(n) >= F.col(L) + 1) & (label != "")
-    value = F.expr(f"substring_index({h}, '.', -({L} + 1))")
-    return df.withColumn(out, F.when(ok, value)).drop(h, n, L, *helper)
+    depths = range(1, rules.max_depth + 1)
+    df = df.withColumn(h, host)
+    df = df.withColumns({n: F.size(F.split(F.col(h), r"\.")),
+                         **{f"_rk{k}": F.substring_index(F.col(h), ".", -k) for k in depths}})
+    helper = [f"_rk{k}" for k in depths]
+    flags = []
+    if rules.n_keys <= INLINE_RULES_LIMIT:
+        for k in depths:
+            plain, wild, exc = _depth_flags(rules, k)
+            probe = F.when(F.col(n) >= k, F.col(f"_rk{k}"))
+            flags.append((_member(probe, plain), _member(probe, wild), _member(probe, exc), F.col(n)))
+    else:
+        spark = df.sparkSession
+        for k in depths:
+            kk, p, w, x = f"_rj{k}", f"_rp{k}", f"_rw{k}", f"_rx{k}"
+            side = F.broadcast(rules.at_depth(spark, k).select(
+                F.col("key").alias(kk), F.col("plain").alias(p),
+                F.col("wild").alias(w), F.col("exc").alias(x)))
+            probe = F.when(F.col(n) >= k, F.col(f"_rk{k}"))
+            df = df.join(side, probe == F.col(kk), "left")
+            flags.append((F.col(p), F.col(w), F.col(x), F.col(n)))
+            helper += [kk, p, w, x]
+    df = df.withColumn(L, _suffix_length(flags))
+    return df.withColumn(out, _domain_of(F.col(h), F.col(L))).drop(h, n, L, *helper)
 
 
 def registered_domain(df: DataFrame, text_col: str, rules: SuffixRules,
                       out: str = "domain") -> DataFrame:
     """P3 on a URL or bare-host column (lenient host reading first)."""
     return with_registered_domain(df, lenient_host(F.col(text_col)), rules, out)
+
+
+def present(col: str, *values: str) -> Column:
+    """Generator keeping rows where ``col`` is not null.
+
+    ``df.select(..., F.inline(present("domain", "domain", "url")))`` emits
+    the listed columns for rows with a domain.  Unlike a filter, which
+    Catalyst pushes below the projection by copying the (long) domain
+    expression into it, a generator input is evaluated once.
+    """
+    fields = [F.col(v).alias(v) for v in (values or (col,))]
+    return F.when(F.col(col).isNotNull(), F.array(F.struct(*fields)))
+
+
+def registered_only(df: DataFrame, text_col: str, rules: SuffixRules,
+                    keep: tuple[str, ...] = (), out: str = "domain") -> DataFrame:
+    """(keep..., out) for rows whose text has a registered domain."""
+    d = registered_domain(df.select(*keep, text_col), text_col, rules, out)
+    return d.select(F.inline(present(out, *keep, out)))

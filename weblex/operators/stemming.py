@@ -11,22 +11,32 @@ broadcast when the measured vocabulary is small.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.porter import stem
+from ..session import ship_package
 
 
 def stem_dictionary(words: DataFrame, word_col: str = "word",
-                    min_len: int = 1) -> DataFrame:
+                    min_len: int = 1, weight: str | None = None) -> DataFrame:
     """Distinct words -> (word, term); rows whose stem is shorter than
-    ``min_len`` are dropped (F4)."""
-    vocab = words.select(F.col(word_col).alias("word")).distinct()
+    ``min_len`` are dropped (F4).  ``weight``: a count column of ``words``
+    (see below)."""
+    ship_package(words.sparkSession)
+    # A per-word total (read by the stemming step, so it is not pruned)
+    # keeps this aggregate on top of its input.  A plain distinct over a
+    # (word, domain, n) aggregate would be rewritten into a second pass over
+    # the raw words; summing that aggregate's own count column keeps both
+    # branches identical, so its shuffle output is reused.
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    vocab = words.groupBy(F.col(word_col).alias("word")).agg(total.alias("rows"))
 
     def stem_batches(batches):
         for pdf in batches:
-            terms = pdf["word"].map(stem)
-            out = pdf.assign(term=terms)
+            out = pd.DataFrame({"word": pdf["word"], "term": pdf["word"].map(stem)})
+            out = out[pdf["rows"].to_numpy() > 0]
             yield out[out["term"].str.len() >= min_len]
 
     return vocab.mapInPandas(stem_batches, "word string, term string")

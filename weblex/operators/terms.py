@@ -23,30 +23,37 @@ from ..functions.urls import (is_noise_word, site_label, strip_text, url_parts,
                               url_tokens)
 from ..sources.suffixes import SuffixRules
 from .domains import registered_domain
+from .partitioning import spread
 from .stemming import stem_dictionary
 
 
 def url_records(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """Stripped, non-empty URLs that have a registered domain.
+    """Stripped URLs with their registered domain: keep..., url, domain.
 
-    Columns: keep..., url, domain.  These are the "processed" URLs.
+    ``domain`` is null for URLs that are skipped (F5: blank, or no
+    registered domain); rows with a domain are the "processed" URLs.
+    Nothing is filtered here: consumers drop the skipped rows inside their
+    generator or aggregate, so the domain expression is evaluated once.
     """
-    df = urls.select(*keep, strip_text(F.col(url_col)).alias("url"))
-    df = df.filter(F.col("url").isNotNull() & (F.col("url") != ""))
-    df = registered_domain(df, "url", rules, "domain")
-    return df.filter(F.col("domain").isNotNull())
+    df = spread(urls).select(*keep, strip_text(F.col(url_col)).alias("url"))
+    return registered_domain(df, "url", rules, "domain")
 
 
 def words_of(records: DataFrame, min_len: int = 3,
              stopwords: list[str] | None = None,
              keep: tuple[str, ...] = ()) -> DataFrame:
-    """Kept words (F1-F3) of processed URLs: keep..., domain, word."""
+    """Kept words (F1-F3) of processed URLs: keep..., domain, word.
+
+    URLs without a domain (F5) or with a bad netloc yield no tokens; that
+    test sits inside the explode, evaluated once per URL.
+    """
     stop = default_stopwords() if stopwords is None else stopwords
     p = url_parts(F.col("url"))
-    df = records.select(*keep, "domain", p.alias("_p")).filter(F.col("_p.valid"))
+    df = records.select(*keep, "domain", p.alias("_p"))
     tokens = url_tokens(site_label(F.col("_p.netloc")), F.col("_p.path"), F.col("_p.query"))
-    df = df.select(*keep, "domain", F.explode(tokens).alias("word"))
+    usable = F.col("domain").isNotNull() & F.col("_p.valid")
+    df = df.select(*keep, "domain", F.explode(F.when(usable, tokens)).alias("word"))
     cond = (F.length("word") >= min_len) & ~is_noise_word(F.col("word"))
     if stop:
         cond = cond & ~F.col("word").isin(stop)
@@ -84,7 +91,7 @@ def term_domain_counts(words: DataFrame, min_len: int = 3,
                        by: tuple[str, ...] = ()) -> DataFrame:
     """A4: (by..., term, domain, n[, first_seen]) from kept words."""
     wd = word_domain_counts(words, first_seen, by)
-    stems = stem_dictionary(wd, "word", min_len)
+    stems = stem_dictionary(wd, "word", min_len, weight="n")
     aggs = [F.sum("n").cast("bigint").alias("n")]
     if first_seen:
         aggs.append(F.min("first_seen").alias("first_seen"))
@@ -111,7 +118,7 @@ def corpus_stats(records: DataFrame, td: DataFrame) -> DataFrame:
 
     One aggregate over the union of the two inputs (no join).
     """
-    a = records.select(F.lit(1).alias("_u"), F.col("domain"),
+    a = records.select(F.col("domain").isNotNull().cast("int").alias("_u"), F.col("domain"),
                        F.lit(None).cast("string").alias("term"),
                        F.lit(0).cast("bigint").alias("n"))
     b = td.select(F.lit(0).alias("_u"), F.lit(None).cast("string").alias("domain"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import site_label, url_host, url_parts, url_tokens
 from ..operators import ranking, terms
-from ..operators.domains import registered_domain
+from ..operators.domains import registered_domain, registered_only
 from ..operators.stemming import stem_dictionary
 from ..sources.pages import link_corpus, read_table
 from ..sources.suffixes import builtin_rules, fixture_rules
@@ -142,10 +142,10 @@ def f123_kept_words(spark, sf_dir):
     f"WHERE r.domain IS NULL AND {O.strip_sql('u.url')} <> ''"))
 def f5_domainless_urls(spark, sf_dir):
     """URLs skipped for lack of a registered domain (built-in ICANN rules)."""
-    df = registered_domain(all_urls(spark, sf_dir), "url", builtin_rules(spark))
     from ..functions.urls import strip_text
-    return (df.filter(F.col("domain").isNull() & (strip_text(F.col("url")) != ""))
-              .select("page_id", "pos", "url"))
+    df = registered_domain(all_urls(spark, sf_dir), "url", builtin_rules(spark))
+    skipped = F.col("domain").isNull() & (strip_text(F.col("url")) != "")
+    return df.select(F.inline(F.when(skipped, F.array(F.struct("page_id", "pos", "url")))))
 
 
 # ----------------------------------------------------------- stemming
@@ -440,7 +440,7 @@ def a2_normalize_counts(spark, sf_dir):
     """A2: hosts with a registered domain, and rows emitted by the run dedup."""
     rules = fixture_rules(spark)
     hosts = _page_hosts(spark, sf_dir).filter(F.col("host").isNotNull())
-    norm = registered_domain(hosts, "host", rules, "domain").select("page_id", "domain")
+    norm = registered_only(hosts, "host", rules, keep=("page_id",))
     emitted = dedup.drop_adjacent_repeats(norm, "domain", "page_id")
     return counts.normalize_counts(norm, emitted)
 

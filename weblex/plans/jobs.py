@@ -58,10 +58,9 @@ def extract_urls(index: DataFrame) -> DataFrame:
 def normalize_domains(hosts: DataFrame, rules: SuffixRules, col: str = "host") -> DataFrame:
     """Q3: unique registered domains of a host list."""
     from ..functions.urls import strip_text
-    from ..operators.dedup import unique_values
-    from ..operators.domains import registered_domain
-    df = hosts.select(strip_text(F.col(col)).alias(col)).filter(F.col(col) != "")
-    return unique_values(registered_domain(df, col, rules, "domain"), "domain")
+    from ..operators.domains import registered_only
+    df = hosts.select(strip_text(F.col(col)).alias(col))
+    return registered_only(df, col, rules).distinct()
 
 
 def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
@@ -70,10 +69,9 @@ def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
     (D4), in ``order``: (order, domain)."""
     from ..functions.urls import strip_text
     from ..operators.dedup import drop_adjacent_repeats
-    from ..operators.domains import registered_domain
-    df = hosts.select(order, strip_text(F.col(col)).alias(col)).filter(F.col(col) != "")
-    norm = registered_domain(df, col, rules, "domain").select(order, "domain")
-    return drop_adjacent_repeats(norm, "domain", order)
+    from ..operators.domains import registered_only
+    df = hosts.select(order, strip_text(F.col(col)).alias(col))
+    return drop_adjacent_repeats(registered_only(df, col, rules, keep=(order,)), "domain", order)
 
 
 def sampled_term_frequency(urls: DataFrame, rules: SuffixRules, every: int,

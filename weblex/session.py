@@ -62,3 +62,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``weblex`` importable in executor Python workers.
+
+    Python-side steps (the stemmer, the IDNA rule spelling) run in worker
+    processes, which import this package.  It is zipped once per
+    SparkContext into the shared folder and added with ``addPyFile``, as a
+    cluster job would ship it with ``--py-files``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_weblex_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(checkpoint_root(spark).replace("file:", ""),
+                          f"weblex-{uuid.uuid4().hex[:8]}.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    sc._weblex_shipped = True

@@ -55,57 +55,74 @@ pvt.k12.ma.us k12.ma.us ma.us ny.us ca.us
 FIXTURE_EXTRA_SUFFIXES = ["example.com", "example.net", "example.org"]
 
 
+RULE_SCHEMA = "key string, plain boolean, wild boolean, exc boolean, depth int"
+
+
 @dataclass(frozen=True)
 class SuffixRules:
-    df: DataFrame          # key, plain, wild, exc, depth (one row per key)
+    """Merged rules, one row per key, held as a short driver-side list.
+
+    A suffix list is small and its size is checked when it is loaded, so
+    each per-depth slice becomes a local relation that broadcast joins ship
+    without running a Spark job.
+    """
+    rows: tuple            # (key, plain, wild, exc, depth)
     max_depth: int
-    n_keys: int
 
     @property
-    def broadcastable(self) -> bool:
-        return self.n_keys <= MAX_BROADCAST_RULES
-
-
-def _classify(rule_col):
-    """(key, kind) from a raw rule string; kind n plain, w wildcard, x exception."""
-    r = F.lower(rule_col)
-    kind = (F.when(r.startswith("*."), F.lit("w"))
-            .when(r.startswith("!"), F.lit("x"))
-            .otherwise(F.lit("n")))
-    key = (F.when(r.startswith("*."), F.expr("substring(_r, 3)"))
-           .when(r.startswith("!"), F.expr("substring(_r, 2)"))
-           .otherwise(r))
-    return key, kind
-
-
-def merge_rules(raw: DataFrame) -> DataFrame:
-    """One row per key (duplicate keys would fan out join rows)."""
-    df = raw.select(F.lower(F.col("rule")).alias("_r"))
-    key, kind = _classify(F.col("_r"))
-    return (df.select(key.alias("key"), kind.alias("kind"))
-              .filter(F.col("key") != "")
-              .groupBy("key")
-              .agg(F.max((F.col("kind") == "n")).alias("plain"),
-                   F.max((F.col("kind") == "w")).alias("wild"),
-                   F.max((F.col("kind") == "x")).alias("exc"))
-              .withColumn("depth", F.size(F.split(F.col("key"), r"\."))))
-
-
-def _keys_and_depth(rules: list[str]) -> tuple[int, int]:
-    keys = set()
-    for r in rules:
-        r = r.lower()
-        keys.add(r[2:] if r.startswith("*.") else r[1:] if r.startswith("!") else r)
-    keys.discard("")
-    return len(keys), max((k.count(".") + 1 for k in keys), default=0)
+    def n_keys(self) -> int:
+        return len(self.rows)
+
+    def at_depth(self, spark: SparkSession, k: int) -> DataFrame:
+        return local_frame(spark, [r for r in self.rows if r[4] == k])
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return local_frame(spark, list(self.rows))
+
+
+def local_frame(spark: SparkSession, rows: list) -> DataFrame:
+    """A LocalRelation (plan-embedded rows): broadcasting it runs no job.
+
+    Built through Arrow from pandas; a list would become a Python RDD that
+    every broadcast has to compute in a task.
+    """
+    import pandas as pd
+
+    pdf = pd.DataFrame(rows, columns=["key", "plain", "wild", "exc", "depth"])
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return spark.createDataFrame(pdf, RULE_SCHEMA)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _split_rule(rule: str) -> tuple[str, str]:
+    r = rule.strip().lower()
+    if r.startswith("*."):
+        return r[2:], "w"
+    if r.startswith("!"):
+        return r[1:], "x"
+    return r, "n"
+
+
+def merge_rule_list(rules) -> SuffixRules:
+    """One row per key with plain / wildcard / exception flags."""
+    flags: dict[str, list[bool]] = {}
+    for rule in rules:
+        key, kind = _split_rule(rule)
+        if not key:
+            continue
+        f = flags.setdefault(key, [False, False, False])
+        f["nwx".index(kind)] = True
+    rows = tuple((k, f[0], f[1], f[2], k.count(".") + 1) for k, f in sorted(flags.items()))
+    return SuffixRules(rows, max((r[4] for r in rows), default=0))
 
 
 def rules_from_list(spark: SparkSession, rules: list[str]) -> SuffixRules:
     """Rules given as PSL strings (a short list that lives on the driver)."""
-    rules = [r.strip() for r in rules if r.strip()]
-    raw = spark.createDataFrame([(r,) for r in rules], "rule string")
-    n_keys, depth = _keys_and_depth(rules)
-    return SuffixRules(merge_rules(raw), depth, n_keys)
+    return merge_rule_list(r for r in rules if r.strip())
 
 
 def builtin_rules(spark: SparkSession, extra: list[str] | None = None) -> SuffixRules:
@@ -136,6 +153,9 @@ def _ascii_forms(rules: DataFrame) -> DataFrame:
     """Punycode (IDNA) spelling of non-ASCII rules, so xn-- hosts match."""
     import pandas as pd
 
+    from ..session import ship_package
+    ship_package(rules.sparkSession)
+
     @F.pandas_udf("string")
     def to_ascii(s: pd.Series) -> pd.Series:
         def conv(r: str):
@@ -154,7 +174,12 @@ def _ascii_forms(rules: DataFrame) -> DataFrame:
 
 def read_suffix_rules(spark: SparkSession, path: str, private: bool = False,
                       extra: list[str] | None = None, idna: bool = True) -> SuffixRules:
-    """Read a public suffix list file (one small file, read whole)."""
+    """Read a public suffix list file (any path Spark reads; read whole).
+
+    The distinct rule strings are counted before they are brought to the
+    driver: a suffix list has ~10k rules, and anything over
+    MAX_BROADCAST_RULES is refused rather than broadcast.
+    """
     whole = spark.read.text(path, wholetext=True)
     lines = F.split(F.col("value"), r"\r?\n")
     end = F.array_position(F.transform(lines, lambda l: F.trim(l)), ICANN_END_MARKER)
@@ -162,8 +187,10 @@ def read_suffix_rules(spark: SparkSession, path: str, private: bool = False,
     rules = parse_rule_lines(rows, private)
     if idna:
         rules = rules.unionByName(_ascii_forms(rules))
-    if extra:
-        rules = rules.unionByName(spark.createDataFrame([(r,) for r in extra], "rule string"))
-    merged = merge_rules(rules).cache()
-    stats = merged.agg(F.max("depth").alias("d"), F.count("*").alias("n")).first()
-    return SuffixRules(merged, int(stats["d"] or 0), int(stats["n"]))
+    rules = rules.select(F.lower("rule").alias("rule")).distinct().cache()
+    n = rules.count()
+    if n > MAX_BROADCAST_RULES:
+        raise ValueError(f"{n} suffix rules: not a suffix list (limit {MAX_BROADCAST_RULES})")
+    found = [r["rule"] for r in rules.collect()]
+    rules.unpersist()
+    return merge_rule_list(found + list(extra or []))

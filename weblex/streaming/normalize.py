@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import strip_text
-from ..operators.domains import registered_domain
+from ..operators.domains import registered_only
 from ..sources.suffixes import SuffixRules
 
 
 def normalized_stream(hosts: DataFrame, rules: SuffixRules, col: str = "host") -> DataFrame:
-    df = hosts.select(strip_text(F.col(col)).alias(col)).filter(F.col(col) != "")
-    df = registered_domain(df, col, rules, "domain")
-    return df.filter(F.col("domain").isNotNull()).select("domain").dropDuplicates(["domain"])
+    df = hosts.select(strip_text(F.col(col)).alias(col))
+    return registered_only(df, col, rules).dropDuplicates(["domain"])
 
 
 def run_normalize(spark: SparkSession, source_dir: str, sink_dir: str,
