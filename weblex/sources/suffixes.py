@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,8 +88,6 @@ def local_frame(spark: SparkSession, rows: list) -> DataFrame:
     Built through Arrow from pandas; a list would become a Python RDD that
     every broadcast has to compute in a task.
     """
-    import pandas as pd
-
     pdf = pd.DataFrame(rows, columns=["key", "plain", "wild", "exc", "depth"])
     key = "spark.sql.execution.arrow.pyspark.enabled"
     before = spark.conf.get(key, "false")
@@ -151,8 +151,6 @@ def parse_rule_lines(lines: DataFrame, private: bool = False) -> DataFrame:
 
 def _ascii_forms(rules: DataFrame) -> DataFrame:
     """Punycode (IDNA) spelling of non-ASCII rules, so xn-- hosts match."""
-    import pandas as pd
-
     from ..session import ship_package
     ship_package(rules.sparkSession)
 
@@ -181,9 +179,12 @@ def read_suffix_rules(spark: SparkSession, path: str, private: bool = False,
     MAX_BROADCAST_RULES is refused rather than broadcast.
     """
     whole = spark.read.text(path, wholetext=True)
-    lines = F.split(F.col("value"), r"\r?\n")
-    end = F.array_position(F.transform(lines, lambda l: F.trim(l)), ICANN_END_MARKER)
-    rows = whole.select(F.posexplode(lines).alias("pos", "line"), end.alias("end"))
+    lines = whole.select(F.split(F.col("value"), r"\r?\n").alias("lines"))
+    # Position of the end-of-ICANN marker, computed once per file before
+    # the lines are exploded.
+    marked = lines.select("lines", F.array_position(
+        F.transform("lines", lambda l: F.trim(l)), ICANN_END_MARKER).alias("end"))
+    rows = marked.select(F.posexplode("lines").alias("pos", "line"), "end")
     rules = parse_rule_lines(rows, private)
     if idna:
         rules = rules.unionByName(_ascii_forms(rules))
