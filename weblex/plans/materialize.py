@@ -24,5 +24,6 @@ def materialize(df: DataFrame, name: str, mode: str = "parquet") -> DataFrame:
         spark = df.sparkSession
         path = scratch_path(spark, name)
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        # The schema is known: reading it back needs no footer-scan job.
+        return spark.read.schema(df.schema).parquet(path)
     raise ValueError(f"unknown materialize mode: {mode}")
