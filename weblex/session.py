@@ -69,23 +69,32 @@ def ship_package(spark: SparkSession) -> None:
 
     Python-side steps (the stemmer, the IDNA rule spelling) run in worker
     processes, which import this package.  It is zipped once per
-    SparkContext into the shared folder and added with ``addPyFile``, as a
-    cluster job would ship it with ``--py-files``.
+    SparkContext into the shared checkpoint folder (through the Hadoop file
+    system API, so any cluster file system works) and added with
+    ``addPyFile``, as a cluster job would ship it with ``--py-files``.
     """
+    import io
     import zipfile
 
     sc = spark.sparkContext
     if getattr(sc, "_weblex_shipped", False):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(checkpoint_root(spark).replace("file:", ""),
-                          f"weblex-{uuid.uuid4().hex[:8]}.zip")
-    os.makedirs(os.path.dirname(target), exist_ok=True)
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(target)
+    target = os.path.join(checkpoint_root(spark), f"weblex-{uuid.uuid4().hex[:8]}.zip")
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(fs.makeQualified(path).toString())
     sc._weblex_shipped = True

@@ -15,6 +15,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+PROBE_THREADS = 8
+
 # FIXED VALUES: candidate URL column names, probed in this order, exact case.
 URL_COLUMNS = ["url", "URL", "uri", "URI", "Url", "Uri"]
 
@@ -72,12 +74,13 @@ def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = N
     rows of each file (before null-drop and dedup, as the source does).
     With ``tolerant`` a missing or unreadable file yields no rows.
     """
+    # One footer read per file (a schema probe); run a few at a time.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
+        probed = list(pool.map(lambda p: (p, _file_columns(spark, p, tolerant)), paths))
     groups: dict[str, list[str]] = {}
-    for p in paths:
-        cols = _file_columns(spark, p, tolerant)
-        if cols is None:
-            continue
-        c = resolve_url_column(cols)
+    for p, cols in probed:
+        c = resolve_url_column(cols) if cols is not None else None
         if c is not None:
             groups.setdefault(c, []).append(p)
     reader = spark.read
