@@ -62,3 +62,11 @@ def test_page_corpus(spark):
     links = link_corpus(spark, SF_SMALL)
     assert links.columns == ["page_id", "pos", "url"]
     assert links.filter(~F.col("url").startswith("http://")).count() == 0
+
+
+def test_sample_in_split(spark):
+    from weblex.sources.lines import sample_every_nth_in_split
+    df = spark.range(0, 70, numPartitions=7)  # ranges of 10 rows
+    got = sorted(r.id for r in sample_every_nth_in_split(df, 3).collect())
+    assert got == sorted(base + k for base in range(0, 70, 10) for k in (2, 5, 8))
+    assert sample_every_nth_in_split(df, 1).count() == 70

@@ -51,3 +51,18 @@ def hash_sample(df: DataFrame, n: int, col: str = "url", seed: int = 42) -> Data
     if n <= 1:
         return df
     return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(col)), F.lit(n)) == 0)
+
+
+def sample_every_nth_in_split(df: DataFrame, n: int) -> DataFrame:
+    """S5 per input range: every Nth row by position inside each split.
+
+    The source samples within each worker's line range; Spark's input
+    splits are those ranges here.  The position comes from
+    ``monotonically_increasing_id`` (partition index in the upper bits,
+    row position in the lower 33), so there is no shuffle and no global
+    order.  Apply it directly on a scan: positions follow the split's rows.
+    """
+    if n <= 1:
+        return df
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return df.withColumn("_pos", local).filter(F.col("_pos") % n == 0).drop("_pos")
