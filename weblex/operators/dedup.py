@@ -26,22 +26,23 @@ def drop_adjacent_repeats(df: DataFrame, value: str, order: str,
     """Keep a row when its value differs from the previous non-null one.
 
     Rows with a null value are skipped and do not break a run.  ``order`` is
-    a numeric position (line number, id).  Instead of one global window,
-    rows are cut into buckets of ``bucket_rows`` consecutive positions; the
-    previous value is taken inside a bucket, and for a bucket's first row
-    from the last value of the nearest earlier non-empty bucket (a table of
-    one row per bucket).
+    an integral position (line number, id).  Instead of one global window,
+    rows are cut into buckets of ``bucket_rows`` consecutive positions; one
+    window pass per bucket gives each row's predecessor and marks the
+    bucket's last row, and a bucket's first row takes the last value of the
+    nearest earlier non-empty bucket from a table of one row per bucket.
     """
-    d = (df.filter(F.col(value).isNotNull())
-           .withColumn("_b", F.floor(F.col(order) / F.lit(bucket_rows)).cast("bigint")))
+    bucket = F.expr(f"`{order}` div {int(bucket_rows)}")
+    d = df.filter(F.col(value).isNotNull()).withColumn("_b", bucket)
     inside = Window.partitionBy("_b").orderBy(order)
-    d = d.withColumn("_prev", F.lag(value).over(inside))
-    last = d.groupBy("_b").agg(F.max_by(value, order).alias("_last"))
+    d = (d.withColumn("_prev", F.lag(value).over(inside))
+          .withColumn("_is_last", F.lead(order).over(inside).isNull()))
+    last = d.filter(F.col("_is_last")).select("_b", F.col(value).alias("_last"))
     carry = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_carry"))
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     return (d.join(carry, "_b", "left")
              .filter(prev.isNull() | (F.col(value) != prev))
-             .drop("_b", "_prev", "_carry"))
+             .drop("_b", "_prev", "_is_last", "_carry"))
 
 
 def unique_values(df: DataFrame, value: str) -> DataFrame:
