@@ -48,9 +48,11 @@ def term_frequency(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
 def extract_hosts(index: DataFrame) -> DataFrame:
     """Q1: distinct hosts per index file: (file_path, host)."""
     from ..functions.urls import url_host
-    from ..operators.dedup import distinct_per_file
-    hosts = index.filter(F.col("url").isNotNull()).select("file_path", url_host(F.col("url")).alias("host"))
-    return distinct_per_file(hosts, "host")
+    from ..operators.domains import present
+    hosts = index.select("file_path", url_host(F.col("url")).alias("host"))
+    # Rows without a host are dropped inside the generator, so the host
+    # expression is not copied into a pushed-down filter.
+    return hosts.select(F.inline(present("host", "file_path", "host"))).distinct()
 
 
 def extract_urls(index: DataFrame) -> DataFrame:
