@@ -41,3 +41,14 @@ def test_distinct_per_file_and_counts(spark):
     d = dedup.distinct_per_file(df, "host")
     assert sorted(tuple(r) for r in d.collect()) == [("f1", "a"), ("f2", "a")]
     assert sorted(tuple(r) for r in counts.rows_per_file(d).collect()) == [("f1", 1), ("f2", 1)]
+
+
+def test_union_all_and_hash_sample(spark):
+    from weblex.sources.lines import hash_sample
+    a = spark.createDataFrame([("x", 1)], "k string, n long")
+    b = spark.createDataFrame([(2, "y")], "n long, k string")
+    assert sorted(tuple(r) for r in dedup.union_all([a, b]).collect()) == [("x", 1), ("y", 2)]
+    df = spark.range(2000).selectExpr("cast(id as string) as url")
+    s1, s2 = hash_sample(df, 4).collect(), hash_sample(df, 4).collect()
+    assert s1 == s2 and 350 < len(s1) < 650
+    assert hash_sample(df, 1).count() == 2000

@@ -45,11 +45,6 @@ def drop_adjacent_repeats(df: DataFrame, value: str, order: str,
              .drop("_b", "_prev", "_is_last", "_carry"))
 
 
-def unique_values(df: DataFrame, value: str) -> DataFrame:
-    """True distinct of non-null values."""
-    return df.select(value).filter(F.col(value).isNotNull()).distinct()
-
-
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """Concatenate partial results (by column name)."""
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -98,11 +98,6 @@ def term_domain_counts(words: DataFrame, min_len: int = 3,
     return wd.join(stems, "word").groupBy(*by, "term", "domain").agg(*aggs)
 
 
-def term_domain_counts_from_terms(occ: DataFrame) -> DataFrame:
-    """A4 from term occurrences (term, domain per row)."""
-    return occ.groupBy("term", "domain").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-
-
 def term_counts(td: DataFrame) -> DataFrame:
     """A3: (term, n) occurrences per term, from the pair counts."""
     return td.groupBy("term").agg(F.sum("n").cast("bigint").alias("n"))

@@ -270,7 +270,7 @@ from ..operators.ordinal import with_ordinal  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sinks import read_term_csv, write_lines, write_term_csv  # noqa: E402
 from ..sources import index as idx  # noqa: E402
-from ..sources.lines import line_numbers, read_lines, sample_every_nth  # noqa: E402
+from ..sources.lines import read_lines, sample_every_nth  # noqa: E402
 from ..streaming import incremental, normalize  # noqa: E402
 
 BATCH_PAGES = 100          # pages per input range (partial-count batches)

@@ -78,9 +78,6 @@ class SuffixRules:
     def at_depth(self, spark: SparkSession, k: int) -> DataFrame:
         return local_frame(spark, [r for r in self.rows if r[4] == k])
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return local_frame(spark, list(self.rows))
-
 
 def local_frame(spark: SparkSession, rows: list) -> DataFrame:
     """A LocalRelation (plan-embedded rows): broadcasting it runs no job.
