@@ -56,9 +56,17 @@ def resolve_url_column(columns: list[str]) -> str | None:
     return None
 
 
+def _reader(spark: SparkSession, tolerant: bool):
+    reader = spark.read
+    if tolerant:
+        reader = (reader.option("ignoreCorruptFiles", "true")
+                        .option("ignoreMissingFiles", "true"))
+    return reader
+
+
 def _file_columns(spark: SparkSession, path: str, tolerant: bool) -> list[str] | None:
     try:
-        return spark.read.parquet(path).columns
+        return _reader(spark, tolerant).parquet(path).columns
     except Exception:
         if tolerant:
             return None
@@ -83,10 +91,7 @@ def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = N
         c = resolve_url_column(cols) if cols is not None else None
         if c is not None:
             groups.setdefault(c, []).append(p)
-    reader = spark.read
-    if tolerant:
-        reader = (reader.option("ignoreCorruptFiles", "true")
-                        .option("ignoreMissingFiles", "true"))
+    reader = _reader(spark, tolerant)
     parts = []
     for col, group in groups.items():
         df = reader.parquet(*group).select(
