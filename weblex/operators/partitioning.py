@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition only when the input has fewer partitions
-    than the cluster runs tasks at once (never for large inputs)."""
+    than the cluster runs tasks at once (never for large inputs).
+
+    Only plain scans are inspected.  An input that already shuffles has
+    shuffle-partition parallelism, and asking an adaptive plan for its
+    partitions would run its stages ahead of the query.
+    """
     if df.isStreaming:
         return df
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" or "Exchange" in plan.toString():
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
