@@ -72,3 +72,26 @@ def test_stopword_lists():
     assert len(ENGLISH_STOPWORDS) == 179
     assert len(URL_STOPWORDS) == 104
     assert len(default_stopwords()) == len(set(ENGLISH_STOPWORDS) | set(URL_STOPWORDS))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeilmnorstuvyz0123", min_size=1, max_size=14),
+                min_size=1, max_size=300))
+def test_spark_chain_matches_python(spark, words):
+    from weblex.operators.stemming import stem_dictionary
+    words = sorted(set(words))
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    got = dict(stem_dictionary(df, "word", 1).collect())
+    assert got == {w: stem(w) for w in words}
+
+
+def test_spark_methods_agree_on_documents(spark):
+    from pyspark.sql import functions as F
+    from weblex.operators.stemming import stem_dictionary
+    from conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    words = docs.select(F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("word")) \
+        .filter(F.col("word") != "")
+    sql = dict(stem_dictionary(words, "word", 3).collect())
+    py = dict(stem_dictionary(words, "word", 3, method="python").collect())
+    assert sql == py and len(sql) > 1000

@@ -1,12 +1,20 @@
 """Stem dictionary over the distinct vocabulary, joined back.
 
-Stemming is the one step with no built-in Spark function.  Writing the
-Porter rules as chained SQL projections is correct but makes the optimized
-plan explode once a filter on the stem is pushed through the chain, so the
-dictionary is built with ``mapInPandas`` (Arrow batches, opaque to
-pushdown): each distinct word is stemmed exactly once per corpus, and the
-word -> term table is joined back with an equi-join that AQE turns into a
-broadcast when the measured vocabulary is small.
+Each distinct word is stemmed once per corpus; the word -> term table is
+joined back with an equi-join that AQE broadcasts when its measured size is
+small.  The stemmer is Porter's algorithm written as a chain of built-in
+SQL expressions (``functions.porter_sql``), so it runs JVM-side in
+whole-stage codegen.
+
+Two plan details keep the chain cheap:
+  * each step is its own projection reading the previous step several
+    times, so the optimizer does not inline steps into each other;
+  * the minimum stem length (F4) is tested inside an ``explode`` input, not
+    by a filter: a filter on the stem would be pushed down through every
+    step with the step's expression substituted, growing the plan
+    geometrically.
+The Python implementation (``functions.porter.stem``, ``method="python"``,
+run through ``mapInPandas``) is the reference the tests compare against.
 """
 
 from __future__ import annotations
@@ -16,22 +24,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.porter import stem
+from ..functions.porter_sql import porter_steps
 from ..session import ship_package
 
 
-def stem_dictionary(words: DataFrame, word_col: str = "word",
-                    min_len: int = 1, weight: str | None = None) -> DataFrame:
-    """Distinct words -> (word, term); rows whose stem is shorter than
-    ``min_len`` are dropped (F4).  ``weight``: a count column of ``words``
-    (see below)."""
-    ship_package(words.sparkSession)
-    # A per-word total (read by the stemming step, so it is not pruned)
-    # keeps this aggregate on top of its input.  A plain distinct over a
+def _vocabulary(words: DataFrame, word_col: str, weight: str | None) -> DataFrame:
+    # A per-word total (read below, so it is not pruned) keeps this
+    # aggregate on top of its input.  A plain distinct over a
     # (word, domain, n) aggregate would be rewritten into a second pass over
     # the raw words; summing that aggregate's own count column keeps both
     # branches identical, so its shuffle output is reused.
     total = F.sum(weight) if weight else F.count(F.lit(1))
-    vocab = words.groupBy(F.col(word_col).alias("word")).agg(total.alias("rows"))
+    return words.groupBy(F.col(word_col).alias("word")).agg(total.alias("rows"))
+
+
+def stem_dictionary(words: DataFrame, word_col: str = "word", min_len: int = 1,
+                    weight: str | None = None, method: str = "sql") -> DataFrame:
+    """Distinct words -> (word, term); words whose stem is shorter than
+    ``min_len`` are dropped (F4).  ``weight``: a count column of ``words``."""
+    vocab = _vocabulary(words, word_col, weight)
+    if method == "python":
+        return _python_stems(vocab, min_len)
+    init, steps, final = porter_steps("spark")
+    df = vocab.withColumn("w", F.expr(init))
+    for expr in steps:
+        df = df.withColumn("w", F.expr(expr))
+    df = df.withColumn("term", F.expr(final))
+    keep = (F.length("term") >= min_len) & (F.col("rows") > 0)
+    return df.select("word", F.explode(F.when(keep, F.array("term"))).alias("term"))
+
+
+def _python_stems(vocab: DataFrame, min_len: int) -> DataFrame:
+    ship_package(vocab.sparkSession)
 
     def stem_batches(batches):
         for pdf in batches:
@@ -40,10 +64,3 @@ def stem_dictionary(words: DataFrame, word_col: str = "word",
             yield out[out["term"].str.len() >= min_len]
 
     return vocab.mapInPandas(stem_batches, "word string, term string")
-
-
-def stem_words(df: DataFrame, word_col: str = "word", min_len: int = 1) -> DataFrame:
-    """Replace ``word_col`` by its stem ``term`` (inner join drops F4 misses)."""
-    stems = stem_dictionary(df, word_col, min_len)
-    return (df.join(stems.withColumnRenamed("word", word_col), word_col)
-              .drop(word_col))

@@ -12,7 +12,7 @@ Builders return SQL text; ``with_ctes`` glues named CTEs into one statement.
 from __future__ import annotations
 
 from ..functions.lexicon import NOISE_WORD_RE, default_stopwords
-from ..functions.porter import STEP2, STEP3, STEP4
+from ..functions.porter_sql import porter_steps
 from ..functions.urls import PARAM_SCHEMES, URL_SPLIT_RE
 from ..sources.pages import HREF_RE, PAGE_HOST_RE
 from ..sources.suffixes import BUILTIN_ICANN_SUBSET, FIXTURE_EXTRA_SUFFIXES
@@ -171,78 +171,14 @@ GROUP BY h.txt, h.labels, h.n"""),
 
 # ------------------------------------------------------------ porter
 
-_C = "[^aeiou][^aeiouy]*"
-_V = "[aeiouy][aeiou]*"
-M_GT0 = f"^(?:{_C})?{_V}{_C}"
-M_GT1 = f"^(?:{_C})?{_V}{_C}{_V}{_C}"
-M_EQ1 = f"^(?:{_C})?{_V}{_C}(?:{_V})?$"
-CVC_M1 = f"^{_C}[aeiouy][^aeiouwxy]$"
-HAS_V = "[aeiou]|[^aeiou]y"
-DOUBLE = "(?:" + "|".join(c * 2 for c in "bcdfghjklmnpqrstvwxz0123456789") + "|[^aeiouy]yy)$"
-
-
-def _m(s: str, rx: str) -> str:
-    return f"regexp_matches({s}, {q(rx)})"
-
-
-def _cut(k: int) -> str:
-    return f"left(w, length(w) - {k})"
-
-
-def _replace_level(table, cond_rx: str) -> str:
-    """CASE over suffixes, longest first; condition tested on the stem."""
-    arms = []
-    for suf, rep in sorted(table, key=lambda t: -len(t[0])):
-        stem = _cut(len(suf))
-        arms.append(f"WHEN ends_with(w, {q(suf)}) THEN CASE WHEN {_m(stem, cond_rx)} "
-                    f"THEN {stem} || {q(rep)} ELSE w END")
-    return "CASE " + " ".join(arms) + " ELSE w END"
-
-
 def porter_ctes(src: str, word_col: str = "word") -> list[tuple[str, str]]:
     """CTEs ending in ``stemmed(word, term)`` for the words of ``src``."""
-    lv = []
-    lv.append(("st0", f"SELECT DISTINCT {word_col} AS word, "
-                      f"regexp_replace({word_col}, '^y', 'Y') AS w FROM {src}"))
-    step1a = ("CASE WHEN ends_with(w, 'sses') THEN left(w, length(w) - 2) "
-              "WHEN ends_with(w, 'ies') THEN left(w, length(w) - 2) "
-              "WHEN ends_with(w, 'ss') THEN w "
-              "WHEN ends_with(w, 's') THEN left(w, length(w) - 1) ELSE w END")
-    lv.append(("st1", f"SELECT word, {step1a} AS w FROM st0"))
-    step1b = (f"CASE WHEN ends_with(w, 'eed') THEN CASE WHEN {_m(_cut(3), M_GT0)} "
-              f"THEN left(w, length(w) - 1) ELSE w END "
-              f"WHEN ends_with(w, 'ing') THEN CASE WHEN {_m(_cut(3), HAS_V)} "
-              f"THEN {_cut(3)} || '~' ELSE w END "
-              f"WHEN ends_with(w, 'ed') THEN CASE WHEN {_m(_cut(2), HAS_V)} "
-              f"THEN {_cut(2)} || '~' ELSE w END ELSE w END")
-    lv.append(("st2", f"SELECT word, {step1b} AS w FROM st1"))
-    s = "left(w, length(w) - 1)"
-    fix = (f"CASE WHEN ends_with(w, '~') THEN CASE "
-           f"WHEN {_m(s, '(?:at|bl|iz)$')} THEN {s} || 'e' "
-           f"WHEN {_m(s, DOUBLE)} AND NOT {_m(s, '[lsz]$')} THEN left({s}, length({s}) - 1) "
-           f"WHEN {_m(s, M_EQ1)} AND {_m(s, CVC_M1)} THEN {s} || 'e' "
-           f"ELSE {s} END ELSE w END")
-    lv.append(("st3", f"SELECT word, {fix} AS w FROM st2"))
-    step1c = f"CASE WHEN ends_with(w, 'y') AND {_m(_cut(1), HAS_V)} THEN {_cut(1)} || 'i' ELSE w END"
-    lv.append(("st4", f"SELECT word, {step1c} AS w FROM st3"))
-    lv.append(("st5", f"SELECT word, {_replace_level(STEP2, M_GT0)} AS w FROM st4"))
-    lv.append(("st6", f"SELECT word, {_replace_level(STEP3, M_GT0)} AS w FROM st5"))
-    arms = []
-    for suf in sorted(STEP4, key=len, reverse=True):
-        stem = _cut(len(suf))
-        cond = _m(stem, M_GT1)
-        if suf == "ion":
-            cond += f" AND {_m(stem, '[st]$')}"
-        arms.append(f"WHEN ends_with(w, {q(suf)}) THEN CASE WHEN {cond} THEN {stem} ELSE w END")
-    lv.append(("st7", "SELECT word, CASE " + " ".join(arms) + " ELSE w END AS w FROM st6"))
-    s = _cut(1)
-    step5a = (f"CASE WHEN ends_with(w, 'e') AND ({_m(s, M_GT1)} OR "
-              f"({_m(s, M_EQ1)} AND NOT {_m(s, CVC_M1)})) THEN {s} ELSE w END")
-    lv.append(("st8", f"SELECT word, {step5a} AS w FROM st7"))
-    step5b = f"CASE WHEN ends_with(w, 'll') AND {_m('w', M_GT1)} THEN {_cut(1)} ELSE w END"
-    lv.append(("st9", f"SELECT word, {step5b} AS w FROM st8"))
-    lv.append(("stemmed", "SELECT word, CASE WHEN length(word) <= 2 THEN word "
-                          "ELSE lower(w) END AS term FROM st9"))
+    init, steps, final = porter_steps("duckdb")
+    lv = [("vocab", f"SELECT DISTINCT {word_col} AS word FROM {src}"),
+          ("st0", f"SELECT word, {init} AS w FROM vocab")]
+    for i, expr in enumerate(steps, start=1):
+        lv.append((f"st{i}", f"SELECT word, {expr} AS w FROM st{i - 1}"))
+    lv.append(("stemmed", f"SELECT word, {final} AS term FROM st{len(steps)}"))
     return lv
 
 
