@@ -70,3 +70,14 @@ def test_sample_in_split(spark):
     got = sorted(r.id for r in sample_every_nth_in_split(df, 3).collect())
     assert got == sorted(base + k for base in range(0, 70, 10) for k in (2, 5, 8))
     assert sample_every_nth_in_split(df, 1).count() == 70
+
+
+def test_single_column_fast_path(spark):
+    root = scratch_path(spark, "fast")
+    for i in range(3):
+        spark.createDataFrame([(f"http://h{i}.com/{j}",) for j in range(5)], "url string") \
+            .write.parquet(os.path.join(root, f"f{i}.parquet"))
+    spark.createDataFrame([(1,)], "x long").write.parquet(os.path.join(root, "nourl.parquet"))
+    paths = [os.path.join(root, p) for p in ["f0.parquet", "f1.parquet", "f2.parquet", "nourl.parquet"]]
+    assert idx._single_url_column(spark, paths, False) == {"url": paths}
+    assert idx.read_index(spark, paths).filter("url is not null").count() == 15

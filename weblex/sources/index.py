@@ -14,6 +14,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 PROBE_THREADS = 8
 
@@ -73,16 +74,35 @@ def _file_columns(spark: SparkSession, path: str, tolerant: bool) -> list[str] |
         raise
 
 
-def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = None,
-               tolerant: bool = False) -> DataFrame:
-    """(file_path, row_index, url) for all index files.
+def _single_url_column(spark: SparkSession, paths: list[str],
+                       tolerant: bool) -> dict[str, list[str]] | None:
+    """Fast path: one merged-schema read (footers read by one Spark job).
 
-    Files are grouped by their URL column name and each group is read with
-    one scan selecting just that column.  ``limit_rows`` keeps the first N
-    rows of each file (before null-drop and dedup, as the source does).
-    With ``tolerant`` a missing or unreadable file yields no rows.
+    If exactly one URL-like column name exists across all files, every file
+    either has it (and it is that file's URL column) or has none (its rows
+    read as null and are dropped, i.e. no rows, as for a file without a URL
+    column).  Otherwise (several spellings, unreadable paths) return None.
     """
-    # One footer read per file (a schema probe); run a few at a time.
+    if not paths:
+        return {}
+    # Case-sensitive while merging, so "url" and "URL" stay two columns.
+    key = "spark.sql.caseSensitive"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        merged = _reader(spark, tolerant).option("mergeSchema", "true").parquet(*paths).columns
+    except Exception:
+        return None
+    finally:
+        spark.conf.set(key, before)
+    like = [c for c in merged if c.lower() in ("url", "uri")]
+    if len(like) != 1:
+        return None if like else {}
+    return {like[0]: list(paths)} if like[0] in URL_COLUMNS else {}
+
+
+def _probe_each(spark: SparkSession, paths: list[str], tolerant: bool) -> dict[str, list[str]]:
+    """One footer read per file (a schema probe), a few at a time."""
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
         probed = list(pool.map(lambda p: (p, _file_columns(spark, p, tolerant)), paths))
@@ -91,13 +111,31 @@ def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = N
         c = resolve_url_column(cols) if cols is not None else None
         if c is not None:
             groups.setdefault(c, []).append(p)
+    return groups
+
+
+def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = None,
+               tolerant: bool = False) -> DataFrame:
+    """(file_path, row_index, url) for all index files.
+
+    Files are grouped by their URL column name and each group is read with
+    one scan selecting just that column (usually one group, found with a
+    single merged-schema read; per-file probes only for mixed spellings).  ``limit_rows`` keeps the first N
+    rows of each file (before null-drop and dedup, as the source does).
+    With ``tolerant`` a missing or unreadable file yields no rows.
+    """
+    groups = _single_url_column(spark, paths, tolerant)
+    if groups is None:
+        groups = _probe_each(spark, paths, tolerant)
     reader = _reader(spark, tolerant)
     parts = []
     for col, group in groups.items():
-        df = reader.parquet(*group).select(
+        # Only the URL column is read; a file without it reads nulls.
+        schema = StructType([StructField(col, StringType())])
+        df = reader.schema(schema).parquet(*group).select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.row_index").alias("row_index"),
-            F.col(f"`{col}`").cast("string").alias("url"))
+            F.col(f"`{col}`").alias("url"))
         if limit_rows and limit_rows > 0:
             df = df.filter(F.col("row_index") < limit_rows)
         parts.append(df)
