@@ -1,10 +1,13 @@
 """DuckDB SQL for the correctness oracle.
 
 Each registered query has an SQL twin that DuckDB runs on the same parquet
-tables.  The SQL is written independently of the Spark plans: suffix rules
-are matched by exploding host suffixes and aggregating (Spark probes one
-broadcast join per depth), and Porter stemming is a chain of regex CASE
-levels (Spark runs a Python stemmer over the vocabulary).
+tables.  The SQL is formulated independently of the Spark plans where it
+can be: suffix rules are matched by exploding host suffixes and aggregating
+(Spark tests each suffix depth against hash sets), cutoffs use a plain
+running-sum window, first-seen order uses struct minima.  Porter stemming
+is the same rule-generated regex chain Spark runs, on another regex engine
+(RE2); the independent check of the stemmer is the Python implementation
+in the tests.
 
 Builders return SQL text; ``with_ctes`` glues named CTEs into one statement.
 """
