@@ -75,22 +75,25 @@ def url_host(url) -> Column:
     return F.when(brackets_balanced(netloc) & (host != ""), host)
 
 
-def lenient_host(text) -> Column:
+def lenient_host(text, stripped: bool = False) -> Column:
     """Host as read before suffix matching; accepts URLs and bare hosts.
 
     Drop ``scheme://`` (or a leading ``//``), cut at the first ``/?#``, keep
     what follows the last '@', cut at ':', strip blanks and trailing dots,
     map ideographic full stops to '.', lower-case.  A bracketed (IPv6) host
-    can never have a registered domain and maps to ''.
+    can never have a registered domain and maps to ''.  ``stripped``: the
+    input has no surrounding blanks already.
     """
-    t = strip_text(text)
-    t = F.regexp_replace(t, r"^(?:[A-Za-z0-9+.-]+:)?//", "")
-    t = F.regexp_extract(t, r"^[^/?#]*", 0)
-    t = F.regexp_replace(t, r"^.*@", "")
+    t = _c(text) if stripped else strip_text(text)
+    # "scheme://" or "//" is dropped only when the text starts with it; the
+    # host part ends at the first '/', '?' or '#'.
+    t = F.regexp_extract(t, r"^(?:(?:[A-Za-z0-9+.-]+:)?//)?([^/?#]*)", 1)
+    t = F.substring_index(t, "@", -1)              # after the last '@'
     t = F.when(t.startswith("["), F.lit("")).otherwise(t)
     t = strip_text(F.substring_index(t, ":", 1))
     t = F.translate(t, "。．｡", "...")
-    t = F.regexp_replace(t, r"\.+$", "")
+    # Trailing root dots.  SQL rtrim(trimChars, str): characters come first.
+    t = F.call_function("rtrim", F.lit("."), t)
     return F.lower(t)
 
 

@@ -104,9 +104,9 @@ def with_registered_domain(df: DataFrame, host: Column, rules: SuffixRules,
 
 
 def registered_domain(df: DataFrame, text_col: str, rules: SuffixRules,
-                      out: str = "domain") -> DataFrame:
+                      out: str = "domain", stripped: bool = False) -> DataFrame:
     """P3 on a URL or bare-host column (lenient host reading first)."""
-    return with_registered_domain(df, lenient_host(F.col(text_col)), rules, out)
+    return with_registered_domain(df, lenient_host(F.col(text_col), stripped), rules, out)
 
 
 def present(col: str, *values: str) -> Column:
@@ -122,7 +122,8 @@ def present(col: str, *values: str) -> Column:
 
 
 def registered_only(df: DataFrame, text_col: str, rules: SuffixRules,
-                    keep: tuple[str, ...] = (), out: str = "domain") -> DataFrame:
+                    keep: tuple[str, ...] = (), out: str = "domain",
+                    stripped: bool = False) -> DataFrame:
     """(keep..., out) for rows whose text has a registered domain."""
-    d = registered_domain(df.select(*keep, text_col), text_col, rules, out)
+    d = registered_domain(df.select(*keep, text_col), text_col, rules, out, stripped)
     return d.select(F.inline(present(out, *keep, out)))

@@ -37,7 +37,7 @@ def url_records(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
     generator or aggregate, so the domain expression is evaluated once.
     """
     df = spread(urls).select(*keep, strip_text(F.col(url_col)).alias("url"))
-    return registered_domain(df, "url", rules, "domain")
+    return registered_domain(df, "url", rules, "domain", stripped=True)
 
 
 def words_of(records: DataFrame, min_len: int = 3,

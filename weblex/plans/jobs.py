@@ -66,7 +66,7 @@ def normalize_domains(hosts: DataFrame, rules: SuffixRules, col: str = "host") -
     from ..functions.urls import strip_text
     from ..operators.domains import registered_only
     df = hosts.select(strip_text(F.col(col)).alias(col))
-    return registered_only(df, col, rules).distinct()
+    return registered_only(df, col, rules, stripped=True).distinct()
 
 
 def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
@@ -77,7 +77,8 @@ def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
     from ..operators.dedup import drop_adjacent_repeats
     from ..operators.domains import registered_only
     df = hosts.select(order, strip_text(F.col(col)).alias(col))
-    return drop_adjacent_repeats(registered_only(df, col, rules, keep=(order,)), "domain", order)
+    norm = registered_only(df, col, rules, keep=(order,), stripped=True)
+    return drop_adjacent_repeats(norm, "domain", order)
 
 
 def sampled_term_frequency(urls: DataFrame, rules: SuffixRules, every: int,

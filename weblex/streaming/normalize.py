@@ -20,7 +20,7 @@ from ..sources.suffixes import SuffixRules
 
 def normalized_stream(hosts: DataFrame, rules: SuffixRules, col: str = "host") -> DataFrame:
     df = hosts.select(strip_text(F.col(col)).alias(col))
-    return registered_only(df, col, rules).dropDuplicates(["domain"])
+    return registered_only(df, col, rules, stripped=True).dropDuplicates(["domain"])
 
 
 def run_normalize(spark: SparkSession, source_dir: str, sink_dir: str,
