@@ -288,16 +288,21 @@ def _index_entries(spark, sf_dir, broken: bool = False) -> tuple[str, list[str]]
     """Write an index folder and its manifest; return (manifest, entries).
 
     Entries: pages (URL column ``url``), a text note (not Parquet), the
-    documents and events tables (no URL column), and a link file derived
-    from pages whose URL column is spelled ``URL``, in (page_id, pos) order.
+    documents and events tables (no URL column), and link files derived
+    from pages whose URL column is spelled ``URL``: one file per range of
+    BATCH_PAGES pages, rows in (page_id, pos) order, written by one task per
+    range (a shuffle on the range, no single writer).
     """
     root = scratch_path(spark, "index")
     links_dir = os.path.join(root, "links_URL.parquet")
-    (_links(spark, sf_dir).orderBy("page_id", "pos").coalesce(1)
-        .select(F.col("url").alias("URL"), "page_id", "pos").write.parquet(links_dir))
+    links = _links(spark, sf_dir).withColumn("bucket", F.expr(f"page_id div {BATCH_PAGES}"))
+    (links.repartition("bucket").sortWithinPartitions("bucket", "page_id", "pos")
+          .select(F.col("url").alias("URL"), "page_id", "pos", "bucket")
+          .write.partitionBy("bucket").parquet(links_dir))
+    link_files = sorted(spark.read.parquet(links_dir).inputFiles())
     entries = [idx.local_table_path(sf_dir, "pages"), "notes.txt",
                idx.local_table_path(sf_dir, "documents"),
-               idx.local_table_path(sf_dir, "events"), links_dir]
+               idx.local_table_path(sf_dir, "events")] + link_files
     if broken:
         bad = os.path.join(root, "broken.parquet")
         spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(bad)
@@ -316,14 +321,15 @@ def _labelled(df, value):
     return df.select(idx.index_label(F.col("file_path")).alias("file"), value)
 
 
+_LINK_FILE = f"'links_URL.parquet/bucket=' || CAST(page_id // {BATCH_PAGES} AS VARCHAR)"
 _HOSTS_BY_FILE_SQL = (
     f"SELECT 'pages.parquet' AS file, host FROM (SELECT DISTINCT {O.host_sql('url')} AS host FROM pages) "
     f"WHERE host IS NOT NULL UNION ALL "
-    f"SELECT 'links_URL.parquet' AS file, host FROM (SELECT DISTINCT {O.host_sql('url')} AS host "
-    f"FROM links) WHERE host IS NOT NULL")
+    f"SELECT DISTINCT {_LINK_FILE} AS file, {O.host_sql('url')} AS host "
+    f"FROM links WHERE {O.host_sql('url')} IS NOT NULL")
 _URLS_BY_FILE_SQL = (
     "SELECT DISTINCT 'pages.parquet' AS file, url FROM pages WHERE url IS NOT NULL UNION ALL "
-    "SELECT DISTINCT 'links_URL.parquet' AS file, url FROM links WHERE url IS NOT NULL")
+    f"SELECT DISTINCT {_LINK_FILE} AS file, url FROM links WHERE url IS NOT NULL")
 
 
 @register("q1_extract_hosts", lambda: _sql([("links", LINKS_SQL)], _HOSTS_BY_FILE_SQL))
@@ -340,8 +346,9 @@ def q2_extract_urls(spark, sf_dir):
 
 @register("s3_limit_rows", lambda: _sql([("links", LINKS_SQL)], (
     f"SELECT DISTINCT 'pages.parquet' AS file, url FROM pages WHERE page_id < {LIMIT_ROWS} "
-    f"AND url IS NOT NULL UNION ALL SELECT DISTINCT 'links_URL.parquet' AS file, url FROM "
-    f"(SELECT url, row_number() OVER (ORDER BY page_id, pos) AS rn FROM links) "
+    f"AND url IS NOT NULL UNION ALL SELECT DISTINCT {_LINK_FILE} AS file, url FROM "
+    f"(SELECT url, page_id, row_number() OVER (PARTITION BY page_id // {BATCH_PAGES} "
+    f"ORDER BY page_id, pos) AS rn FROM links) "
     f"WHERE rn <= {LIMIT_ROWS} AND url IS NOT NULL")))
 def s3_limit_rows(spark, sf_dir):
     """S3: the first LIMIT_ROWS rows of each index file, then distinct URLs."""
@@ -564,7 +571,7 @@ def _stream_inputs(spark, sf_dir, folder: str, ranges: list[tuple[int, int]]):
     links = _links(spark, sf_dir)
     for lo, hi in ranges:
         part = links.filter((F.col("page_id") >= lo) & (F.col("page_id") < hi)).select("url")
-        part.coalesce(1).write.text(os.path.join(folder, f"pages-{lo}-{hi}"))
+        part.write.text(os.path.join(folder, f"pages-{lo}-{hi}"))
 
 
 def _incremental_partials(spark, sf_dir) -> str:
@@ -603,8 +610,8 @@ def t3_streaming_normalize(spark, sf_dir):
     hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host")) \
         .filter(F.col("host").isNotNull())
     rules = fixture_rules(spark)
-    hosts.filter(F.col("host") < "t").coalesce(1).write.text(os.path.join(src, "a"))
+    hosts.filter(F.col("host") < "t").write.text(os.path.join(src, "a"))
     normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules)
-    hosts.coalesce(1).write.text(os.path.join(src, "b"))
+    hosts.write.text(os.path.join(src, "b"))
     normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules)
     return normalize.read_domains(spark, sink)

@@ -58,7 +58,9 @@ def resolve_url_column(columns: list[str]) -> str | None:
 
 
 def _reader(spark: SparkSession, tolerant: bool):
-    reader = spark.read
+    # Index entries are files (or folders) from anywhere: no partition
+    # inference from folder names, which could conflict between entries.
+    reader = spark.read.option("recursiveFileLookup", "true")
     if tolerant:
         reader = (reader.option("ignoreCorruptFiles", "true")
                         .option("ignoreMissingFiles", "true"))
@@ -148,8 +150,9 @@ def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = N
 
 
 def index_label(file_path) -> "F.Column":
-    """Short file label: the ``x.parquet`` directory or file name."""
-    parent = F.regexp_extract(file_path, r"([^/]+[.]parquet)/[^/]+$", 1)
+    """Short file label: ``x.parquet`` (a file), or ``x.parquet/k=v`` for a
+    part file inside a (partitioned) ``x.parquet`` folder."""
+    parent = F.regexp_extract(file_path, r"([^/]+[.]parquet(?:/[^/]+=[^/]+)*)/[^/]+$", 1)
     base = F.regexp_extract(file_path, r"([^/]+)$", 1)
     return F.when(parent != "", parent).otherwise(base)
 
