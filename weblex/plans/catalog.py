@@ -7,13 +7,20 @@ or data Spark derives from them, so their work grows with the tables.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import site_label, url_host, url_parts, url_tokens
-from ..operators import ranking, terms
+from ..operators import counts, dedup, ranking, terms
+from ..operators.ordinal import with_ordinal
+from ..session import scratch_path
+from ..sinks import read_term_csv, write_lines, write_term_csv
+from ..sources import index as idx
+from ..sources.lines import read_lines, sample_every_nth
+from ..streaming import incremental, normalize
 from ..operators.domains import registered_domain, registered_only
 from ..operators.stemming import stem_dictionary
 from ..sources.pages import link_corpus, read_table
@@ -263,15 +270,6 @@ def q4_term_frequency(spark, sf_dir):
 # into a fresh folder under the shared checkpoint folder.
 # ====================================================================
 
-import os  # noqa: E402
-
-from ..operators import counts, dedup  # noqa: E402
-from ..operators.ordinal import with_ordinal  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sinks import read_term_csv, write_lines, write_term_csv  # noqa: E402
-from ..sources import index as idx  # noqa: E402
-from ..sources.lines import read_lines, sample_every_nth  # noqa: E402
-from ..streaming import incremental, normalize  # noqa: E402
 
 BATCH_PAGES = 100          # pages per input range (partial-count batches)
 LIMIT_ROWS = 100           # rows per index file for the limited extract
