@@ -16,6 +16,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
+
 HREF_RE = r'href="([^"]+)"'
 PAGE_HOST_RE = r"^https?://([^/?#]+)"
 
@@ -39,11 +41,15 @@ def resolve_href(host, href):
 
 
 def link_urls(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, url): one row per link, pos 0-based within the page."""
+    """(page_id, pos, url): one row per link, pos 0-based within the page.
+
+    A page table held in fewer splits than task slots is spread first, so
+    the link extraction (a regex over the whole HTML) runs in parallel.
+    """
     host = F.regexp_extract(F.col("url"), PAGE_HOST_RE, 1)
-    links = pages.select("page_id", host.alias("_host"),
-                         F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(HREF_RE), 1))
-                          .alias("pos", "_href"))
+    hrefs = F.regexp_extract_all(F.col("html"), F.lit(HREF_RE), 1)
+    pages = spread(pages.select("page_id", "url", "html"))
+    links = pages.select("page_id", host.alias("_host"), F.posexplode(hrefs).alias("pos", "_href"))
     return links.select("page_id", F.col("pos").cast("bigint").alias("pos"),
                         resolve_href(F.col("_host"), F.col("_href")).alias("url"))
 
