@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.urls import site_label, url_host, url_parts, url_tokens
 from ..operators import counts, dedup, ranking, terms
 from ..operators.ordinal import with_ordinal
+from ..operators.partitioning import spread
 from ..session import scratch_path
 from ..sinks import read_term_csv, write_lines, write_term_csv
 from ..sources import index as idx
@@ -166,7 +167,7 @@ def _doc_words_sql() -> str:
     [("dw", _doc_words_sql())] + O.porter_ctes("dw"), "SELECT word, term FROM stemmed"))
 def p6_stem(spark, sf_dir):
     """Stem dictionary of the whole documents vocabulary."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents").select("text"))
     words = docs.select(F.explode(F.split(F.trim(F.regexp_replace(
         F.lower("text"), "[^a-z0-9]+", " ")), " ")).alias("word")).filter(F.col("word") != "")
     return stem_dictionary(words, "word", 1)
