@@ -87,16 +87,15 @@ def _single_url_column(spark: SparkSession, paths: list[str],
     """
     if not paths:
         return {}
-    # Case-sensitive while merging, so "url" and "URL" stay two columns.
-    key = "spark.sql.caseSensitive"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+    # Case-sensitive while merging, so "url" and "URL" stay two columns; done
+    # in a child session (same context, own SQL settings) so the caller's
+    # session is never changed.
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.caseSensitive", "true")
     try:
-        merged = _reader(spark, tolerant).option("mergeSchema", "true").parquet(*paths).columns
+        merged = _reader(probe, tolerant).option("mergeSchema", "true").parquet(*paths).columns
     except Exception:
         return None
-    finally:
-        spark.conf.set(key, before)
     like = [c for c in merged if c.lower() in ("url", "uri")]
     if len(like) != 1:
         return None if like else {}

@@ -80,19 +80,14 @@ class SuffixRules:
 
 
 def local_frame(spark: SparkSession, rows: list) -> DataFrame:
-    """A LocalRelation (plan-embedded rows): broadcasting it runs no job.
+    """Rules of one depth as a DataFrame (used by the broadcast-join path).
 
-    Built through Arrow from pandas; a list would become a Python RDD that
-    every broadcast has to compute in a task.
+    With Arrow enabled (``build_session`` enables it) pandas input becomes
+    a LocalRelation, whose broadcast runs no job; without it Spark builds
+    the same rows from a Python RDD.
     """
     pdf = pd.DataFrame(rows, columns=["key", "plain", "wild", "exc", "depth"])
-    key = "spark.sql.execution.arrow.pyspark.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        return spark.createDataFrame(pdf, RULE_SCHEMA)
-    finally:
-        spark.conf.set(key, before)
+    return spark.createDataFrame(pdf, RULE_SCHEMA)
 
 
 def _split_rule(rule: str) -> tuple[str, str]:
