@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.urls import strip_text, url_host
 from ..operators import ranking, terms
+from ..operators.dedup import distinct_per_file, drop_adjacent_repeats
+from ..operators.domains import present, registered_only
+from ..sources.lines import sample_every_nth
 from ..sources.suffixes import SuffixRules
 from .materialize import materialize
 
@@ -47,8 +51,6 @@ def term_frequency(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
 
 def extract_hosts(index: DataFrame) -> DataFrame:
     """Q1: distinct hosts per index file: (file_path, host)."""
-    from ..functions.urls import url_host
-    from ..operators.domains import present
     hosts = index.select("file_path", url_host(F.col("url")).alias("host"))
     # Rows without a host are dropped inside the generator, so the host
     # expression is not copied into a pushed-down filter.
@@ -57,14 +59,11 @@ def extract_hosts(index: DataFrame) -> DataFrame:
 
 def extract_urls(index: DataFrame) -> DataFrame:
     """Q2: distinct URLs per index file: (file_path, url)."""
-    from ..operators.dedup import distinct_per_file
     return distinct_per_file(index, "url")
 
 
 def normalize_domains(hosts: DataFrame, rules: SuffixRules, col: str = "host") -> DataFrame:
     """Q3: unique registered domains of a host list."""
-    from ..functions.urls import strip_text
-    from ..operators.domains import registered_only
     df = hosts.select(strip_text(F.col(col)).alias(col))
     return registered_only(df, col, rules, stripped=True).distinct()
 
@@ -73,9 +72,6 @@ def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
                                col: str = "host") -> DataFrame:
     """Q3, exact variant: registered domains with adjacent repeats dropped
     (D4), in ``order``: (order, domain)."""
-    from ..functions.urls import strip_text
-    from ..operators.dedup import drop_adjacent_repeats
-    from ..operators.domains import registered_only
     df = hosts.select(order, strip_text(F.col(col)).alias(col))
     norm = registered_only(df, col, rules, keep=(order,), stripped=True)
     return drop_adjacent_repeats(norm, "domain", order)
@@ -85,7 +81,6 @@ def sampled_term_frequency(urls: DataFrame, rules: SuffixRules, every: int,
                            ordinal: str, share: float = 0.8, max_domains: int = 1000,
                            min_len: int = 3, store: str = "parquet") -> DataFrame:
     """Q5: every Nth URL (by a dense 1-based ordinal), then Q4."""
-    from ..sources.lines import sample_every_nth
     return term_frequency(sample_every_nth(urls, every, ordinal), rules, "url",
                           share, max_domains, min_len, store=store)
 
