@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.urls import site_label, url_host, url_parts, url_tokens
+from ..functions.urls import site_label, strip_text, url_host, url_parts, url_tokens
 from ..operators import counts, dedup, ranking, terms
 from ..operators.ordinal import with_ordinal
 from ..operators.partitioning import spread
@@ -150,7 +150,6 @@ def f123_kept_words(spark, sf_dir):
     f"WHERE r.domain IS NULL AND {O.strip_sql('u.url')} <> ''"))
 def f5_domainless_urls(spark, sf_dir):
     """URLs skipped for lack of a registered domain (built-in ICANN rules)."""
-    from ..functions.urls import strip_text
     df = registered_domain(all_urls(spark, sf_dir), "url", builtin_rules(spark))
     skipped = F.col("domain").isNull() & (strip_text(F.col("url")) != "")
     return df.select(F.inline(F.when(skipped, F.array(F.struct("page_id", "pos", "url")))))
