@@ -118,3 +118,12 @@ def test_noise_words(spark):
     kept = ["mp3player", "cat", "abc", "a" * 33]
     got = one_col(spark, dropped + kept, is_noise_word)
     assert got == [True] * len(dropped) + [False] * len(kept)
+
+
+@pytest.mark.skipif(not os.path.exists(PSL_FILE), reason="no public suffix list file")
+def test_large_rule_sets_stay_distributed(spark, monkeypatch):
+    from weblex.sources import suffixes
+    monkeypatch.setattr(suffixes, "MAX_BROADCAST_RULES", 100)
+    big = read_suffix_rules(spark, PSL_FILE)
+    assert not big.local and big.n_keys > 7000 and big.max_depth == 4
+    assert _domains(spark, big) == HOSTS

@@ -83,7 +83,7 @@ def with_registered_domain(df: DataFrame, host: Column, rules: SuffixRules,
                          **{f"_rk{k}": F.substring_index(F.col(h), ".", -k) for k in depths}})
     helper = [f"_rk{k}" for k in depths]
     flags = []
-    if rules.n_keys <= INLINE_RULES_LIMIT:
+    if rules.local and rules.n_keys <= INLINE_RULES_LIMIT:
         for k in depths:
             plain, wild, exc = _depth_flags(rules, k)
             probe = F.when(F.col(n) >= k, F.col(f"_rk{k}"))
@@ -92,9 +92,11 @@ def with_registered_domain(df: DataFrame, host: Column, rules: SuffixRules,
         spark = df.sparkSession
         for k in depths:
             kk, p, w, x = f"_rj{k}", f"_rp{k}", f"_rw{k}", f"_rx{k}"
-            side = F.broadcast(rules.at_depth(spark, k).select(
+            side = rules.at_depth(spark, k).select(
                 F.col("key").alias(kk), F.col("plain").alias(p),
-                F.col("wild").alias(w), F.col("exc").alias(x)))
+                F.col("wild").alias(w), F.col("exc").alias(x))
+            if rules.local:            # size checked on load
+                side = F.broadcast(side)
             probe = F.when(F.col(n) >= k, F.col(f"_rk{k}"))
             df = df.join(side, probe == F.col(kk), "left")
             flags.append((F.col(p), F.col(w), F.col(x), F.col(n)))

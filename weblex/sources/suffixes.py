@@ -64,21 +64,31 @@ RULE_SCHEMA = "key string, plain boolean, wild boolean, exc boolean, depth int"
 
 @dataclass(frozen=True)
 class SuffixRules:
-    """Merged rules, one row per key, held as a short driver-side list.
+    """Merged rules, one row per key (key, plain, wild, exc, depth).
 
-    A suffix list is small and its size is checked when it is loaded, so
-    each per-depth slice becomes a local relation that broadcast joins ship
-    without running a Spark job.
+    A suffix list is small and its size is checked when it is loaded: it is
+    then held as a driver-side tuple (``rows``), tested with hash sets or
+    shipped as local relations to broadcast joins.  A rule set above
+    MAX_BROADCAST_RULES stays a distributed table (``table``), joined
+    without a broadcast hint.
     """
-    rows: tuple            # (key, plain, wild, exc, depth)
+    rows: tuple | None
     max_depth: int
+    table: DataFrame | None = None
+    size: int = 0
+
+    @property
+    def local(self) -> bool:
+        return self.rows is not None
 
     @property
     def n_keys(self) -> int:
-        return len(self.rows)
+        return len(self.rows) if self.rows is not None else self.size
 
     def at_depth(self, spark: SparkSession, k: int) -> DataFrame:
-        return local_frame(spark, [r for r in self.rows if r[4] == k])
+        if self.rows is not None:
+            return local_frame(spark, [r for r in self.rows if r[4] == k])
+        return self.table.filter(F.col("depth") == k)
 
 
 def local_frame(spark: SparkSession, rows: list) -> DataFrame:
@@ -114,6 +124,21 @@ def merge_rule_list(rules) -> SuffixRules:
     return SuffixRules(rows, max((r[4] for r in rows), default=0))
 
 
+def merge_rule_frame(rules: DataFrame) -> DataFrame:
+    """merge_rule_list on a distributed column ``rule`` (large rule sets)."""
+    r = F.lower(F.trim(F.col("rule")))
+    kind = (F.when(r.startswith("*."), F.lit("w")).when(r.startswith("!"), F.lit("x"))
+             .otherwise(F.lit("n")))
+    key = F.regexp_replace(r, r"^(?:[*][.]|!)", "")
+    return (rules.select(key.alias("key"), kind.alias("kind"))
+                 .filter(F.col("key") != "")
+                 .groupBy("key")
+                 .agg(F.max(F.col("kind") == "n").alias("plain"),
+                      F.max(F.col("kind") == "w").alias("wild"),
+                      F.max(F.col("kind") == "x").alias("exc"))
+                 .withColumn("depth", F.size(F.split("key", r"\.")).cast("int")))
+
+
 def rules_from_list(spark: SparkSession, rules: list[str]) -> SuffixRules:
     """Rules given as PSL strings (a short list that lives on the driver)."""
     return merge_rule_list(r for r in rules if r.strip())
@@ -168,8 +193,9 @@ def read_suffix_rules(spark: SparkSession, path: str, private: bool = False,
     """Read a public suffix list file (any path Spark reads; read whole).
 
     The distinct rule strings are counted before they are brought to the
-    driver: a suffix list has ~10k rules, and anything over
-    MAX_BROADCAST_RULES is refused rather than broadcast.
+    driver: a suffix list has ~10k rules.  A rule set over
+    MAX_BROADCAST_RULES is merged by Spark, stored under the checkpoint
+    folder and joined as a distributed table instead.
     """
     whole = spark.read.text(path, wholetext=True)
     lines = whole.select(F.split(F.col("value"), r"\r?\n").alias("lines"))
@@ -184,7 +210,13 @@ def read_suffix_rules(spark: SparkSession, path: str, private: bool = False,
     rules = rules.select(F.lower("rule").alias("rule")).distinct().cache()
     n = rules.count()
     if n > MAX_BROADCAST_RULES:
-        raise ValueError(f"{n} suffix rules: not a suffix list (limit {MAX_BROADCAST_RULES})")
+        from ..plans.materialize import materialize
+        if extra:
+            rules = rules.unionByName(spark.createDataFrame([(e,) for e in extra], "rule string"))
+        table = materialize(merge_rule_frame(rules), "suffix-rules")
+        rules.unpersist()
+        stats = table.agg(F.max("depth").alias("d"), F.count(F.lit(1)).alias("n")).first()
+        return SuffixRules(None, int(stats["d"] or 0), table, int(stats["n"]))
     found = [r["rule"] for r in rules.collect()]
     rules.unpersist()
     return merge_rule_list(found + list(extra or []))
