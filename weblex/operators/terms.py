@@ -7,7 +7,7 @@ Repeats inside a URL count every time; stop and noise lists are tested on
 the unstemmed word.
 
 The heavy part is per-row and stays in one codegen stage: regexes, the
-broadcast suffix joins, explode and filters.  Counting happens on
+suffix-rule lookups, explode and filters.  Counting happens on
 (word, domain) first, with map-side partial aggregation, so the stem join
 and everything after it see one row per distinct pair instead of one row
 per occurrence.

@@ -1,7 +1,8 @@
 """Streaming host normalization, each registered domain emitted once.
 
 Host lines arriving in a folder are mapped to registered domains with the
-broadcast suffix joins (stream-static joins, no shuffle of the stream);
+same per-row suffix lookups as batch jobs (hash-set tests, or stream-static
+broadcast joins for very large rule sets; no shuffle of the stream);
 ``dropDuplicates`` on the domain keeps one state entry per domain seen, so
 a domain is appended to the sink only the first time it appears, across
 runs.  That state grows with the number of distinct domains, which is
