@@ -28,3 +28,12 @@ def test_partials_merge_to_whole(spark, cut):
 def test_sampling_one_is_identity(spark):
     links = with_ordinal(link_corpus(spark, SF_SMALL), [F.asc("page_id"), F.asc("pos")], "o")
     assert sample_every_nth(links, 1, "o").count() == links.count()
+
+
+def test_salted_stem_join_same_counts(spark, monkeypatch):
+    rules = fixture_rules(spark)
+    words = terms.url_words(link_corpus(spark, SF_SMALL), rules)
+    plain = sorted(map(tuple, terms.term_domain_counts(words).collect()))
+    monkeypatch.setattr(terms, "HOT_PAIRS", 1)
+    salted = terms.term_domain_counts(words)
+    assert sorted(map(tuple, salted.collect())) == plain

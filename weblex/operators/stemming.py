@@ -28,39 +28,53 @@ from ..functions.porter_sql import porter_steps
 from ..session import ship_package
 
 
-def _vocabulary(words: DataFrame, word_col: str, weight: str | None) -> DataFrame:
-    # A per-word total (read below, so it is not pruned) keeps this
-    # aggregate on top of its input.  A plain distinct over a
-    # (word, domain, n) aggregate would be rewritten into a second pass over
-    # the raw words; summing that aggregate's own count column keeps both
-    # branches identical, so its shuffle output is reused.
+def vocabulary(words: DataFrame, word_col: str = "word",
+               weight: str | None = None) -> DataFrame:
+    """(word, rows, pairs): per-word total (sum of ``weight``, or rows) and
+    number of input rows.
+
+    The total is read by the stemming step, so it is not pruned, and keeps
+    this aggregate on top of its input: a plain distinct over a
+    (word, domain, n) aggregate would be rewritten into a second pass over
+    the raw words, while summing that aggregate's own count column keeps
+    the branches identical and its shuffle output is reused.
+    """
     total = F.sum(weight) if weight else F.count(F.lit(1))
-    return words.groupBy(F.col(word_col).alias("word")).agg(total.alias("rows"))
+    return words.groupBy(F.col(word_col).alias("word")).agg(
+        total.alias("rows"), F.count(F.lit(1)).alias("pairs"))
 
 
-def stem_dictionary(words: DataFrame, word_col: str = "word", min_len: int = 1,
-                    weight: str | None = None, method: str = "sql") -> DataFrame:
-    """Distinct words -> (word, term); words whose stem is shorter than
-    ``min_len`` are dropped (F4).  ``weight``: a count column of ``words``."""
-    vocab = _vocabulary(words, word_col, weight)
+def stem_vocabulary(vocab: DataFrame, min_len: int = 1, method: str = "sql",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """(word, term, keep...) for a vocabulary table (word, rows, ...)."""
     if method == "python":
-        return _python_stems(vocab, min_len)
+        return _python_stems(vocab, min_len, keep)
     init, steps, final = porter_steps("spark")
     df = vocab.withColumn("w", F.expr(init))
     for expr in steps:
         df = df.withColumn("w", F.expr(expr))
     df = df.withColumn("term", F.expr(final))
-    keep = (F.length("term") >= min_len) & (F.col("rows") > 0)
-    return df.select("word", F.explode(F.when(keep, F.array("term"))).alias("term"))
+    ok = (F.length("term") >= min_len) & (F.col("rows") > 0)
+    return df.select("word", F.explode(F.when(ok, F.array("term"))).alias("term"), *keep)
+
+
+def stem_dictionary(words: DataFrame, word_col: str = "word", min_len: int = 1,
+                    weight: str | None = None, method: str = "sql") -> DataFrame:
+    """Distinct words -> (word, term); words whose stem is shorter than
+    ``min_len`` are dropped (F4).  ``weight``: a count column of ``words``."""
+    return stem_vocabulary(vocabulary(words, word_col, weight), min_len, method)
 
 
-def _python_stems(vocab: DataFrame, min_len: int) -> DataFrame:
+def _python_stems(vocab: DataFrame, min_len: int, keep: tuple[str, ...] = ()) -> DataFrame:
     ship_package(vocab.sparkSession)
+    fields = dict(vocab.dtypes)
+    schema = ", ".join(["word string", "term string"] + [f"{k} {fields[k]}" for k in keep])
 
     def stem_batches(batches):
         for pdf in batches:
-            out = pd.DataFrame({"word": pdf["word"], "term": pdf["word"].map(stem)})
+            out = pd.DataFrame({"word": pdf["word"], "term": pdf["word"].map(stem),
+                                **{k: pdf[k] for k in keep}})
             out = out[pdf["rows"].to_numpy() > 0]
             yield out[out["term"].str.len() >= min_len]
 
-    return vocab.mapInPandas(stem_batches, "word string, term string")
+    return vocab.mapInPandas(stem_batches, schema)
