@@ -24,7 +24,7 @@ from ..functions.urls import (is_noise_word, site_label, strip_text, url_parts,
 from ..sources.suffixes import SuffixRules
 from .domains import registered_domain
 from .partitioning import spread
-from .stemming import stem_dictionary, stem_vocabulary, vocabulary
+from .stemming import stem_vocabulary, vocabulary
 
 # A word with more (word, domain) rows than this is "hot": its rows are
 # spread over several join keys (salted) instead of one task.
@@ -75,8 +75,9 @@ def url_terms(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
               keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per term occurrence: keep..., domain, term."""
     words = url_words(urls, rules, url_col, min_len, stopwords, keep)
-    stems = stem_dictionary(words, "word", min_len)
-    return words.join(stems, "word").select(*keep, "domain", "term")
+    vocab = vocabulary(words, "word")
+    return (join_stems(words, vocab, min_len, salt_cols=("domain", *keep))
+            .select(*keep, "domain", "term"))
 
 
 def word_domain_counts(words: DataFrame, first_seen: str | None = None,
@@ -102,21 +103,22 @@ def term_domain_counts(words: DataFrame, min_len: int = 3,
     return join_stems(wd, vocab, min_len).groupBy(*by, "term", "domain").agg(*aggs)
 
 
-def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int) -> DataFrame:
+def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int,
+               salt_cols: tuple[str, ...] = ("domain",)) -> DataFrame:
     """Attach each word's term to the (word, domain, ...) rows.
 
     The word -> term table is joined on word; AQE broadcasts it when its
     measured size is small.  When it is not, a word held by a large share of
     all domains would put all its rows in one join task, so words with more
     than HOT_PAIRS rows get a spread factor f: their rows take a salt
-    hash(domain) mod f, their dictionary entry is repeated for salts
+    hash(salt_cols) mod f, their dictionary entry is repeated for salts
     0..f-1, and the join key is (word, salt).  The hot-word table is
     broadcast; it has at most (pair rows) / HOT_PAIRS entries.
     """
     spread_by = F.greatest(F.lit(1), F.ceil(F.col("pairs") / F.lit(HOT_PAIRS))).cast("int")
     hot = vocab.filter(F.col("pairs") > HOT_PAIRS).select("word", spread_by.alias("_f"))
     salt = F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("domain"), F.col("_f")).cast("int"))
+        F.pmod(F.xxhash64(*salt_cols), F.col("_f")).cast("int"))
     salted = wd.join(F.broadcast(hot), "word", "left").withColumn("_salt", salt).drop("_f")
     stems = stem_vocabulary(vocab, min_len, keep=("pairs",))
     spread = stems.select("word", "term", F.explode(F.sequence(F.lit(0), spread_by - 1)).alias("_salt"))
