@@ -30,7 +30,10 @@ NOTES = {
   one `Project` per step and the F4 test inside `Generate explode`, in the
   same codegen stage as the broadcast join and the partial `(term, domain)`
   aggregate.  No Python.
-* AQE picked the broadcast side of the stem join from measured sizes.
+* The stem join is keyed on (word, salt): hot words (more than
+  `HOT_PAIRS` pair rows; none at this size, so AQE dropped the empty
+  hot-word join) would be spread over several tasks.  AQE broadcast the
+  dictionary side from its measured size.
 * `Exchange RoundRobinPartitioning(8)` is `spread`: the test table is one
   row group; on large inputs (more splits than task slots) it is not added.
 """,
