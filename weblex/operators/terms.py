@@ -116,7 +116,11 @@ def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int,
     broadcast; it has at most (pair rows) / HOT_PAIRS entries.
     """
     spread_by = F.greatest(F.lit(1), F.ceil(F.col("pairs") / F.lit(HOT_PAIRS))).cast("int")
-    hot = vocab.filter(F.col("pairs") > HOT_PAIRS).select("word", spread_by.alias("_f"))
+    # Reading "rows" too keeps the vocabulary aggregate (and the pair
+    # aggregate under it) identical to the stem branch's, so both reuse one
+    # shuffle instead of re-reading the input.
+    hot = (vocab.filter((F.col("pairs") > HOT_PAIRS) & (F.col("rows") > 0))
+                .select("word", spread_by.alias("_f")))
     salt = F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*salt_cols), F.col("_f")).cast("int"))
     salted = wd.join(F.broadcast(hot), "word", "left").withColumn("_salt", salt).drop("_f")
