@@ -65,3 +65,12 @@ def test_stem_chain_plan_stays_small(spark):
 def test_host_extraction_evaluates_host_once(spark):
     plan = executed(q1_extract_hosts(spark, SF_SMALL))
     assert not any("instr(lower(regexp_extract" in line for line in filter_lines(plan))
+
+
+def test_first_seen_pairs_parse_once(spark):
+    static = spark.newSession()
+    static.conf.set("spark.sql.adaptive.enabled", "false")   # child session only
+    links = link_corpus(static, SF_SMALL).withColumn("ord", F.struct("page_id", "pos"))
+    words = terms.url_words(links, fixture_rules(static), keep=("ord",))
+    plan = executed(terms.term_domain_counts(words, first_seen="ord"))
+    assert plan.count("Generate explode(CASE WHEN (isnotnull(domain") == 1

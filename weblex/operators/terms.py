@@ -24,7 +24,7 @@ from ..functions.urls import (is_noise_word, site_label, strip_text, url_parts,
 from ..sources.suffixes import SuffixRules
 from .domains import registered_domain
 from .partitioning import spread
-from .stemming import stem_vocabulary, vocabulary
+from .stemming import guard, stem_vocabulary, vocabulary
 
 # A word with more (word, domain) rows than this is "hot": its rows are
 # spread over several join keys (salted) instead of one task.
@@ -72,9 +72,16 @@ def url_words(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
 
 def url_terms(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
               min_len: int = 3, stopwords: list[str] | None = None,
-              keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per term occurrence: keep..., domain, term."""
-    words = url_words(urls, rules, url_col, min_len, stopwords, keep)
+              keep: tuple[str, ...] = (), store: str = "parquet") -> DataFrame:
+    """One row per term occurrence: keep..., domain, term.
+
+    The word rows are stored once (``store``) and read twice, for the
+    vocabulary and for the join; two branches over the raw URLs would parse
+    every URL twice, as nothing is shuffled before they part.
+    """
+    from ..plans.materialize import materialize
+    words = materialize(url_words(urls, rules, url_col, min_len, stopwords, keep),
+                        "url-words", store)
     vocab = vocabulary(words, "word")
     return (join_stems(words, vocab, min_len, salt_cols=("domain", *keep))
             .select(*keep, "domain", "term"))
@@ -96,7 +103,7 @@ def term_domain_counts(words: DataFrame, min_len: int = 3,
                        by: tuple[str, ...] = ()) -> DataFrame:
     """A4: (by..., term, domain, n[, first_seen]) from kept words."""
     wd = word_domain_counts(words, first_seen, by)
-    vocab = vocabulary(wd, "word", weight="n")
+    vocab = vocabulary(wd, "word", weight="n", carry=("first_seen",) if first_seen else ())
     aggs = [F.sum("n").cast("bigint").alias("n")]
     if first_seen:
         aggs.append(F.min("first_seen").alias("first_seen"))
@@ -116,10 +123,9 @@ def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int,
     broadcast; it has at most (pair rows) / HOT_PAIRS entries.
     """
     spread_by = F.greatest(F.lit(1), F.ceil(F.col("pairs") / F.lit(HOT_PAIRS))).cast("int")
-    # Reading "rows" too keeps the vocabulary aggregate (and the pair
-    # aggregate under it) identical to the stem branch's, so both reuse one
-    # shuffle instead of re-reading the input.
-    hot = (vocab.filter((F.col("pairs") > HOT_PAIRS) & (F.col("rows") > 0))
+    # The guard reads every vocabulary column, like the stem branch, so both
+    # keep the same input aggregate and reuse one shuffle.
+    hot = (vocab.filter((F.col("pairs") > HOT_PAIRS) & guard(vocab))
                 .select("word", spread_by.alias("_f")))
     salt = F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*salt_cols), F.col("_f")).cast("int"))
