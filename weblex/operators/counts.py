@@ -1,5 +1,5 @@
-"""Extraction and normalization counts, partial merging,
-per-source statistics."""
+"""Extraction and normalization counts, partial merging.
+(A6/A8 statistics: ``terms.corpus_stats``.)"""
 
 from __future__ import annotations
 
@@ -28,24 +28,3 @@ def normalize_counts(normalized: DataFrame, emitted: DataFrame, value: str = "do
 def merge_partials(partials: DataFrame, keys=("term", "domain"), n: str = "n") -> DataFrame:
     """Add partial counts per key (map-side partial, then final agg)."""
     return partials.groupBy(*keys).agg(F.sum(n).cast("bigint").alias(n))
-
-
-def per_source_stats(records: DataFrame, td_by_source: DataFrame,
-                     source: str = "batch") -> DataFrame:
-    """A6 per input source (file, batch or range).
-
-    ``records``: (source, url, domain), domain null for skipped URLs;
-    ``td_by_source``:
-    (source, term, domain, n) partial pair counts.  One grouped aggregate
-    over the union of both (no join).
-    """
-    a = records.select(source, F.col("domain").isNotNull().cast("bigint").alias("_u"), "domain",
-                       F.lit(None).cast("string").alias("term"),
-                       F.lit(0).cast("bigint").alias("n"))
-    b = td_by_source.select(source, F.lit(0).cast("bigint").alias("_u"),
-                            F.lit(None).cast("string").alias("domain"), "term", "n")
-    return a.unionByName(b).groupBy(source).agg(
-        F.sum("_u").cast("bigint").alias("processed_urls"),
-        F.countDistinct("domain").alias("unique_domains"),
-        F.countDistinct("term").alias("unique_terms"),
-        F.sum("n").cast("bigint").alias("total_terms"))

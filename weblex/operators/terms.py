@@ -46,21 +46,32 @@ def url_records(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
 
 def words_of(records: DataFrame, min_len: int = 3,
              stopwords: list[str] | None = None,
-             keep: tuple[str, ...] = ()) -> DataFrame:
+             keep: tuple[str, ...] = (), mark_urls: bool = False) -> DataFrame:
     """Kept words (F1-F3) of processed URLs: keep..., domain, word.
 
     URLs without a domain (F5) or with a bad netloc yield no tokens; that
-    test sits inside the explode, evaluated once per URL.
+    test sits inside the explode, evaluated once per URL.  With
+    ``mark_urls`` every processed URL also yields one row whose word is
+    null, so URL statistics and word counts come out of one pass (the null
+    word never gets a stem, so term counts ignore it).
     """
     stop = default_stopwords() if stopwords is None else stopwords
     p = url_parts(F.col("url"))
     df = records.select(*keep, "domain", p.alias("_p"))
     tokens = url_tokens(site_label(F.col("_p.netloc")), F.col("_p.path"), F.col("_p.query"))
-    usable = F.col("domain").isNotNull() & F.col("_p.valid")
-    df = df.select(*keep, "domain", F.explode(F.when(usable, tokens)).alias("word"))
+    if mark_urls:
+        none = F.array().cast("array<string>")
+        marked = F.concat(F.array(F.lit(None).cast("string")),
+                          F.when(F.col("_p.valid"), tokens).otherwise(none))
+        rows = F.when(F.col("domain").isNotNull(), marked)
+    else:
+        rows = F.when(F.col("domain").isNotNull() & F.col("_p.valid"), tokens)
+    df = df.select(*keep, "domain", F.explode(rows).alias("word"))
     cond = (F.length("word") >= min_len) & ~is_noise_word(F.col("word"))
     if stop:
         cond = cond & ~F.col("word").isin(stop)
+    if mark_urls:
+        cond = F.col("word").isNull() | cond
     return df.filter(cond)
 
 
@@ -102,7 +113,12 @@ def term_domain_counts(words: DataFrame, min_len: int = 3,
                        first_seen: str | None = None,
                        by: tuple[str, ...] = ()) -> DataFrame:
     """A4: (by..., term, domain, n[, first_seen]) from kept words."""
-    wd = word_domain_counts(words, first_seen, by)
+    return terms_from_pairs(word_domain_counts(words, first_seen, by), min_len, first_seen, by)
+
+
+def terms_from_pairs(wd: DataFrame, min_len: int = 3, first_seen: str | None = None,
+                     by: tuple[str, ...] = ()) -> DataFrame:
+    """(word, domain) counts -> (term, domain) counts (stem join, J2)."""
     vocab = vocabulary(wd, "word", weight="n", carry=("first_seen",) if first_seen else ())
     aggs = [F.sum("n").cast("bigint").alias("n")]
     if first_seen:
@@ -145,17 +161,23 @@ def total_occurrences(td: DataFrame) -> DataFrame:
     return td.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_terms"))
 
 
-def corpus_stats(records: DataFrame, td: DataFrame) -> DataFrame:
-    """Processed URLs, distinct domains, distinct terms, occurrences.
+def corpus_stats(wd: DataFrame, td: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """A6 (A8 with ``by``): processed URLs, distinct domains, distinct terms,
+    occurrences.
 
-    One aggregate over the union of the two inputs (no join).
+    ``wd`` are pair counts of URL-marked words (``words_of(mark_urls=True)``:
+    a null word counts processed URLs), ``td`` the term counts derived from
+    the same ``wd``; one aggregate over the union of both, with conditional
+    columns instead of filters, so the URL stage runs once.
     """
-    a = records.select(F.col("domain").isNotNull().cast("int").alias("_u"), F.col("domain"),
-                       F.lit(None).cast("string").alias("term"),
-                       F.lit(0).cast("bigint").alias("n"))
-    b = td.select(F.lit(0).alias("_u"), F.lit(None).cast("string").alias("domain"),
-                  F.col("term"), F.col("n"))
-    return a.unionByName(b).agg(
+    url_row = F.col("word").isNull()
+    a = wd.select(*by, F.when(url_row, F.col("n")).alias("_u"),
+                  F.when(url_row, F.col("domain")).alias("domain"),
+                  F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("n"))
+    b = td.select(*by, F.lit(None).cast("bigint").alias("_u"),
+                  F.lit(None).cast("string").alias("domain"), F.col("term"), F.col("n"))
+    grouped = a.unionByName(b).groupBy(*by) if by else a.unionByName(b)
+    return grouped.agg(
         F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("processed_urls"),
         F.countDistinct("domain").alias("unique_domains"),
         F.countDistinct("term").alias("unique_terms"),

@@ -28,6 +28,7 @@ from ..sources.pages import link_corpus, read_table
 from ..sources.suffixes import builtin_rules, fixture_rules
 from . import jobs
 from . import oracle as O
+from .materialize import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, Callable[[], str]] = {}
@@ -209,10 +210,9 @@ def a5_total_occurrences(spark, sf_dir):
     "(SELECT CAST(count(DISTINCT term) AS BIGINT) FROM td) AS unique_terms, "
     "(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM td) AS total_terms"))
 def a6_corpus_stats(spark, sf_dir):
-    rules = fixture_rules(spark)
-    recs = terms.url_records(_links(spark, sf_dir), rules)
-    td = terms.term_domain_counts(terms.words_of(recs))
-    return terms.corpus_stats(recs, td)
+    recs = terms.url_records(_links(spark, sf_dir), fixture_rules(spark))
+    wd = materialize(terms.word_domain_counts(terms.words_of(recs, mark_urls=True)), "pairs-marked")
+    return terms.corpus_stats(wd, terms.terms_from_pairs(wd))
 
 
 # ------------------------------------------------------------ ranking
@@ -516,8 +516,9 @@ def a8_per_batch_stats(spark, sf_dir):
     links = _links(spark, sf_dir).withColumn(
         "batch", F.floor(F.col("page_id") / BATCH_PAGES).cast("bigint"))
     recs = terms.url_records(links, fixture_rules(spark), keep=("batch",))
-    td = terms.term_domain_counts(terms.words_of(recs, keep=("batch",)), by=("batch",))
-    return counts.per_source_stats(recs, td, "batch")
+    wd = materialize(terms.word_domain_counts(terms.words_of(recs, keep=("batch",), mark_urls=True),
+                                              by=("batch",)), "pairs-marked")
+    return terms.corpus_stats(wd, terms.terms_from_pairs(wd, by=("batch",)), by=("batch",))
 
 
 _FIRST_SEEN_CTES = O.term_ctes(LINKS_SQL, keep="page_id, pos, ") + [
