@@ -81,3 +81,17 @@ def test_single_column_fast_path(spark):
     paths = [os.path.join(root, p) for p in ["f0.parquet", "f1.parquet", "f2.parquet", "nourl.parquet"]]
     assert idx._single_url_column(spark, paths, False) == {"url": paths}
     assert idx.read_index(spark, paths).filter("url is not null").count() == 15
+
+
+def test_report_text_format(spark):
+    from weblex.sinks import write_term_report_text
+    rep = spark.createDataFrame([("t", 5, "a.com,b.com"), ("u", 9, "c.com"), ("a", 5, "d.com")],
+                                "term string, frequency bigint, domains string")
+    out = write_term_report_text(rep, scratch_path(spark, "k2text")).replace("file:", "")
+    lines = []
+    for name in sorted(f for f in os.listdir(out) if f.startswith("part-")):
+        with open(os.path.join(out, name)) as fh:
+            lines += fh.read().splitlines()
+    assert lines == ["term,frequency,domains", 'u,9,"c.com"', 'a,5,"d.com"', 't,5,"a.com,b.com"']
+    back = read_term_csv(spark, out)
+    assert sorted(map(tuple, back.collect())) == [("a", 5, "d.com"), ("t", 5, "a.com,b.com"), ("u", 9, "c.com")]

@@ -8,8 +8,9 @@
     python -m weblex term-frequency-incremental URL_DIR OUT --state-dir DIR [...]
 
 Inputs are paths Spark reads (text line files, a gzipped manifest of
-Parquet index files); outputs are Spark folders (text lines, or a CSV with
-header ``term,frequency,domains``).  Suffix rules: ``--suffix-list PATH``,
+Parquet index files); outputs are Spark folders of text lines, the reports
+as ``term,frequency,"domains"`` lines under a ``term,frequency,domains``
+header, part files in report order.  Suffix rules: ``--suffix-list PATH``,
 else the system public suffix list when present, else the built-in subset.
 """
 
@@ -66,9 +67,16 @@ def _urls(spark, args, ordered: bool):
     return urls
 
 
+def _write_report(report, args) -> None:
+    from .sinks import write_term_csv, write_term_report_text
+    if args.spark_csv:
+        write_term_csv(report, args.output)
+    else:
+        write_term_report_text(report, args.output)
+
+
 def _term_frequency(spark, args) -> None:
     from .plans import jobs
-    from .sinks import write_term_csv
     rules = _rules(spark, args)
     if args.first_seen:
         report = jobs.first_seen_term_frequency(
@@ -77,18 +85,17 @@ def _term_frequency(spark, args) -> None:
     else:
         report = jobs.term_frequency(_urls(spark, args, False), rules, "url",
                                      args.percentage, args.max_domains, args.min_term_length)
-    write_term_csv(report, args.output)
+    _write_report(report, args)
 
 
 def _incremental(spark, args) -> None:
-    from .sinks import write_term_csv
     from .streaming import incremental
     rules = _rules(spark, args)
     parts = os.path.join(args.state_dir, "partials")
     incremental.run_incremental(spark, args.input, parts, os.path.join(args.state_dir, "checkpoint"),
                                 rules, args.min_term_length, args.max_files_per_batch)
     report = incremental.merged_report(spark, parts, args.percentage, args.max_domains)
-    write_term_csv(report, args.output)
+    _write_report(report, args)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -125,6 +132,9 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--percentage", type=float, default=0.8)
         q.add_argument("--max-domains", type=int, default=1000)
         q.add_argument("--min-term-length", type=int, default=3)
+        q.add_argument("--spark-csv", action="store_true",
+                       help="write with Spark's CSV writer (quotes only when needed) instead "
+                            "of the term,frequency,\"domains\" lines")
         suffix_opts(q)
         if name == "term-frequency":
             q.add_argument("--sample-rate", type=int, default=1)

@@ -18,7 +18,7 @@ from ..operators import counts, dedup, ranking, terms
 from ..operators.ordinal import with_ordinal
 from ..operators.partitioning import spread
 from ..session import scratch_path
-from ..sinks import read_term_csv, write_lines, write_term_csv
+from ..sinks import read_term_csv, write_lines, write_term_csv, write_term_report_text
 from ..sources import index as idx
 from ..sources.lines import read_lines, sample_every_nth
 from ..streaming import incremental, normalize
@@ -565,6 +565,13 @@ def k2_term_csv(spark, sf_dir):
     return read_term_csv(spark, path)
 
 
+@register("k2_term_report_text", lambda: O.term_frequency_sql(LINKS_SQL, SHARE, 1000))
+def k2_term_report_text(spark, sf_dir):
+    """K2 in the source's line format (domains always quoted), read back."""
+    path = write_term_report_text(q4_term_frequency(spark, sf_dir), scratch_path(spark, "report-text"))
+    return read_term_csv(spark, path)
+
+
 def _stream_inputs(spark, sf_dir, folder: str, ranges: list[tuple[int, int]]):
     """Write link URLs of page ranges [lo, hi) as separate line files."""
     links = _links(spark, sf_dir)

@@ -34,3 +34,25 @@ def write_term_parquet(report: DataFrame, path: str) -> str:
     (report.withColumn("domains", F.split(F.col("domains"), ","))
            .write.mode("overwrite").parquet(path))
     return path
+
+
+def write_term_report_text(report: DataFrame, path: str) -> str:
+    """K2, source byte format: ``term,frequency,"domains"`` with a header.
+
+    The domains field is always quoted (terms are [a-z0-9] and domains hold
+    no quotes, so no escaping is needed).  Lines are formatted by built-in
+    expressions; a range-partitioned sort on (frequency desc, term) with the
+    header keyed first keeps the part files in report order.
+    """
+    spark = report.sparkSession
+    header = spark.createDataFrame([("term,frequency,domains",)], "line string") \
+        .select(F.lit(None).cast("bigint").alias("_f"), F.lit("").alias("_t"), "line")
+    lines = report.select(
+        F.col("frequency").cast("bigint").alias("_f"), F.col("term").alias("_t"),
+        F.concat_ws(",", F.col("term"), F.col("frequency").cast("string"),
+                    F.concat(F.lit('"'), F.col("domains"), F.lit('"'))).alias("line"))
+    (header.unionByName(lines)
+           .orderBy(F.desc_nulls_first("_f"), F.asc("_t"))
+           .select(F.col("line").alias("value"))
+           .write.mode("overwrite").text(path))
+    return path
