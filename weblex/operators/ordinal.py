@@ -2,10 +2,17 @@
 
 ``row_number() over (order by ...)`` with no partition key pulls every row
 into one task.  Instead: range-partition on the order key, sort inside each
-partition, count rows per partition (one row per partition), turn those
-counts into offsets with a window over P rows, and add the offset to the
-position inside the partition.  Every step is parallel; the only global
-piece is a P-row table, broadcast with a size bound of P.
+partition, note each row's partition and position, count rows per
+partition (one row per partition), turn those counts into offsets with a
+window over P rows, and add the offset to the position.  Every step is
+parallel; the only global piece is a P-row table, broadcast with a size
+bound of P.
+
+Partition ids and positions are only meaningful for one evaluation of the
+range partitioning (its bounds come from a sample of the input), so that
+evaluation is stored once under the checkpoint folder and both the counts
+and the numbering read the stored rows.  Two independent evaluations could
+pick different bounds and mix positions of one with offsets of the other.
 """
 
 from __future__ import annotations
@@ -15,21 +22,23 @@ from pyspark.sql import functions as F
 
 
 def with_ordinal(df: DataFrame, order: list[Column], name: str = "ord",
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, store: str = "parquet") -> DataFrame:
     """Add a 1-based dense ordinal ``name`` following ``order``.
 
-    ``order`` must be a total order (ties broken), so that the numbering is
-    the same whenever a lost partition is recomputed.
+    ``order`` must be a total order (ties broken).
     """
+    from ..plans.materialize import materialize
+
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(p, *order).sortWithinPartitions(*order)
     ranged = (ranged.withColumn("_pid", F.spark_partition_id())
                     .withColumn("_mid", F.monotonically_increasing_id()))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    stored = materialize(ranged, "ordinal", store)
+    sizes = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (ranged.join(F.broadcast(offsets), "_pid")
+    return (stored.join(F.broadcast(offsets), "_pid")
                   .withColumn(name, (F.col("_off") + local + 1).cast("bigint"))
                   .drop("_pid", "_mid", "_off"))
