@@ -37,3 +37,15 @@ def test_salted_stem_join_same_counts(spark, monkeypatch):
     monkeypatch.setattr(terms, "HOT_PAIRS", 1)
     salted = terms.term_domain_counts(words)
     assert sorted(map(tuple, salted.collect())) == plain
+
+
+def test_analyze_matches_separate_jobs(spark):
+    from weblex.plans import jobs
+    rules = fixture_rules(spark)
+    links = link_corpus(spark, SF_SMALL)
+    report, stats = jobs.analyze(links, rules)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, jobs.term_frequency(links, rules).collect()))
+    s = stats.first()
+    recs = terms.url_records(links, rules).filter("domain is not null")
+    assert s.processed_urls == recs.count()
+    assert s.unique_domains == recs.select("domain").distinct().count()

@@ -83,8 +83,11 @@ def _term_frequency(spark, args) -> None:
             _urls(spark, args, True), rules, "line_no", args.percentage,
             args.max_domains, args.min_term_length)
     else:
-        report = jobs.term_frequency(_urls(spark, args, False), rules, "url",
-                                     args.percentage, args.max_domains, args.min_term_length)
+        report, stats = jobs.analyze(_urls(spark, args, False), rules, "url", args.percentage,
+                                     args.max_domains, args.min_term_length)
+        s = stats.first()
+        print(f"Processed {s.processed_urls:,} URLs, {s.unique_domains:,} domains, "
+              f"{s.unique_terms:,} terms, {s.total_terms:,} term occurrences")
     _write_report(report, args)
 
 

@@ -103,3 +103,19 @@ def first_seen_term_frequency(urls: DataFrame, rules: SuffixRules, order: str,
     return (kept.join(lists, "term")
                 .select("term", F.col("n").alias("frequency"), "domains")
                 .orderBy(F.desc("frequency"), F.asc("term")))
+
+
+def analyze(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
+            share: float = 0.8, max_domains: int = 1000, min_len: int = 3,
+            stopwords: list[str] | None = None, store: str = "parquet"):
+    """Q4 and its run statistics (A6) from one pass over the URLs.
+
+    Returns (report, stats).  The URL-marked pair counts are stored once;
+    term counts (stored too) and statistics are derived from them, so the
+    per-URL stage runs a single time for both outputs.
+    """
+    recs = terms.url_records(urls, rules, url_col)
+    marked = terms.words_of(recs, min_len, stopwords, mark_urls=True)
+    wd = materialize(terms.word_domain_counts(marked), "pairs-marked", store)
+    td = materialize(terms.terms_from_pairs(wd, min_len), "term-domain", store)
+    return term_report(td, share, max_domains), terms.corpus_stats(wd, td)
