@@ -60,14 +60,19 @@ def main() -> None:
         return time.time() - t
 
     warmup = run(HEADLINE[0])
-    times = {name: round(statistics.median(run(name) for _ in range(repeat)), 3)
-             for name in HEADLINE}
+    times, failed = {}, {}
+    for name in HEADLINE:
+        try:
+            times[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
+        except Exception as e:  # report the rest rather than no line at all
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "failed": failed,
         "warmup_sec": round(warmup, 3),
         "repeat": repeat,
         "sf": float(m.group(1)) if m else None,
