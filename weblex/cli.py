@@ -128,19 +128,25 @@ def parser() -> argparse.ArgumentParser:
                    help="keep input order and drop adjacent repeats instead of a distinct set")
     suffix_opts(q)
 
+    helps = {"term-frequency": "term report of a URL list",
+             "term-frequency-incremental": "term report kept up to date as URL files arrive"}
     for name in ("term-frequency", "term-frequency-incremental"):
-        q = sub.add_parser(name, help="term report of a URL list")
+        q = sub.add_parser(name, help=helps[name])
         q.add_argument("input")
         q.add_argument("output")
-        q.add_argument("--percentage", type=float, default=0.8)
-        q.add_argument("--max-domains", type=int, default=1000)
-        q.add_argument("--min-term-length", type=int, default=3)
+        q.add_argument("--percentage", type=float, default=0.8,
+                       help="share of all term occurrences the kept terms cover (default 0.8)")
+        q.add_argument("--max-domains", type=int, default=1000,
+                       help="domains listed per term (default 1000)")
+        q.add_argument("--min-term-length", type=int, default=3,
+                       help="minimum word and stem length (default 3)")
         q.add_argument("--spark-csv", action="store_true",
                        help="write with Spark's CSV writer (quotes only when needed) instead "
                             "of the term,frequency,\"domains\" lines")
         suffix_opts(q)
         if name == "term-frequency":
-            q.add_argument("--sample-rate", type=int, default=1)
+            q.add_argument("--sample-rate", type=int, default=1,
+                           help="use every Nth input line (default 1: all)")
             q.add_argument("--first-seen", action="store_true",
                            help="list each term's first domains in input order")
         else:
