@@ -35,9 +35,10 @@ def test_streaming_normalize_emits_once(spark):
     src, sink, ckpt = (os.path.join(root, d) for d in ("in", "out", "ckpt"))
     spark.createDataFrame([("www.a.com",), ("b.a.com",), ("localhost",)], "value string") \
         .write.text(os.path.join(src, "1"))
-    normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules)
+    normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules, state_partitions=4)
     spark.createDataFrame([("x.a.com",), ("c.co.uk",)], "value string").write.text(os.path.join(src, "2"))
-    normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules)
+    normalize.run_normalize(spark, os.path.join(src, "*"), sink, ckpt, rules, state_partitions=4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert sorted(r.domain for r in normalize.read_domains(spark, sink).collect()) == ["a.com", "c.co.uk"]
 
 

@@ -25,8 +25,17 @@ def normalized_stream(hosts: DataFrame, rules: SuffixRules, col: str = "host") -
 
 
 def run_normalize(spark: SparkSession, source_dir: str, sink_dir: str,
-                  checkpoint_dir: str, rules: SuffixRules) -> None:
-    """Consume the host files not yet seen; append new domains to the sink."""
+                  checkpoint_dir: str, rules: SuffixRules,
+                  state_partitions: int | None = None) -> None:
+    """Consume the host files not yet seen; append new domains to the sink.
+
+    ``state_partitions`` sizes the dedup state (fixed by the checkpoint at
+    the first run) independently of the batch shuffle setting; the stream
+    then runs in a child session, leaving the caller's settings alone.
+    """
+    if state_partitions:
+        spark = spark.newSession()
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     hosts = spark.readStream.format("text").load(source_dir).select(F.col("value").alias("host"))
     query = (normalized_stream(hosts, rules).writeStream
              .format("parquet").outputMode("append")
