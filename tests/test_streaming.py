@@ -67,3 +67,17 @@ def test_incremental_recovers_from_a_failed_batch(spark, monkeypatch):
     merged = {(r.term, r.domain): r.n for r in incremental.merged_counts(spark, parts).collect()}
     whole = terms.term_domain_counts(terms.url_words(links, rules))
     assert merged == {(r.term, r.domain): r.n for r in whole.collect()}
+
+
+def test_incremental_continuous_trigger(spark):
+    rules = fixture_rules(spark)
+    root = scratch_path(spark, "t1-cont")
+    src, parts, ckpt = (os.path.join(root, d) for d in ("in", "parts", "ckpt"))
+    link_corpus(spark, SF_SMALL).select("url").write.text(os.path.join(src, "a"))
+    query = incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules,
+                                        every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert incremental.read_partials(spark, parts).count() > 0

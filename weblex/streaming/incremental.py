@@ -31,8 +31,13 @@ def count_batch(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
 
 def run_incremental(spark: SparkSession, source_dir: str, partial_dir: str,
                     checkpoint_dir: str, rules: SuffixRules, min_len: int = 3,
-                    max_files_per_batch: int | None = None) -> None:
-    """Process the files not yet seen, then stop (availableNow)."""
+                    max_files_per_batch: int | None = None,
+                    every: str | None = None):
+    """Process the files not yet seen, then stop (availableNow).
+
+    With ``every`` (e.g. "10 minutes") the query keeps running on that
+    processing-time trigger instead, and its handle is returned.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
@@ -42,10 +47,12 @@ def run_incremental(spark: SparkSession, source_dir: str, partial_dir: str,
         out = os.path.join(partial_dir, f"batch_id={batch_id}")
         count_batch(batch, rules, "url", min_len).write.mode("overwrite").parquet(out)
 
-    query = (stream.writeStream.foreachBatch(store)
-                   .option("checkpointLocation", checkpoint_dir)
-                   .trigger(availableNow=True).start())
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint_dir)
+    if every:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return None
 
 
 def read_partials(spark: SparkSession, partial_dir: str) -> DataFrame:
