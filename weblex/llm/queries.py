@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, tokens
+from . import quality, simhash, tokens, toxicity
 from .common import table
 
 TOKEN_LIMIT = 512
@@ -17,6 +17,20 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = simhash.near_duplicates(docs, width=3, max_bits=2, keep=["doc_id"])
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      "component_id", "is_kept")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = toxicity.score(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = tokens.count_tokens(docs, tokenizer_path(), keep=["doc_id"])
@@ -29,6 +43,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_groups": op2_simhash_groups,
+    "op3_toxicity": op3_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
