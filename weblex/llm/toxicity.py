@@ -3,8 +3,8 @@ softmax, vectors and softmax trained together in numpy.
 
 A word's vector is the mean of the vectors of its n-grams (``<word>`` in 3 to 6
 characters), hashed into BUCKETS rows; a text's vector is
-the mean over its words, scaled by the root of their number (so that the sway
-of chance words is alike in short and long texts).  An unseen misspelling so shares most of its vectors
+the mean over its distinct words, scaled by the root of their number (so that
+the sway of chance words is alike in short and long texts).  An unseen misspelling so shares most of its vectors
 with the word it hides.  Since the softmax is linear, scoring needs one number
 per bucket; a worker remembers the sums of words it has met.
 
@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from .common import annotate, field
 
-TRAIN_TOXIC = 1500
-TRAIN_CLEAN = 5000
+TRAIN_TOXIC = 2000
+TRAIN_CLEAN = 6000
 BUCKETS = 1 << 18
 DIM = 4
 SHORTEST, LONGEST = 3, 6
@@ -57,7 +57,8 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """The distinct words of a whole text."""
+    return sorted(set(WORD.findall(text.lower()))) if text else []
 
 
 def subwords(word: str) -> list[int]:
@@ -94,7 +95,7 @@ class Model:
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Fit vectors and softmax together by full-batch Adam."""
+    """Fit vectors and softmax together by full-batch Adam on classes of equal weight."""
     rows = [(ws, y) for ws, y in ((words_of(t), y) for t, y in zip(texts, labels)) if ws]
     y = np.array([y for _, y in rows], np.float64)
     if not len(y) or y.min() == y.max():
@@ -102,10 +103,9 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     vocab: dict[str, int] = {}
     doc, word, share = [], [], []
     for i, (ws, _) in enumerate(rows):
-        ids, n = np.unique([vocab.setdefault(w, len(vocab)) for w in ws], return_counts=True)
-        doc.append(np.full(len(ids), i, np.int32))
-        word.append(ids.astype(np.int32))
-        share.append((n / len(ws) ** 0.5).astype(np.float32))
+        doc.append(np.full(len(ws), i, np.int32))
+        word.append(np.array([vocab.setdefault(w, len(vocab)) for w in ws], np.int32))
+        share.append(np.full(len(ws), len(ws) ** -0.5, np.float32))
     doc, word, share = map(np.concatenate, (doc, word, share))
     grams = [np.array(subwords(w), np.int32) for w in vocab]
     size = np.array([len(g) for g in grams])
@@ -113,6 +113,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     del grams
     rng = np.random.default_rng(seed)
     emb, soft, bias = np.zeros((BUCKETS, DIM)), rng.normal(0, 1, DIM), np.zeros(1)
+    weight = 0.5 / len(y) / np.where(y == 1, y.mean(), 1 - y.mean())
     params = [emb, soft, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for t in range(1, epochs + 1):
@@ -120,7 +121,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         logit = emb @ soft
         of_word = np.add.reduceat(logit[gram], start) / size
         z = GAIN * np.bincount(doc, of_word[word] * share, len(y)) + bias[0]
-        d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / len(y)
+        d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight
         back = np.bincount(word, (GAIN * d)[doc] * share, len(size)) / size
         q = np.bincount(gram, np.repeat(back, size), BUCKETS)
         grads = [q[:, None] * soft + DECAY * emb, emb.T @ q + DECAY * soft, np.array([d.sum()])]
