@@ -39,7 +39,7 @@ from ..session import ship_package
 from .common import annotate, field, stored
 
 SEED = 42
-BLOCK = 8192
+BLOCK = 65_536
 MAX_BLOCKS = 4096
 SLICE = 262_144
 FANOUT = 16
