@@ -21,7 +21,6 @@ columns named like a result give way to it.
 from __future__ import annotations
 
 import re
-import zlib
 from functools import partial
 from math import exp
 
@@ -48,6 +47,7 @@ DAMP = 1e-5
 FOLDS = 5
 WORD = re.compile(r"\w+")
 MEMO_ENTRIES = 400_000
+PART = 1 << 20
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -57,15 +57,28 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def words_of(text: str | None) -> list[str]:
-    """The distinct words of a whole text."""
-    return sorted(set(WORD.findall(text.lower()))) if text else []
-
-
-def subwords(word: str) -> list[int]:
-    """Buckets of a word's n-grams (of short words, the whole)."""
-    w = f"<{word}>"
-    grams = [w[i:i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(w) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
+    """The distinct words of a whole text, in order of first occurrence."""
+    return list(dict.fromkeys(WORD.findall(text.lower()))) if text else []
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, bucket) of every n-gram of ``words``, and the number of
+    n-grams of each word (at least one: ``<w>``)."""
+    chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    end = np.repeat(np.cumsum(lengths), lengths)
+    number = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    h = np.zeros(len(chars) + 1, np.uint64)
+    of, bucket = [], []
+    for n in range(1, LONGEST + 1):
+        h = h[:-1][:len(chars) - n + 1] * np.uint64(0x100000001B3) + chars[n - 1:] + np.uint64(1)
+        if n >= SHORTEST:
+            at = np.flatnonzero(np.arange(len(h)) + n <= end[:len(h)])
+            x = h[at] * np.uint64(0x9E3779B97F4A7C15)
+            of.append(number[at])
+            bucket.append((((x ^ (x >> np.uint64(29))) >> np.uint64(7)).astype(np.int64) % BUCKETS).astype(np.int32))
+    of, bucket = np.concatenate(of), np.concatenate(bucket)
+    return of, bucket, np.bincount(of, minlength=len(words))
 
 
 class Model:
@@ -74,43 +87,48 @@ class Model:
     def __init__(self, weights: np.ndarray | None, bias: float):
         self.weights, self.bias, self.memo = weights, bias, {}
 
-    def word(self, word: str) -> float:
-        ids = subwords(word)
-        return float(self.weights[ids].mean())
-
-    def score(self, text: str | None) -> float:
-        words = words_of(text)
-        if not words or self.weights is None:
-            return 0.0
-        memo, total = self.memo, 0.0
+    def score_all(self, texts: list[str | None]) -> list[float]:
+        if self.weights is None:
+            return [0.0] * len(texts)
+        memo = self.memo
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
-        for w in words:
-            x = memo.get(w)
-            if x is None:
-                x = memo[w] = self.word(w)
-            total += x
-        z = GAIN * total / len(words) ** 0.5 + self.bias
-        return 1 / (1 + exp(-z)) if z > 0 else exp(max(z, -700.0)) / (1 + exp(max(z, -700.0)))
+        bags = [words_of(t) for t in texts]
+        new = list(set().union(*bags).difference(memo))
+        if new:
+            of, bucket, size = subwords(new)
+            memo.update(zip(new, (np.bincount(of, self.weights[bucket], len(new)) / size).tolist()))
+        return [self._score(sum(map(memo.__getitem__, b)), len(b)) for b in bags]
+
+    def _score(self, total: float, words: int) -> float:
+        if not words:
+            return 0.0
+        z = min(max(GAIN * total / words ** 0.5 + self.bias, -700.0), 700.0)
+        return 1 / (1 + exp(-z))
+
+    def score(self, text: str | None) -> float:
+        return self.score_all([text])[0]
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Fit vectors and softmax together by full-batch Adam on classes of equal weight."""
-    rows = [(ws, y) for ws, y in ((words_of(t), y) for t, y in zip(texts, labels)) if ws]
-    y = np.array([y for _, y in rows], np.float64)
+    vocab: dict[str, int] = {}
+    doc, word, share, y = [], [], [], []
+    for text, label in zip(texts, labels):
+        ws = words_of(text)
+        if ws:
+            doc.append(np.full(len(ws), len(y), np.int32))
+            word.append(np.array([vocab.setdefault(w, len(vocab)) for w in ws], np.int32))
+            share.append(np.full(len(ws), len(ws) ** -0.5, np.float32))
+            y.append(label)
+    y = np.array(y, np.float64)
     if not len(y) or y.min() == y.max():
         return Model(None, 0.0)
-    vocab: dict[str, int] = {}
-    doc, word, share = [], [], []
-    for i, (ws, _) in enumerate(rows):
-        doc.append(np.full(len(ws), i, np.int32))
-        word.append(np.array([vocab.setdefault(w, len(vocab)) for w in ws], np.int32))
-        share.append(np.full(len(ws), len(ws) ** -0.5, np.float32))
     doc, word, share = map(np.concatenate, (doc, word, share))
-    grams = [np.array(subwords(w), np.int32) for w in vocab]
-    size = np.array([len(g) for g in grams])
-    gram, start = np.concatenate(grams), np.concatenate([[0], np.cumsum(size)[:-1]])
-    del grams
+    of, gram, size = subwords(list(vocab))
+    del vocab
+    # A part of the n-grams at a time: the driver holds little besides them.
+    parts = [slice(i, i + PART) for i in range(0, len(of), PART)]
     rng = np.random.default_rng(seed)
     emb, soft, bias = np.zeros((BUCKETS, DIM)), rng.normal(0, 1, DIM), np.zeros(1)
     weight = 0.5 / len(y) / np.where(y == 1, y.mean(), 1 - y.mean())
@@ -119,11 +137,11 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     for t in range(1, epochs + 1):
         # The softmax is linear: one number per bucket goes forward and back.
         logit = emb @ soft
-        of_word = np.add.reduceat(logit[gram], start) / size
+        of_word = sum(np.bincount(of[p], logit[gram[p]], len(size)) for p in parts) / size
         z = GAIN * np.bincount(doc, of_word[word] * share, len(y)) + bias[0]
         d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight
         back = np.bincount(word, (GAIN * d)[doc] * share, len(size)) / size
-        q = np.bincount(gram, np.repeat(back, size), BUCKETS)
+        q = sum(np.bincount(gram[p], back[of[p]], BUCKETS) for p in parts)
         grads = [q[:, None] * soft + DECAY * emb, emb.T @ q + DECAY * soft, np.array([d.sum()])]
         for v, g, m, s in zip(params, grads, first, second):
             m *= 0.9
@@ -154,12 +172,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         text: str = "text", train_toxic: int = TRAIN_TOXIC, train_clean: int = TRAIN_CLEAN) -> Model:
     rows = sample(docs, labels, label, {1: train_toxic, 0: train_clean}, id_col, text)
     rows.sort(key=lambda r: (r["_at"], r["text"] or ""))
-    return train([r["text"] for r in rows], [int(r["y"]) for r in rows])
+    texts, marks = [r["text"] for r in rows], [int(r["y"]) for r in rows]
+    del rows
+    return train(texts, marks)
 
 
 def _scorer(weights: np.ndarray | None, bias: float):
     model = Model(weights, bias)
-    return lambda texts: [[model.score(t) for t in texts]]
+    return lambda texts: [model.score_all(texts)]
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None,
