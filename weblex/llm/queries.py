@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, packing, quality, sharding, simhash, tokens, topk, toxicity, warc
+from . import licenses, mixing, oracle, packing, quality, sharding, simhash, tokens, topk, toxicity, warc
 from .common import table
 
 TOKEN_LIMIT = 512
@@ -103,4 +103,11 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+#: The others draw at random, hash with XXH64, tokenize or fit models; tests/llm
+#: holds them against brute force, round trips or held-out labels.
+SQL: dict[str, str] = {
+    "op5_exact_top_k": oracle.top_k_sql(),
+    "op7_license_scan": oracle.license_sql(),
+    "op8_warc_bundles": oracle.warc_sql(),
+    "op10_quality_rules": oracle.quality_sql(),
+}
