@@ -1,4 +1,11 @@
-"""Porter's 1980 suffix-stripping stemmer, as published.
+"""Porter's suffix-stripping stemmer: the extended rules in common use
+(default), or the 1980 paper's.
+
+The extended rules add a table of irregular words, keep ``ie`` in four-letter
+words (ties, tied), turn ``ied`` into ``i``, turn a final ``y`` into ``i`` only
+after a consonant that isn't the first letter, add ``bli``, ``fulli`` and ``logi``
+to step 2, run step 2 again after ``alli``, and count a two-letter
+vowel-consonant stem as *o.
 
 A word is read as [C](VC){m}[V]: C a run of consonants, V a run of vowels.
 'y' is a consonant at the start of a word or after a vowel, a vowel after a
@@ -47,11 +54,14 @@ def ends_double_consonant(stem: str) -> bool:
     return len(stem) >= 2 and stem[-1] == stem[-2] and _consonants(stem)[-1]
 
 
-def ends_cvc(stem: str) -> bool:
-    """*o: ends consonant-vowel-consonant, last one not w, x or y."""
+def ends_cvc(stem: str, extended: bool = False) -> bool:
+    """*o: ends consonant-vowel-consonant, last one not w, x or y; extended:
+    or is vowel-consonant."""
+    c = _consonants(stem)
+    if extended and len(stem) == 2:
+        return not c[0] and c[1]
     if len(stem) < 3:
         return False
-    c = _consonants(stem)
     return c[-3] and not c[-2] and c[-1] and stem[-1] not in "wxy"
 
 
@@ -75,6 +85,14 @@ STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment
          "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
 
+# Fixed values of the extended rules.
+STEP2_EXTENDED = [t for t in STEP2 if t[0] != "abli"] + [("bli", "ble"), ("fulli", "ful")]
+IRREGULAR = {"sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+             "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+             "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed",
+             "exceed": "exceed", "succeed": "succeed"}
+
+
 def _longest(word: str, suffixes) -> str | None:
     best = None
     for s in suffixes:
@@ -83,7 +101,9 @@ def _longest(word: str, suffixes) -> str | None:
     return best
 
 
-def _step1a(w: str) -> str:
+def _step1a(w: str, extended: bool) -> str:
+    if extended and len(w) == 4 and w.endswith("ies"):
+        return w[:-1]
     suf = _longest(w, ("sses", "ies", "ss", "s"))
     if suf == "sses":
         return w[:-2]
@@ -94,7 +114,9 @@ def _step1a(w: str) -> str:
     return w
 
 
-def _step1b(w: str) -> str:
+def _step1b(w: str, extended: bool) -> str:
+    if extended and w.endswith("ied"):
+        return w[:-1] if len(w) == 4 else w[:-2]
     suf = _longest(w, ("eed", "ed", "ing"))
     if suf is None:
         return w
@@ -107,12 +129,16 @@ def _step1b(w: str) -> str:
         return stem + "e"
     if ends_double_consonant(stem) and stem[-1] not in "lsz":
         return stem[:-1]
-    if measure(stem) == 1 and ends_cvc(stem):
+    if measure(stem) == 1 and ends_cvc(stem, extended):
         return stem + "e"
     return stem
 
 
-def _step1c(w: str) -> str:
+def _step1c(w: str, extended: bool) -> str:
+    if extended:
+        if len(w) > 2 and w.endswith("y") and _consonants(w)[-2]:
+            return w[:-1] + "i"
+        return w
     if w.endswith("y") and has_vowel(w[:-1]):
         return w[:-1] + "i"
     return w
@@ -126,6 +152,16 @@ def _replace_step(w: str, table) -> str:
     return stem + dict(table)[suf] if _m_gt0(stem) else w
 
 
+def _step2(w: str, extended: bool) -> str:
+    if not extended:
+        return _replace_step(w, STEP2)
+    if w.endswith("alli") and _m_gt0(w[:-4]):
+        w = w[:-2]
+    if w.endswith("logi"):
+        return w[:-1] if _m_gt0(w[:-3]) else w
+    return _replace_step(w, STEP2_EXTENDED)
+
+
 def _step4(w: str) -> str:
     suf = _longest(w, STEP4)
     if suf is None:
@@ -138,11 +174,11 @@ def _step4(w: str) -> str:
     return stem
 
 
-def _step5(w: str) -> str:
+def _step5(w: str, extended: bool) -> str:
     if w.endswith("e"):
         stem = w[:-1]
         m = measure(stem)
-        if m > 1 or (m == 1 and not ends_cvc(stem)):
+        if m > 1 or (m == 1 and not ends_cvc(stem, extended)):
             w = stem
     if w.endswith("ll") and measure(w) > 1:
         w = w[:-1]
@@ -150,15 +186,16 @@ def _step5(w: str) -> str:
 
 
 @lru_cache(maxsize=65536)
-def stem(word: str) -> str:
+def stem(word: str, extended: bool = True) -> str:
     """Stem one lower-case word."""
+    if extended and word in IRREGULAR:
+        return IRREGULAR[word]
     if len(word) <= 2:
         return word
-    w = _step1a(word)
-    w = _step1b(w)
-    w = _step1c(w)
-    w = _replace_step(w, STEP2)
+    w = _step1a(word, extended)
+    w = _step1b(w, extended)
+    w = _step1c(w, extended)
+    w = _step2(w, extended)
     w = _replace_step(w, STEP3)
     w = _step4(w)
-    w = _step5(w)
-    return w
+    return _step5(w, extended)

@@ -1,4 +1,4 @@
-"""Porter (1980) as a chain of SQL CASE expressions over a column ``w``.
+"""Porter's stemmer (extended rules, or those of 1980) as a chain of SQL CASE expressions over a column ``w``.
 
 The same rule tables as ``porter`` (the Python stemmer), written as one SQL
 expression per step.  Spark runs the chain over the distinct vocabulary
@@ -17,7 +17,7 @@ and leaves the word unchanged if that suffix's condition fails.
 
 from __future__ import annotations
 
-from .porter import STEP2, STEP3, STEP4
+from .porter import IRREGULAR, STEP2, STEP2_EXTENDED, STEP3, STEP4
 
 _C = "[^aeiou][^aeiouy]*"
 _V = "[aeiouy][aeiou]*"
@@ -25,6 +25,9 @@ M_GT0 = f"^(?:{_C})?{_V}{_C}"
 M_GT1 = f"^(?:{_C})?{_V}{_C}{_V}{_C}"
 M_EQ1 = f"^(?:{_C})?{_V}{_C}(?:{_V})?$"
 CVC_M1 = f"^{_C}[aeiouy][^aeiouwxy]$"
+#: The extended *o: also a vowel and a consonant alone.
+CVC_M1_EXTENDED = CVC_M1 + "|^[aeiou][^aeiou]$"
+ENDS_CONSONANT = "[^aeiouy]$|[aeiou]y$|[^aeiouy]yy$"
 HAS_V = "[aeiou]|[^aeiou]y"
 DOUBLE = "(?:" + "|".join(c * 2 for c in "bcdfghjklmnpqrstvwxz0123456789") + "|[^aeiouy]yy)$"
 
@@ -60,20 +63,24 @@ def _replace_step(d: _Dialect, table, cond_rx: str) -> str:
     return "CASE " + " ".join(arms) + " ELSE w END"
 
 
-def porter_steps(dialect: str, word: str = "word") -> tuple[str, list[str], str]:
+def porter_steps(dialect: str, word: str = "word", extended: bool = True) -> tuple[str, list[str], str]:
     """(initial w from ``word``, step expressions w -> w, final term).
 
     Apply the initial expression, then each step in order (each reads the
     previous ``w``), then the final expression (reads ``word`` and ``w``).
     """
     d = _Dialect(dialect)
+    cvc = CVC_M1_EXTENDED if extended else CVC_M1
     init = f"regexp_replace({word}, '^y', 'Y')"
     steps = []
-    steps.append(f"CASE WHEN {d.ends('w', 'sses')} THEN {_cut(2)} "
+    four = f"WHEN {d.ends('w', 'ies')} AND length(w) = 4 THEN {_cut(1)} " if extended else ""
+    steps.append(f"CASE {four}WHEN {d.ends('w', 'sses')} THEN {_cut(2)} "
                  f"WHEN {d.ends('w', 'ies')} THEN {_cut(2)} "
                  f"WHEN {d.ends('w', 'ss')} THEN w "
                  f"WHEN {d.ends('w', 's')} THEN {_cut(1)} ELSE w END")
-    steps.append(f"CASE WHEN {d.ends('w', 'eed')} THEN CASE WHEN {d.match(_cut(3), M_GT0)} "
+    ied = (f"WHEN {d.ends('w', 'ied')} THEN CASE WHEN length(w) = 4 THEN {_cut(1)} ELSE {_cut(2)} END "
+           if extended else "")
+    steps.append(f"CASE {ied}WHEN {d.ends('w', 'eed')} THEN CASE WHEN {d.match(_cut(3), M_GT0)} "
                  f"THEN {_cut(1)} ELSE w END "
                  f"WHEN {d.ends('w', 'ing')} THEN CASE WHEN {d.match(_cut(3), HAS_V)} "
                  f"THEN {_cut(3)} || '~' ELSE w END "
@@ -83,11 +90,17 @@ def porter_steps(dialect: str, word: str = "word") -> tuple[str, list[str], str]
     steps.append(f"CASE WHEN {d.ends('w', '~')} THEN CASE "
                  f"WHEN {d.match(s, '(?:at|bl|iz)$')} THEN {s} || 'e' "
                  f"WHEN {d.match(s, DOUBLE)} AND NOT {d.match(s, '[lsz]$')} THEN {_cut(1, s)} "
-                 f"WHEN {d.match(s, M_EQ1)} AND {d.match(s, CVC_M1)} THEN {s} || 'e' "
+                 f"WHEN {d.match(s, M_EQ1)} AND {d.match(s, cvc)} THEN {s} || 'e' "
                  f"ELSE {s} END ELSE w END")
-    steps.append(f"CASE WHEN {d.ends('w', 'y')} AND {d.match(_cut(1), HAS_V)} "
-                 f"THEN {_cut(1)} || 'i' ELSE w END")
-    steps.append(_replace_step(d, STEP2, M_GT0))
+    to_i = (f"length(w) > 2 AND {d.match(_cut(1), ENDS_CONSONANT)}" if extended
+            else d.match(_cut(1), HAS_V))
+    steps.append(f"CASE WHEN {d.ends('w', 'y')} AND {to_i} THEN {_cut(1)} || 'i' ELSE w END")
+    if extended:
+        steps.append(f"CASE WHEN {d.ends('w', 'alli')} AND {d.match(_cut(4), M_GT0)} THEN {_cut(2)} ELSE w END")
+        steps.append(f"CASE WHEN {d.ends('w', 'logi')} THEN CASE WHEN {d.match(_cut(3), M_GT0)} "
+                     f"THEN {_cut(1)} ELSE w END ELSE {_replace_step(d, STEP2_EXTENDED, M_GT0)} END")
+    else:
+        steps.append(_replace_step(d, STEP2, M_GT0))
     steps.append(_replace_step(d, STEP3, M_GT0))
     arms = []
     for suf in sorted(STEP4, key=len, reverse=True):
@@ -99,7 +112,8 @@ def porter_steps(dialect: str, word: str = "word") -> tuple[str, list[str], str]
     steps.append("CASE " + " ".join(arms) + " ELSE w END")
     s = _cut(1)
     steps.append(f"CASE WHEN {d.ends('w', 'e')} AND ({d.match(s, M_GT1)} OR "
-                 f"({d.match(s, M_EQ1)} AND NOT {d.match(s, CVC_M1)})) THEN {s} ELSE w END")
+                 f"({d.match(s, M_EQ1)} AND NOT {d.match(s, cvc)})) THEN {s} ELSE w END")
     steps.append(f"CASE WHEN {d.ends('w', 'll')} AND {d.match('w', M_GT1)} THEN {_cut(1)} ELSE w END")
-    final = f"CASE WHEN length({word}) <= 2 THEN {word} ELSE lower(w) END"
+    known = " ".join(f"WHEN {word} = {_q(a)} THEN {_q(b)}" for a, b in IRREGULAR.items()) if extended else ""
+    final = f"CASE {known} WHEN length({word}) <= 2 THEN {word} ELSE lower(w) END"
     return init, steps, final

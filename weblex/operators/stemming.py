@@ -2,7 +2,8 @@
 
 Each distinct word is stemmed once per corpus; the word -> term table is
 joined back with an equi-join that AQE broadcasts when its measured size is
-small.  The stemmer is Porter's algorithm written as a chain of built-in
+small.  The stemmer is Porter's algorithm (extended rules; ``extended=False``
+gives those of 1980) written as a chain of built-in
 SQL expressions (``functions.porter_sql``), so it runs JVM-side in
 whole-stage codegen.
 
@@ -65,11 +66,11 @@ def guard(vocab: DataFrame) -> Column:
 
 
 def stem_vocabulary(vocab: DataFrame, min_len: int = 1, method: str = "sql",
-                    keep: tuple[str, ...] = ()) -> DataFrame:
+                    keep: tuple[str, ...] = (), extended: bool = True) -> DataFrame:
     """(word, term, keep...) for a vocabulary table (word, rows, ...)."""
     if method == "python":
-        return _python_stems(vocab, min_len, keep)
-    init, steps, final = porter_steps("spark")
+        return _python_stems(vocab, min_len, keep, extended)
+    init, steps, final = porter_steps("spark", extended=extended)
     df = vocab.withColumn("w", F.expr(init))
     for expr in steps:
         df = df.withColumn("w", F.expr(expr))
@@ -79,20 +80,20 @@ def stem_vocabulary(vocab: DataFrame, min_len: int = 1, method: str = "sql",
 
 
 def stem_dictionary(words: DataFrame, word_col: str = "word", min_len: int = 1,
-                    weight: str | None = None, method: str = "sql") -> DataFrame:
+                    weight: str | None = None, method: str = "sql", extended: bool = True) -> DataFrame:
     """Distinct words -> (word, term); words whose stem is shorter than
     ``min_len`` are dropped (F4).  ``weight``: a count column of ``words``."""
-    return stem_vocabulary(vocabulary(words, word_col, weight), min_len, method)
+    return stem_vocabulary(vocabulary(words, word_col, weight), min_len, method, extended=extended)
 
 
-def _python_stems(vocab: DataFrame, min_len: int, keep: tuple[str, ...] = ()) -> DataFrame:
+def _python_stems(vocab: DataFrame, min_len: int, keep: tuple[str, ...] = (), extended: bool = True) -> DataFrame:
     ship_package(vocab.sparkSession)
     fields = dict(vocab.dtypes)
     schema = ", ".join(["word string", "term string"] + [f"{k} {fields[k]}" for k in keep])
 
     def stem_batches(batches):
         for pdf in batches:
-            out = pd.DataFrame({"word": pdf["word"], "term": pdf["word"].map(stem),
+            out = pd.DataFrame({"word": pdf["word"], "term": pdf["word"].map(lambda w: stem(w, extended)),
                                 **{k: pdf[k] for k in keep}})
             out = out[pdf["rows"].to_numpy() > 0]
             yield out[out["term"].str.len() >= min_len]

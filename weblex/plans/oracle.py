@@ -4,18 +4,18 @@ Each registered query has an SQL twin that DuckDB runs on the same parquet
 tables.  The SQL is formulated independently of the Spark plans where it
 can be: suffix rules are matched by exploding host suffixes and aggregating
 (Spark tests each suffix depth against hash sets), cutoffs use a plain
-running-sum window, first-seen order uses struct minima.  Porter stemming
-is the same rule-generated regex chain Spark runs, on another regex engine
-(RE2); the independent check of the stemmer is the Python implementation
-in the tests.
+running-sum window, first-seen order uses struct minima.  Stems come from a
+formulation of their own: each step joins the words to a table of suffixes,
+takes the longest, and tests conditions on a spelled-out consonant/vowel
+shape (Spark runs a chain of regular expressions).  Noise words are tested
+one condition at a time.
 
 Builders return SQL text; ``with_ctes`` glues named CTEs into one statement.
 """
 
 from __future__ import annotations
 
-from ..functions.lexicon import NOISE_WORD_RE, default_stopwords
-from ..functions.porter_sql import porter_steps
+from ..functions.lexicon import default_stopwords
 from ..functions.urls import PARAM_SCHEMES, URL_SPLIT_RE
 from ..sources.pages import HREF_RE, PAGE_HOST_RE
 from ..sources.suffixes import BUILTIN_ICANN_SUBSET, FIXTURE_EXTRA_SUFFIXES
@@ -101,7 +101,10 @@ def tokens_sql(label: str, path: str, query: str) -> str:
 
 
 def noise_sql(w: str) -> str:
-    return f"regexp_matches({w}, {q(NOISE_WORD_RE)})"
+    digits = "('0', '1', '2', '3', '4', '5', '6', '7', '8', '9')"
+    hexes = f"(length({w}) IN (32, 40, 64) AND translate({w}, '0123456789abcdef', '') = '')"
+    return (f"(left({w}, 1) IN {digits} OR right({w}, 1) IN {digits} OR left({w}, 2) = 'ww' "
+            f"OR length({w}) <= 2 OR {hexes})")
 
 
 def stopword_list_sql() -> str:
@@ -174,15 +177,88 @@ GROUP BY h.txt, h.labels, h.n"""),
 
 # ------------------------------------------------------------ porter
 
+def shape_sql(w: str) -> str:
+    """One letter a character: C consonant, V vowel (y by what precedes it)."""
+    e = f"regexp_replace({w}, '[aeiou]', 'V', 'g')"
+    e = f"regexp_replace({e}, '[^Vy]', 'C', 'g')"
+    e = f"regexp_replace({e}, '^y', 'C')"
+    for _ in range(2):
+        e = f"regexp_replace(regexp_replace({e}, 'Cy', 'CV', 'g'), 'Vy', 'VC', 'g')"
+    return e
+
+
+def measure_sql(w: str) -> str:
+    return f"len(regexp_extract_all({shape_sql(w)}, 'VC'))"
+
+
+def cvc_sql(w: str) -> str:
+    return (f"((ends_with({shape_sql(w)}, 'CVC') AND right({w}, 1) NOT IN ('w', 'x', 'y')) "
+            f"OR {shape_sql(w)} = 'VC')")
+
+
+#: (suffix, replacement) of the steps; fixed values of the stemmer.
+PORTER_TABLES = {
+    2: "ational ate, tional tion, enci ence, anci ance, izer ize, bli ble, alli al, entli ent, eli e, ousli ous, "
+       "ization ize, ation ate, ator ate, alism al, iveness ive, fulness ful, ousness ous, aliti al, iviti ive, "
+       "biliti ble, fulli ful, logi log",
+    3: "icate ic, ative -, alize al, iciti ic, ical ic, ful -, ness -",
+    4: "al -, ance -, ence -, er -, ic -, able -, ible -, ant -, ement -, ment -, ent -, ion -, ou -, ism -, ate -, "
+       "iti -, ous -, ive -, ize -",
+}
+PORTER_IRREGULAR = ("sky sky, skies sky, dying die, lying lie, tying tie, news news, innings inning, inning inning, "
+                    "outings outing, outing outing, cannings canning, canning canning, howe howe, "
+                    "proceed proceed, exceed exceed, succeed succeed")
+
+
+def _pairs(text: str) -> str:
+    return ", ".join("({}, {})".format(*(q("" if x == "-" else x) for x in p.split())) for p in text.split(", "))
+
+
+def _suffix_step(src: str, table: int, cond: str) -> str:
+    """Replace the longest matching suffix where ``cond`` (on the stem s) holds."""
+    return f"""
+SELECT word, CASE WHEN suf IS NULL OR NOT ({cond}) THEN w ELSE s || rep END AS w
+FROM (SELECT a.word, a.w, r.suf, r.rep, left(a.w, length(a.w) - length(coalesce(r.suf, ''))) AS s,
+             row_number() OVER (PARTITION BY a.word ORDER BY coalesce(length(r.suf), 0) DESC) AS pick
+      FROM {src} a LEFT JOIN (VALUES {_pairs(PORTER_TABLES[table])}) r(suf, rep) ON ends_with(a.w, r.suf))
+WHERE pick = 1"""
+
+
 def porter_ctes(src: str, word_col: str = "word") -> list[tuple[str, str]]:
     """CTEs ending in ``stemmed(word, term)`` for the words of ``src``."""
-    init, steps, final = porter_steps("duckdb")
-    lv = [("vocab", f"SELECT DISTINCT {word_col} AS word FROM {src}"),
-          ("st0", f"SELECT word, {init} AS w FROM vocab")]
-    for i, expr in enumerate(steps, start=1):
-        lv.append((f"st{i}", f"SELECT word, {expr} AS w FROM st{i - 1}"))
-    lv.append(("stemmed", f"SELECT word, {final} AS term FROM st{len(steps)}"))
-    return lv
+    less = lambda k, w="w": f"left({w}, length({w}) - {k})"
+    return [
+        ("vocab", f"SELECT DISTINCT {word_col} AS word FROM {src}"),
+        ("p1a", f"""SELECT word, CASE
+            WHEN length(word) = 4 AND ends_with(word, 'ies') THEN {less(1, 'word')}
+            WHEN ends_with(word, 'sses') OR ends_with(word, 'ies') THEN {less(2, 'word')}
+            WHEN ends_with(word, 's') AND NOT ends_with(word, 'ss') THEN {less(1, 'word')} ELSE word END AS w
+            FROM vocab WHERE length(word) > 2"""),
+        ("p1b", f"""SELECT word, w, CASE WHEN ends_with(w, 'ied') OR ends_with(w, 'eed') THEN NULL
+            WHEN ends_with(w, 'ed') AND contains({shape_sql(less(2))}, 'V') THEN {less(2)}
+            WHEN ends_with(w, 'ing') AND contains({shape_sql(less(3))}, 'V') THEN {less(3)} END AS s FROM p1a"""),
+        ("p1", f"""SELECT word, CASE
+            WHEN ends_with(w, 'ied') THEN CASE WHEN length(w) = 4 THEN {less(1)} ELSE {less(2)} END
+            WHEN ends_with(w, 'eed') THEN CASE WHEN {measure_sql(less(3))} > 0 THEN {less(1)} ELSE w END
+            WHEN s IS NULL THEN w
+            WHEN right(s, 2) IN ('at', 'bl', 'iz') THEN s || 'e'
+            WHEN length(s) > 1 AND right(s, 1) = left(right(s, 2), 1) AND ends_with({shape_sql('s')}, 'C')
+                THEN CASE WHEN right(s, 1) IN ('l', 's', 'z') THEN s ELSE {less(1, 's')} END
+            WHEN {measure_sql('s')} = 1 AND {cvc_sql('s')} THEN s || 'e' ELSE s END AS w FROM p1b"""),
+        ("p1c", f"""SELECT word, CASE WHEN ends_with(w, 'y') AND length(w) > 2 AND ends_with({shape_sql(less(1))}, 'C')
+            THEN {less(1)} || 'i' ELSE w END AS w FROM p1"""),
+        ("p2a", f"""SELECT word, CASE WHEN ends_with(w, 'alli') AND {measure_sql(less(4))} > 0 THEN {less(2)} ELSE w END AS w
+            FROM p1c"""),
+        ("p2", _suffix_step("p2a", 2, f"{measure_sql("CASE WHEN suf = 'logi' THEN s || 'l' ELSE s END")} > 0")),
+        ("p3", _suffix_step("p2", 3, f"{measure_sql('s')} > 0")),
+        ("p4", _suffix_step("p3", 4, f"{measure_sql('s')} > 1 AND (suf <> 'ion' OR right(s, 1) IN ('s', 't'))")),
+        ("p5a", f"""SELECT word, CASE WHEN ends_with(w, 'e') AND ({measure_sql(less(1))} > 1 OR
+            ({measure_sql(less(1))} = 1 AND NOT {cvc_sql(less(1))})) THEN {less(1)} ELSE w END AS w FROM p4"""),
+        ("p5", f"""SELECT word, CASE WHEN ends_with(w, 'll') AND {measure_sql('w')} > 1 THEN {less(1)} ELSE w END AS w
+            FROM p5a"""),
+        ("stemmed", f"""SELECT v.word, coalesce(i.term, p5.w, v.word) AS term FROM vocab v LEFT JOIN p5 ON p5.word = v.word
+            LEFT JOIN (VALUES {_pairs(PORTER_IRREGULAR)}) i(word, term) ON i.word = v.word"""),
+    ]
 
 
 # ------------------------------------------------------ term pipeline
