@@ -10,7 +10,7 @@ Two things rest on it:
   stable boundary; without one the overlap is doubled and the window encoded
   again, until it is found or the windows have become one.
 * Shorter texts are cut at stable boundaries and the pieces' encodings are
-  remembered (up to MEMO_ENTRIES a worker), since words recur.
+  remembered (some MEMO_ENTRIES a worker), since words recur.
 
 Tokenizers without that rule (other .json pre-tokenizers, .model files) encode
 each text whole.  Defined results: a null text counts as empty (0 tokens); an
@@ -34,7 +34,9 @@ WINDOW = 16384
 OVERLAP = 256
 #: Texts over this many characters go window by window.
 HUGE = 65536
-MEMO_ENTRIES = 500_000
+#: Pieces remembered; the generation before is looked through as well.
+MEMO_ENTRIES = 400_000
+MARKS = ".,;:!?"
 
 _CUT = re.compile(r" (?=\S)")
 _LOOSE = re.compile(r" \s|^ | $")
@@ -47,17 +49,15 @@ def is_stable(text: str, p: int) -> bool:
             and not text[p - 1].isspace() and not text[p + 1].isspace())
 
 
-def stable_pieces(text: str) -> list[str]:
-    """``text`` cut at stable boundaries; the pieces join to the text."""
+def stable_pieces(text: str) -> tuple[str, list[str]]:
+    """``text`` cut at stable boundaries: what comes before the first, and the
+    other pieces without the space each starts with."""
     if _LOOSE.search(text) is None:
         words = text.split(" ")
-        return words[:1] + [" " + w for w in words[1:]] if text else []
-    pieces, last = [], 0
-    for m in _CUT.finditer(text):
-        if is_stable(text, m.start()):
-            pieces.append(text[last:m.start()])
-            last = m.start()
-    return pieces + [text[last:]]
+        return words[0], words[1:]
+    cuts = [m.start() for m in _CUT.finditer(text) if is_stable(text, m.start())]
+    ends = cuts[1:] + [len(text)]
+    return text[:cuts[0]] if cuts else text, [text[i + 1:j] for i, j in zip(cuts, ends)]
 
 
 def splice(encode, text: str, window: int = WINDOW, overlap: int = OVERLAP) -> list[int]:
@@ -107,6 +107,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.window, self.overlap, self.huge = window, overlap, huge
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
         self.specials: dict[str, int] = {}
         self.stable = False
         if path.endswith(".model"):
@@ -138,46 +140,76 @@ class Encoder:
         e = self._tok.encode(part, add_special_tokens=False)
         return e.ids, [s for s, _ in e.offsets]
 
-    def _remember(self, pieces) -> None:
-        """Encode the pieces not met before: those that start at a stable
-        boundary all in one text, cut again by the tokens' byte lengths (no
-        token crosses a boundary), the others one by one."""
-        new = [p for p in set(pieces) if p not in self.memo]
-        joint = [p for p in new if p[:1] == " " and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
-        if len(joint) < len(new):
-            alone = list(set(new).difference(joint))
-            for p, ids in zip(alone, self._whole(alone)):
-                self.memo[p] = np.asarray(ids, "<u4").tobytes()
-        for i in range(0, len(joint), 2048):
-            part = joint[i:i + 2048]
-            ids = np.asarray(self._whole(["." + "".join(part)])[0], "<u4")
+    def _recall(self, words: set[str]) -> set[str]:
+        """The words neither remembered nor found in the older generation."""
+        words = words.difference(self.memo)
+        known = [w for w in words if w in self.older]
+        self.memo.update(zip(known, map(self.older.__getitem__, known)))
+        return words.difference(known)
+
+    def _remember_heads(self, heads: set[str]) -> None:
+        """Pieces that no space precedes."""
+        if len(self.heads) > MEMO_ENTRIES:
+            self.heads.clear()
+        new = list(heads.difference(self.heads))
+        for p, ids in zip(new, self._whole(new) if new else ()):
+            self.heads[p] = np.asarray(ids, "<u4").tobytes()
+
+    def _remember(self, words: set[str]) -> None:
+        """Have the encodings of ``words``, each after a space, in the memory.
+
+        A word that ends in marks after a letter or digit is put together from
+        the word and the marks (the pre-tokenizer cuts there, too).  The others
+        are encoded in one text and cut again by the tokens' byte lengths,
+        since no token crosses a stable boundary."""
+        if len(self.memo) > MEMO_ENTRIES:
+            self.older, self.memo = self.memo, {}
+        memo, composed, plain, alone = self.memo, [], set(), []
+        for w in self._recall(words):
+            core = w.rstrip(MARKS)
+            if core and len(core) < len(w) and core[-1].isalnum():
+                composed.append((w, core, w[len(core):]))
+                plain.add(core)
+            elif w[-1:].isspace() or not w or w[0].isspace():
+                alone.append(w)
+            else:
+                plain.add(w)
+        if composed:
+            plain = self._recall(plain)
+            self._remember_heads({marks for _, _, marks in composed})
+        for w, ids in zip(alone, self._whole([" " + w for w in alone]) if alone else ()):
+            memo[w] = np.asarray(ids, "<u4").tobytes()
+        plain = list(plain)
+        for i in range(0, len(plain), 4096):
+            part = plain[i:i + 4096]
+            ids = np.asarray(self._whole([". " + " ".join(part)])[0], "<u4")
             ends = np.cumsum(self.lengths[ids])
-            stops = np.cumsum([1] + [len(p.encode()) for p in part])
+            stops = np.cumsum([1] + [1 + (len(w) if w.isascii() else len(w.encode())) for w in part])
             at = np.searchsorted(ends, stops)
             if not (ends[at] == stops).all():
                 raise ValueError("a token crosses a stable boundary")
             raw, cut = ids.tobytes(), ((at + 1) * 4).tolist()
-            for p, x, y in zip(part, cut, cut[1:]):
-                self.memo[p] = raw[x:y]
+            memo.update(zip(part, map(raw.__getitem__, map(slice, cut, cut[1:]))))
+        for w, core, marks in composed:
+            memo[w] = memo[core] + self.heads[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.stable:
             return [np.asarray(x, "<u4").tobytes() for x in self._whole(list(texts))]
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
         out: list = [None] * len(texts)
-        cut: dict[int, list[list[str]]] = {}
+        cut: dict[int, list[tuple[str, list[str]]]] = {}
         mark = next(iter(self.specials), None)
         for i, text in enumerate(texts):
             if len(text) > self.huge:
                 out[i] = np.asarray(splice(self._with_offsets, text, self.window, self.overlap), "<u4").tobytes()
             else:
                 cut[i] = [stable_pieces(x) for x in (text.split(mark) if mark else [text])]
-        self._remember(p for parts in cut.values() for ps in parts for p in ps)
+        self._remember(set().union(*(words for parts in cut.values() for _, words in parts)))
+        self._remember_heads({head for parts in cut.values() for head, _ in parts})
         get = self.memo.__getitem__
         special = np.asarray([self.specials[mark]], "<u4").tobytes() if mark else b""
         for i, parts in cut.items():
-            out[i] = special.join(b"".join(map(get, ps)) for ps in parts)
+            out[i] = special.join(self.heads[head] + b"".join(map(get, words)) for head, words in parts)
         return out
 
 
