@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from weblex import cli
@@ -12,11 +13,17 @@ from weblex.sources import index as idx
 from conftest import SF_SMALL
 
 
+def test_cli_needs_a_choice_of_rules(capsys):
+    with pytest.raises(SystemExit):
+        cli.main(["normalize", "in", "out"])
+    assert "--suffix-list" in capsys.readouterr().err
+
+
 def test_cli_commands(spark):
     root = scratch_path(spark, "cli")
     urls = os.path.join(root, "urls")
     link_corpus(spark, SF_SMALL).orderBy("page_id", "pos").select("url").coalesce(1).write.text(urls)
-    rules = ["--extra-suffix", "example.com", "--extra-suffix", "example.net",
+    rules = ["--builtin-subset", "--extra-suffix", "example.com", "--extra-suffix", "example.net",
              "--extra-suffix", "example.org"]
 
     out = os.path.join(root, "report")

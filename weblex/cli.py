@@ -10,26 +10,23 @@
 Inputs are paths Spark reads (text line files, a gzipped manifest of
 Parquet index files); outputs are Spark folders of text lines, the reports
 as ``term,frequency,"domains"`` lines under a ``term,frequency,domains``
-header, part files in report order.  Suffix rules: ``--suffix-list PATH``,
-else the system public suffix list when present, else the built-in subset.
+header, part files in report order.  Suffix rules: ``--suffix-list PATH`` (a public
+suffix list on storage every machine reads), or ``--builtin-subset`` for a short
+list of common suffixes; without either the command stops, since URLs under
+suffixes a list lacks are dropped.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
-import sys
-
-SYSTEM_PSL = "/usr/share/publicsuffix/public_suffix_list.dat"
 
 
 def _rules(spark, args):
     from .sources.suffixes import builtin_rules, read_suffix_rules
     extra = list(args.extra_suffix or [])
-    path = args.suffix_list or (SYSTEM_PSL if os.path.exists(SYSTEM_PSL) else None)
-    if path:
-        return read_suffix_rules(spark, path, private=args.private_suffixes, extra=extra)
-    print("no suffix list given or found; using the built-in subset", file=sys.stderr)
+    if args.suffix_list:
+        return read_suffix_rules(spark, args.suffix_list, private=args.private_suffixes, extra=extra)
     return builtin_rules(spark, extra)
 
 
@@ -47,10 +44,10 @@ def _extract(spark, args, hosts: bool) -> None:
 def _normalize(spark, args) -> None:
     from .plans import jobs
     from .sinks import write_lines
-    from .sources.lines import line_numbers, read_lines
+    from .sources.lines import numbered_lines, read_lines
     rules = _rules(spark, args)
     if args.in_order:
-        hosts = line_numbers(read_lines(spark, args.input, "host", order=True), name="line_no")
+        hosts = numbered_lines(spark, args.input, "host").filter("host <> ''")
         out = jobs.normalize_domains_in_order(hosts, rules, "line_no")
         out = out.orderBy("line_no")
     else:
@@ -59,12 +56,12 @@ def _normalize(spark, args) -> None:
 
 
 def _urls(spark, args, ordered: bool):
-    from .sources.lines import line_numbers, read_lines, sample_every_nth
-    urls = read_lines(spark, args.input, "url", order=ordered or args.sample_rate > 1)
-    if ordered or args.sample_rate > 1:
-        urls = line_numbers(urls, name="line_no")
-        urls = sample_every_nth(urls, args.sample_rate, "line_no")
-    return urls
+    from .sources.lines import numbered_lines, read_lines, sample_every_nth
+    if not ordered and args.sample_rate <= 1:
+        return read_lines(spark, args.input, "url")
+    # Every raw line counts, blank ones too; those are dropped afterwards.
+    urls = sample_every_nth(numbered_lines(spark, args.input, "url"), args.sample_rate, "line_no")
+    return urls.filter("url <> ''")
 
 
 def _write_report(report, args) -> None:
@@ -96,7 +93,11 @@ def _incremental(spark, args) -> None:
     rules = _rules(spark, args)
     parts = os.path.join(args.state_dir, "partials")
     incremental.run_incremental(spark, args.input, parts, os.path.join(args.state_dir, "checkpoint"),
-                                rules, args.min_term_length, args.max_files_per_batch)
+                                rules, args.min_term_length, args.max_files_per_batch,
+                                sample_rate=args.sample_rate)
+    s = incremental.run_stats(spark, parts).first()
+    print(f"Processed {s.processed_urls:,} URLs, {s.total_terms:,} term occurrences "
+          f"in {s.batches:,} batches")
     report = incremental.merged_report(spark, parts, args.percentage, args.max_domains)
     _write_report(report, args)
 
@@ -107,7 +108,10 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
 
     def suffix_opts(q):
-        q.add_argument("--suffix-list", help="public suffix list file (any Spark path)")
+        which = q.add_mutually_exclusive_group(required=True)
+        which.add_argument("--suffix-list", help="public suffix list file (any Spark path)")
+        which.add_argument("--builtin-subset", action="store_true",
+                           help="use the short built-in list; URLs under other suffixes are dropped")
         q.add_argument("--private-suffixes", action="store_true",
                        help="also use the PRIVATE section of the list")
         q.add_argument("--extra-suffix", action="append", help="extra plain suffix rule")
@@ -144,9 +148,9 @@ def parser() -> argparse.ArgumentParser:
                        help="write with Spark's CSV writer (quotes only when needed) instead "
                             "of the term,frequency,\"domains\" lines")
         suffix_opts(q)
+        q.add_argument("--sample-rate", type=int, default=1,
+                       help="use every Nth input line (default 1: all)")
         if name == "term-frequency":
-            q.add_argument("--sample-rate", type=int, default=1,
-                           help="use every Nth input line (default 1: all)")
             q.add_argument("--first-seen", action="store_true",
                            help="list each term's first domains in input order")
         else:

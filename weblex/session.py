@@ -2,8 +2,8 @@
 
 Everything that has to outlive a task (streaming checkpoints, stored partial
 counts, manifests written for a run) goes under the folder the cluster names
-in ``spark.checkpoint.dir``.  Only when that setting is missing (local runs,
-tests) do we create one of our own.
+in ``spark.checkpoint.dir``.  Only local runs (tests) may do without: they get a
+folder of their own; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -51,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="weblex-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
