@@ -20,12 +20,13 @@ def write_term_csv(report: DataFrame, path: str) -> str:
     """
     (report.select("term", "frequency", "domains")
            .orderBy(F.desc("frequency"), F.asc("term"))
-           .write.mode("overwrite").option("header", True).csv(path))
+           .write.mode("overwrite").option("header", True).option("escape", '"').csv(path))
     return path
 
 
 def read_term_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True,
+    """Either report read back; a doubled quote stands for one."""
+    return spark.read.csv(path, header=True, quote='"', escape='"',
                           schema="term string, frequency bigint, domains string")
 
 
@@ -39,10 +40,12 @@ def write_term_parquet(report: DataFrame, path: str) -> str:
 def write_term_report_text(report: DataFrame, path: str) -> str:
     """K2, source byte format: ``term,frequency,"domains"`` with a header.
 
-    The domains field is always quoted (terms are [a-z0-9] and domains hold
-    no quotes, so no escaping is needed).  Lines are formatted by built-in
-    expressions; a range-partitioned sort on (frequency desc, term) with the
-    header keyed first keeps the part files in report order.
+    The domains field is always quoted and a quote in it doubled (a lenient
+    host may hold any character but ``/ ? # @ :``).  Commas part the domains, so
+    a domain that holds one reads as two, as in the source's own format.  Lines
+    are formatted by built-in expressions; a range-partitioned sort on
+    (frequency desc, term) with the header keyed first keeps the part files in
+    report order.
     """
     spark = report.sparkSession
     header = spark.createDataFrame([("term,frequency,domains",)], "line string") \
@@ -50,7 +53,7 @@ def write_term_report_text(report: DataFrame, path: str) -> str:
     lines = report.select(
         F.col("frequency").cast("bigint").alias("_f"), F.col("term").alias("_t"),
         F.concat_ws(",", F.col("term"), F.col("frequency").cast("string"),
-                    F.concat(F.lit('"'), F.col("domains"), F.lit('"'))).alias("line"))
+                    F.concat(F.lit('"'), F.replace(F.col("domains"), F.lit('"'), F.lit('""')), F.lit('"'))).alias("line"))
     (header.unionByName(lines)
            .orderBy(F.desc_nulls_first("_f"), F.asc("_t"))
            .select(F.col("line").alias("value"))
