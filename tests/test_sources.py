@@ -5,9 +5,9 @@ import os
 from pyspark.sql import functions as F
 
 from weblex.session import scratch_path
-from weblex.sinks import read_term_csv, write_lines, write_term_csv
+from weblex.sinks import read_term_csv, write_lines, write_term_csv, write_term_report_text
 from weblex.sources import index as idx
-from weblex.sources.lines import line_numbers, read_lines, sample_every_nth
+from weblex.sources.lines import numbered_lines, read_lines, sample_every_nth
 from conftest import SF_SMALL
 
 
@@ -39,12 +39,35 @@ def test_read_lines_and_sampling(spark):
     path = scratch_path(spark, "lines")
     spark.createDataFrame([(f"  u{i}  ",) for i in range(1, 8)] + [("   ",)], "value string") \
         .coalesce(1).write.text(path)
-    lines = read_lines(spark, path, "url", order=True)
-    numbered = line_numbers(lines)
-    assert [r.url for r in numbered.orderBy("line_no").collect()] == [f"u{i}" for i in range(1, 8)]
+    assert read_lines(spark, path, "url").count() == 7
+    numbered = numbered_lines(spark, path, "url")
+    assert [r.url for r in numbered.orderBy("line_no").collect()] == [f"u{i}" for i in range(1, 8)] + [""]
     picked = sample_every_nth(numbered, 3, "line_no")
     assert sorted(r.url for r in picked.collect()) == ["u3", "u6"]
-    assert sample_every_nth(numbered, 1, "line_no").count() == 7
+    assert sample_every_nth(numbered, 1, "line_no").count() == 8
+
+
+def test_blank_lines_count_in_sampling(spark):
+    path = scratch_path(spark, "lines")
+    spark.createDataFrame([(v,) for v in ("a", "", "b", "c", "", "d")], "value string").coalesce(1).write.text(path)
+    picked = sample_every_nth(numbered_lines(spark, path, "url"), 2, "line_no").filter("url <> ''")
+    assert sorted(r.url for r in picked.collect()) == ["c", "d"]
+
+
+def test_line_numbers_over_many_splits(spark):
+    path = scratch_path(spark, "lines")
+    spark.range(5000).select(F.format_string("%06d", "id").alias("value")).repartitionByRange(4, "value") \
+        .sortWithinPartitions("value").write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        numbered = numbered_lines(spark, path, "url")
+        assert numbered.rdd.getNumPartitions() > 8
+        assert all(int(r.url) + 1 == r.line_no for r in numbered.collect())
+        plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+        assert "Repartition" not in plan and "Sort" not in plan.split("Join")[0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_sinks_round_trip(spark):
@@ -57,6 +80,14 @@ def test_sinks_round_trip(spark):
     assert [tuple(r) for r in back.collect()] == [("u", 9, "c.com"), ("t", 5, "a.com,b.com")]
 
 
+def test_reports_read_back_with_quotes(spark):
+    rows = [("alpha", 3, 'a"b.com,plain.com'), ("beta", 2, '"'), ("gamma", 1, "x.com")]
+    rep = spark.createDataFrame(rows, "term string, frequency bigint, domains string")
+    for write in (write_term_csv, write_term_report_text):
+        back = read_term_csv(spark, write(rep, scratch_path(spark, "k2-quotes")))
+        assert [tuple(r) for r in back.collect()] == rows
+
+
 def test_page_corpus(spark):
     from weblex.sources.pages import link_corpus
     links = link_corpus(spark, SF_SMALL)

@@ -55,7 +55,7 @@ def test_incremental_recovers_from_a_failed_batch(spark, monkeypatch):
     original = incremental.count_batch
 
     def failing(batch, *args, **kwargs):
-        counts = original(batch, *args, **kwargs)
+        counts, _ = original(batch, *args, **kwargs)
         counts.limit(5).write.mode("overwrite").parquet(os.path.join(parts, "batch_id=0"))
         raise RuntimeError("simulated executor loss")
 
@@ -69,6 +69,28 @@ def test_incremental_recovers_from_a_failed_batch(spark, monkeypatch):
     assert merged == {(r.term, r.domain): r.n for r in whole.collect()}
 
 
+def test_nothing_arrived_yet(spark):
+    parts = os.path.join(scratch_path(spark, "t2-empty"), "parts")
+    assert incremental.merged_report(spark, parts).count() == 0
+    assert tuple(incremental.run_stats(spark, parts).first()) == (0, 0, 0)
+
+
+def test_batch_statistics_add_up(spark):
+    rules = fixture_rules(spark)
+    root = scratch_path(spark, "t1-stats")
+    src, parts, ckpt = (os.path.join(root, d) for d in ("in", "parts", "ckpt"))
+    links = link_corpus(spark, SF_SMALL)
+    links.select("url").coalesce(1).write.text(os.path.join(src, "a"))
+    for _ in range(2):
+        incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
+    stats = incremental.batch_stats(spark, parts).collect()
+    recs = terms.url_records(links, rules)
+    pairs = terms.word_domain_counts(terms.words_of(recs, mark_urls=True))
+    whole = terms.corpus_stats(pairs, terms.terms_from_pairs(pairs)).first()
+    assert len(stats) == 1 and tuple(stats[0])[:4] == tuple(whole)
+    assert tuple(incremental.run_stats(spark, parts).first()) == (1, whole.processed_urls, whole.total_terms)
+
+
 def test_incremental_continuous_trigger(spark):
     rules = fixture_rules(spark)
     root = scratch_path(spark, "t1-cont")

@@ -1,38 +1,47 @@
 """Line files (URLs or hosts, one per line) and every-Nth sampling.
 
-Text files carry no line numbers.  When line order matters (run dedup,
-every-Nth sampling, first-seen domains) ``read_lines(..., order=True)``
-adds a sort key (file, split start, position in the task), which follows
-the file's line order exactly; ``with_ordinal`` turns it into dense line
-numbers without a single-partition window.
+Text files carry no line numbers.  ``numbered_lines`` counts the lines of each
+input split, turns those counts (a row per split) into offsets in (file, split)
+order and adds a line's position in its split: dense numbers of the raw lines,
+blank ones included, and no line is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import strip_text
-from ..operators.ordinal import with_ordinal
-
-
-def read_lines(spark: SparkSession, path: str, col: str = "url",
-               order: bool = False) -> DataFrame:
-    """Stripped, non-empty lines as ``col`` (plus ``line_key`` if order)."""
-    raw = spark.read.text(path)
-    if order:
-        raw = raw.select(
-            "value",
-            F.struct(F.col("_metadata.file_path").alias("f"),
-                     F.col("_metadata.file_block_start").alias("s"),
-                     F.monotonically_increasing_id().alias("i")).alias("line_key"))
-    df = raw.withColumn(col, strip_text(F.col("value"))).drop("value")
+
+
+def read_lines(spark: SparkSession, path: str, col: str = "url") -> DataFrame:
+    """Stripped, non-empty lines as ``col``."""
+    df = spark.read.text(path).select(strip_text(F.col("value")).alias(col))
     return df.filter(F.col(col) != "")
 
 
-def line_numbers(df: DataFrame, key: str = "line_key", name: str = "line_no") -> DataFrame:
-    """Dense 1-based line numbers following ``key``."""
-    return with_ordinal(df, [F.asc(key)], name).drop(key)
+def number_rows(raw: DataFrame, name: str = "line_no") -> DataFrame:
+    """Add the dense 1-based number of each row of a file scan that carries
+    ``_file``, ``_start`` (its split) and ``_id`` (monotonically_increasing_id),
+    in file and split order.
+
+    The splits of a scan are planned from the files alone, so the counts and
+    the rows see the same ones.  The table of offsets has a row per split and
+    is broadcast."""
+    splits = raw.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (raw.join(F.broadcast(offsets), ["_file", "_start"])
+            .withColumn(name, F.col("_off") + F.col("_id") - F.col("_first") + 1)
+            .drop("_file", "_start", "_id", "_first", "_off"))
+
+
+def numbered_lines(spark: SparkSession, path: str, col: str = "url", name: str = "line_no") -> DataFrame:
+    """Every raw line, stripped (blank ones as ''), with its number."""
+    raw = spark.read.text(path).select(
+        strip_text(F.col("value")).alias(col), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    return number_rows(raw, name)
 
 
 def sample_every_nth(df: DataFrame, n: int, ordinal: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 New URL files dropped into a folder are picked up by a file stream; each
 micro-batch is counted into (term, domain, n) and stored as its own Parquet
-partition ``batch_id=<id>``.  A re-run after a failure rewrites the same
+partition ``batch_id=<id>``, its statistics in a folder beside it.  A re-run after a failure rewrites the same
 partition (overwrite of that one folder), and the stream's checkpoint
 records which files were consumed, so no file is counted twice and a run
 with no new files adds nothing.  The report (T2) is a batch query over all
@@ -13,39 +13,58 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import terms
 from ..operators.counts import merge_partials
 from ..plans.jobs import term_report
+from ..plans.materialize import materialize
+from ..sources.lines import number_rows, sample_every_nth
 from ..sources.suffixes import SuffixRules
 
 
+PARTIALS = "term string, domain string, n bigint, batch_id bigint"
+STATS = ("processed_urls bigint, unique_domains bigint, unique_terms bigint, total_terms bigint, "
+         "batch_id bigint")
+
+
 def count_batch(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
-                min_len: int = 3) -> DataFrame:
-    """(term, domain, n) of one batch of URL lines."""
-    words = terms.url_words(urls, rules, url_col, min_len)
-    return terms.term_domain_counts(words, min_len)
+                min_len: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(term, domain, n) of one batch of URL lines, and its statistics (A6),
+    from one pass over the URLs."""
+    recs = terms.url_records(urls, rules, url_col)
+    pairs = materialize(terms.word_domain_counts(terms.words_of(recs, min_len, mark_urls=True)), "pairs-marked")
+    counts = materialize(terms.terms_from_pairs(pairs, min_len), "term-domain")
+    return counts, terms.corpus_stats(pairs, counts)
 
 
 def run_incremental(spark: SparkSession, source_dir: str, partial_dir: str,
                     checkpoint_dir: str, rules: SuffixRules, min_len: int = 3,
                     max_files_per_batch: int | None = None,
-                    every: str | None = None):
+                    every: str | None = None, sample_rate: int = 1):
     """Process the files not yet seen, then stop (availableNow).
 
     With ``every`` (e.g. "10 minutes") the query keeps running on that
-    processing-time trigger instead, and its handle is returned.
+    processing-time trigger instead, and its handle is returned.  With
+    ``sample_rate`` N only every Nth raw line of a batch is counted, blank
+    lines included in the numbering, files in path order.
     """
     reader = spark.readStream.format("text")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    stream = reader.load(source_dir).select(F.col("value").alias("url"))
+    stream = reader.load(source_dir).select(
+        F.col("value").alias("url"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        out = os.path.join(partial_dir, f"batch_id={batch_id}")
-        count_batch(batch, rules, "url", min_len).write.mode("overwrite").parquet(out)
+        if sample_rate > 1:
+            lines = number_rows(batch.withColumn("_id", F.monotonically_increasing_id()))
+            batch = sample_every_nth(lines, sample_rate, "line_no")
+        counts, stats = count_batch(batch.select("url"), rules, "url", min_len)
+        stats.coalesce(1).write.mode("overwrite").parquet(os.path.join(_stats_dir(partial_dir), f"batch_id={batch_id}"))
+        counts.write.mode("overwrite").parquet(os.path.join(partial_dir, f"batch_id={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint_dir)
     if every:
@@ -55,9 +74,35 @@ def run_incremental(spark: SparkSession, source_dir: str, partial_dir: str,
     return None
 
 
+def _stats_dir(partial_dir: str) -> str:
+    return partial_dir.rstrip("/") + "-stats"
+
+
+def _stored(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The batches stored so far; none yet is an empty table."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_partials(spark: SparkSession, partial_dir: str) -> DataFrame:
     """Stored partials: (term, domain, n, batch_id)."""
-    return spark.read.parquet(partial_dir)
+    return _stored(spark, partial_dir, PARTIALS)
+
+
+def batch_stats(spark: SparkSession, partial_dir: str) -> DataFrame:
+    """Statistics of each stored batch (A6 columns and batch_id)."""
+    return _stored(spark, _stats_dir(partial_dir), STATS)
+
+
+def run_stats(spark: SparkSession, partial_dir: str) -> DataFrame:
+    """One row: batches, processed URLs and term occurrences so far."""
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
+    return batch_stats(spark, partial_dir).agg(
+        F.count(F.lit(1)).alias("batches"), zero("processed_urls"), zero("total_terms"))
 
 
 def merged_counts(spark: SparkSession, partial_dir: str) -> DataFrame:
@@ -68,4 +113,4 @@ def merged_counts(spark: SparkSession, partial_dir: str) -> DataFrame:
 def merged_report(spark: SparkSession, partial_dir: str, share: float = 0.8,
                   max_domains: int = 1000) -> DataFrame:
     """The term report, recomputed over every stored partial."""
-    return term_report(merged_counts(spark, partial_dir), share, max_domains)
+    return term_report(materialize(merged_counts(spark, partial_dir), "term-domain"), share, max_domains)
