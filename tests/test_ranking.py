@@ -93,9 +93,9 @@ def test_ordinal_stable_under_pruned_branches(spark):
     """Positions and offsets must come from one evaluation, even when the
     input is round-robin spread and a consumer prunes columns (this failed
     on the sf0.1 link corpus when the two branches were evaluated apart)."""
-    from weblex.plans.catalog import s5_sample_every_nth
     from weblex.sources.pages import link_corpus
-    sf = "/root/testdata/sf0.1"
-    got = {(r.page_id, r.pos) for r in s5_sample_every_nth(spark, sf).collect()}
-    keys = sorted((r.page_id, r.pos) for r in link_corpus(spark, sf).select("page_id", "pos").collect())
-    assert got == {k for i, k in enumerate(keys) if (i + 1) % 3 == 0}
+    links = link_corpus(spark, "/root/testdata/sf0.1")
+    numbered = with_ordinal(links, [F.asc("page_id"), F.asc("pos")], "line_no")
+    got = {(r.page_id, r.pos) for r in numbered.filter("line_no % 3 = 0").select("page_id", "pos").collect()}
+    order = sorted((r.page_id, r.pos) for r in links.select("page_id", "pos").collect())
+    assert got == set(order[2::3])

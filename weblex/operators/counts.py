@@ -12,17 +12,12 @@ def rows_per_file(distinct_rows: DataFrame, file_col: str = "file_path") -> Data
     return distinct_rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def normalize_counts(normalized: DataFrame, emitted: DataFrame, value: str = "domain") -> DataFrame:
-    """A2: hosts that got a registered domain, and rows emitted.
-
-    One aggregate over the union of both inputs (no join).
-    """
-    a = normalized.select(F.col(value).isNotNull().cast("bigint").alias("_h"),
-                          F.lit(0).cast("bigint").alias("_e"))
-    b = emitted.select(F.lit(0).cast("bigint").alias("_h"), F.lit(1).cast("bigint").alias("_e"))
-    return a.unionByName(b).agg(
-        F.coalesce(F.sum("_h"), F.lit(0)).cast("bigint").alias("domain_count"),
-        F.coalesce(F.sum("_e"), F.lit(0)).cast("bigint").alias("unique_count"))
+def normalize_counts(marked: DataFrame, is_new: str = "is_new") -> DataFrame:
+    """A2: hosts that got a registered domain, and rows emitted, from one pass
+    over the rows marked by ``dedup.mark_runs``."""
+    return marked.agg(
+        F.count(F.lit(1)).cast("bigint").alias("domain_count"),
+        F.coalesce(F.sum(F.col(is_new).cast("bigint")), F.lit(0)).cast("bigint").alias("unique_count"))
 
 
 def merge_partials(partials: DataFrame, keys=("term", "domain"), n: str = "n") -> DataFrame:

@@ -23,7 +23,13 @@ def distinct_sorted(df: DataFrame, value: str) -> DataFrame:
 
 def drop_adjacent_repeats(df: DataFrame, value: str, order: str,
                           bucket_rows: int = RUN_BUCKET_ROWS) -> DataFrame:
-    """Keep a row when its value differs from the previous non-null one.
+    """Keep a row when its value differs from the previous non-null one."""
+    return mark_runs(df, value, order, "_new", bucket_rows).filter("_new").drop("_new")
+
+
+def mark_runs(df: DataFrame, value: str, order: str, name: str = "is_new",
+              bucket_rows: int = RUN_BUCKET_ROWS) -> DataFrame:
+    """The rows with a value, and whether it differs from the previous one.
 
     Rows with a null value are skipped and do not break a run.  ``order`` is
     an integral position (line number, id).  Instead of one global window,
@@ -41,7 +47,7 @@ def drop_adjacent_repeats(df: DataFrame, value: str, order: str,
     carry = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_carry"))
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     return (d.join(carry, "_b", "left")
-             .filter(prev.isNull() | (F.col(value) != prev))
+             .withColumn(name, prev.isNull() | (F.col(value) != prev))
              .drop("_b", "_prev", "_is_last", "_carry"))
 
 

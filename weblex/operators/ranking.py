@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from .ordinal import with_ordinal
 
+# Parts in which a key's rows are limited before they meet.
+SALTS = 32
+
 # Up to this many terms tied at the boundary count are ordered by a
 # single-task top-k; larger tie groups use the distributed ordinal.
 BOUNDARY_TOPK_LIMIT = 2_000_000
@@ -81,27 +84,31 @@ def share_cutoff(counts: DataFrame, share: float, key: str = "term",
     return above.unionByName(at)
 
 
+def _limited(td: DataFrame, order, key: str, item: str, most: int) -> DataFrame:
+    """The first ``most`` rows of each key in ``order``, with their ``rank``."""
+    part = Window.partitionBy(key, F.pmod(F.xxhash64(item), F.lit(SALTS))).orderBy(*order)
+    some = td.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= most).drop("rank")
+    return (some.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+                .filter(F.col("rank") <= most)
+                .withColumn("rank", F.col("rank").cast("bigint")))
+
+
 def top_domains(td: DataFrame, max_domains: int, key: str = "term",
                 item: str = "domain", n: str = "n") -> DataFrame:
     """The ``max_domains`` most frequent items per key (ties: item asc).
 
     ``row_number() <= N`` lets Spark put a partial group limit before the
-    shuffle, so a very common key sends at most N rows per map task.
+    shuffle; a first limit within each of SALTS parts of a key keeps the
+    last window of a very common key at SALTS * N rows.
     """
-    w = Window.partitionBy(key).orderBy(F.desc(n), F.asc(item))
-    return (td.withColumn("rank", F.row_number().over(w))
-              .filter(F.col("rank") <= max_domains)
-              .withColumn("rank", F.col("rank").cast("bigint")))
+    return _limited(td, [F.desc(n), F.asc(item)], key, item, max_domains)
 
 
 def first_seen_rank(td: DataFrame, max_domains: int, first: str = "first_seen",
                     key: str = "term", item: str = "domain") -> DataFrame:
     """Per key, the first ``max_domains`` distinct items met, ranked by
     the position (``first``) where each pair was first seen."""
-    w = Window.partitionBy(key).orderBy(F.asc(first), F.asc(item))
-    return (td.withColumn("rank", F.row_number().over(w))
-              .filter(F.col("rank") <= max_domains)
-              .withColumn("rank", F.col("rank").cast("bigint")))
+    return _limited(td, [F.asc(first), F.asc(item)], key, item, max_domains)
 
 
 def first_seen_domains(occ: DataFrame, max_domains: int, order: str = "ord",

@@ -29,6 +29,7 @@ from .stemming import guard, stem_vocabulary, vocabulary
 # A word with more (word, domain) rows than this is "hot": its rows are
 # spread over several join keys (salted) instead of one task.
 HOT_PAIRS = 1_000_000
+MAX_HOT = 4096
 
 
 def url_records(urls: DataFrame, rules: SuffixRules, url_col: str = "url",
@@ -136,12 +137,14 @@ def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int,
     than HOT_PAIRS rows get a spread factor f: their rows take a salt
     hash(salt_cols) mod f, their dictionary entry is repeated for salts
     0..f-1, and the join key is (word, salt).  The hot-word table is
-    broadcast; it has at most (pair rows) / HOT_PAIRS entries.
+    broadcast; it has the MAX_HOT most frequent of them at most, and any other
+    word fewer than 1 / MAX_HOT of all rows.
     """
     spread_by = F.greatest(F.lit(1), F.ceil(F.col("pairs") / F.lit(HOT_PAIRS))).cast("int")
     # The guard reads every vocabulary column, like the stem branch, so both
     # keep the same input aggregate and reuse one shuffle.
     hot = (vocab.filter((F.col("pairs") > HOT_PAIRS) & guard(vocab))
+                .orderBy(F.desc("pairs"), "word").limit(MAX_HOT)
                 .select("word", spread_by.alias("_f")))
     salt = F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*salt_cols), F.col("_f")).cast("int"))

@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import site_label, strip_text, url_host, url_parts, url_tokens
 from ..operators import counts, dedup, ranking, terms
-from ..operators.ordinal import with_ordinal
 from ..operators.partitioning import spread
 from ..session import scratch_path
 from ..sinks import read_term_csv, write_lines, write_term_csv, write_term_report_text
 from ..sources import index as idx
-from ..sources.lines import read_lines, sample_every_nth
+from ..sources.lines import numbered_lines, read_lines, sample_every_nth
 from ..streaming import incremental, normalize
 from ..operators.domains import registered_domain, registered_only
 from ..operators.stemming import stem_dictionary
@@ -226,7 +225,8 @@ def w1_term_rank(spark, sf_dir):
 @register("w2_share_cutoff", lambda: _sql(
     O.term_ctes(LINKS_SQL) + [O.cutoff_cte(SHARE)], "SELECT term, n FROM kept"))
 def w2_share_cutoff(spark, sf_dir):
-    return ranking.share_cutoff(terms.term_counts(_td(spark, sf_dir)), SHARE)
+    tc = materialize(terms.term_counts(_td(spark, sf_dir)), "term-counts")
+    return ranking.share_cutoff(tc, SHARE)
 
 
 @register("w3_top_domains", lambda: _sql(
@@ -251,7 +251,7 @@ def w6_sorted_terms(spark, sf_dir):
     O.term_ctes(LINKS_SQL) + [O.cutoff_cte(SHARE)],
     "SELECT term, domain, n FROM td WHERE term IN (SELECT term FROM kept)"))
 def j3_kept_term_domains(spark, sf_dir):
-    td = _td(spark, sf_dir)
+    td = materialize(_td(spark, sf_dir), "term-domain")
     return ranking.restrict_to(td, ranking.share_cutoff(terms.term_counts(td), SHARE))
 
 
@@ -274,12 +274,17 @@ def q4_term_frequency(spark, sf_dir):
 BATCH_PAGES = 100          # pages per input range (partial-count batches)
 LIMIT_ROWS = 100           # rows per index file for the limited extract
 EVERY = 3                  # every-Nth line sample
+PARTS = 3                  # separately stored partial counts
 Q5_EVERY, Q5_DOMAINS = 2, 10
 W4_N = 3
 
 
 def _ordered_links(spark, sf_dir):
-    return _links(spark, sf_dir).withColumn("ord", F.struct("page_id", "pos"))
+    """Links with their position as one number, so that its minimum is kept in
+    a hash aggregate: page, then place on the page (under 2^20, checked)."""
+    place = F.when(F.col("pos") < 1 << 20, F.col("pos")).otherwise(
+        F.raise_error(F.lit("a page with 2^20 links or more")).cast("bigint"))
+    return _links(spark, sf_dir).withColumn("ord", F.shiftleft(F.col("page_id"), 20) + place)
 
 
 def _index_entries(spark, sf_dir, broken: bool = False) -> tuple[str, list[str]]:
@@ -391,13 +396,30 @@ def s4_read_lines(spark, sf_dir):
     return read_lines(spark, _padded_lines(spark, sf_dir), "url")
 
 
-@register("s5_sample_every_nth", lambda: _sql([("links", LINKS_SQL)], (
-    f"SELECT page_id, pos, url FROM (SELECT *, row_number() OVER (ORDER BY page_id, pos) AS rn "
-    f"FROM links) WHERE rn % {EVERY} = 0")))
+def _ordered_lines(spark, sf_dir) -> str:
+    """Link URLs as lines in (page_id, pos) order, a blank line before each page."""
+    path = scratch_path(spark, "ordered-lines")
+    lines = _links(spark, sf_dir).withColumn("line", F.explode(
+        F.when(F.col("pos") == 0, F.array(F.lit(""), F.col("url"))).otherwise(F.array("url"))))
+    (lines.withColumn("k", (F.col("line") != "").cast("int")).orderBy("page_id", "pos", "k")
+          .select("line").write.text(path))
+    return path
+
+
+_LINES_SQL = (f"SELECT page_id, pos, url, row_number() OVER (ORDER BY page_id, pos, k) AS line_no FROM ("
+              f"SELECT page_id, pos, url, 1 AS k FROM ({LINKS_SQL}) UNION ALL "
+              f"SELECT page_id, pos, '' AS url, 0 AS k FROM ({LINKS_SQL}) WHERE pos = 0)")
+
+
+def _every_nth_sql(n: int) -> str:
+    return f"SELECT page_id, pos, url, line_no FROM ({_LINES_SQL}) WHERE line_no % {n} = 0 AND url <> ''"
+
+
+@register("s5_sample_every_nth", lambda: f"SELECT CAST(line_no AS BIGINT) AS line_no, url FROM ({_every_nth_sql(EVERY)})")
 def s5_sample_every_nth(spark, sf_dir):
-    """Every 3rd link URL in (page_id, pos) order, via dense ordinals."""
-    links = with_ordinal(_links(spark, sf_dir), [F.asc("page_id"), F.asc("pos")], "line_no")
-    return sample_every_nth(links, EVERY, "line_no").select("page_id", "pos", "url")
+    """Every 3rd raw line of a line file; blank lines count, then go."""
+    lines = numbered_lines(spark, _ordered_lines(spark, sf_dir), "url")
+    return sample_every_nth(lines, EVERY, "line_no").filter("url <> ''").select("line_no", "url")
 
 
 @register("d3_distinct_sorted_urls", lambda: _sql(
@@ -414,7 +436,7 @@ def d3_distinct_sorted_urls(spark, sf_dir):
 def d4_adjacent_dedup(spark, sf_dir):
     """Events in id order, repeated event types within a run dropped."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
-    return dedup.drop_adjacent_repeats(ev, "event_type", "event_id", bucket_rows=1000)
+    return dedup.drop_adjacent_repeats(ev, "event_type", "event_id")
 
 
 def _page_hosts(spark, sf_dir):
@@ -446,8 +468,7 @@ def a2_normalize_counts(spark, sf_dir):
     rules = fixture_rules(spark)
     hosts = _page_hosts(spark, sf_dir).filter(F.col("host").isNotNull())
     norm = registered_only(hosts, "host", rules, keep=("page_id",))
-    emitted = dedup.drop_adjacent_repeats(norm, "domain", "page_id")
-    return counts.normalize_counts(norm, emitted)
+    return counts.normalize_counts(dedup.mark_runs(norm, "domain", "page_id"))
 
 
 _ALL_HOST_DOMAINS_CTES = [("u", ALL_URLS_SQL),
@@ -493,8 +514,14 @@ _BATCH_SQL = "SELECT *, CAST(floor(page_id / %d) AS BIGINT) AS batch FROM (%s)"
     O.term_ctes(_BATCH_SQL, keep="batch, "),
     "SELECT batch, term, domain, CAST(count(*) AS BIGINT) AS n FROM occ GROUP BY batch, term, domain"))
 def d6_union_partials(spark, sf_dir):
-    """Per-range partial pair counts, concatenated."""
-    return terms.term_domain_counts(_batched_words(spark, sf_dir), by=("batch",))
+    """Pair counts of PARTS groups of ranges, each counted and stored on
+    its own, concatenated."""
+    links = _links(spark, sf_dir).withColumn("batch", F.floor(F.col("page_id") / BATCH_PAGES).cast("bigint"))
+    parts = []
+    for i in range(PARTS):
+        words = terms.url_words(links.filter(F.col("batch") % PARTS == i), fixture_rules(spark), keep=("batch",))
+        parts.append(materialize(terms.term_domain_counts(words, by=("batch",)), f"partial-{i}"))
+    return dedup.union_all(parts)
 
 
 @register("a7_merge_partials", lambda: _term_sql("SELECT term, domain, n FROM td"))
@@ -546,16 +573,15 @@ def q6_first_seen_term_frequency(spark, sf_dir):
                                           "ord", share=SHARE)
 
 
-_Q5_CORPUS = (f"SELECT page_id, pos, url FROM (SELECT *, row_number() OVER (ORDER BY page_id, pos) "
-              f"AS rn FROM ({LINKS_SQL})) WHERE rn % {Q5_EVERY} = 0")
-
-
-@register("q5_sampled_term_frequency", lambda: O.term_frequency_sql(_Q5_CORPUS, SHARE, Q5_DOMAINS))
+@register("q5_sampled_term_frequency", lambda: O.term_frequency_sql(_every_nth_sql(Q5_EVERY), SHARE, Q5_DOMAINS))
 def q5_sampled_term_frequency(spark, sf_dir):
-    """Q5: every 2nd link URL, top 10 domains per kept term."""
-    links = with_ordinal(_links(spark, sf_dir), [F.asc("page_id"), F.asc("pos")], "line_no")
-    return jobs.sampled_term_frequency(links, fixture_rules(spark), Q5_EVERY, "line_no",
-                                       share=SHARE, max_domains=Q5_DOMAINS)
+    """Q5 (S5, T1, T2): every 2nd line of arriving files, partial counts per
+    batch, and the report over all partials with 10 domains per kept term."""
+    root = scratch_path(spark, "sampled")
+    parts = os.path.join(root, "partials")
+    incremental.run_incremental(spark, _ordered_lines(spark, sf_dir), parts, os.path.join(root, "checkpoint"),
+                                fixture_rules(spark), sample_rate=Q5_EVERY)
+    return incremental.merged_report(spark, parts, SHARE, Q5_DOMAINS)
 
 
 @register("k2_term_csv", lambda: O.term_frequency_sql(LINKS_SQL, SHARE, 1000))

@@ -23,11 +23,8 @@ def term_report(td: DataFrame, share: float = 0.8,
     """W1-W5 over pair counts: term, frequency, domains (top domains by count)."""
     tc = terms.term_counts(td)
     kept = ranking.share_cutoff(tc, share)
-    # Top domains first, then the kept terms: the per-term limit runs
-    # partially before the term shuffle (at most N rows per term leave a
-    # map task), so a term with millions of domains never lands whole in
-    # one task, whatever join the kept set needs.
-    top = ranking.restrict_to(ranking.top_domains(td, max_domains), kept)
+    # Kept terms first, so that the long tail is neither ranked nor shuffled.
+    top = ranking.top_domains(ranking.restrict_to(td, kept), max_domains)
     lists = ranking.domain_lists(top)
     return (kept.join(lists, "term")
                 .select("term", F.col("n").alias("frequency"), "domains")
@@ -98,7 +95,7 @@ def first_seen_term_frequency(urls: DataFrame, rules: SuffixRules, order: str,
     td = materialize(terms.term_domain_counts(words, min_len, first_seen=order),
                      "term-domain-first", store)
     kept = ranking.share_cutoff(terms.term_counts(td), share)
-    first = ranking.restrict_to(ranking.first_seen_rank(td, max_domains), kept)
+    first = ranking.first_seen_rank(ranking.restrict_to(td, kept), max_domains)
     lists = ranking.domain_lists(first)
     return (kept.join(lists, "term")
                 .select("term", F.col("n").alias("frequency"), "domains")
