@@ -23,8 +23,10 @@ from ..sources.lines import numbered_lines, read_lines, sample_every_nth
 from ..streaming import incremental, normalize
 from ..operators.domains import registered_domain, registered_only
 from ..operators.stemming import stem_dictionary
+from ..sources.hard_urls import doc_words, hard_urls, hard_urls_sql
 from ..sources.pages import link_corpus, read_table
-from ..sources.suffixes import builtin_rules, fixture_rules
+from ..sources.suffixes import (BUILTIN_ICANN_SUBSET, ICANN_END_MARKER, builtin_rules, fixture_rules,
+                                read_suffix_rules)
 from . import jobs
 from . import oracle as O
 from .materialize import materialize
@@ -48,14 +50,24 @@ def register(name: str, sql: Callable[[], str] | None = None):
 # ------------------------------------------------------------ corpora
 
 def all_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page URLs (pos = -1) and link URLs: (page_id, pos, url)."""
+    """Page URLs (pos = -1), link URLs, URLs derived from the vocabulary of
+    ``documents`` (pos = -2) and a null one: (page_id, pos, url)."""
     pages = read_table(spark, sf_dir, "pages")
     own = pages.select("page_id", F.lit(-1).cast("bigint").alias("pos"), "url")
-    return own.unionByName(link_corpus(spark, sf_dir))
+    none = pages.agg(F.max("page_id").alias("page_id")).select(
+        "page_id", F.lit(-3).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("url"))
+    hard = hard_urls(spread(read_table(spark, sf_dir, "documents").select("text")))
+    return own.unionByName(link_corpus(spark, sf_dir)).unionByName(hard).unionByName(none)
+
+
+def _doc_words_sql() -> str:
+    return ("SELECT DISTINCT word FROM (SELECT unnest(string_split(trim(regexp_replace("
+            "lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> ''")
 
 
 ALL_URLS_SQL = ("SELECT page_id, CAST(-1 AS BIGINT) AS pos, url FROM pages "
-                "UNION ALL " + O.link_urls_sql())
+                "UNION ALL " + O.link_urls_sql() + " UNION ALL " + hard_urls_sql(_doc_words_sql())
+                + " UNION ALL SELECT max(page_id), CAST(-3 AS BIGINT), NULL FROM pages")
 LINKS_SQL = O.link_urls_sql()
 
 
@@ -135,6 +147,55 @@ def p5_tokens(spark, sf_dir):
             .filter(F.col("token") != ""))
 
 
+# Rules of the derived file, by the first MD5 digit of a word; those under
+# "private" stand after the end marker and are not read.
+_RULE_FORMS = {"0": "{}", "1": "*.{}", "2": "!www.{}", "3": "{}.test"}
+_PRIVATE_FORM = ("4", "{}")
+
+
+def _rule_file(spark, sf_dir) -> str:
+    """A folder of rule files in the public suffix list's format: built-in
+    rules, rules made from words, comments, a private section."""
+    words = doc_words(spread(read_table(spark, sf_dir, "documents").select("text"))).select(
+        "word", F.substring(F.md5("word"), 1, 1).alias("d"), F.substring(F.md5("word"), 2, 1).alias("bucket"))
+
+    def form(f):
+        return F.concat(*[x for p in zip(f.split("{}"), [F.col("word"), None]) for x in
+                          ([F.lit(p[0])] + ([p[1]] if p[1] is not None else []))])
+
+    rule = F.lit(None)
+    for d, f in _RULE_FORMS.items():
+        rule = F.when(F.col("d") == d, form(f)).otherwise(rule)
+    private = F.when(F.col("d") == _PRIVATE_FORM[0], form(_PRIVATE_FORM[1]))
+    lines = F.concat_ws("\n", F.lit("// derived"), F.array_join(F.collect_list(rule), "  trailing words\n"),
+                        F.lit(""), F.lit("\n".join(BUILTIN_ICANN_SUBSET)), F.lit(ICANN_END_MARKER),
+                        F.array_join(F.collect_list(private), "\n"))
+    path = scratch_path(spark, "suffix-rules")
+    words.groupBy("bucket").agg(lines.alias("value")).repartition("bucket").write.partitionBy("bucket").text(path)
+    return path
+
+
+def _rule_values_sql() -> str:
+    arms = " ".join(f"WHEN '{d}' THEN '{f.format(chr(0)).split(chr(0))[0]}' || word || '{f.format(chr(0)).split(chr(0))[1]}'"
+                    for d, f in _RULE_FORMS.items())
+    fixed = ", ".join(f"({O.q(r)})" for r in BUILTIN_ICANN_SUBSET)
+    return (f"SELECT CASE substr(md5(word), 1, 1) {arms} END AS r FROM ({_doc_words_sql()}) "
+            f"UNION SELECT * FROM (VALUES {fixed}) v(r)")
+
+
+@register("s6_read_suffix_rules", lambda: f"""
+SELECT key, bool_or(kind = 'n') AS plain, bool_or(kind = 'w') AS wild, bool_or(kind = 'x') AS exc,
+       CAST(len(string_split(key, '.')) AS INTEGER) AS depth
+FROM (SELECT CASE WHEN starts_with(r, '*.') THEN substr(r, 3) WHEN starts_with(r, '!') THEN substr(r, 2) ELSE r END AS key,
+             CASE WHEN starts_with(r, '*.') THEN 'w' WHEN starts_with(r, '!') THEN 'x' ELSE 'n' END AS kind
+      FROM ({_rule_values_sql()}) WHERE r IS NOT NULL) GROUP BY key""")
+def s6_read_suffix_rules(spark, sf_dir):
+    """Rule files read back, one row per key."""
+    rules = read_suffix_rules(spark, os.path.join(_rule_file(spark, sf_dir), "bucket=*"))
+    frames = [rules.at_depth(spark, k) for k in range(1, rules.max_depth + 1)]
+    return dedup.union_all(frames).select("key", "plain", "wild", "exc", "depth")
+
+
 # ------------------------------------------------------------ filters
 
 @register("f123_kept_words", lambda: _term_sql(
@@ -157,19 +218,12 @@ def f5_domainless_urls(spark, sf_dir):
 
 # ----------------------------------------------------------- stemming
 
-def _doc_words_sql() -> str:
-    return ("SELECT DISTINCT word FROM (SELECT unnest(string_split(trim(regexp_replace("
-            "lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> ''")
-
-
 @register("p6_stem", lambda: _sql(
     [("dw", _doc_words_sql())] + O.porter_ctes("dw"), "SELECT word, term FROM stemmed"))
 def p6_stem(spark, sf_dir):
     """Stem dictionary of the whole documents vocabulary."""
     docs = spread(read_table(spark, sf_dir, "documents").select("text"))
-    words = docs.select(F.explode(F.split(F.trim(F.regexp_replace(
-        F.lower("text"), "[^a-z0-9]+", " ")), " ")).alias("word")).filter(F.col("word") != "")
-    return stem_dictionary(words, "word", 1)
+    return stem_dictionary(doc_words(docs), "word", 1)
 
 
 @register("j2_url_word_stems", lambda: _term_sql(
