@@ -31,7 +31,10 @@ def test_read_index_columns_limits_and_tolerance(spark):
     spark.createDataFrame([(1, "x")], "i long, link string").write.parquet(os.path.join(root, "none.parquet"))
     spark.createDataFrame([("not parquet",)], "value string").write.text(os.path.join(root, "bad.parquet"))
     paths = [os.path.join(root, p) for p in ["upper.parquet", "none.parquet", "bad.parquet", "gone.parquet"]]
-    df = idx.read_index(spark, paths, limit_rows=4, tolerant=True)
+    skipped = []
+    df = idx.read_index(spark, paths, limit_rows=4, tolerant=True, skipped=skipped)
+    assert [os.path.basename(p) for p, _ in skipped] == ["bad.parquet", "gone.parquet"]
+    assert all(reason for _, reason in skipped)
     assert sorted(r.url for r in df.collect()) == sorted(f"http://h{i % 3}.com/{i}" for i in range(4))
 
 

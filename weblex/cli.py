@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 
 
 def _rules(spark, args):
@@ -35,7 +36,10 @@ def _extract(spark, args, hosts: bool) -> None:
     from .sinks import write_lines
     from .sources import index as idx
     paths = idx.read_manifest(spark, args.manifest, args.base, args.limit_files)
-    index = idx.read_index(spark, paths, args.limit_rows, tolerant=args.tolerant)
+    skipped: list[tuple[str, str]] = []
+    index = idx.read_index(spark, paths, args.limit_rows, args.tolerant, skipped)
+    for path, reason in skipped:
+        print(f"skipped {path}: {reason}", file=sys.stderr)
     out = jobs.extract_hosts(index) if hosts else jobs.extract_urls(index)
     col = "host" if hosts else "url"
     write_lines(out, col, args.output)

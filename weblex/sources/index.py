@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -67,12 +69,19 @@ def _reader(spark: SparkSession, tolerant: bool):
     return reader
 
 
-def _file_columns(spark: SparkSession, path: str, tolerant: bool) -> list[str] | None:
+# What Spark says of a file that is missing or no Parquet; anything else (no
+# permission, no network) is an error in a tolerant scan, too.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
+
+
+def _file_columns(spark: SparkSession, path: str, tolerant: bool) -> tuple[list[str] | None, str]:
+    """(columns, ''), or (None, reason) for a file a tolerant scan leaves out."""
     try:
-        return _reader(spark, tolerant).parquet(path).columns
-    except Exception:
-        if tolerant:
-            return None
+        return _reader(spark, False).parquet(path).columns, ""
+    except (PySparkException, Py4JJavaError) as e:
+        reason = next((x for x in UNREADABLE if x in str(e)), None)
+        if tolerant and reason:
+            return None, reason
         raise
 
 
@@ -102,13 +111,15 @@ def _single_url_column(spark: SparkSession, paths: list[str],
     return {like[0]: list(paths)} if like[0] in URL_COLUMNS else {}
 
 
-def _probe_each(spark: SparkSession, paths: list[str], tolerant: bool) -> dict[str, list[str]]:
+def _probe_each(spark: SparkSession, paths: list[str], tolerant: bool,
+                skipped: list[tuple[str, str]]) -> dict[str, list[str]]:
     """One footer read per file (a schema probe), a few at a time."""
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
-        probed = list(pool.map(lambda p: (p, _file_columns(spark, p, tolerant)), paths))
+        probed = list(pool.map(lambda p: (p, *_file_columns(spark, p, tolerant)), paths))
     groups: dict[str, list[str]] = {}
-    for p, cols in probed:
+    skipped += [(p, reason) for p, cols, reason in probed if cols is None]
+    for p, cols, _ in probed:
         c = resolve_url_column(cols) if cols is not None else None
         if c is not None:
             groups.setdefault(c, []).append(p)
@@ -116,18 +127,19 @@ def _probe_each(spark: SparkSession, paths: list[str], tolerant: bool) -> dict[s
 
 
 def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = None,
-               tolerant: bool = False) -> DataFrame:
+               tolerant: bool = False, skipped: list[tuple[str, str]] | None = None) -> DataFrame:
     """(file_path, row_index, url) for all index files.
 
     Files are grouped by their URL column name and each group is read with
     one scan selecting just that column (usually one group, found with a
     single merged-schema read; per-file probes only for mixed spellings).  ``limit_rows`` keeps the first N
     rows of each file (before null-drop and dedup, as the source does).
-    With ``tolerant`` a missing or unreadable file yields no rows.
+    With ``tolerant`` a missing or corrupt file yields no rows; its path and the
+    reason are added to ``skipped``.
     """
-    groups = _single_url_column(spark, paths, tolerant)
+    groups = _single_url_column(spark, paths, False)
     if groups is None:
-        groups = _probe_each(spark, paths, tolerant)
+        groups = _probe_each(spark, paths, tolerant, [] if skipped is None else skipped)
     reader = _reader(spark, tolerant)
     parts = []
     for col, group in groups.items():
