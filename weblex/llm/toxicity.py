@@ -47,7 +47,8 @@ DAMP = 1e-5
 FOLDS = 5
 WORD = re.compile(r"\w+")
 MEMO_ENTRIES = 400_000
-PART = 1 << 20
+#: Words whose n-grams training handles together.
+PART = 40_000
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -125,10 +126,15 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     if not len(y) or y.min() == y.max():
         return Model(None, 0.0)
     doc, word, share = map(np.concatenate, (doc, word, share))
-    of, gram, size = subwords(list(vocab))
+    # The n-grams of a part of the words at a time: the driver holds little besides.
+    words, parts, size = list(vocab), [], []
     del vocab
-    # A part of the n-grams at a time: the driver holds little besides them.
-    parts = [slice(i, i + PART) for i in range(0, len(of), PART)]
+    for i in range(0, len(words), PART):
+        of, gram, n = subwords(words[i:i + PART])
+        parts.append((of + np.int32(i), gram))
+        size.append(n)
+    del words
+    size = np.concatenate(size)
     rng = np.random.default_rng(seed)
     emb, soft, bias = np.zeros((BUCKETS, DIM)), rng.normal(0, 1, DIM), np.zeros(1)
     weight = 0.5 / len(y) / np.where(y == 1, y.mean(), 1 - y.mean())
@@ -137,11 +143,11 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     for t in range(1, epochs + 1):
         # The softmax is linear: one number per bucket goes forward and back.
         logit = emb @ soft
-        of_word = sum(np.bincount(of[p], logit[gram[p]], len(size)) for p in parts) / size
+        of_word = sum(np.bincount(of, logit[gram], len(size)) for of, gram in parts) / size
         z = GAIN * np.bincount(doc, of_word[word] * share, len(y)) + bias[0]
         d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight
         back = np.bincount(word, (GAIN * d)[doc] * share, len(size)) / size
-        q = sum(np.bincount(gram[p], back[of[p]], BUCKETS) for p in parts)
+        q = sum(np.bincount(gram, back[of], BUCKETS) for of, gram in parts)
         grads = [q[:, None] * soft + DECAY * emb, emb.T @ q + DECAY * soft, np.array([d.sum()])]
         for v, g, m, s in zip(params, grads, first, second):
             m *= 0.9
