@@ -631,9 +631,13 @@ def q6_first_seen_term_frequency(spark, sf_dir):
 def q5_sampled_term_frequency(spark, sf_dir):
     """Q5 (S5, T1, T2): every 2nd line of arriving files, partial counts per
     batch, and the report over all partials with 10 domains per kept term."""
+    return sampled_report(spark, _ordered_lines(spark, sf_dir))
+
+
+def sampled_report(spark, lines: str) -> DataFrame:
     root = scratch_path(spark, "sampled")
     parts = os.path.join(root, "partials")
-    incremental.run_incremental(spark, _ordered_lines(spark, sf_dir), parts, os.path.join(root, "checkpoint"),
+    incremental.run_incremental(spark, lines, parts, os.path.join(root, "checkpoint"),
                                 fixture_rules(spark), sample_rate=Q5_EVERY)
     return incremental.merged_report(spark, parts, SHARE, Q5_DOMAINS)
 
