@@ -14,29 +14,36 @@ from weblex.llm import mixing, packing, quality, queries, simhash, toxicity
 from weblex.llm.common import stored, table
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """The rows as a whole beside what the operators read, so that no column of
+    theirs meets one of ``docs``; ``_doc.*`` gives the rows back."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return docs.select(whole, "doc_id", "text")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ledger's policy keeps."""
-    led = quality.judge(quality.ledger(docs))
-    return led.where("kept").select(*docs.columns)
+    led = quality.judge(quality.ledger(_carried(docs), keep=["_doc"]))
+    return led.where("kept").select("_doc.*")
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic; learnt from the labelled among them."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, name="_score").where("_score < 0.5").select(*docs.columns)
+    return toxicity.score(_carried(docs), model, keep=["_doc"]).where("score < 0.5").select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: that with the smallest id."""
-    return simhash.drop_near_duplicates(docs, width=3, max_bits=2)
+    return simhash.drop_near_duplicates(_carried(docs), width=3, max_bits=2).select("_doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as often as their fitted rate says."""
     labelled = queries.language_labels(docs, table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(docs, labelled, queries.TARGETS)
-    return (mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*docs.columns))
+    mixed = mixing.mix(_carried(docs), labelled, queries.TARGETS, keep=["_doc"])
+    return (mixed.where("copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select("_doc.*"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
