@@ -329,3 +329,21 @@ def test_pipeline_stage_by_stage(spark):
     out = corpus_pipeline.pack(spark, single, SF_SMALL).collect()
     assert {r["doc_id"] for r in out} == set(least.values())
     assert corpus_pipeline.run(spark, SF_SMALL).count() > 0
+
+
+def test_stages_keep_clashing_columns_and_odd_rows(spark):
+    from weblex.llm.common import stored
+    extra = ["n_words", "kept", "score", "_score", "_fp", "_uid", "fp", "rate", "copies", "posterior", "_doc", "_row"]
+    text = " ".join(f"Word{i}" for i in range(40))
+    rows = [(i, t, "en", "s", 1, *[f"{c}{i}" for c in extra]) for i, t in
+            [(1, text), (2, text), (2, text), (3, None), (4, ""), (5, text + " x " * 9), (None, text[:200] * 3)]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra)
+    docs = spark.createDataFrame(rows, schema)
+    for empty in (False, True):
+        now = stored(docs.limit(0) if empty else docs, "odd")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = stored(stage(spark, now, SF_SMALL), f"odd-{name}")
+            assert now.columns == docs.columns, name
+            got = [tuple(r) for r in now.collect()]
+            assert set(got) <= set(rows) and (got or empty or name != "quality_rules"), name
+        assert corpus_pipeline.pack(spark, now, SF_SMALL).count() >= (0 if empty else 1)
