@@ -49,15 +49,20 @@ def register(name: str, sql: Callable[[], str] | None = None):
 
 # ------------------------------------------------------------ corpora
 
-def all_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page URLs (pos = -1), link URLs, URLs derived from the vocabulary of
-    ``documents`` (pos = -2) and a null one: (page_id, pos, url)."""
+def site_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page URLs (pos = -1) and link URLs: (page_id, pos, url)."""
     pages = read_table(spark, sf_dir, "pages")
     own = pages.select("page_id", F.lit(-1).cast("bigint").alias("pos"), "url")
-    none = pages.agg(F.max("page_id").alias("page_id")).select(
+    return own.unionByName(link_corpus(spark, sf_dir))
+
+
+def all_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The site URLs, URLs derived from the vocabulary of ``documents``
+    (pos = -2) and a null one: (page_id, pos, url)."""
+    none = read_table(spark, sf_dir, "pages").agg(F.max("page_id").alias("page_id")).select(
         "page_id", F.lit(-3).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("url"))
     hard = hard_urls(spread(read_table(spark, sf_dir, "documents").select("text")))
-    return own.unionByName(link_corpus(spark, sf_dir)).unionByName(hard).unionByName(none)
+    return site_urls(spark, sf_dir).unionByName(hard).unionByName(none)
 
 
 def _doc_words_sql() -> str:
@@ -65,8 +70,9 @@ def _doc_words_sql() -> str:
             "lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> ''")
 
 
-ALL_URLS_SQL = ("SELECT page_id, CAST(-1 AS BIGINT) AS pos, url FROM pages "
-                "UNION ALL " + O.link_urls_sql() + " UNION ALL " + hard_urls_sql(_doc_words_sql())
+SITE_URLS_SQL = ("SELECT page_id, CAST(-1 AS BIGINT) AS pos, url FROM pages "
+                 "UNION ALL " + O.link_urls_sql())
+ALL_URLS_SQL = (SITE_URLS_SQL + " UNION ALL " + hard_urls_sql(_doc_words_sql())
                 + " UNION ALL SELECT max(page_id), CAST(-3 AS BIGINT), NULL FROM pages")
 LINKS_SQL = O.link_urls_sql()
 
@@ -525,7 +531,7 @@ def a2_normalize_counts(spark, sf_dir):
     return counts.normalize_counts(dedup.mark_runs(norm, "domain", "page_id"))
 
 
-_ALL_HOST_DOMAINS_CTES = [("u", ALL_URLS_SQL),
+_ALL_HOST_DOMAINS_CTES = [("u", SITE_URLS_SQL),
                           ("h", f"SELECT {O.host_sql('url')} AS host FROM u"),
                           ("rules", O.rules_sql())] + O.registered_ctes("h", "host")
 
@@ -533,7 +539,7 @@ _ALL_HOST_DOMAINS_CTES = [("u", ALL_URLS_SQL),
 def _host_lines(spark, sf_dir) -> str:
     """K1 + S4: hosts of all URLs written as a line file."""
     path = scratch_path(spark, "hosts")
-    hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host"))
+    hosts = site_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host"))
     return write_lines(hosts.filter(F.col("host").isNotNull()), "host", path)
 
 
@@ -549,7 +555,7 @@ def q3_normalize_domains(spark, sf_dir):
     _ALL_HOST_DOMAINS_CTES, "SELECT DISTINCT domain FROM regd WHERE domain IS NOT NULL"))
 def k1_write_lines(spark, sf_dir):
     """K1: unique registered domains written as lines and read back."""
-    hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host"))
+    hosts = site_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host"))
     domains = jobs.normalize_domains(hosts.filter(F.col("host").isNotNull()), fixture_rules(spark))
     path = write_lines(domains, "domain", scratch_path(spark, "domains"))
     return read_lines(spark, path, "domain")
@@ -697,7 +703,7 @@ def t3_streaming_normalize(spark, sf_dir):
     """Host files arriving in two steps; each domain emitted once."""
     root = scratch_path(spark, "normalize")
     src, sink, ckpt = (os.path.join(root, d) for d in ("in", "out", "checkpoint"))
-    hosts = all_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host")) \
+    hosts = site_urls(spark, sf_dir).select(url_host(F.col("url")).alias("host")) \
         .filter(F.col("host").isNotNull())
     rules = fixture_rules(spark)
     hosts.filter(F.col("host") < "t").write.text(os.path.join(src, "a"))
