@@ -41,9 +41,10 @@ NOTES = {
 * Cutoff: terms above the boundary count (a filter) union the first tied
   terms at it (`TakeOrderedAndProject`), both from one small boundary action
   over the count histogram.
-* Top domains: `WindowGroupLimit ... Partial` runs before
-  `Exchange hashpartitioning(term)`, so at most N rows per term leave a map
-  task; the kept-term semi join comes after it.
+* Top domains: the kept-term semi join comes first, so the long tail is not
+  ranked.  Then two limits: `WindowGroupLimit ... Partial` before the shuffle on
+  (term, part of the term), N rows a part, and the window over the term, which
+  gets at most `SALTS` x N rows.
 * The term-count shuffle is shared through `ReusedExchange`.
 """,
     "q1_extract_hosts": """* Two scans (files spelling the column `url` and `URL`), each reading only
@@ -51,7 +52,7 @@ NOTES = {
   and rows without a host are dropped inside the `inline` generator.
 * One shuffle on (file, host) after a partial distinct.
 """,
-    "d4_adjacent_dedup": """* Buckets of consecutive ids (`event_id div 1000`); `lag` and the bucket's
+    "d4_adjacent_dedup": """* Buckets of consecutive ids (`event_id div 1000000`); `lag` and the bucket's
   last row come from the same windowed shuffle (`ReusedExchange`).
 * The only single-partition step is the lag over one row per bucket
   (`Exchange SinglePartition`), bounded by ids / bucket size.
