@@ -260,6 +260,52 @@ def test_rates_meet_targets_and_match_brute_force(spark):
     assert np.allclose(reached, target, rtol=1e-3)
 
 
+def members_of(spark, rows):
+    return spark.createDataFrame(rows, "n_tokens long, posterior array<double>").coalesce(2).cache()
+
+
+def test_rates_of_a_rare_domain_meet_targets(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        lean = rng.uniform(0.005, 0.05)
+        rows.append((rng.randint(1, 60) * (1 if i % 10 else 2), [1 - lean, lean]))
+    rare = sum(n for n, _ in rows) * 0.005
+    rows += [(int(rare / 4), [0.1, 0.9])] * 4
+    steps, reached, target = mixing.fit_rates(members_of(spark, rows), {"en": 0.6, "es": 0.4})
+    assert mixing.gaps(reached, target).max() < mixing.TOLERANCE
+    p, n = np.array([q for _, q in rows]), np.array([k for k, _ in rows], float)
+    got = [r[0] for r in members_of(spark, rows).select(mixing.rate_column(steps)).collect()]
+    total = (np.array(got) * n) @ p
+    assert np.allclose(total / total.sum(), [0.6, 0.4], atol=1e-3)
+
+
+def test_mix_of_half_a_percent_meets_targets(spark):
+    rows = [(i, " ".join(["le et de maison" if i % 200 == 0 else "the and of house"] * 10), "fr" if i % 200 == 0 else "en")
+            for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    out = mixing.mix(docs, docs.select("doc_id", F.col("lang").alias("domain")), {"en": 0.6, "fr": 0.4}).collect()
+    total = sum(np.array(r["posterior"]) * r["n_tokens"] * r["rate"] for r in out)
+    assert np.allclose(total / total.sum(), [0.6, 0.4], atol=1e-3)
+    assert min(r["rate"] for r in out) > 1 - 1e-9
+
+
+def test_rates_cut_at_zero_meet_targets_or_the_gap_is_reported(spark):
+    rows = [(10, [0.95, 0.05])] * 50 + [(10, [0.5, 0.5])] * 50 + [(10, [0.05, 0.95])] * 50
+    members = members_of(spark, rows)
+    steps, reached, target = mixing.fit_rates(members, {"en": 0.92, "fr": 0.08}, budget=1000.0)
+    assert np.allclose(reached, target, rtol=1e-3)
+    rates = [r[0] for r in members.select(mixing.rate_column(steps)).collect()]
+    assert min(rates) == 0.0
+    steps, reached, target = mixing.fit_rates(members, {"en": 0.98, "fr": 0.02}, budget=1000.0)
+    assert mixing.gaps(reached, target).max() > mixing.TOLERANCE
+    # The least-squares best uses the purest rows only.
+    rates = np.array([r[0] for r in members.select(mixing.rate_column(steps)).collect()])
+    assert rates[50:].max() == 0 and rates[:50].min() > 1.9
+    with pytest.warns(RuntimeWarning, match="largest relative gap"):
+        mixing.report(["en", "fr"], reached, target)
+
+
 def test_mixing_odd_rows(spark, odd):
     labelled = spark.createDataFrame([(3, "en"), (5, None), (1, "fr")], "doc_id long, domain string")
     rows = by_id(mixing.mix(odd, labelled, {"en": 0.5, "fr": 0.5}))

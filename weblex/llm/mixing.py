@@ -8,12 +8,17 @@ nonnegative least-squares fit of expected domain token totals to the targets:
     minimise  sum_d (T_d - target_d)^2 / target_d,   T_d = sum_i r_i n_i p_id,  r_i >= 0
 
 by projected gradient from r = 1, in the metric weighted by document tokens.
-A step needs only the domain totals, so an iteration is one aggregation of
-as many numbers as there are domains; every rate is a function of the
-document's posterior and the steps so far, and no rate is ever gathered.
+While no rate can be cut at zero the totals follow from sums taken once, so
+these steps need no pass over the rows.  Where a rate is cut, or those steps do
+not suffice, Newton's method on the dual finds the rates nearest to 1 that give
+the targets, r_i = max(0, 1 - p_i . v), an iteration being one aggregation.
+Every rate is a function of the document's posterior and the steps, and no rate
+is ever gathered.  The totals reached are taken from the rows; targets that
+posteriors cannot give are reported by a warning with shares wanted and reached.
 
 Without a budget the totals are scaled (shares unchanged) until no rate is
-below 1, so that targets are met by repeating documents and none is dropped.  A document is then
+below 1, so that targets are met by repeating documents and none is dropped;
+targets that only rates of zero come nearest to are then an error.  A document is
 written floor(rate) times, and once more with the rest as probability, decided
 by a hash.
 
@@ -26,6 +31,7 @@ labelled row all posteriors are equal; columns named like a result give way.
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from functools import partial
 
@@ -42,8 +48,14 @@ BUCKETS = 1 << 14
 #: Most labelled rows read, those whose hashed ids come first.
 LABELLED = 10_000
 SHARPNESS = 8.0
-MAX_STEPS = 40
+#: Gradient steps on the driver's sums, before Newton takes over.
+GRADIENT_STEPS = 1000
+#: Largest relative gap between a domain's total and its target.
 TOLERANCE = 1e-4
+#: Passes over the rows in Newton's method; a gap left after them is reported.
+MAX_PASSES = 60
+#: Pull towards rates of 1, so that targets out of reach have a nearest fit.
+RIDGE = 1e-9
 MEMO_ENTRIES = 300_000
 
 
@@ -125,51 +137,105 @@ def memberships(docs: DataFrame, logs: np.ndarray, text: str = "text", keep: lis
                     [field(tokens, T.LongType()), field(posterior, T.ArrayType(T.DoubleType()))], text, keep)
 
 
+def _merged(steps: list[np.ndarray]) -> list[np.ndarray]:
+    """The same rates in fewer steps: till one may be cut, rates are linear in
+    the posterior, pure posteriors have the least, and steps may be summed."""
+    total = np.zeros(len(steps[0])) if steps else None
+    for i, step in enumerate(steps):
+        if total.max() > 1:
+            return [total, *steps[i:]]
+        total = total + step
+    return [] if total is None else [total]
+
+
 def rate_column(steps: list[np.ndarray], posterior: str = "posterior") -> Column:
     """The rate after ``steps``: r <- max(0, r - posterior . step), from 1."""
     rate = F.lit(1.0)
-    for step in steps:
-        move = None
-        for d, x in enumerate(step):
-            term = F.col(posterior)[d] * F.lit(float(x))
-            move = term if move is None else move + term
-        rate = F.greatest(F.lit(0.0), rate - move)
+    for step in _merged(steps):
+        rate = F.greatest(F.lit(0.0), rate - _along(step, posterior))
     return rate
 
 
+def _along(step: np.ndarray, posterior: str) -> Column:
+    move = None
+    for d, x in enumerate(step):
+        term = F.col(posterior)[d] * F.lit(float(x))
+        move = term if move is None else move + term
+    return move
+
+
+def _sums(members: DataFrame, v: np.ndarray, tokens: str, posterior: str) -> tuple[float, np.ndarray, np.ndarray]:
+    """For rates r = max(0, 1 - p . v), in one pass: the sum of
+    n ((r - 1)^2 / 2 + r p . v), the domain totals, and the sums n p_a p_b of
+    the rows whose rate is not cut."""
+    n = len(v)
+    p, at = [F.col(posterior)[d] for d in range(n)], F.col("_along")
+    rated = (members.select(tokens, posterior, _along(v, posterior).alias("_along"))
+             .withColumn("_r", F.greatest(F.lit(0.0), F.lit(1.0) - at)))
+    r, free = F.col("_r"), F.when(F.col("_r") > 0, F.col(tokens)).otherwise(F.lit(0))
+    pairs = [(a, b) for a in range(n) for b in range(a, n)]
+    row = rated.agg(F.sum(F.col(tokens) * ((r - 1) * (r - 1) / 2 + r * at)),
+                    *[F.sum(F.col(tokens) * p[d] * r) for d in range(n)],
+                    *[F.sum(free * p[a] * p[b]) for a, b in pairs]).first()
+    row = [x or 0.0 for x in row]
+    gram = np.zeros((n, n))
+    for (a, b), x in zip(pairs, row[n + 1:]):
+        gram[a, b] = gram[b, a] = x
+    return row[0], np.array(row[1:n + 1]), gram
+
+
+def gaps(total: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """Relative gap of each domain; 0 for one left out of the fit."""
+    return np.where(goal > 0, np.abs(total - goal) / np.where(goal > 0, goal, 1.0), 0.0)
+
+
 def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None,
               tokens: str = "n_tokens", posterior: str = "posterior") -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(steps, totals reached, targets).  ``members`` is read once an
-    iteration, so store it first."""
+    """(steps, totals reached, targets).  ``members`` is read at least twice, so
+    store it first.  ``gaps`` tells whether the targets are met."""
     w = np.array(list(weights.values()), float)
     w = w / w.sum()
     n = len(w)
-    p = [F.col(posterior)[d] for d in range(n)]
-    sums = [F.sum(F.col(tokens) * p[d]) for d in range(n)]
-    pairs = [(a, b) for a in range(n) for b in range(a, n)]
-    row = members.agg(*sums, *[F.sum(F.col(tokens) * p[a] * p[b]) for a, b in pairs]).first()
-    start = np.array([x or 0.0 for x in row[:n]])
+    _, start, gram = _sums(members, np.zeros(n), tokens, posterior)
     if not start.sum():
         return [], start, start
-    gram = np.zeros((n, n))
-    for (a, b), x in zip(pairs, row[n:]):
-        gram[a, b] = gram[b, a] = x
     live = start > 1e-9 * start.sum()
     share = np.where(live, w, 0.0) / w[live].sum()
     goal = share * (budget or float((start[live] / share[live]).max()))
     scale = np.where(live, 1 / np.sqrt(np.where(live, goal, 1.0)), 0.0)
     top = float(np.linalg.eigvalsh(gram * scale[:, None] * scale[None, :])[-1])
     steps: list[np.ndarray] = []
-    total = start
-    for _ in range(MAX_STEPS):
-        gap = np.where(live, total - goal, 0.0)
-        if np.abs(gap[live] / goal[live]).max() < TOLERANCE:
+    v, total = np.zeros(n), start
+    while gaps(total, goal).max() >= TOLERANCE and len(steps) < GRADIENT_STEPS:
+        step = scale ** 2 * np.where(live, total - goal, 0.0) / top
+        if (v + step).max() > 1:  # a pure posterior's rate would be cut
             break
-        steps.append(scale ** 2 * gap / top)
-        rated = members.select(tokens, posterior, rate_column(steps, posterior).alias("_r"))
-        row = rated.agg(*[F.sum(F.col(tokens) * F.col(posterior)[d] * F.col("_r")) for d in range(n)]).first()
-        total = np.array([x or 0.0 for x in row])
-    return steps, total, goal
+        steps.append(step)
+        v = v + step
+        total = start - gram @ v
+    value, total, gram = _sums(members, v, tokens, posterior)
+    if gaps(total, goal).max() < TOLERANCE:
+        return steps, total, goal
+    # Newton on the convex dual: its gradient is target - total.
+    passes = 0
+    dual = goal @ v - value + RIDGE / 2 * goal @ (v * v)
+    while gaps(total, goal).max() >= TOLERANCE and passes < MAX_PASSES:
+        grad = np.where(live, goal - total + RIDGE * goal * v, 0.0)
+        curve = gram * scale[:, None] * scale[None, :] + RIDGE * np.eye(n)
+        move = -scale * np.linalg.solve(curve, scale * grad)
+        slope, part = float(grad @ move), 1.0
+        if slope > -1e-14 * goal.sum():
+            break
+        while passes < MAX_PASSES:
+            passes += 1
+            new = v + part * move
+            got = _sums(members, new, tokens, posterior)
+            low = goal @ new - got[0] + RIDGE / 2 * goal @ (new * new)
+            if low <= dual + 1e-4 * part * slope + 1e-13 * abs(dual):
+                v, dual, (_, total, gram) = new, low, got
+                break
+            part /= 2
+    return [v], total, goal
 
 
 def least_rate(steps: list[np.ndarray]) -> float:
@@ -189,6 +255,18 @@ def copies_column(rate: Column, key: Column) -> Column:
     return (F.floor(rate) + (unit < rate - F.floor(rate)).cast("bigint")).cast("int")
 
 
+def shares(domains: list[str], total: np.ndarray, goal: np.ndarray) -> str:
+    return "Shares reached (wanted): " + ", ".join(
+        f"{d} {x:.4f} ({y:.4f})" for d, x, y in zip(domains, total / total.sum(), goal / goal.sum()))
+
+
+def report(domains: list[str], total: np.ndarray, goal: np.ndarray) -> None:
+    """Warn of targets that are not met."""
+    if total.sum() and gaps(total, goal).max() >= TOLERANCE:
+        warnings.warn(f"mixing: targets not met, largest relative gap {gaps(total, goal).max():.2g}. "
+                      f"{shares(domains, total, goal)}", RuntimeWarning, stacklevel=3)
+
+
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None,
         id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None,
         most: int = LABELLED) -> DataFrame:
@@ -199,9 +277,15 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
                                                 id_col, most), domains))
     members = memberships(docs, logs, text, keep).withColumn("_row", F.monotonically_increasing_id())
     members = stored(members, "mixing-members")
-    steps, _, _ = fit_rates(members, weights, budget)
+    steps, total, goal = fit_rates(members, weights, budget)
+    report(domains, total, goal)
     least = least_rate(steps) if budget is None else 1.0
-    rate = rate_column(steps) / F.lit(least if least > 0 else 1.0)
+    if least <= 0:  # of pure posteriors, which need not occur
+        least = members.where("n_tokens > 0").agg(F.min(rate_column(steps))).first()[0]
+        if least <= 0:
+            raise ValueError("mixing: no repetition of documents comes to the targets without dropping some; "
+                             f"give a budget or other targets. {shares(domains, total, goal)}")
+    rate = rate_column(steps) / F.lit(least)
     rated = members.drop("rate", "copies").withColumn(
         "rate", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)))
     return rated.withColumn("copies", copies_column(F.col("rate"), F.col("_row"))).drop("_row")
