@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from weblex.session import scratch_path
@@ -38,6 +40,47 @@ def test_read_index_columns_limits_and_tolerance(spark):
     assert sorted(r.url for r in df.collect()) == sorted(f"http://h{i % 3}.com/{i}" for i in range(4))
 
 
+def test_tolerant_scan_lists_bad_pages_and_part_files(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+    root = tmp_path / "idx"
+    made = {}
+    for i, name in enumerate(["good", "page", "folder"]):
+        spark.range(3000).selectExpr(f"concat('http://h', id * 7919 % 3001, '.com/{i}/', md5(string(id))) AS url") \
+            .repartition(3 if name == "folder" else 1).write.parquet(f"{root}/{name}.parquet")
+        made[name] = sorted(Path(f"{root}/{name}.parquet").glob("part-*.parquet"))
+    page, part = made["page"][0], made["folder"][1]
+    data = bytearray(page.read_bytes())
+    data[2000:len(data) - 2000] = b"\xff" * (len(data) - 4000)  # the footer stays good
+    page.write_bytes(bytes(data))
+    part.write_bytes(b"no parquet at all")
+    for f in (page, part):
+        f.with_name(f".{f.name}.crc").unlink()
+    left = 3000 + sum(spark.read.parquet(str(f)).count() for f in made["folder"] if f != part)
+
+    skipped = []
+    entries = [f"{root}/{name}.parquet" for name in made]
+    df = idx.read_index(spark, entries, tolerant=True, skipped=skipped)
+    assert sorted(os.path.basename(p) for p, _ in skipped) == sorted([page.name, part.name])
+    assert all(reason for _, reason in skipped)
+    assert df.where("url is not null").count() == left
+    only = []
+    each = idx._each
+    monkeypatch.setattr(idx, "_each", lambda fn, items: asked.append(len(items)) or each(fn, items))
+    asked = []
+    assert idx.read_index(spark, entries[:2], tolerant=True, skipped=only).count() == 3000
+    assert [os.path.basename(p) for p, _ in only] == [page.name]
+    assert asked == [1]  # only the file with a difference is read on its own
+    with pytest.raises(Exception):
+        idx.read_index(spark, entries[1:2]).agg(F.max("url")).collect()
+
+
+def test_errors_that_are_no_bad_page():
+    wrapped = ("org.apache.parquet.io.ParquetDecodingException", "could not read page")
+    assert idx._bad_page([("org.apache.spark.SparkException", "task failed"), wrapped])
+    assert not idx._bad_page([wrapped, ("java.net.SocketException", "Connection reset")])
+    assert not idx._bad_page([("org.apache.spark.SparkException", "lost"), ("java.io.IOException", "Filesystem closed")])
+
+
 def test_read_lines_and_sampling(spark):
     path = scratch_path(spark, "lines")
     spark.createDataFrame([(f"  u{i}  ",) for i in range(1, 8)] + [("   ",)], "value string") \

@@ -11,6 +11,10 @@ scan.
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote, urlsplit
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -73,6 +77,46 @@ def _reader(spark: SparkSession, tolerant: bool):
 # permission, no network) is an error in a tolerant scan, too.
 UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
 
+# The same of pages: classes and messages in the chain of causes.  Those of
+# ELSEWHERE go first, as Parquet's exceptions wrap them, too.
+ELSEWHERE = ("java.net.", "javax.net.", "javax.security.", "java.nio.channels.", "java.nio.file.AccessDenied",
+             "org.apache.hadoop.security.", "org.apache.hadoop.ipc.", "org.apache.hadoop.net.",
+             "java.lang.OutOfMemoryError", "java.lang.Interrupted", "java.io.InterruptedIO")
+BAD_PAGE = ("org.apache.parquet.", "org.xerial.snappy.", "com.github.luben.zstd.", "java.util.zip.",
+            "java.lang.IllegalArgumentException", "java.lang.IndexOutOfBounds", "java.lang.ArrayIndexOutOfBounds",
+            "java.lang.NegativeArraySize", "java.nio.Buffer", "java.io.FileNotFoundException")
+BAD_PAGE_SAYS = ("can not read class org.apache.parquet", "FAILED_TO_UNCOMPRESS", "Reached the end of stream",
+                 "is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "FILE_NOT_EXIST")
+
+
+def _causes(e: Exception) -> list[tuple[str, str]]:
+    """(class, message) of a Java error and its causes, the outermost first."""
+    java, out = getattr(e, "java_exception", None) or getattr(e, "_origin", None), []
+    while java is not None and len(out) < 30:
+        out.append((java.getClass().getName(), str(java.getMessage() or "")))
+        java = java.getCause()
+    return out
+
+
+def _bad_page(causes: list[tuple[str, str]]) -> str:
+    """Why a file's pages cannot be read; '' if the error is another one."""
+    if any(kind.startswith(ELSEWHERE) for kind, _ in causes):
+        return ""
+    for kind, says in reversed(causes):
+        if kind.startswith(BAD_PAGE) or any(x in says for x in BAD_PAGE_SAYS):
+            return f"{kind.rsplit('.', 1)[-1]}: {(says.splitlines() or [''])[0][:200]}"
+    return ""
+
+
+def _each(fn: Callable, items: list) -> list:
+    with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
+        return list(pool.map(fn, items))
+
+
+def _as_path(uri: str) -> str:
+    """The path of a file as Spark names it, to be read as it stands."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
 
 def _file_columns(spark: SparkSession, path: str, tolerant: bool) -> tuple[list[str] | None, str]:
     """(columns, ''), or (None, reason) for a file a tolerant scan leaves out."""
@@ -113,19 +157,88 @@ def _single_url_column(spark: SparkSession, paths: list[str],
 
 def _probe_each(spark: SparkSession, paths: list[str], tolerant: bool,
                 skipped: list[tuple[str, str]]) -> dict[str, list[str]]:
-    """One footer read per file (a schema probe), a few at a time."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
-        probed = list(pool.map(lambda p: (p, *_file_columns(spark, p, tolerant)), paths))
+    """One footer read per file (a schema probe), a few at a time; a tolerant
+    scan probes every file of a folder (one without any good file is listed
+    by its own path)."""
+    entries = [[(p, p)] for p in paths]
+    if tolerant:
+        entries = _each(lambda p: _files_of(spark, p), paths)
+    probed = _each(lambda x: (*x, *_file_columns(spark, x[1][0], tolerant)),
+                   [(i, x) for i, files in enumerate(entries) for x in files])
+    bad: dict[int, list[tuple[str, str]]] = {}
+    for i, (_, name), cols, reason in probed:
+        if cols is None:
+            bad.setdefault(i, []).append((name, reason))
+    for i, found in bad.items():
+        skipped += [(paths[i], found[0][1])] if len(found) == len(entries[i]) else found
     groups: dict[str, list[str]] = {}
-    skipped += [(p, reason) for p, cols, reason in probed if cols is None]
-    for p, cols, _ in probed:
+    for _, (p, _), cols, _ in probed:
         c = resolve_url_column(cols) if cols is not None else None
         if c is not None:
             groups.setdefault(c, []).append(p)
     return groups
 
 
+def _files_of(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(path to read, name) of the files of a folder; a file, or what is missing, by itself."""
+    try:
+        files = sorted(_reader(spark, False).schema(f"`{URL_COLUMNS[0]}` string").parquet(path).inputFiles())
+    except (PySparkException, Py4JJavaError) as e:
+        if UNREADABLE[0] in str(e):
+            return [(path, path)]
+        raise
+    if len(files) == 1 and unquote(urlsplit(files[0]).path).endswith(urlsplit(path).path):
+        return [(path, path)]
+    return [(_as_path(f), unquote(f)) for f in files]
+
+
+def _same(uri: str) -> str:
+    """``file:///x`` as ``file:/x``: Spark writes either."""
+    return re.sub(r"^([\w+.-]+):///", r"\1:/", uri)
+
+
+def _good_files(spark: SparkSession, col: str, paths: list[str], skipped: list[tuple[str, str]]) -> list[str]:
+    """``paths`` without the files whose pages cannot be read, which are added
+    to ``skipped``.
+
+    One job counts the rows that can be read of each file and those its
+    footer tells.  That job passes over errors of any kind, so each file
+    with a difference is then read on its own, with none passed over: what a
+    retry mends is no reason to leave a file out, and errors other than a
+    corrupt or missing file are raised.
+    """
+    schema = StructType([StructField(col, StringType())])
+    strict = _reader(spark, False).schema(schema).parquet(*paths)
+    files = sorted(strict.inputFiles())
+    file, length = F.col("_metadata.file_path").alias("file"), F.length(F.col(f"`{col}`"))
+
+    def rows(df: DataFrame, *more) -> DataFrame:
+        return df.select(file, *more).groupBy("file").agg(
+            F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in ["length"][:len(more)]])
+
+    lax = _reader(spark, True).schema(schema).parquet(*paths)
+    try:
+        whole = {_same(r["file"]) for r in rows(lax, length.alias("length")).join(
+            rows(lax).withColumnRenamed("n", "told"), "file").where("n = told").select("file", "length").collect()}
+    except (PySparkException, Py4JJavaError):
+        whole = set()
+
+    def why(f: str) -> str:
+        try:
+            _reader(spark, False).schema(schema).parquet(_as_path(f)).agg(F.max(length)).collect()
+            return ""
+        except (PySparkException, Py4JJavaError) as e:
+            reason = next((x for x in UNREADABLE if x in str(e)), None) or _bad_page(_causes(e))
+            if reason:
+                return reason
+            raise
+
+    doubtful = [f for f in files if _same(f) not in whole]
+    bad = {f: reason for f, reason in zip(doubtful, _each(why, doubtful)) if reason}
+    skipped += [(unquote(f), reason) for f, reason in bad.items()]
+    return [_as_path(f) for f in files if f not in bad] if bad else paths
+
+
 def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = None,
                tolerant: bool = False, skipped: list[tuple[str, str]] | None = None) -> DataFrame:
     """(file_path, row_index, url) for all index files.
@@ -134,13 +247,17 @@ def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = N
     one scan selecting just that column (usually one group, found with a
     single merged-schema read; per-file probes only for mixed spellings).  ``limit_rows`` keeps the first N
     rows of each file (before null-drop and dedup, as the source does).
-    With ``tolerant`` a missing or corrupt file yields no rows; its path and the
-    reason are added to ``skipped``.
+    With ``tolerant`` a missing or corrupt file (also one in a folder, or one with
+    a bad page) yields no rows; its path and the reason are added to ``skipped``.
+    Such files are found before the scan, which passes over no error itself.
     """
+    skipped = [] if skipped is None else skipped
     groups = _single_url_column(spark, paths, False)
     if groups is None:
-        groups = _probe_each(spark, paths, tolerant, [] if skipped is None else skipped)
-    reader = _reader(spark, tolerant)
+        groups = _probe_each(spark, paths, tolerant, skipped)
+    if tolerant:
+        groups = {c: good for c, group in groups.items() if (good := _good_files(spark, c, group, skipped))}
+    reader = _reader(spark, False)
     parts = []
     for col, group in groups.items():
         # Only the URL column is read; a file without it reads nulls.
