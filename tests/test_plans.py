@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weblex.operators import terms
 from weblex.operators.stemming import stem_dictionary
-from weblex.plans import jobs
+from weblex.plans import catalog, jobs
 from weblex.plans.catalog import q1_extract_hosts
 from weblex.plans.materialize import materialize
 from weblex.sources.pages import link_corpus
@@ -74,3 +74,16 @@ def test_first_seen_pairs_parse_once(spark):
     words = terms.url_words(links, fixture_rules(static), keep=("ord",))
     plan = executed(terms.term_domain_counts(words, first_seen="ord"))
     assert plan.count("Generate explode(CASE WHEN (isnotnull(domain") == 1
+
+
+def test_union_of_partials_counts_null_and_negative_pages(spark, tmp_path):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    odd = pages.withColumn("page_id", F.when(F.col("page_id") % 5 == 0, F.lit(None))
+                           .otherwise(-F.col("page_id") * 37).cast(pages.schema["page_id"].dataType))
+    odd.write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalog.QUERIES["d6_union_partials"](spark, str(tmp_path)).collect()
+    want = terms.term_domain_counts(catalog._batched_words(spark, str(tmp_path)), by=("batch",)).collect()
+    batches = {r["batch"] for r in want}
+    assert None in batches and any(b is not None and b % 3 and b < 0 for b in batches)
+    key = lambda r: (r["batch"], r["term"], r["domain"], r["n"])
+    assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)

@@ -579,7 +579,7 @@ def d6_union_partials(spark, sf_dir):
     links = _links(spark, sf_dir).withColumn("batch", F.floor(F.col("page_id") / BATCH_PAGES).cast("bigint"))
     parts = []
     for i in range(PARTS):
-        words = terms.url_words(links.filter(F.col("batch") % PARTS == i), fixture_rules(spark), keep=("batch",))
+        words = terms.url_words(links.filter(F.coalesce(F.pmod("batch", F.lit(PARTS)), F.lit(0)) == i), fixture_rules(spark), keep=("batch",))
         parts.append(materialize(terms.term_domain_counts(words, by=("batch",)), f"partial-{i}"))
     return dedup.union_all(parts)
 
