@@ -90,3 +90,45 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}"""
+
+
+def divergence_sql(min_docs: int = 10, top: int = 10) -> str:
+    share = "(1 + 1000000000::HUGEINT * ({n} + 2) // greatest({size} + 2 * v, 1))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+w AS (SELECT d, lang, source, unnest(words) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT d) >= {min_docs}),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(size, 0) AS size, coalesce(v, 0) AS v, coalesce(lang_size, 0) AS lang_size
+      FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(n) AS size FROM c GROUP BY ALL) USING (lang, source)
+      LEFT JOIN (SELECT lang, count(*) AS v, sum(total) AS lang_size FROM k GROUP BY lang) USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {share.format(n="coalesce(n, 0)", size="size")} AS p,
+             {share.format(n="total", size="lang_size")} AS q
+      FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM (
+    SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank FROM r)
+WHERE part = 'pair' OR rank <= {top}"""
+
+
+def embedding_sql(threshold: float = 0.93) -> str:
+    return f"""
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS u, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e
+                     FROM embeddings),
+v AS (SELECT * FROM r WHERE label IS NOT NULL AND e IS NOT NULL
+      AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.u AS a, b.u AS b FROM v a JOIN v b ON a.label = b.label AND a.u <> b.u AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= {threshold}),
+reach AS (SELECT u, u AS w FROM r UNION SELECT reach.u, l.b FROM reach JOIN l ON reach.w = l.a),
+c AS (SELECT reach.u, min(o.vec_id) AS component_id FROM reach JOIN r o ON o.u = reach.w GROUP BY reach.u),
+n AS (SELECT a AS u, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM r JOIN c USING (u) LEFT JOIN n USING (u)"""

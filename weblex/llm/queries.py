@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, oracle, packing, quality, sharding, simhash, tokens, topk, toxicity, warc
+from . import conversations, divergence, embedding_groups, licenses, mixing, oracle, packing, quality, sharding, simhash, tokens, topk, toxicity, warc
 from .common import table
 
 TOKEN_LIMIT = 512
@@ -90,6 +90,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(led).withColumn("policy", F.lit(quality.DEFAULT_POLICY))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, gone=F.col("gone"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash_groups": op2_simhash_groups,
@@ -101,6 +114,9 @@ QUERIES = {
     "op8_warc_bundles": op8_warc_bundles,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_embedding_groups": op13_embedding_groups,
 }
 
 #: The others draw at random, hash with XXH64, tokenize or fit models; tests/llm
@@ -110,4 +126,6 @@ SQL: dict[str, str] = {
     "op7_license_scan": oracle.license_sql(),
     "op8_warc_bundles": oracle.warc_sql(),
     "op10_quality_rules": oracle.quality_sql(),
+    "op12_source_divergence": oracle.divergence_sql(),
+    "op13_embedding_groups": oracle.embedding_sql(),
 }
