@@ -13,6 +13,16 @@ from weblex.sources.lines import numbered_lines, read_lines, sample_every_nth
 from conftest import SF_SMALL
 
 
+def jobs_of(spark, run):
+    """(result, number of Spark jobs)."""
+    sc, group = spark.sparkContext, os.urandom(6).hex()
+    sc.setJobGroup(group, "counted")
+    try:
+        return run(), len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_resolve_url_column():
     assert idx.resolve_url_column(["URL", "Uri"]) == "URL"
     assert idx.resolve_url_column(["x", "Uri", "uri"]) == "uri"
@@ -64,16 +74,57 @@ def test_tolerant_scan_lists_bad_pages_and_part_files(spark, tmp_path, monkeypat
     assert all(reason for _, reason in skipped)
     assert df.where("url is not null").count() == left
     only = []
-    each = idx._each
-    monkeypatch.setattr(idx, "_each", lambda fn, items: asked.append(len(items)) or each(fn, items))
-    asked = []
-    assert idx.read_index(spark, entries[:2], tolerant=True, skipped=only).count() == 3000
-    assert [os.path.basename(p) for p, _ in only] == [page.name]
-    assert asked == [1]  # only the file with a difference is read on its own
+    good, jobs = jobs_of(spark, lambda: idx.read_index(spark, entries[:2], tolerant=True, skipped=only))
+    assert good.count() == 3000 and [os.path.basename(p) for p, _ in only] == [page.name]
+    # A bad file more costs no job more; one that is too large to be handed to
+    # a task whole is asked by itself.
+    every, more = jobs_of(spark, lambda: idx.read_index(spark, entries, tolerant=True))
+    assert every.where("url is not null").count() == left and more == jobs
+    monkeypatch.setattr(idx, "CHECK_BYTES", 100)
+    again = []
+    assert idx.read_index(spark, entries, tolerant=True, skipped=again).count() == left
+    assert sorted(p for p, _ in again) == sorted(p for p, _ in skipped)
     with pytest.raises(Exception):
         idx.read_index(spark, entries[1:2]).agg(F.max("url")).collect()
 
 
+def test_a_thousand_files_of_mixed_spellings(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def write(folder, n):
+        (tmp_path / folder).mkdir()
+        want, paths = [], []
+        for i in range(n):
+            url = f"http://h{i}.com/"
+            names = [idx.URL_COLUMNS[i % 6]] if i % 7 else ["x", "uRl"] if i % 2 else ["Uri", "URL", "url"]
+            cols = {c: [f"{url}{c}", None] for c in names}
+            if "url" in names:
+                cols["url"] = [None, url]  # the first name counts, whatever it holds
+            col = idx.resolve_url_column(names)
+            want += [(f"{i}.parquet", u) for u in (cols[col] if col else [])]
+            # Other columns of the same name differ in type.
+            cols["n"] = [1, 2] if i % 3 else ["a", "b"]
+            path = str(tmp_path / folder / f"{i}.parquet")
+            pq.write_table(pa.table(cols), path)
+            paths.append(path)
+        return want, paths
+
+    found = []
+    for folder, n in (("few", 300), ("many", 1000)):
+        want, paths = write(folder, n)
+        index, jobs = jobs_of(spark, lambda: idx.read_index(spark, paths))
+        got = index.select(F.regexp_extract("file_path", "([^/]+)$", 1), "url").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+        found.append(jobs)
+    assert found[0] == found[1] < 20
+    # Used within a plan of the caller's session, which does not tell case apart.
+    other = spark.createDataFrame([("http://h0.com/", 5)], "url string, n int")
+    assert [r.n for r in other.join(index, "url").collect()] == [5]
+    limited = idx.read_index(spark, paths[:50], limit_rows=1).where("url is not null")
+    assert limited.count() == sum(u is not None for u in [u for f, u in want if int(f.split(".")[0]) < 50][::2])
+
+
 def test_errors_that_are_no_bad_page():
     wrapped = ("org.apache.parquet.io.ParquetDecodingException", "could not read page")
     assert idx._bad_page([("org.apache.spark.SparkException", "task failed"), wrapped])
@@ -149,14 +200,14 @@ def test_sample_in_split(spark):
     assert sample_every_nth_in_split(df, 1).count() == 70
 
 
-def test_single_column_fast_path(spark):
+def test_files_of_one_column_keep_their_paths(spark):
     root = scratch_path(spark, "fast")
     for i in range(3):
         spark.createDataFrame([(f"http://h{i}.com/{j}",) for j in range(5)], "url string") \
             .write.parquet(os.path.join(root, f"f{i}.parquet"))
     spark.createDataFrame([(1,)], "x long").write.parquet(os.path.join(root, "nourl.parquet"))
     paths = [os.path.join(root, p) for p in ["f0.parquet", "f1.parquet", "f2.parquet", "nourl.parquet"]]
-    assert idx._single_url_column(spark, paths, False) == {"url": paths}
+    assert idx._by_column(idx._exact_session(spark), paths) == {"url": paths}
     assert idx.read_index(spark, paths).filter("url is not null").count() == 15
 
 

@@ -123,7 +123,7 @@ def test_noise_words(spark):
 @pytest.mark.skipif(not os.path.exists(PSL_FILE), reason="no public suffix list file")
 def test_large_rule_sets_stay_distributed(spark, monkeypatch):
     from weblex.sources import suffixes
-    monkeypatch.setattr(suffixes, "MAX_BROADCAST_RULES", 100)
+    monkeypatch.setattr(suffixes, "MAX_LOCAL_RULES", 100)
     big = read_suffix_rules(spark, PSL_FILE)
     assert not big.local and big.n_keys > 7000 and big.max_depth == 4
     assert _domains(spark, big) == HOSTS

@@ -10,10 +10,9 @@
 Inputs are paths Spark reads (text line files, a gzipped manifest of
 Parquet index files); outputs are Spark folders of text lines, the reports
 as ``term,frequency,"domains"`` lines under a ``term,frequency,domains``
-header, part files in report order.  Suffix rules: ``--suffix-list PATH`` (a public
-suffix list on storage every machine reads), or ``--builtin-subset`` for a short
-list of common suffixes; without either the command stops, since URLs under
-suffixes a list lacks are dropped.
+header, part files in report order.  Suffix rules: the ICANN list that the
+package holds, or ``--suffix-list PATH`` (a public suffix list on storage every
+machine reads); URLs under suffixes a list lacks are dropped.
 """
 
 from __future__ import annotations
@@ -112,10 +111,8 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
 
     def suffix_opts(q):
-        which = q.add_mutually_exclusive_group(required=True)
-        which.add_argument("--suffix-list", help="public suffix list file (any Spark path)")
-        which.add_argument("--builtin-subset", action="store_true",
-                           help="use the short built-in list; URLs under other suffixes are dropped")
+        q.add_argument("--suffix-list", help="public suffix list file (any Spark path; "
+                                             "default: the ICANN list of the package)")
         q.add_argument("--private-suffixes", action="store_true",
                        help="also use the PRIVATE section of the list")
         q.add_argument("--extra-suffix", action="append", help="extra plain suffix rule")

@@ -41,8 +41,13 @@ def _depth_flags(rules: SuffixRules, k: int):
             [r[0] for r in keys if r[3]])
 
 
-def _member(probe: Column, values: list[str]) -> Column:
-    return probe.isin(values) if values else F.lit(False)
+def _member(col: str, values: list[str]) -> Column:
+    """Whether ``col`` is one of ``values``: an expression given as text, which
+    the driver builds in one step (a Column for each value takes seconds)."""
+    if not values:
+        return F.lit(False)
+    texts = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"`{col}` IN ({texts})")
 
 
 def _suffix_length(flags) -> Column:
@@ -86,8 +91,7 @@ def with_registered_domain(df: DataFrame, host: Column, rules: SuffixRules,
     if rules.local and rules.n_keys <= INLINE_RULES_LIMIT:
         for k in depths:
             plain, wild, exc = _depth_flags(rules, k)
-            probe = F.when(F.col(n) >= k, F.col(f"_rk{k}"))
-            flags.append((_member(probe, plain), _member(probe, wild), _member(probe, exc), F.col(n)))
+            flags.append((*[(F.col(n) >= k) & _member(f"_rk{k}", v) for v in (plain, wild, exc)], F.col(n)))
     else:
         spark = df.sparkSession
         for k in depths:

@@ -25,7 +25,7 @@ from ..operators.domains import registered_domain, registered_only
 from ..operators.stemming import stem_dictionary
 from ..sources.hard_urls import doc_words, hard_urls, hard_urls_sql
 from ..sources.pages import link_corpus, read_table
-from ..sources.suffixes import (BUILTIN_ICANN_SUBSET, ICANN_END_MARKER, builtin_rules, fixture_rules,
+from ..sources.suffixes import (ICANN_END_MARKER, builtin_rules, fixture_rules, icann_text, local_strings,
                                 read_suffix_rules)
 from . import jobs
 from . import oracle as O
@@ -129,7 +129,7 @@ def p3_registered_domain(spark, sf_dir):
     [("u", ALL_URLS_SQL), ("rules", O.rules_sql([]))] + O.registered_ctes("u", "url"),
     "SELECT u.page_id, u.pos, r.domain FROM u LEFT JOIN regd r ON r.url = u.url"))
 def j1_icann_registered_domain(spark, sf_dir):
-    """J1 with the built-in ICANN rules only (no fixture extras)."""
+    """J1 with the whole ICANN list (no fixture extras)."""
     df = registered_domain(all_urls(spark, sf_dir), "url", builtin_rules(spark))
     return df.select("page_id", "pos", "domain")
 
@@ -153,40 +153,45 @@ def p5_tokens(spark, sf_dir):
             .filter(F.col("token") != ""))
 
 
-# Rules of the derived file, by the first MD5 digit of a word; those under
+# Rules of the derived files, by the first MD5 digit of a word; those under
 # "private" stand after the end marker and are not read.
 _RULE_FORMS = {"0": "{}", "1": "*.{}", "2": "!www.{}", "3": "{}.test"}
 _PRIVATE_FORM = ("4", "{}")
+RULE_FILE_WORDS = 100_000
 
 
-def _rule_file(spark, sf_dir) -> str:
-    """A folder of rule files in the public suffix list's format: built-in
-    rules, rules made from words, comments, a private section."""
+def _rule_files(spark, sf_dir) -> str:
+    """A folder of rule files in the public suffix list's format, as many as
+    the words ask for: rules made from words, comments, a private section;
+    one more file is the packaged list."""
     words = doc_words(spread(read_table(spark, sf_dir, "documents").select("text"))).select(
-        "word", F.substring(F.md5("word"), 1, 1).alias("d"), F.substring(F.md5("word"), 2, 1).alias("bucket"))
-
-    def form(f):
-        return F.concat(*[x for p in zip(f.split("{}"), [F.col("word"), None]) for x in
-                          ([F.lit(p[0])] + ([p[1]] if p[1] is not None else []))])
-
+        "word", F.substring(F.md5("word"), 1, 1).alias("d"))
+    words = materialize(words, "rule-words")
+    files = max(4, words.count() // RULE_FILE_WORDS)
+    forms = {**_RULE_FORMS, _PRIVATE_FORM[0]: _PRIVATE_FORM[1]}
     rule = F.lit(None)
-    for d, f in _RULE_FORMS.items():
-        rule = F.when(F.col("d") == d, form(f)).otherwise(rule)
-    private = F.when(F.col("d") == _PRIVATE_FORM[0], form(_PRIVATE_FORM[1]))
-    lines = F.concat_ws("\n", F.lit("// derived"), F.array_join(F.collect_list(rule), "  trailing words\n"),
-                        F.lit(""), F.lit("\n".join(BUILTIN_ICANN_SUBSET)), F.lit(ICANN_END_MARKER),
-                        F.array_join(F.collect_list(private), "\n"))
+    for d, form in forms.items():
+        before, after = form.split("{}")
+        rule = F.when(F.col("d") == d, F.concat(F.lit(before), "word", F.lit(after + "  trailing words"))).otherwise(rule)
+    rows = words.filter(F.col("d").isin(list(forms))).select(
+        F.pmod(F.xxhash64("word"), F.lit(files)).cast("int").alias("part"),
+        F.when(F.col("d") == _PRIVATE_FORM[0], 3).otherwise(1).alias("section"), rule.alias("value"))
+    marks = spark.range(files).select(F.col("id").cast("int").alias("part"), F.explode(F.array(
+        F.struct(F.lit(0).alias("section"), F.lit("// derived").alias("value")),
+        F.struct(F.lit(2).alias("section"), F.lit(ICANN_END_MARKER).alias("value")))).alias("x")).select("part", "x.*")
     path = scratch_path(spark, "suffix-rules")
-    words.groupBy("bucket").agg(lines.alias("value")).repartition("bucket").write.partitionBy("bucket").text(path)
+    (rows.unionByName(marks).repartition(files, "part").sortWithinPartitions("part", "section", "value")
+     .select("part", "value").write.partitionBy("part").text(path))
+    packaged = local_strings(spark, icann_text().split("\n"), "value").coalesce(1)
+    packaged.sortWithinPartitions("at").select("value").write.text(os.path.join(path, "part=icann"))
     return path
 
 
 def _rule_values_sql() -> str:
-    arms = " ".join(f"WHEN '{d}' THEN '{f.format(chr(0)).split(chr(0))[0]}' || word || '{f.format(chr(0)).split(chr(0))[1]}'"
+    arms = " ".join(f"WHEN '{d}' THEN '{f.split('{}')[0]}' || word || '{f.split('{}')[1]}'"
                     for d, f in _RULE_FORMS.items())
-    fixed = ", ".join(f"({O.q(r)})" for r in BUILTIN_ICANN_SUBSET)
     return (f"SELECT CASE substr(md5(word), 1, 1) {arms} END AS r FROM ({_doc_words_sql()}) "
-            f"UNION SELECT * FROM (VALUES {fixed}) v(r)")
+            f"UNION {O.rule_strings_sql()}")
 
 
 @register("s6_read_suffix_rules", lambda: f"""
@@ -197,9 +202,8 @@ FROM (SELECT CASE WHEN starts_with(r, '*.') THEN substr(r, 3) WHEN starts_with(r
       FROM ({_rule_values_sql()}) WHERE r IS NOT NULL) GROUP BY key""")
 def s6_read_suffix_rules(spark, sf_dir):
     """Rule files read back, one row per key."""
-    rules = read_suffix_rules(spark, os.path.join(_rule_file(spark, sf_dir), "bucket=*"))
-    frames = [rules.at_depth(spark, k) for k in range(1, rules.max_depth + 1)]
-    return dedup.union_all(frames).select("key", "plain", "wild", "exc", "depth")
+    rules = read_suffix_rules(spark, os.path.join(_rule_files(spark, sf_dir), "part=*"), idna=False)
+    return rules.frame(spark).select("key", "plain", "wild", "exc", "depth")
 
 
 # ------------------------------------------------------------ filters
@@ -216,7 +220,7 @@ def f123_kept_words(spark, sf_dir):
     f"SELECT u.page_id, u.pos, u.url FROM u LEFT JOIN regd r ON r.url = u.url "
     f"WHERE r.domain IS NULL AND {O.strip_sql('u.url')} <> ''"))
 def f5_domainless_urls(spark, sf_dir):
-    """URLs skipped for lack of a registered domain (built-in ICANN rules)."""
+    """URLs skipped for lack of a registered domain (whole ICANN list)."""
     df = registered_domain(all_urls(spark, sf_dir), "url", builtin_rules(spark))
     skipped = F.col("domain").isNull() & (strip_text(F.col("url")) != "")
     return df.select(F.inline(F.when(skipped, F.array(F.struct("page_id", "pos", "url")))))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from ..functions.lexicon import default_stopwords
 from ..functions.urls import PARAM_SCHEMES, URL_SPLIT_RE
 from ..sources.pages import HREF_RE, PAGE_HOST_RE
-from ..sources.suffixes import BUILTIN_ICANN_SUBSET, FIXTURE_EXTRA_SUFFIXES
+from ..sources.suffixes import FIXTURE_EXTRA_SUFFIXES, icann_text
 
 
 def q(s: str) -> str:
@@ -130,10 +130,15 @@ FROM (SELECT page_id, regexp_extract(url, {q(PAGE_HOST_RE)}, 1) AS host,
 
 # ---------------------------------------------------------- suffix rules
 
+def rule_strings_sql() -> str:
+    """(r) the ICANN rules, read by SQL from the text of the packaged list."""
+    return (f"SELECT lower(string_split(line, ' ')[1]) AS r FROM (SELECT trim(unnest(string_split("
+            f"{q(icann_text())}, chr(10)))) AS line) WHERE line <> '' AND NOT starts_with(line, '//')")
+
+
 def rules_sql(extra: list[str] | None = None) -> str:
     """Merged rules (key, plain, wild, exc) from raw PSL strings."""
-    rules = BUILTIN_ICANN_SUBSET + list(extra if extra is not None else FIXTURE_EXTRA_SUFFIXES)
-    values = ", ".join(f"({q(r)})" for r in rules)
+    more = [f"SELECT {q(r)}" for r in (FIXTURE_EXTRA_SUFFIXES if extra is None else extra)]
     return f"""
 SELECT key, bool_or(kind = 'n') AS plain, bool_or(kind = 'w') AS wild,
        bool_or(kind = 'x') AS exc
@@ -141,7 +146,7 @@ FROM (SELECT CASE WHEN starts_with(r, '*.') THEN substr(r, 3)
                   WHEN starts_with(r, '!') THEN substr(r, 2) ELSE r END AS key,
              CASE WHEN starts_with(r, '*.') THEN 'w'
                   WHEN starts_with(r, '!') THEN 'x' ELSE 'n' END AS kind
-      FROM (SELECT lower(r) AS r FROM (VALUES {values}) v(r)))
+      FROM ({" UNION ALL ".join([rule_strings_sql(), *more])}))
 WHERE key <> ''
 GROUP BY key"""
 

@@ -1,6 +1,6 @@
 """URLs derived from the vocabulary of ``documents`` that reach the rarer
-branches: every built-in suffix rule (plain, wildcard, exception), unlisted
-names, addresses, missing schemes, user information, ports, brackets,
+branches: suffixes of the whole ICANN list (plain, wildcard, exception),
+unlisted names, addresses, missing schemes, user information, ports, brackets,
 parameters, queries and fragments, mixed case.
 
 Each distinct word gives one URL; the digits of its MD5 pick the parts, so
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .suffixes import BUILTIN_ICANN_SUBSET
+from .suffixes import icann_rules, local_strings
 
 #: Part -> (position of its MD5 digit, choices); W stands for the word.
 PARTS = {
@@ -28,8 +28,8 @@ HOSTS = [""] * 9 + ["10.0.0.1", "localhost", "W", "W.nosuchtld", "[::1]", "bad[W
 
 
 def rule_hosts() -> list[str]:
-    """A suffix under each built-in rule."""
-    return [r[2:] if r.startswith("*.") else r[1:] if r.startswith("!") else r for r in BUILTIN_ICANN_SUBSET]
+    """A suffix under each ICANN rule, in list order."""
+    return [r[2:] if r.startswith("*.") else r[1:] if r.startswith("!") else r for r in icann_rules()]
 
 
 def doc_words(docs: DataFrame) -> DataFrame:
@@ -40,7 +40,10 @@ def doc_words(docs: DataFrame) -> DataFrame:
 
 def hard_urls(docs: DataFrame) -> DataFrame:
     """(page_id, pos, url): negative page ids, pos -2."""
+    suffixes = rule_hosts()
     word = doc_words(docs).select("word", F.md5("word").alias("h"))
+    word = word.join(F.broadcast(local_strings(docs.sparkSession, suffixes, "suffix")),
+                     F.conv(F.substring("h", 1, 4), 16, 10).cast("int") % len(suffixes) == F.col("at"))
     number = lambda at, n: F.conv(F.substring("h", at, n), 16, 10).cast("int")
 
     def pick(at: int, choices: list[str], n: int = 1):
@@ -48,7 +51,7 @@ def hard_urls(docs: DataFrame) -> DataFrame:
         return F.replace(chosen, F.lit("W"), F.col("word"))
 
     host = pick(4, HOSTS)
-    by_rule = F.concat("word", F.lit("."), pick(1, rule_hosts(), 3))
+    by_rule = F.concat("word", F.lit("."), "suffix")
     part = {k: pick(*v) for k, v in PARTS.items()}
     return word.select(
         (-F.conv(F.substring("h", 11, 12), 16, 10).cast("bigint") - 2).alias("page_id"),
@@ -67,8 +70,11 @@ def hard_urls_sql(words_sql: str) -> str:
 
     host = pick(4, HOSTS)
     part = {k: pick(*v) for k, v in PARTS.items()}
+    suffixes = rule_hosts()
+    values = ", ".join(f"({i}, {q(s)})" for i, s in enumerate(suffixes))
     return f"""
 SELECT -{number(11, 12)} - 2 AS page_id, CAST(-2 AS BIGINT) AS pos,
-       {part["scheme"]} || {part["user"]} || (CASE WHEN {host} = '' THEN word || '.' || {pick(1, rule_hosts(), 3)}
+       {part["scheme"]} || {part["user"]} || (CASE WHEN {host} = '' THEN word || '.' || suffix
        ELSE {host} END) || {part["port"]} || {part["path"]} || {part["query"]} || {part["tail"]} AS url
-FROM (SELECT word, md5(word) AS h FROM ({words_sql}))"""
+FROM (SELECT word, md5(word) AS h FROM ({words_sql})) JOIN (VALUES {values}) s(nr, suffix)
+     ON {number(1, 4)} % {len(suffixes)} = nr"""

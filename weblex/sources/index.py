@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..plans.materialize import materialize
+
 PROBE_THREADS = 8
 
 # FIXED VALUES: candidate URL column names, probed in this order, exact case.
@@ -63,6 +65,12 @@ def resolve_url_column(columns: list[str]) -> str | None:
     return None
 
 
+#: What a file without a column reads as in the catalogue (no URL holds a NUL).
+ABSENT = "\x00no such column"
+#: Files up to this many bytes are handed to a task whole to say what is wrong.
+CHECK_BYTES = 512 << 20
+
+
 def _reader(spark: SparkSession, tolerant: bool):
     # Index entries are files (or folders) from anywhere: no partition
     # inference from folder names, which could conflict between entries.
@@ -73,12 +81,59 @@ def _reader(spark: SparkSession, tolerant: bool):
     return reader
 
 
-# What Spark says of a file that is missing or no Parquet; anything else (no
-# permission, no network) is an error in a tolerant scan, too.
-UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
+def _exact_session(spark: SparkSession) -> SparkSession:
+    """A child session in which column names are told apart by case.  Scans
+    made in it read that way wherever they are used; the caller's session is
+    never changed."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.caseSensitive", "true")
+    child.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    child.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    return child
+
+
+def _column_scan(exact: SparkSession, paths: list[str], col: str, tolerant: bool = False) -> DataFrame:
+    """(file_path, row_index, url): one column of index files, as text."""
+    rows = _reader(exact, tolerant).schema(StructType([StructField(col, StringType())])).parquet(*paths)
+    return rows.select(F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.row_index").alias("row_index"), F.col(f"`{col}`").alias("url"))
+
+
+def url_columns(exact: SparkSession, paths: list[str], tolerant: bool = False) -> DataFrame:
+    """S2, as a table: (file_path, column, n), the URL column (null: none) and
+    the number of rows of each file that has rows, from one job.
+
+    Tasks read footers only.  A branch per name keeps the rows of files that
+    lack the column, which read as ABSENT: the filter skips every row group of
+    the others by its statistics, and a missing column takes no reading."""
+    default = {k: "'" + ABSENT + "'" for k in ("EXISTS_DEFAULT", "CURRENT_DEFAULT")}
+    schema = StructType([StructField(c, StringType(), True, default) for c in URL_COLUMNS])
+    files = _reader(exact, tolerant).schema(schema).parquet(*paths)
+    file = F.col("_metadata.file_path").alias("file_path")
+    rows = files.select(file, F.lit(0).alias("bit"))
+    for i, c in enumerate(URL_COLUMNS):
+        rows = rows.unionByName(files.where(F.col(c) == ABSENT).select(file, F.lit(1 << i).alias("bit")))
+    column = F.lit(None).cast("string")
+    for i, c in reversed(list(enumerate(URL_COLUMNS))):
+        column = F.when(F.col("absent").bitwiseAND(1 << i) == 0, F.lit(c)).otherwise(column)
+    return (rows.groupBy("file_path").agg(F.bit_or("bit").alias("absent"),
+                                          F.sum((F.col("bit") == 0).cast("long")).alias("n"))
+            .select("file_path", column.alias("column"), "n"))
+
+
+def _as_path(uri: str) -> str:
+    """The path of a file as Spark names it, to be read as it stands."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
 
-# The same of pages: classes and messages in the chain of causes.  Those of
-# ELSEWHERE go first, as Parquet's exceptions wrap them, too.
+def _same(uri: str) -> str:
+    """``file:///x`` as ``file:/x``: Spark writes either."""
+    return re.sub(r"^([\w+.-]+):///", r"\1:/", uri)
+
+
+# What Spark says of pages that cannot be read: classes and messages in the
+# chain of causes.  Those of ELSEWHERE go first, as Parquet's exceptions wrap
+# them, too.
 ELSEWHERE = ("java.net.", "javax.net.", "javax.security.", "java.nio.channels.", "java.nio.file.AccessDenied",
              "org.apache.hadoop.security.", "org.apache.hadoop.ipc.", "org.apache.hadoop.net.",
              "java.lang.OutOfMemoryError", "java.lang.Interrupted", "java.io.InterruptedIO")
@@ -113,167 +168,157 @@ def _each(fn: Callable, items: list) -> list:
         return list(pool.map(fn, items))
 
 
-def _as_path(uri: str) -> str:
-    """The path of a file as Spark names it, to be read as it stands."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).globStatus(p))
 
 
-def _file_columns(spark: SparkSession, path: str, tolerant: bool) -> tuple[list[str] | None, str]:
-    """(columns, ''), or (None, reason) for a file a tolerant scan leaves out."""
-    try:
-        return _reader(spark, False).parquet(path).columns, ""
-    except (PySparkException, Py4JJavaError) as e:
-        reason = next((x for x in UNREADABLE if x in str(e)), None)
-        if tolerant and reason:
-            return None, reason
-        raise
-
-
-def _single_url_column(spark: SparkSession, paths: list[str],
-                       tolerant: bool) -> dict[str, list[str]] | None:
-    """Fast path: one merged-schema read (footers read by one Spark job).
-
-    If exactly one URL-like column name exists across all files, every file
-    either has it (and it is that file's URL column) or has none (its rows
-    read as null and are dropped, i.e. no rows, as for a file without a URL
-    column).  Otherwise (several spellings, unreadable paths) return None.
+def _by_column(exact: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by URL column, as many rows on the driver as there are files.  If
+    they share one, the paths stay as they are (a file without a URL column
+    reads as nulls, which are dropped)."""
+    groups: dict[str, list[str]] = {}
+    for r in url_columns(exact, paths).where("column IS NOT NULL").select("file_path", "column").collect():
+        groups.setdefault(r["column"], []).append(_as_path(r["file_path"]))
+    if len(groups) == 1:
+        return {c: list(paths) for c in groups}
+    return {c: sorted(groups[c]) for c in URL_COLUMNS if c in groups}
+
+
+def _decode(batches):
+    """A task's check of whole files (path, content): (path, reason), '' for a
+    file that can be read."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for batch in batches:
+        reasons = []
+        for content in batch.column(1):
+            try:
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                col = resolve_url_column(file.schema_arrow.names)
+                for i in range(file.num_row_groups if col else 0):
+                    file.read_row_group(i, columns=[col], use_threads=False)
+                reasons.append("")
+            except (pa.ArrowException, OSError, ValueError) as e:
+                # The bytes are in memory: nothing but they can be at fault.
+                reasons.append(f"{type(e).__name__}: {(str(e).splitlines() or [''])[0][:200]}")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(reasons)], names=["path", "reason"])
+
+
+def _good_files(exact: SparkSession, paths: list[str], skipped: list[tuple[str, str]]) -> dict[str, list[str]]:
+    """The readable files of ``paths`` by URL column; the others are added to
+    ``skipped``.  As many jobs for any number of files, good or bad.
+
+    One job lists columns and rows as footers tell them, the next counts the
+    rows that can be read.  Both pass over errors of any kind.  A last one
+    hands the files with a difference whole to tasks: Spark fetches the bytes
+    (what a retry mends is no reason to leave a file out, what it doesn't is
+    raised), and the task says whether the bytes can be decoded.
     """
+    entries, there = paths, _each(lambda p: _exists(exact, p), paths)
+    paths = [p for p, found in zip(entries, there) if found]
+    missing = {p: "PATH_NOT_FOUND" for p, found in zip(entries, there) if not found}
     if not paths:
+        skipped += missing.items()
         return {}
-    # Case-sensitive while merging, so "url" and "URL" stay two columns; done
-    # in a child session (same context, own SQL settings) so the caller's
-    # session is never changed.
-    probe = spark.newSession()
-    probe.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        merged = _reader(probe, tolerant).option("mergeSchema", "true").parquet(*paths).columns
-    except Exception:
-        return None
-    like = [c for c in merged if c.lower() in ("url", "uri")]
-    if len(like) != 1:
-        return None if like else {}
-    return {like[0]: list(paths)} if like[0] in URL_COLUMNS else {}
-
-
-def _probe_each(spark: SparkSession, paths: list[str], tolerant: bool,
-                skipped: list[tuple[str, str]]) -> dict[str, list[str]]:
-    """One footer read per file (a schema probe), a few at a time; a tolerant
-    scan probes every file of a folder (one without any good file is listed
-    by its own path)."""
-    entries = [[(p, p)] for p in paths]
-    if tolerant:
-        entries = _each(lambda p: _files_of(spark, p), paths)
-    probed = _each(lambda x: (*x, *_file_columns(spark, x[1][0], tolerant)),
-                   [(i, x) for i, files in enumerate(entries) for x in files])
-    bad: dict[int, list[tuple[str, str]]] = {}
-    for i, (_, name), cols, reason in probed:
-        if cols is None:
-            bad.setdefault(i, []).append((name, reason))
-    for i, found in bad.items():
-        skipped += [(paths[i], found[0][1])] if len(found) == len(entries[i]) else found
+    told = materialize(url_columns(exact, paths, tolerant=True), "index-columns")
     groups: dict[str, list[str]] = {}
-    for _, (p, _), cols, _ in probed:
-        c = resolve_url_column(cols) if cols is not None else None
-        if c is not None:
-            groups.setdefault(c, []).append(p)
-    return groups
-
-
-def _files_of(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(path to read, name) of the files of a folder; a file, or what is missing, by itself."""
-    try:
-        files = sorted(_reader(spark, False).schema(f"`{URL_COLUMNS[0]}` string").parquet(path).inputFiles())
-    except (PySparkException, Py4JJavaError) as e:
-        if UNREADABLE[0] in str(e):
-            return [(path, path)]
-        raise
-    if len(files) == 1 and unquote(urlsplit(files[0]).path).endswith(urlsplit(path).path):
-        return [(path, path)]
-    return [(_as_path(f), unquote(f)) for f in files]
-
-
-def _same(uri: str) -> str:
-    """``file:///x`` as ``file:/x``: Spark writes either."""
-    return re.sub(r"^([\w+.-]+):///", r"\1:/", uri)
-
+    known = {}
+    for r in told.collect():
+        known[_same(r["file_path"])] = r["column"]
+        if r["column"]:
+            groups.setdefault(r["column"], []).append(_as_path(r["file_path"]))
+    files = sorted(_reader(exact, False).schema(f"`{URL_COLUMNS[0]}` string").parquet(*paths).inputFiles())
+    doubtful = {_same(f) for f in files} - set(known)
+    if groups:
+        read = None
+        for c, group in groups.items():
+            part = _column_scan(exact, group, c, tolerant=True).select("file_path", F.length("url").alias("length"))
+            read = part if read is None else read.unionByName(part)
+        got = read.groupBy("file_path").agg(F.count(F.lit(1)).alias("got"), F.max("length").alias("longest"))
+        short = (told.where("column IS NOT NULL").join(got, "file_path", "left")
+                 .where("got IS NULL OR got <> n").select("file_path", "longest"))
+        doubtful |= {_same(r["file_path"]) for r in short.collect()}
+    bad = _reasons(exact, [f for f in files if _same(f) in doubtful]) if doubtful else {}
+    skipped += _listed(entries, files, {f: bad[_same(f)] for f in files if _same(f) in bad}, missing,
+                       set(known))
+    good: dict[str, list[str]] = {}
+    for f in files:
+        column = known.get(_same(f))
+        if column and _same(f) not in bad:
+            good.setdefault(column, []).append(_as_path(f))
+    return good
+
+
+def _listed(entries: list[str], files: list[str], bad: dict[str, str], missing: dict[str, str],
+            footers: set[str]) -> list[tuple[str, str]]:
+    """(path, reason) in the order of the manifest's entries; an entry without
+    any file that has a footer by its own path."""
+    at = {urlsplit(p).path.rstrip("/"): p for p in entries}
+    owned: dict[str, list[str]] = {}
+    for f in files:
+        path = unquote(urlsplit(f).path)
+        while path and path not in at:
+            path = path.rpartition("/")[0]
+        owned.setdefault(at.get(path, f), []).append(f)
+    out = []
+    for p in dict.fromkeys([*entries, *owned]):
+        found = [f for f in owned.get(p, ()) if f in bad]
+        if p in missing:
+            out.append((p, missing[p]))
+        elif found and len(found) == len(owned[p]) and not any(_same(f) in footers for f in found):
+            out.append((p, bad[found[0]]))
+        else:
+            out += [(unquote(f), bad[f]) for f in found]
+    return out
 
-def _good_files(spark: SparkSession, col: str, paths: list[str], skipped: list[tuple[str, str]]) -> list[str]:
-    """``paths`` without the files whose pages cannot be read, which are added
-    to ``skipped``.
 
-    One job counts the rows that can be read of each file and those its
-    footer tells.  That job passes over errors of any kind, so each file
-    with a difference is then read on its own, with none passed over: what a
-    retry mends is no reason to leave a file out, and errors other than a
-    corrupt or missing file are raised.
-    """
-    schema = StructType([StructField(col, StringType())])
-    strict = _reader(spark, False).schema(schema).parquet(*paths)
-    files = sorted(strict.inputFiles())
-    file, length = F.col("_metadata.file_path").alias("file"), F.length(F.col(f"`{col}`"))
-
-    def rows(df: DataFrame, *more) -> DataFrame:
-        return df.select(file, *more).groupBy("file").agg(
-            F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in ["length"][:len(more)]])
-
-    lax = _reader(spark, True).schema(schema).parquet(*paths)
-    try:
-        whole = {_same(r["file"]) for r in rows(lax, length.alias("length")).join(
-            rows(lax).withColumnRenamed("n", "told"), "file").where("n = told").select("file", "length").collect()}
-    except (PySparkException, Py4JJavaError):
-        whole = set()
-
-    def why(f: str) -> str:
+def _reasons(exact: SparkSession, files: list[str]) -> dict[str, str]:
+    """Why files cannot be read, of those that cannot."""
+    binary = exact.read.format("binaryFile").load([_as_path(f) for f in files])
+    sizes = {_same(r["path"]): r["length"] for r in binary.select("path", "length").collect()}
+    # Spark passes over files without bytes.
+    found = {_same(f): "empty file" for f in files if not sizes.get(_same(f))}
+    whole = [f for f in files if 0 < sizes.get(_same(f), 0) <= CHECK_BYTES]
+    if whole:
+        small = exact.read.format("binaryFile").load([_as_path(f) for f in whole]).select("path", "content")
+        checked = small.mapInArrow(_decode, "path string, reason string").where("reason <> ''")
+        found |= {_same(r["path"]): r["reason"] for r in checked.collect()}
+    for f in (f for f in files if sizes.get(_same(f), 0) > CHECK_BYTES):
+        # Too large to hand over: what Spark itself says of it.
         try:
-            _reader(spark, False).schema(schema).parquet(_as_path(f)).agg(F.max(length)).collect()
-            return ""
+            _column_scan(exact, [_as_path(f)], URL_COLUMNS[0]).agg(F.max(F.length("url"))).collect()
         except (PySparkException, Py4JJavaError) as e:
-            reason = next((x for x in UNREADABLE if x in str(e)), None) or _bad_page(_causes(e))
-            if reason:
-                return reason
-            raise
-
-    doubtful = [f for f in files if _same(f) not in whole]
-    bad = {f: reason for f, reason in zip(doubtful, _each(why, doubtful)) if reason}
-    skipped += [(unquote(f), reason) for f, reason in bad.items()]
-    return [_as_path(f) for f in files if f not in bad] if bad else paths
+            if not (reason := _bad_page(_causes(e))):
+                raise
+            found[_same(f)] = reason
+    return found
 
 
 def read_index(spark: SparkSession, paths: list[str], limit_rows: int | None = None,
                tolerant: bool = False, skipped: list[tuple[str, str]] | None = None) -> DataFrame:
     """(file_path, row_index, url) for all index files.
 
-    Files are grouped by their URL column name and each group is read with
-    one scan selecting just that column (usually one group, found with a
-    single merged-schema read; per-file probes only for mixed spellings).  ``limit_rows`` keeps the first N
-    rows of each file (before null-drop and dedup, as the source does).
+    Files are grouped by their URL column name (``url_columns``) and each group
+    is read with one scan selecting just that column (usually one group).
+    ``limit_rows`` keeps the first N rows of each file (before null-drop and
+    dedup, as the source does).
     With ``tolerant`` a missing or corrupt file (also one in a folder, or one with
     a bad page) yields no rows; its path and the reason are added to ``skipped``.
     Such files are found before the scan, which passes over no error itself.
     """
     skipped = [] if skipped is None else skipped
-    groups = _single_url_column(spark, paths, False)
-    if groups is None:
-        groups = _probe_each(spark, paths, tolerant, skipped)
-    if tolerant:
-        groups = {c: good for c, group in groups.items() if (good := _good_files(spark, c, group, skipped))}
-    reader = _reader(spark, False)
-    parts = []
+    out = spark.createDataFrame([], "file_path string, row_index bigint, url string")
+    if not paths:
+        return out
+    exact = _exact_session(spark)
+    groups = _good_files(exact, paths, skipped) if tolerant else _by_column(exact, paths)
     for col, group in groups.items():
-        # Only the URL column is read; a file without it reads nulls.
-        schema = StructType([StructField(col, StringType())])
-        df = reader.schema(schema).parquet(*group).select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.row_index").alias("row_index"),
-            F.col(f"`{col}`").alias("url"))
+        df = _column_scan(exact, group, col)
         if limit_rows and limit_rows > 0:
             df = df.filter(F.col("row_index") < limit_rows)
-        parts.append(df)
-    if not parts:
-        return spark.createDataFrame([], "file_path string, row_index bigint, url string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(df)
     return out
 
 

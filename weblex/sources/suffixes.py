@@ -1,7 +1,7 @@
 """Public-suffix rules as a small Spark table.
 
 Rules come either from a public suffix list file (any path Spark can read)
-or from a short built-in list.  They are merged to one row per suffix key
+or from the ICANN section that the package holds.  They are merged to one row per suffix key
 with three flags, which is what the registered-domain join probes:
 
     key    the suffix text ("co.uk"; the base of "*.ck" is "ck")
@@ -13,7 +13,9 @@ with three flags, which is what the registered-domain join probes:
 
 from __future__ import annotations
 
+import pkgutil
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 
@@ -21,37 +23,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .lines import number_rows
 
-# A public suffix list has ~10k rules; anything far larger is not a suffix
-# list, and we refuse to broadcast it (the join falls back to a shuffle).
-MAX_BROADCAST_RULES = 1_000_000
+# A public suffix list has ~10k rules; a rule set beyond this is no such list:
+# it stays a table and is joined with a shuffle.
+MAX_LOCAL_RULES = 50_000
 
 ICANN_END_MARKER = "// ===END ICANN DOMAINS==="
 
-# ---------------------------------------------------------------------------
-# FIXED VALUES: a subset of the ICANN section of the public suffix list
-# (publicsuffix.org, MPL-2.0), in PSL syntax: "*." wildcard, "!" exception.
-# ---------------------------------------------------------------------------
-BUILTIN_ICANN_SUBSET = """
-com net org edu gov mil int info biz name pro aero coop museum mobi asia tel
-travel jobs app dev io ai co me tv cc us uk de fr es it nl be ch at se no dk fi
-pl ru cn jp kr in br au ca mx ar nz ie pt gr cz hu ro tr il sg hk tw id my th vn
-ph pk ng ke eg sa ae ir ua kz eu xyz online site top shop blog
-ac.uk co.uk gov.uk ltd.uk me.uk net.uk nhs.uk org.uk plc.uk police.uk
-com.au net.au org.au edu.au gov.au asn.au id.au
-co.jp ne.jp or.jp ac.jp go.jp ad.jp ed.jp gr.jp lg.jp
-co.nz net.nz org.nz govt.nz ac.nz
-co.za org.za gov.za ac.za net.za
-com.br net.br org.br gov.br edu.br
-com.cn net.cn org.cn gov.cn edu.cn ac.cn
-co.in net.in org.in gov.in ac.in firm.in gen.in ind.in
-com.mx org.mx gob.mx edu.mx net.mx
-com.ar com.tr org.tr gov.tr co.kr or.kr go.kr ac.kr com.tw org.tw com.hk org.hk
-com.sg edu.sg co.il org.il ac.il com.es org.es co.at or.at com.pl net.pl org.pl
-co.id or.id ac.id com.my com.ph com.vn com.ua
-*.ck !www.ck *.kobe.jp !city.kobe.jp *.bd *.er *.fk *.jm *.kh *.mm *.np *.pg
-pvt.k12.ma.us k12.ma.us ma.us ny.us ca.us
-""".split()
+#: The ICANN section of the public suffix list (publicsuffix.org, MPL-2.0), as
+#: published, comments included.
+ICANN_FILE = "data/icann_suffixes.dat"
+
+
+@lru_cache(maxsize=1)
+def icann_text() -> str:
+    """The packaged list, whole (some 180 kB)."""
+    return pkgutil.get_data(__package__.partition(".")[0], ICANN_FILE).decode("utf-8")
+
+
+@lru_cache(maxsize=1)
+def icann_rules() -> tuple[str, ...]:
+    """Its rules in list order, in PSL syntax: "*." wildcard, "!" exception."""
+    lines = (line.strip() for line in icann_text().splitlines())
+    return tuple(line.split()[0].lower() for line in lines if line and not line.startswith("//"))
+
+
+def ascii_form(rule: str) -> str | None:
+    """Punycode (IDNA) spelling of a rule; None if it has none."""
+    prefix = "*." if rule.startswith("*.") else "!" if rule.startswith("!") else ""
+    try:
+        return prefix + rule[len(prefix):].encode("idna").decode("ascii")
+    except UnicodeError:
+        return None
+
 
 # Extra plain rules used with the driver's test pages, whose hosts all sit
 # under these three names (so that sites stay apart, as a suffix library's
@@ -69,7 +74,7 @@ class SuffixRules:
     A suffix list is small and its size is checked when it is loaded: it is
     then held as a driver-side tuple (``rows``), tested with hash sets or
     shipped as local relations to broadcast joins.  A rule set above
-    MAX_BROADCAST_RULES stays a distributed table (``table``), joined
+    MAX_LOCAL_RULES stays a distributed table (``table``), joined
     without a broadcast hint.
     """
     rows: tuple | None
@@ -85,6 +90,9 @@ class SuffixRules:
     def n_keys(self) -> int:
         return len(self.rows) if self.rows is not None else self.size
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return local_frame(spark, list(self.rows)) if self.rows is not None else self.table
+
     def at_depth(self, spark: SparkSession, k: int) -> DataFrame:
         if self.rows is not None:
             return local_frame(spark, [r for r in self.rows if r[4] == k])
@@ -102,6 +110,11 @@ def local_frame(spark: SparkSession, rows: list) -> DataFrame:
     return spark.createDataFrame(pdf, RULE_SCHEMA)
 
 
+def local_strings(spark: SparkSession, values: list[str], name: str) -> DataFrame:
+    """A short list as a table (at, name), numbered from 0."""
+    return spark.createDataFrame(pd.DataFrame({"at": range(len(values)), name: values}), f"at int, {name} string")
+
+
 def _split_rule(rule: str) -> tuple[str, str]:
     r = rule.strip().lower()
     if r.startswith("*."):
@@ -144,8 +157,16 @@ def rules_from_list(spark: SparkSession, rules: list[str]) -> SuffixRules:
     return merge_rule_list(r for r in rules if r.strip())
 
 
+@lru_cache(maxsize=4)
+def _icann(extra: tuple[str, ...]) -> SuffixRules:
+    rules = icann_rules()
+    forms = [ascii_form(r) for r in rules if not r.isascii()]
+    return merge_rule_list([*rules, *filter(None, forms), *extra])
+
+
 def builtin_rules(spark: SparkSession, extra: list[str] | None = None) -> SuffixRules:
-    return rules_from_list(spark, BUILTIN_ICANN_SUBSET + list(extra or []))
+    """The packaged ICANN rules, in both spellings."""
+    return _icann(tuple(extra or ()))
 
 
 def fixture_rules(spark: SparkSession) -> SuffixRules:
@@ -153,70 +174,58 @@ def fixture_rules(spark: SparkSession) -> SuffixRules:
     return builtin_rules(spark, FIXTURE_EXTRA_SUFFIXES)
 
 
-def parse_rule_lines(lines: DataFrame, private: bool = False) -> DataFrame:
-    """PSL file rows (pos, line, end) -> rule strings.
-
-    ``end`` is the 1-based line number of the end-of-ICANN marker (0 when
-    absent); private rules are kept only on request.
-    """
-    df = lines
-    if not private:
-        df = df.filter((F.col("end") == 0) | (F.col("pos") + 1 < F.col("end")))
-    text = F.trim(F.col("line"))
-    return (df.select(text.alias("line"))
-              .filter((F.col("line") != "") & ~F.col("line").startswith("//"))
-              .select(F.split(F.col("line"), r"\s+").getItem(0).alias("rule")))
-
-
 def _ascii_forms(rules: DataFrame) -> DataFrame:
     """Punycode (IDNA) spelling of non-ASCII rules, so xn-- hosts match."""
     ship_package(rules.sparkSession)
 
     @F.pandas_udf("string")
     def to_ascii(s: pd.Series) -> pd.Series:
-        def conv(r: str):
-            prefix = "*." if r.startswith("*.") else "!" if r.startswith("!") else ""
-            body = r[len(prefix):]
-            try:
-                return prefix + body.encode("idna").decode("ascii")
-            except Exception:
-                return None
-        return s.map(conv)
+        return s.map(ascii_form)
 
     non_ascii = rules.filter(~F.col("rule").rlike(r"^[\x00-\x7f]*$"))
     return (non_ascii.select(to_ascii(F.col("rule")).alias("rule"))
                      .filter(F.col("rule").isNotNull()))
 
 
+def read_rule_lines(spark: SparkSession, path: str, private: bool = False) -> DataFrame:
+    """The rules (column ``rule``) of public suffix list files, line by line.
+
+    A rule is a line's first word; comments and blank lines are none.  Rules
+    under a file's end-of-ICANN marker are private and kept on request only:
+    lines are numbered by split, so files of any size are read in parallel."""
+    raw = spark.read.text(path).select(
+        F.trim(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"))
+    if private:
+        lines = raw
+    else:
+        numbered = number_rows(raw)
+        ends = numbered.filter(F.col("line") == ICANN_END_MARKER).groupBy("file").agg(F.min("line_no").alias("end"))
+        lines = (numbered.join(ends, "file", "left")
+                 .filter(F.col("end").isNull() | (F.col("line_no") < F.col("end"))))
+    return (lines.filter((F.col("line") != "") & ~F.col("line").startswith("//"))
+            .select(F.split(F.col("line"), r"\s+").getItem(0).alias("rule")))
+
+
 def read_suffix_rules(spark: SparkSession, path: str, private: bool = False,
                       extra: list[str] | None = None, idna: bool = True) -> SuffixRules:
-    """Read a public suffix list file (any path Spark reads; read whole).
+    """Rules of public suffix list files (any path Spark reads).
 
-    The distinct rule strings are counted before they are brought to the
-    driver: a suffix list has ~10k rules.  A rule set over
-    MAX_BROADCAST_RULES is merged by Spark, stored under the checkpoint
-    folder and joined as a distributed table instead.
+    Spark reads, merges and stores them, one row per key.  The stored rows
+    are counted before they are brought to the driver; a rule set over
+    MAX_LOCAL_RULES is joined as a distributed table instead.
     """
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.split(F.col("value"), r"\r?\n").alias("lines"))
-    # Position of the end-of-ICANN marker, computed once per file before
-    # the lines are exploded.
-    marked = lines.select("lines", F.array_position(
-        F.transform("lines", lambda l: F.trim(l)), ICANN_END_MARKER).alias("end"))
-    rows = marked.select(F.posexplode("lines").alias("pos", "line"), "end")
-    rules = parse_rule_lines(rows, private)
+    from ..plans.materialize import materialize
+
+    rules = read_rule_lines(spark, path, private)
     if idna:
         rules = rules.unionByName(_ascii_forms(rules))
-    rules = rules.select(F.lower("rule").alias("rule")).distinct().cache()
-    n = rules.count()
-    if n > MAX_BROADCAST_RULES:
-        from ..plans.materialize import materialize
-        if extra:
-            rules = rules.unionByName(spark.createDataFrame([(e,) for e in extra], "rule string"))
-        table = materialize(merge_rule_frame(rules), "suffix-rules")
-        rules.unpersist()
-        stats = table.agg(F.max("depth").alias("d"), F.count(F.lit(1)).alias("n")).first()
-        return SuffixRules(None, int(stats["d"] or 0), table, int(stats["n"]))
-    found = [r["rule"] for r in rules.collect()]
-    rules.unpersist()
-    return merge_rule_list(found + list(extra or []))
+    if extra:
+        rules = rules.unionByName(spark.createDataFrame([(e,) for e in extra], "rule string"))
+    table = materialize(merge_rule_frame(rules), "suffix-rules")
+    stats = table.agg(F.max("depth").alias("d"), F.count(F.lit(1)).alias("n")).first()
+    if stats["n"] > MAX_LOCAL_RULES:
+        return SuffixRules(None, int(stats["d"]), table, int(stats["n"]))
+    rows = table.select("key", "plain", "wild", "exc", "depth").orderBy("key").collect()
+    return SuffixRules(tuple(map(tuple, rows)), int(stats["d"] or 0))
