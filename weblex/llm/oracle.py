@@ -132,3 +132,57 @@ c AS (SELECT reach.u, min(o.vec_id) AS component_id FROM reach JOIN r o ON o.u =
 n AS (SELECT a AS u, count(*) AS n FROM l GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
 FROM r JOIN c USING (u) LEFT JOIN n USING (u)"""
+
+
+def repair_sql() -> str:
+    space = r"[^\x20\x09-\x0D]"
+    return f"""
+WITH RECURSIVE t AS (
+    SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::UBIGINT, range(0, 8)::UBIGINT[]),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(0, 256) r(i))),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                            lambda x: ascii(x)::UBIGINT) AS bytes FROM conversations),
+k AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::UBIGINT, bytes),
+          lambda s, b: xor(s >> 8, t[((xor(s, b) & 255) + 1)::BIGINT])), 4294967295) % 20 AS kind FROM c, t),
+g AS (SELECT row_number() OVER () AS g, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+d AS (SELECT g, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM k JOIN g ON k.conv_id IS NOT DISTINCT FROM g.conv_id, range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{space}') THEN 'blank'
+                     WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) || left(role, 1) AS pair FROM o),
+s AS (SELECT g, count(f.i) AS n, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+             coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+      FROM g LEFT JOIN f USING (g) GROUP BY g),
+ins(st, mid, n, more) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 1, 'user:'),
+    (1, 2, 1, 'user:'), (3, 2, 1, 'user:'), (2, 3, 1, 'assistant:'), (0, 3, 2, 'user:' || chr(10) || 'assistant:'),
+    (1, 3, 2, 'user:' || chr(10) || 'assistant:')),
+e(mid, edit, initial, st, name) AS (VALUES (0, 'K', 's', 1, ''), (0, 'K', 'u', 2, ''), (1, 'K', 'u', 2, ''), (3, 'K', 'u', 2, ''),
+    (2, 'K', 'a', 3, ''), (0, 'R', NULL, 2, 'user'), (1, 'R', NULL, 2, 'user'), (3, 'R', NULL, 2, 'user'),
+    (2, 'R', NULL, 3, 'assistant'), (0, 'D', NULL, 0, ''), (1, 'D', NULL, 1, ''), (2, 'D', NULL, 2, ''), (3, 'D', NULL, 3, '')),
+dp AS (
+    SELECT g, 0::BIGINT AS i, 0 AS st, 0::BIGINT AS cost, '' AS audit, '' AS made FROM g
+    UNION ALL
+    SELECT g, i, st, cost, audit, made FROM (
+        SELECT *, row_number() OVER (PARTITION BY g, st ORDER BY cost, audit) AS place FROM (
+            SELECT dp.g, f.i, e.st,
+                   cost + 5 * ins.n + CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+                   + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+                   audit || repeat('I', ins.n) || edit AS audit,
+                   concat_ws(chr(10), CASE WHEN dp.st > 0 THEN made END, CASE WHEN ins.n > 0 THEN more END,
+                             CASE edit WHEN 'K' THEN role || ':' || text WHEN 'R' THEN name || ':' || text END) AS made
+            FROM dp JOIN ins ON ins.st = dp.st JOIN f ON f.g = dp.g AND f.i = dp.i + 1
+            JOIN e ON e.mid = ins.mid AND (e.initial IS NULL OR e.initial = left(role, 1))
+            WHERE edit = 'D' OR fault NOT IN ('blank', 'duplicate'))) WHERE place = 1),
+z AS (SELECT g, cost + 5 * ins.n AS cost, audit || repeat('I', ins.n) AS audit,
+             concat_ws(chr(10), CASE WHEN dp.st > 0 THEN made END, CASE WHEN ins.n > 0 THEN more END) AS made
+      FROM dp JOIN s USING (g) JOIN ins ON ins.st = dp.st WHERE dp.i = s.n AND mid IN (0, 3)),
+b AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY cost, audit) AS place FROM z)
+SELECT conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, cost::BIGINT AS cost, audit,
+       sha256(made) AS repaired_sha256
+FROM g JOIN s USING (g) JOIN b USING (g) WHERE place = 1"""

@@ -126,6 +126,7 @@ SQL: dict[str, str] = {
     "op7_license_scan": oracle.license_sql(),
     "op8_warc_bundles": oracle.warc_sql(),
     "op10_quality_rules": oracle.quality_sql(),
+    "op11_conversation_repair": oracle.repair_sql(),
     "op12_source_divergence": oracle.divergence_sql(),
     "op13_embedding_groups": oracle.embedding_sql(),
 }
