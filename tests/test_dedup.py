@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from weblex.operators import counts, dedup
 
@@ -35,6 +36,46 @@ def test_run_dedup_bucket_independent(spark, bucket):
     assert runs(spark, values, bucket) == sequential(values)
 
 
+def in_place(spark, path, split=True):
+    from weblex.sources.lines import numbered_lines
+    lines = numbered_lines(spark, path, "v", keep_split=True)
+    lines = lines.withColumn("v", F.when(F.col("v") != "", F.col("v")))
+    return dedup.drop_adjacent_repeats(lines, "v", "line_no", split=dedup.SPLIT if split else None)
+
+
+@pytest.mark.parametrize("split_bytes", [40, 300, 1 << 20])
+def test_run_dedup_where_the_lines_are(spark, tmp_path, split_bytes):
+    rnd = random.Random(split_bytes)
+    values = []
+    while len(values) < 900:  # runs over several splits, splits without any value
+        values += [rnd.choice(["a", "b", "", "ü"])] * rnd.choice([1, 2, 40])
+    for k in range(3):
+        (tmp_path / f"{k}.txt").write_text("\n".join(values[300 * k:300 * k + 300]) + "\n", encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        out = in_place(spark, str(tmp_path))
+        got = [r.v for r in sorted(out.collect(), key=lambda r: r.line_no)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sequential([v or None for v in values[:900]])
+    rows = plan.split("MapInArrow")[1]  # what the compared rows come from
+    assert "Exchange hashpartitioning" not in rows.split("BroadcastExchange")[0] and "Window" not in rows.split("BroadcastExchange")[0]
+
+
+def test_run_dedup_of_interleaved_splits(spark, tmp_path):
+    values = ["a", "a", "b", None, "b", "a", "c", "c"] * 30
+    df = spark.createDataFrame(list(enumerate(values)), "ord long, v string").repartition(4)
+    df.write.parquet(str(tmp_path / "t"))
+    read = dedup.with_split(spark.read.parquet(str(tmp_path / "t")).select("ord", "v"))
+    out = dedup.drop_adjacent_repeats(read, "v", "ord", split=dedup.SPLIT)
+    assert out.columns == ["ord", "v"]
+    assert [r.v for r in out.orderBy("ord").collect()] == sequential(values)
+    none = dedup.drop_adjacent_repeats(read.filter("ord < 0"), "v", "ord", split=dedup.SPLIT)
+    assert none.count() == 0
+
+
 def test_distinct_per_file_and_counts(spark):
     df = spark.createDataFrame([("f1", "a"), ("f1", "a"), ("f1", None), ("f2", "a")],
                                "file_path string, host string")

@@ -223,3 +223,28 @@ def test_report_text_format(spark):
     assert lines == ["term,frequency,domains", 'u,9,"c.com"', 'a,5,"d.com"', 't,5,"a.com,b.com"']
     back = read_term_csv(spark, out)
     assert sorted(map(tuple, back.collect())) == [("a", 5, "d.com"), ("t", 5, "a.com,b.com"), ("u", 9, "c.com")]
+
+
+def test_single_files_equal_a_sequential_writer(spark, tmp_path, monkeypatch):
+    from weblex import sinks
+    rows = [(f"t{i % 97:02d}x{i}", 1 + i % 7, f'd{i}.com,"q{i}".org') for i in range(500)] + [("ü", 9, "ä.de")]
+    rep = spark.createDataFrame(rows, "term string, frequency bigint, domains string").repartition(5)
+    want = "term,frequency,domains\n"
+    for term, n, domains in sorted(rows, key=lambda r: (-r[1], r[0].encode())):
+        quoted = domains.replace('"', '""')
+        want += f'{term},{n},"{quoted}"\n'
+    target = tmp_path / "report.csv"
+    sinks.write_term_report_file(rep, str(target))
+    assert target.read_bytes() == want.encode()
+    assert sorted(map(tuple, read_term_csv(spark, str(target)).collect())) == sorted(rows)
+    lines = tmp_path / "hosts.txt"
+    sinks.write_single_lines(rep.orderBy("term"), "term", str(lines))
+    assert lines.read_bytes() == "".join(f"{t}\n" for t in sorted((r[0] for r in rows), key=str.encode)).encode()
+    # A run that fails midway leaves the earlier report, and no other file.
+    before = sorted(p.name for p in tmp_path.iterdir())
+    broken = rep.withColumn("domains", F.when(F.col("term") == "ü", F.raise_error(F.lit("lost"))).otherwise(F.col("domains")))
+    with pytest.raises(Exception):
+        sinks.write_term_report_file(broken, str(target))
+    with pytest.raises(Exception):
+        sinks.join_parts(spark, str(tmp_path / "nothing"), str(tmp_path / "new.csv"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == before and target.read_bytes() == want.encode()

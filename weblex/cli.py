@@ -47,11 +47,12 @@ def _extract(spark, args, hosts: bool) -> None:
 def _normalize(spark, args) -> None:
     from .plans import jobs
     from .sinks import write_lines
+    from .operators.dedup import SPLIT
     from .sources.lines import numbered_lines, read_lines
     rules = _rules(spark, args)
     if args.in_order:
-        hosts = numbered_lines(spark, args.input, "host").filter("host <> ''")
-        out = jobs.normalize_domains_in_order(hosts, rules, "line_no")
+        hosts = numbered_lines(spark, args.input, "host", keep_split=True).filter("host <> ''")
+        out = jobs.normalize_domains_in_order(hosts, rules, "line_no", split=SPLIT)
         out = out.orderBy("line_no")
     else:
         out = jobs.normalize_domains(read_lines(spark, args.input, "host"), rules)
@@ -68,8 +69,10 @@ def _urls(spark, args, ordered: bool):
 
 
 def _write_report(report, args) -> None:
-    from .sinks import write_term_csv, write_term_report_text
-    if args.spark_csv:
+    from .sinks import write_term_csv, write_term_report_file, write_term_report_text
+    if args.single_file:
+        write_term_report_file(report, args.output)
+    elif args.spark_csv:
         write_term_csv(report, args.output)
     else:
         write_term_report_text(report, args.output)
@@ -97,10 +100,10 @@ def _incremental(spark, args) -> None:
     parts = os.path.join(args.state_dir, "partials")
     incremental.run_incremental(spark, args.input, parts, os.path.join(args.state_dir, "checkpoint"),
                                 rules, args.min_term_length, args.max_files_per_batch,
-                                sample_rate=args.sample_rate)
+                                sample_rate=args.sample_rate, compact_after=args.compact_after)
     s = incremental.run_stats(spark, parts).first()
-    print(f"Processed {s.processed_urls:,} URLs, {s.total_terms:,} term occurrences "
-          f"in {s.batches:,} batches")
+    print(f"Processed {s.processed_urls:,} URLs, {s.unique_domains:,} domains, {s.unique_terms:,} terms, "
+          f"{s.total_terms:,} term occurrences in {s.batches:,} batches")
     report = incremental.merged_report(spark, parts, args.percentage, args.max_domains)
     _write_report(report, args)
 
@@ -145,6 +148,8 @@ def parser() -> argparse.ArgumentParser:
                        help="domains listed per term (default 1000)")
         q.add_argument("--min-term-length", type=int, default=3,
                        help="minimum word and stem length (default 3)")
+        q.add_argument("--single-file", action="store_true",
+                       help="write the report as one file instead of a folder of parts")
         q.add_argument("--spark-csv", action="store_true",
                        help="write with Spark's CSV writer (quotes only when needed) instead "
                             "of the term,frequency,\"domains\" lines")
@@ -158,6 +163,8 @@ def parser() -> argparse.ArgumentParser:
             q.add_argument("--state-dir", required=True,
                            help="partials and stream checkpoint (shared storage)")
             q.add_argument("--max-files-per-batch", type=int)
+            q.add_argument("--compact-after", type=int,
+                           help="merge the stored partials whenever this many batches are new")
     return p
 
 

@@ -118,17 +118,18 @@ def term_domain_counts(words: DataFrame, min_len: int = 3,
 
 
 def terms_from_pairs(wd: DataFrame, min_len: int = 3, first_seen: str | None = None,
-                     by: tuple[str, ...] = ()) -> DataFrame:
-    """(word, domain) counts -> (term, domain) counts (stem join, J2)."""
+                     by: tuple[str, ...] = (), stems: DataFrame | None = None) -> DataFrame:
+    """(word, domain) counts -> (term, domain) counts (stem join, J2); with
+    ``stems`` by a stored dictionary (word, term) that has every word."""
     vocab = vocabulary(wd, "word", weight="n", carry=("first_seen",) if first_seen else ())
     aggs = [F.sum("n").cast("bigint").alias("n")]
     if first_seen:
         aggs.append(F.min("first_seen").alias("first_seen"))
-    return join_stems(wd, vocab, min_len).groupBy(*by, "term", "domain").agg(*aggs)
+    return join_stems(wd, vocab, min_len, stems=stems).groupBy(*by, "term", "domain").agg(*aggs)
 
 
 def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int,
-               salt_cols: tuple[str, ...] = ("domain",)) -> DataFrame:
+               salt_cols: tuple[str, ...] = ("domain",), stems: DataFrame | None = None) -> DataFrame:
     """Attach each word's term to the (word, domain, ...) rows.
 
     The word -> term table is joined on word; AQE broadcasts it when its
@@ -149,7 +150,10 @@ def join_stems(wd: DataFrame, vocab: DataFrame, min_len: int,
     salt = F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*salt_cols), F.col("_f")).cast("int"))
     salted = wd.join(F.broadcast(hot), "word", "left").withColumn("_salt", salt).drop("_f")
-    stems = stem_vocabulary(vocab, min_len, keep=("pairs",))
+    if stems is None:
+        stems = stem_vocabulary(vocab, min_len, keep=("pairs",))
+    else:
+        stems = vocab.select("word", "pairs").join(stems, "word").filter(F.length("term") >= min_len)
     spread = stems.select("word", "term", F.explode(F.sequence(F.lit(0), spread_by - 1)).alias("_salt"))
     return salted.join(spread, ["word", "_salt"]).drop("_salt")
 

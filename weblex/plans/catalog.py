@@ -17,7 +17,8 @@ from ..functions.urls import site_label, strip_text, url_host, url_parts, url_to
 from ..operators import counts, dedup, ranking, terms
 from ..operators.partitioning import spread
 from ..session import scratch_path
-from ..sinks import read_term_csv, write_lines, write_term_csv, write_term_report_text
+from ..sinks import (read_term_csv, write_lines, write_term_csv, write_term_report_file,
+                     write_term_report_text)
 from ..sources import index as idx
 from ..sources.lines import numbered_lines, read_lines, sample_every_nth
 from ..streaming import incremental, normalize
@@ -348,7 +349,8 @@ def _ordered_links(spark, sf_dir):
     a hash aggregate: page, then place on the page (under 2^20, checked)."""
     place = F.when(F.col("pos") < 1 << 20, F.col("pos")).otherwise(
         F.raise_error(F.lit("a page with 2^20 links or more")).cast("bigint"))
-    return _links(spark, sf_dir).withColumn("ord", F.shiftleft(F.col("page_id"), 20) + place)
+    page = F.coalesce("page_id", F.lit(-(1 << 42)))  # a null id comes first
+    return _links(spark, sf_dir).withColumn("ord", F.shiftleft(page, 20) + place)
 
 
 def _index_entries(spark, sf_dir, broken: bool = False) -> tuple[str, list[str]]:
@@ -499,13 +501,13 @@ def d3_distinct_sorted_urls(spark, sf_dir):
     "WHERE prev IS NULL OR prev <> event_type"))
 def d4_adjacent_dedup(spark, sf_dir):
     """Events in id order, repeated event types within a run dropped."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
-    return dedup.drop_adjacent_repeats(ev, "event_type", "event_id")
+    ev = dedup.with_split(read_table(spark, sf_dir, "events").select("event_id", "event_type"))
+    return dedup.drop_adjacent_repeats(ev, "event_type", "event_id", split=dedup.SPLIT)
 
 
 def _page_hosts(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", url_host(F.col("url")).alias("host"))
+    pages = dedup.with_split(read_table(spark, sf_dir, "pages"))
+    return pages.select("page_id", *dedup.SPLIT, url_host(F.col("url")).alias("host"))
 
 
 _PAGE_DOMAINS_CTES = [("ph", f"SELECT page_id, {O.host_sql('url')} AS host FROM pages"),
@@ -520,7 +522,8 @@ _PAGE_DOMAINS_CTES = [("ph", f"SELECT page_id, {O.host_sql('url')} AS host FROM
 def q3_normalize_runs(spark, sf_dir):
     """Q3 exact variant (P3, D4): page hosts in page order -> registered
     domains, adjacent repeats dropped."""
-    return jobs.normalize_domains_in_order(_page_hosts(spark, sf_dir), fixture_rules(spark), "page_id")
+    return jobs.normalize_domains_in_order(_page_hosts(spark, sf_dir), fixture_rules(spark), "page_id",
+                                           split=dedup.SPLIT)
 
 
 @register("a2_normalize_counts", lambda: _sql(_PAGE_DOMAINS_CTES, (
@@ -531,8 +534,8 @@ def a2_normalize_counts(spark, sf_dir):
     """A2: hosts with a registered domain, and rows emitted by the run dedup."""
     rules = fixture_rules(spark)
     hosts = _page_hosts(spark, sf_dir).filter(F.col("host").isNotNull())
-    norm = registered_only(hosts, "host", rules, keep=("page_id",))
-    return counts.normalize_counts(dedup.mark_runs(norm, "domain", "page_id"))
+    norm = registered_only(hosts, "host", rules, keep=("page_id", *dedup.SPLIT))
+    return counts.normalize_counts(dedup.mark_runs(norm, "domain", "page_id", split=dedup.SPLIT))
 
 
 _ALL_HOST_DOMAINS_CTES = [("u", SITE_URLS_SQL),
@@ -666,29 +669,32 @@ def k2_term_report_text(spark, sf_dir):
     return read_term_csv(spark, path)
 
 
-def _stream_inputs(spark, sf_dir, folder: str, ranges: list[tuple[int, int]]):
-    """Write link URLs of page ranges [lo, hi) as separate line files."""
-    links = _links(spark, sf_dir)
-    for lo, hi in ranges:
-        part = links.filter((F.col("page_id") >= lo) & (F.col("page_id") < hi)).select("url")
-        part.write.text(os.path.join(folder, f"pages-{lo}-{hi}"))
-
+def _incremental_partials(spark, sf_dir, compacted: bool = False) -> str:
+    """Three runs over a growing folder (the last one finds nothing new).
 
-def _incremental_partials(spark, sf_dir) -> str:
-    """Three runs over a growing folder (the last one finds nothing new)."""
+    The first arrival has the links of the lower half of the page ids, the
+    second all others, those of null or negative ids, too."""
     root = scratch_path(spark, "incremental")
     src, parts, ckpt = (os.path.join(root, d) for d in ("in", "partials", "checkpoint"))
-    n_pages = read_table(spark, sf_dir, "pages").agg(F.max("page_id")).first()[0] or 0
-    cut = (n_pages + 1) // 2
+    last = read_table(spark, sf_dir, "pages").agg(F.max("page_id")).first()[0] or 0
+    links, early = _links(spark, sf_dir), F.coalesce(F.col("page_id").between(0, last // 2), F.lit(False))
     rules = fixture_rules(spark)
-    _stream_inputs(spark, sf_dir, src, [(0, cut)])
-    incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
-    _stream_inputs(spark, sf_dir, src, [(cut, n_pages + 1)])
-    incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
-    incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
+    for name, arrival in (("a", links.filter(early)), ("b", links.filter(~early)), ("", None)):
+        if arrival is not None:
+            arrival.select("url").write.text(os.path.join(src, name))
+        incremental.run_incremental(spark, os.path.join(src, "*"), parts, ckpt, rules)
+        if compacted:
+            incremental.compact(spark, parts)
     return parts
 
 
+@register("k2_single_file_report", lambda: O.term_frequency_sql(LINKS_SQL, SHARE, 1000))
+def k2_single_file_report(spark, sf_dir):
+    """K2 as one file, read back."""
+    path = write_term_report_file(q4_term_frequency(spark, sf_dir), scratch_path(spark, "report") + ".csv")
+    return read_term_csv(spark, path)
+
+
 @register("t1_incremental_partials", lambda: _term_sql("SELECT term, domain, n FROM td"))
 def t1_incremental_partials(spark, sf_dir):
     """T1 + A7: streaming partials over two arrivals and a no-op run, merged."""
@@ -701,6 +707,23 @@ def t2_merged_report(spark, sf_dir):
     return incremental.merged_report(spark, _incremental_partials(spark, sf_dir), SHARE, 1000)
 
 
+@register("t1_compacted_partials", lambda: _term_sql("SELECT term, domain, n FROM td"))
+def t1_compacted_partials(spark, sf_dir):
+    """The same arrivals, compacted into one generation, whose counts are
+    read as they stand."""
+    return incremental.read_partials(spark, _incremental_partials(spark, sf_dir, compacted=True))
+
+
+@register("t2_run_statistics", lambda: _term_sql(
+    "SELECT CAST(2 AS BIGINT) AS batches, (SELECT CAST(count(*) AS BIGINT) FROM recs) AS processed_urls, "
+    "(SELECT CAST(count(DISTINCT domain) AS BIGINT) FROM recs) AS unique_domains, "
+    "(SELECT CAST(count(DISTINCT term) AS BIGINT) FROM td) AS unique_terms, "
+    "(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM td) AS total_terms"))
+def t2_run_statistics(spark, sf_dir):
+    """Statistics of a run over two arrivals."""
+    return incremental.run_stats(spark, _incremental_partials(spark, sf_dir))
+
+
 @register("t3_streaming_normalize", lambda: _sql(
     _ALL_HOST_DOMAINS_CTES, "SELECT DISTINCT domain FROM regd WHERE domain IS NOT NULL"))
 def t3_streaming_normalize(spark, sf_dir):

@@ -66,12 +66,13 @@ def normalize_domains(hosts: DataFrame, rules: SuffixRules, col: str = "host") -
 
 
 def normalize_domains_in_order(hosts: DataFrame, rules: SuffixRules, order: str,
-                               col: str = "host") -> DataFrame:
+                               col: str = "host", split: list[str] | None = None) -> DataFrame:
     """Q3, exact variant: registered domains with adjacent repeats dropped
-    (D4), in ``order``: (order, domain)."""
-    df = hosts.select(order, strip_text(F.col(col)).alias(col))
-    norm = registered_only(df, col, rules, keep=(order,), stripped=True)
-    return drop_adjacent_repeats(norm, "domain", order)
+    (D4), in ``order``: (order, domain).  With ``split`` (see ``mark_runs``)
+    rows stay where they are."""
+    df = hosts.select(order, *(split or []), strip_text(F.col(col)).alias(col))
+    norm = registered_only(df, col, rules, keep=(order, *(split or [])), stripped=True)
+    return drop_adjacent_repeats(norm, "domain", order, split=split)
 
 
 def sampled_term_frequency(urls: DataFrame, rules: SuffixRules, every: int,

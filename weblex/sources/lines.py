@@ -20,28 +20,30 @@ def read_lines(spark: SparkSession, path: str, col: str = "url") -> DataFrame:
     return df.filter(F.col(col) != "")
 
 
-def number_rows(raw: DataFrame, name: str = "line_no") -> DataFrame:
+def number_rows(raw: DataFrame, name: str = "line_no", keep_split: bool = False) -> DataFrame:
     """Add the dense 1-based number of each row of a file scan that carries
     ``_file``, ``_start`` (its split) and ``_id`` (monotonically_increasing_id),
     in file and split order.
 
     The splits of a scan are planned from the files alone, so the counts and
     the rows see the same ones.  The table of offsets has a row per split and
-    is broadcast."""
+    is broadcast (some 100 bytes for each 128 MB of lines).  ``keep_split`` keeps
+    ``_file`` and ``_start``."""
     splits = raw.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (raw.join(F.broadcast(offsets), ["_file", "_start"])
             .withColumn(name, F.col("_off") + F.col("_id") - F.col("_first") + 1)
-            .drop("_file", "_start", "_id", "_first", "_off"))
+            .drop(*([] if keep_split else ["_file", "_start"]), "_id", "_first", "_off"))
 
 
-def numbered_lines(spark: SparkSession, path: str, col: str = "url", name: str = "line_no") -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, col: str = "url", name: str = "line_no",
+                   keep_split: bool = False) -> DataFrame:
     """Every raw line, stripped (blank ones as ''), with its number."""
     raw = spark.read.text(path).select(
         strip_text(F.col("value")).alias(col), F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
-    return number_rows(raw, name)
+    return number_rows(raw, name, keep_split)
 
 
 def sample_every_nth(df: DataFrame, n: int, ordinal: str) -> DataFrame:
