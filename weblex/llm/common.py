@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -29,13 +31,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_slices(texts: pa.Array, rows: int, size: int) -> list[tuple[int, int]]:
+    """(first row, number of rows) of slices of at most ``rows`` rows and, unless
+    a single text is longer, ``size`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    out, i = [], 0
+    while i < len(texts):
+        before = int(ends[i - 1]) if i else 0
+        j = max(i + 1, min(i + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        out.append((i, j - i))
+        i = j
+    return out
+
+
 def annotate(df: DataFrame, make: Callable, fields: list[T.StructField], text: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, slices: Callable | None = None) -> DataFrame:
     """Columns ``keep`` (default: all) of ``df`` plus ``fields`` computed from
     its text column, row by row, without a shuffle.
 
     ``make()`` runs once a task and returns ``fn(texts) -> list of columns``
     (one Python list or Arrow array per field); ``texts`` holds None for null.
+    With ``slices(texts) -> (first row, rows)`` it gets Arrow arrays cut so,
+    otherwise lists of SLICE_ROWS texts.
     A kept column whose name equals a result's (in any case) gives way to the
     result.  An empty table gives an empty table.
     """
@@ -52,9 +69,11 @@ def annotate(df: DataFrame, make: Callable, fields: list[T.StructField], text: s
     def run(batches):
         fn = make()
         for batch in batches:
-            for i in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(i, SLICE_ROWS)
-                out = fn(part.column(at).to_pylist())
+            cuts = (slices(batch.column(at)) if slices else
+                    [(i, SLICE_ROWS) for i in range(0, batch.num_rows, SLICE_ROWS)])
+            for i, n in cuts:
+                part = batch.slice(i, n)
+                out = fn(part.column(at) if slices else part.column(at).to_pylist())
                 arrays = [part.column(j) for j in range(n_keep)]
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=t)
                            for x, t in zip(out, types)]

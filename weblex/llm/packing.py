@@ -6,12 +6,14 @@ sequence at a time: of the examples that fit, take the one whose sizes (as
 shares of the limits) have the largest inner product with the room left, ties
 to the earlier example.  Where cutting is allowed (plain documents), whole
 sequences are cut off long examples first, and a gap that no example fits is
-filled with a piece of the longest one left, so only the last sequence of a
-task has padding; instruction examples are never cut, one that exceeds a
-limit alone is refused.
+filled with a piece of the longest one left.  Plain documents have no limit on
+segments unless one is given; without it only the last sequence of a task has
+padding, with it those that reach it, too.  Instruction examples are never
+cut, one that exceeds a limit alone is refused.
 
-Each task packs its own rows, GROUP examples at a time, carrying what the last
-open sequence holds into the next group: no shuffle, bounded memory.
+Each task packs its own rows, GROUP examples or GROUP_TOKENS tokens at a time,
+carrying what the last open sequence holds into the next group: no shuffle,
+bounded memory.
 
 Defined results: a null text is an empty one; an empty text still has the end
 id; repeated rows are packed each; an empty table gives no pieces; columns
@@ -29,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import SLICE_ROWS
-from .tokens import encoder
+from .tokens import encoder, slices
 
 TOKENS = 2048
-SEGMENTS = 128
-GROUP = 2048
+#: No limit on segments.
+ANY_SEGMENTS = 1 << 40
+GROUP, GROUP_TOKENS = 2048, 1 << 22
 END_ID = 1
 
 
@@ -101,7 +103,8 @@ def _packer(path: str, limits: tuple[int, int, int], key_type, batches):
         rest, rows = [], [[] for _ in names]
         for k, held in enumerate(packed):
             if not last and k == len(packed) - 1 and sum(h[2] for h in held) < min(limits[0], limits[2]):
-                rest = [[waiting[i][0], waiting[i][1] + a, waiting[i][2][a:a + n], waiting[i][3]] for i, a, n in held]
+                rest = [[waiting[i][0], waiting[i][1] + a, waiting[i][2][a:a + n].copy(), waiting[i][3]]
+                        for i, a, n in held]
                 break
             at = 0
             for i, a, n in held:
@@ -114,21 +117,25 @@ def _packer(path: str, limits: tuple[int, int, int], key_type, batches):
         kinds = [key_type, *[pa.int64()] * 5, pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(rows, kinds)], names=names)
 
+    held = 0
     for batch in batches:
-        for i in range(0, batch.num_rows, SLICE_ROWS):
-            part = batch.slice(i, SLICE_ROWS)
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            for key, raw in zip(part.column(0).to_pylist(), enc.encode(texts)):
-                ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(END_ID)).astype("<u4")
-                waiting.append([key, 0, ids, len(ids)])
-            if len(waiting) >= GROUP:
-                yield flush(False)
+        for i, n in slices(batch.column(1)):
+            counts, ids = enc.ids(batch.column(1).slice(i, n))
+            whole = np.full(len(ids) + n, END_ID, "<u4")
+            whole[np.arange(len(ids)) + np.repeat(np.arange(n), counts)] = ids
+            ends = np.cumsum(counts + 1).tolist()
+            for key, a, b in zip(batch.column(0).slice(i, n).to_pylist(), [0, *ends], ends):
+                waiting.append([key, 0, whole[a:b], b - a])
+                held += b - a
+                if len(waiting) >= GROUP or held >= GROUP_TOKENS:
+                    yield flush(False)
+                    held = sum(len(w[2]) for w in waiting)
     done = flush(True)
     if done is not None:
         yield done
 
 
-def pack_documents(docs: DataFrame, path: str, tokens: int = TOKENS, segments: int = SEGMENTS,
+def pack_documents(docs: DataFrame, path: str, tokens: int = TOKENS, segments: int | None = None,
                    loss: int | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: the id, ``start`` and ``length`` in the document's
     ids (its text's, then END_ID), ``doc_tokens``, ``sequence_id``, ``offset``
@@ -138,7 +145,7 @@ def pack_documents(docs: DataFrame, path: str, tokens: int = TOKENS, segments: i
     src = docs.select(F.col(id_col).alias("key"), F.col(text).alias("text"))
     kind = src.schema["key"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
-    run = partial(_packer, path, (tokens, segments, loss or tokens), to_arrow_type(kind))
+    run = partial(_packer, path, (tokens, segments or ANY_SEGMENTS, loss or tokens), to_arrow_type(kind))
     return src.mapInArrow(run, f"key {kind.simpleString()}, start long, length long, doc_tokens long, "
                                "sequence_id long, offset long, ids binary").withColumnRenamed("key", id_col)
 

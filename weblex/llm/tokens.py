@@ -9,8 +9,9 @@ Two things rest on it:
   are spliced at a token start that both have in their overlap and that is a
   stable boundary; without one the overlap is doubled and the window encoded
   again, until it is found or the windows have become one.
-* Shorter texts are cut at stable boundaries and the pieces' encodings are
-  remembered (some MEMO_ENTRIES a worker), since words recur.
+* Shorter texts are cut at stable boundaries, all of a slice at once; each
+  distinct piece is looked up by number, and new ones are encoded and
+  remembered (MEMO_ENTRIES a worker), since words recur.
 
 Tokenizers without that rule (other .json pre-tokenizers, .model files) encode
 each text whole.  Defined results: a null text counts as empty (0 tokens); an
@@ -25,21 +26,31 @@ import re
 from functools import lru_cache, partial
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import annotate, field
+from .common import annotate, field, text_slices
 
 WINDOW = 16384
 OVERLAP = 256
 #: Texts over this many characters go window by window.
 HUGE = 65536
-#: Pieces remembered; the generation before is looked through as well.
-MEMO_ENTRIES = 400_000
+#: Pieces remembered.
+MEMO_ENTRIES = 500_000
+#: Pieces encoded in one call of the library.
+TOGETHER = 4096
+#: Texts cut and looked up at once.
+TEXTS, TEXT_BYTES = 4096, 16 << 20
 MARKS = ".,;:!?"
 
 _CUT = re.compile(r" (?=\S)")
-_LOOSE = re.compile(r" \s|^ | $")
+#: Whitespace as str.isspace() has it; texts with a space that is no stable
+#: boundary; pieces that are empty or have whitespace at an end.
+_WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\p{Z}]"
+_LOOSE = f" {_WHITE}|{_WHITE} |^ | $"
+_EDGES = f"^$|^{_WHITE}|{_WHITE}$"
 
 
 def is_stable(text: str, p: int) -> bool:
@@ -52,14 +63,17 @@ def is_stable(text: str, p: int) -> bool:
 def stable_pieces(text: str) -> tuple[str, list[str]]:
     """``text`` cut at stable boundaries: what comes before the first, and the
     other pieces without the space each starts with."""
-    if _LOOSE.search(text) is None:
-        words = text.split(" ")
-        return words[0], words[1:]
     cuts = [m.start() for m in _CUT.finditer(text) if is_stable(text, m.start())]
     ends = cuts[1:] + [len(text)]
     return text[:cuts[0]] if cuts else text, [text[i + 1:j] for i, j in zip(cuts, ends)]
 
 
+def _runs(store: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """store[begin:begin + size] of each run, one after the other."""
+    here = np.cumsum(sizes) - sizes
+    return store[np.repeat(begin - here, sizes) + np.arange(sizes.sum())]
+
+
 def splice(encode, text: str, window: int = WINDOW, overlap: int = OVERLAP) -> list[int]:
     """Token ids of ``text`` from overlapping windows.
 
@@ -106,9 +120,9 @@ class Encoder:
     def __init__(self, path: str, window: int = WINDOW, overlap: int = OVERLAP, huge: int = HUGE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.window, self.overlap, self.huge = window, overlap, huge
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        # Units met so far, each after a space, and their ids.
+        self.units = pa.array([], pa.large_string())
+        self.sizes, self.store = np.zeros(0, np.int64), np.zeros(0, "<u4")
         self.specials: dict[str, int] = {}
         self.stable = False
         if path.endswith(".model"):
@@ -140,77 +154,162 @@ class Encoder:
         e = self._tok.encode(part, add_special_tokens=False)
         return e.ids, [s for s, _ in e.offsets]
 
-    def _recall(self, words: set[str]) -> set[str]:
-        """The words neither remembered nor found in the older generation."""
-        words = words.difference(self.memo)
-        known = [w for w in words if w in self.older]
-        self.memo.update(zip(known, map(self.older.__getitem__, known)))
-        return words.difference(known)
-
-    def _remember_heads(self, heads: set[str]) -> None:
-        """Pieces that no space precedes."""
-        if len(self.heads) > MEMO_ENTRIES:
-            self.heads.clear()
-        new = list(heads.difference(self.heads))
-        for p, ids in zip(new, self._whole(new) if new else ()):
-            self.heads[p] = np.asarray(ids, "<u4").tobytes()
-
-    def _remember(self, words: set[str]) -> None:
-        """Have the encodings of ``words``, each after a space, in the memory.
-
-        A word that ends in marks after a letter or digit is put together from
-        the word and the marks (the pre-tokenizer cuts there, too).  The others
-        are encoded in one text and cut again by the tokens' byte lengths,
-        since no token crosses a stable boundary."""
-        if len(self.memo) > MEMO_ENTRIES:
-            self.older, self.memo = self.memo, {}
-        memo, composed, plain, alone = self.memo, [], set(), []
-        for w in self._recall(words):
-            core = w.rstrip(MARKS)
-            if core and len(core) < len(w) and core[-1].isalnum():
-                composed.append((w, core, w[len(core):]))
-                plain.add(core)
-            elif w[-1:].isspace() or not w or w[0].isspace():
-                alone.append(w)
-            else:
-                plain.add(w)
-        if composed:
-            plain = self._recall(plain)
-            self._remember_heads({marks for _, _, marks in composed})
-        for w, ids in zip(alone, self._whole([" " + w for w in alone]) if alone else ()):
-            memo[w] = np.asarray(ids, "<u4").tobytes()
-        plain = list(plain)
-        for i in range(0, len(plain), 4096):
-            part = plain[i:i + 4096]
-            ids = np.asarray(self._whole([". " + " ".join(part)])[0], "<u4")
-            ends = np.cumsum(self.lengths[ids])
-            stops = np.cumsum([1] + [1 + (len(w) if w.isascii() else len(w.encode())) for w in part])
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of tokens, ids) of pieces encoded one by one."""
+        found = [np.asarray(x, "<u4") for x in self._whole(pieces)] if pieces else []
+        return np.fromiter(map(len, found), np.int64, len(found)), np.concatenate([np.zeros(0, "<u4"), *found])
+
+    def _together(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of units that follow a space, many in one text, which is cut
+        again by the tokens' byte lengths: no token crosses a stable boundary."""
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
+        offsets = np.append(np.arange(0, len(units), TOGETHER), len(units))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), units)
+        joined = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist()
+        lengths = pc.binary_length(units).to_numpy()
+        for text, i, j in zip(joined, offsets, offsets[1:]):
+            got = np.asarray(self._whole([". " + text])[0], "<u4")
+            ends = np.cumsum(self.lengths[got])
+            stops = np.cumsum(np.append(1, lengths[i:j] + 1))
             at = np.searchsorted(ends, stops)
             if not (ends[at] == stops).all():
                 raise ValueError("a token crosses a stable boundary")
-            raw, cut = ids.tobytes(), ((at + 1) * 4).tolist()
-            memo.update(zip(part, map(raw.__getitem__, map(slice, cut, cut[1:]))))
-        for w, core, marks in composed:
-            memo[w] = memo[core] + self.heads[marks]
+            sizes.append(np.diff(at))
+            ids.append(got[at[0] + 1:])
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def _remember(self, units: pa.Array) -> np.ndarray:
+        """Where the distinct ``units`` are in the memory; the new ones join it.
+        A memory that grows too large is cut to the units now asked for."""
+        at = pc.index_in(units, value_set=self.units)
+        new = units.filter(at.is_null())
+        if not len(new):
+            return at.to_numpy(zero_copy_only=False)
+        if len(self.units) + len(new) > MEMO_ENTRIES:
+            kept = at.drop_null().to_numpy().astype(np.int64)
+            begin = np.cumsum(self.sizes) - self.sizes
+            self.store = _runs(self.store, begin[kept], self.sizes[kept])
+            self.units, self.sizes = self.units.take(pa.array(kept)), self.sizes[kept]
+        odd = pc.match_substring_regex(new, _EDGES).to_numpy(zero_copy_only=False)
+        plain, alone = new.filter(pa.array(~odd)), new.filter(pa.array(odd))
+        sizes, ids = self._together(plain)
+        more, others = self._each([" " + w for w in alone.to_pylist()])
+        self.units = pa.concat_arrays([self.units, plain, alone])
+        self.sizes = np.concatenate([self.sizes, sizes, more])
+        self.store = np.concatenate([self.store, ids, others])
+        return pc.index_in(units, value_set=self.units).to_numpy(zero_copy_only=False)
+
+    def _pieces(self, words: pa.Array, heads: pa.Array, is_head: np.ndarray, whole: bool):
+        """(number of tokens of each piece, their ids) where heads, which no
+        space precedes, and words, which one does, follow each other.
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.stable:
-            return [np.asarray(x, "<u4").tobytes() for x in self._whole(list(texts))]
-        out: list = [None] * len(texts)
-        cut: dict[int, list[tuple[str, list[str]]]] = {}
+        A word that ends in marks after a letter or digit is put together from
+        the word and the marks (the pre-tokenizer cuts there, too)."""
+        words, heads = words.dictionary_encode(), heads.dictionary_encode()
+        known = words.dictionary
+        core = pc.utf8_rtrim(known, MARKS)
+        marked = pc.and_(pc.less(pc.binary_length(core), pc.binary_length(known)),
+                         pc.match_substring_regex(core, r"[\p{L}\p{N}]$"))
+        units = pc.if_else(marked, core, known).dictionary_encode()
+        marks = pc.extract_regex(pc.if_else(marked, known, ""), f"(?P<m>[{MARKS}]*)$").field(0).dictionary_encode()
+        unit = self._remember(units.dictionary)[units.indices.to_numpy()].astype(np.int64)
+        head_sizes, head_ids = self._each(heads.dictionary.to_pylist())
+        mark_sizes, mark_ids = self._each(marks.dictionary.to_pylist())
+        sizes = np.concatenate([self.sizes, head_sizes, mark_sizes])
+        # Two numbers a piece: its unit or head, and its marks.
+        parts = np.zeros((len(is_head), 2), np.int64)
+        code = words.indices.to_numpy()
+        parts[~is_head, 0] = unit[code]
+        parts[~is_head, 1] = len(self.sizes) + len(head_sizes) + marks.indices.to_numpy()[code]
+        parts[is_head, 0] = len(self.sizes) + heads.indices.to_numpy()
+        parts[is_head, 1] = len(sizes)
+        sizes = np.append(sizes, 0)
+        n = sizes[parts]
+        if not whole:
+            return n.sum(axis=1), None
+        store = np.concatenate([self.store, head_ids, mark_ids])
+        begin = np.cumsum(sizes) - sizes
+        return n.sum(axis=1), _runs(store, begin[parts.ravel()], n.ravel())
+
+    def _cut(self, text: str) -> list[tuple[str, list[str]]]:
+        """(head, words) of what stands between special strings."""
         mark = next(iter(self.specials), None)
-        for i, text in enumerate(texts):
-            if len(text) > self.huge:
-                out[i] = np.asarray(splice(self._with_offsets, text, self.window, self.overlap), "<u4").tobytes()
-            else:
-                cut[i] = [stable_pieces(x) for x in (text.split(mark) if mark else [text])]
-        self._remember(set().union(*(words for parts in cut.values() for _, words in parts)))
-        self._remember_heads({head for parts in cut.values() for head, _ in parts})
-        get = self.memo.__getitem__
-        special = np.asarray([self.specials[mark]], "<u4").tobytes() if mark else b""
-        for i, parts in cut.items():
-            out[i] = special.join(self.heads[head] + b"".join(map(get, words)) for head, words in parts)
-        return out
+        return [stable_pieces(part) for part in (text.split(mark) if mark else [text])]
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Number of tokens of each text (null: empty)."""
+        return self._texts(texts, False)[0]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of tokens of each text, all their ids one after the other)."""
+        return self._texts(texts, True)
+
+    def _texts(self, texts: pa.Array, whole: bool):
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.stable:
+            sizes, ids = self._each(texts.to_pylist())
+            return sizes, ids if whole else None
+        huge = pc.greater(pc.utf8_length(texts), self.huge).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, _LOOSE)
+        for mark in self.specials:
+            odd = pc.or_(odd, pc.match_substring(texts, mark))
+        odd = odd.to_numpy(zero_copy_only=False) & ~huge
+        # Texts that every space cuts: one head, then words.
+        parts = pc.split_pattern(texts.filter(pa.array(~odd & ~huge)), " ")
+        at = parts.offsets.to_numpy()
+        at, flat = at - at[0], parts.flatten()
+        is_head = np.zeros(len(flat), bool)
+        is_head[at[:-1]] = True
+        words, heads = [flat.filter(pa.array(~is_head))], [flat.filter(pa.array(is_head))]
+        ends, heads_of = [at[1:]], [is_head]
+        # Others are cut one by one; each special string starts a new head.
+        more_words, more_heads, more_is_head, breaks = [], [], [], []
+        strange = np.flatnonzero(odd)
+        for i in strange.tolist():
+            for head, rest in self._cut(texts[i].as_py()):
+                more_heads.append(head)
+                more_words += rest
+                more_is_head += [True, *[False] * len(rest)]
+            breaks.append(len(more_is_head))
+        if len(strange):
+            words.append(pa.array(more_words, pa.large_string()))
+            heads.append(pa.array(more_heads, pa.large_string()))
+            ends.append(np.array(breaks) + len(flat))
+            heads_of.append(np.array(more_is_head))
+        is_head, ends = np.concatenate(heads_of), np.concatenate(ends)
+        sizes, ids = self._pieces(pa.concat_arrays(words), pa.concat_arrays(heads), is_head, whole)
+        if len(strange):
+            sizes, ids = self._with_specials(sizes, ids, is_head, np.append(0, ends[:-1]))
+        order = np.concatenate([np.flatnonzero(~odd & ~huge), strange])
+        total = np.append(0, np.cumsum(sizes))[ends]
+        counts = np.zeros(len(texts), np.int64)
+        counts[order] = np.diff(total, prepend=0)
+        windows = {i: np.asarray(splice(self._with_offsets, texts[i].as_py(), self.window, self.overlap), "<u4")
+                   for i in np.flatnonzero(huge).tolist()}
+        for i, x in windows.items():
+            counts[i] = len(x)
+        if not whole or not len(strange) + len(windows):
+            return counts, ids
+        store = np.concatenate([ids, *windows.values()])
+        begin = np.zeros(len(texts), np.int64)
+        begin[order] = total - counts[order]
+        begin[list(windows)] = len(ids) + np.cumsum([0, *map(len, windows.values())])[:-1]
+        return counts, _runs(store, begin, counts)
+
+    def _with_specials(self, sizes, ids, is_head, first):
+        """A special string's id before each head but a text's first."""
+        inner = is_head.copy()
+        inner[first] = False
+        if not inner.any():
+            return sizes, ids
+        if ids is not None:
+            ids = np.insert(ids, (np.cumsum(sizes) - sizes)[inner], next(iter(self.specials.values())))
+        return sizes + inner, ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit bytes."""
+        counts, ids = self.ids(pa.array(list(texts), pa.large_string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if len(counts) else []
 
 
 @lru_cache(maxsize=2)
@@ -219,13 +318,15 @@ def encoder(path: str, window: int = WINDOW, overlap: int = OVERLAP, huge: int =
     return Encoder(path, window, overlap, huge)
 
 
+def slices(texts: pa.Array) -> list[tuple[int, int]]:
+    return text_slices(texts, TEXTS, TEXT_BYTES)
+
+
 def _counter(path: str, window: int, overlap: int, huge: int):
     enc = encoder(path, window, overlap, huge)
 
     def run(texts):
-        texts = [t or "" for t in texts]
-        return ([len(t.encode("utf-8", "surrogatepass")) for t in texts],
-                [len(b) // 4 for b in enc.encode(texts)])
+        return pc.binary_length(texts).fill_null(0).cast(pa.int64()), pa.array(enc.counts(texts))
     return run
 
 
@@ -235,4 +336,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: list[str]
 
     ``path``: a tokenizer file present on every worker."""
     return annotate(docs, partial(_counter, path, window, overlap, huge),
-                    [field("n_bytes", T.LongType()), field("n_tokens", T.LongType())], text, keep)
+                    [field("n_bytes", T.LongType()), field("n_tokens", T.LongType())], text, keep, slices)
