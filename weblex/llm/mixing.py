@@ -5,37 +5,43 @@ labelled rows, gives each document a posterior over the domains (tempered:
 the mean evidence of a word times SHARPNESS).  Document rates are the
 nonnegative least-squares fit of expected domain token totals to the targets:
 
-    minimise  sum_d (T_d - target_d)^2 / target_d,   T_d = sum_i r_i n_i p_id,  r_i >= 0
-
-by projected gradient from r = 1, in the metric weighted by document tokens.
-While no rate can be cut at zero the totals follow from sums taken once, so
-these steps need no pass over the rows.  Where a rate is cut, or those steps do
-not suffice, Newton's method on the dual finds the rates nearest to 1 that give
-the targets, r_i = max(0, 1 - p_i . v), an iteration being one aggregation.
-Every rate is a function of the document's posterior and the steps, and no rate
-is ever gathered.  The totals reached are taken from the rows; targets that
-posteriors cannot give are reported by a warning with shares wanted and reached.
-
-Without a budget the totals are scaled (shares unchanged) until no rate is
-below 1, so that targets are met by repeating documents and none is dropped;
-targets that only rates of zero come nearest to are then an error.  A document is
-written floor(rate) times, and once more with the rest as probability, decided
-by a hash.
+    minimise  (T - t)' M (T - t),   T_d = sum_i r_i n_i p_id,   low <= r_i <= high
+
+by accelerated projected gradient from r = 1, in the metric weighted by
+document tokens.  M is the inverse of the domains' Gram matrix, sum n p p': it
+weighs the domains so that the step size is one and rare domains do not slow
+the fit.  An iteration is one aggregation over the stored posteriors: every
+rate, and its extrapolation, is a function of the document's posterior and of
+the steps so far, r <- clip(y - p . s), which tasks replay; no rate is ever
+gathered.  Steps restart when the objective rises.
+
+With a budget the targets are its shares and rates may fall to 0.  Without
+one documents are only repeated (low = 1) and the total is free: it starts
+from what the most abundant domain needs and grows where the fit stalls since
+rates stand at 1.  No rate exceeds ``most_copies``.  The best rates met within
+MAX_PASSES are used; what they reach is in the result (``gap``, the largest
+relative gap of a share or, with a budget, of a total, and ``shares``), and
+targets not met are reported by a warning, too.  A document is written
+floor(rate) times, and once more with the rest as probability, decided by a
+hash.
 
 Defined results: a token is a word ``[^\\x20\\x09-\\x0D]+``; null and empty texts
 have no tokens and keep rate 1; labels outside the targets are not used; a
-domain that no document belongs to gets no total and is left out of the fit;
-repeated rows each count; an empty table gives an empty table; without any
-labelled row all posteriors are equal; columns named like a result give way.
+domain without labelled words, or that no document belongs to, gets no
+posterior and is left out of the fit; repeated rows each count; an empty table
+gives an empty table; without any labelled word all posteriors are equal and
+all rates 1; columns named like a result give way.
 """
 
 from __future__ import annotations
 
 import warnings
 import zlib
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +54,16 @@ BUCKETS = 1 << 14
 #: Most labelled rows read, those whose hashed ids come first.
 LABELLED = 10_000
 SHARPNESS = 8.0
-#: Gradient steps on the driver's sums, before Newton takes over.
-GRADIENT_STEPS = 1000
-#: Largest relative gap between a domain's total and its target.
-TOLERANCE = 1e-4
-#: Passes over the rows in Newton's method; a gap left after them is reported.
+#: Largest relative gap between a domain's share and its target.
+TOLERANCE = 1e-3
+#: Passes over the rows; a gap left after them is reported.
 MAX_PASSES = 60
-#: Pull towards rates of 1, so that targets out of reach have a nearest fit.
-RIDGE = 1e-9
+#: Most copies of a document.
+MOST_COPIES = 1000.0
+#: Passes in which the objective must halve, and in which the gap must shrink.
+PATIENCE, LAST_PATIENCE = 3, 15
+#: How far beyond what abundant domains now need the total grows.
+GROWTH = 1.5
 MEMO_ENTRIES = 300_000
 
 
@@ -106,13 +114,19 @@ def word_counts(sample: DataFrame, domains: list[str]) -> np.ndarray:
 
 
 def evidence(counts: np.ndarray) -> np.ndarray:
-    """Log likelihood of a bucket in each domain, add-one smoothed."""
+    """Log likelihood of a bucket in each domain, add-one smoothed; minus
+    infinity for a domain without words."""
     smooth = counts + 1.0
-    return np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+    logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+    logs[counts.sum(axis=1) == 0] = -np.inf
+    return logs
 
 
 def _posteriors(logs: np.ndarray):
     memo: dict[bytes, int] = {}
+    live = np.isfinite(logs).any(axis=1)
+    logs = logs if live.any() else np.zeros_like(logs)
+    flat = (live / live.sum() if live.any() else np.full(len(logs), 1.0 / len(logs))).tolist()
     by_bucket = np.ascontiguousarray(logs.T)
 
     def run(texts):
@@ -125,7 +139,7 @@ def _posteriors(logs: np.ndarray):
                 e = np.exp(z - z.max())
                 post.append((e / e.sum()).tolist())
             else:
-                post.append([1.0 / len(logs)] * len(logs))
+                post.append(flat)
         return counts, post
     return run
 
@@ -137,51 +151,65 @@ def memberships(docs: DataFrame, logs: np.ndarray, text: str = "text", keep: lis
                     [field(tokens, T.LongType()), field(posterior, T.ArrayType(T.DoubleType()))], text, keep)
 
 
-def _merged(steps: list[np.ndarray]) -> list[np.ndarray]:
-    """The same rates in fewer steps: till one may be cut, rates are linear in
-    the posterior, pure posteriors have the least, and steps may be summed."""
-    total = np.zeros(len(steps[0])) if steps else None
-    for i, step in enumerate(steps):
-        if total.max() > 1:
-            return [total, *steps[i:]]
-        total = total + step
-    return [] if total is None else [total]
-
-
-def rate_column(steps: list[np.ndarray], posterior: str = "posterior") -> Column:
-    """The rate after ``steps``: r <- max(0, r - posterior . step), from 1."""
-    rate = F.lit(1.0)
-    for step in _merged(steps):
-        rate = F.greatest(F.lit(0.0), rate - _along(step, posterior))
-    return rate
-
-
-def _along(step: np.ndarray, posterior: str) -> Column:
-    move = None
-    for d, x in enumerate(step):
-        term = F.col(posterior)[d] * F.lit(float(x))
-        move = term if move is None else move + term
-    return move
-
-
-def _sums(members: DataFrame, v: np.ndarray, tokens: str, posterior: str) -> tuple[float, np.ndarray, np.ndarray]:
-    """For rates r = max(0, 1 - p . v), in one pass: the sum of
-    n ((r - 1)^2 / 2 + r p . v), the domain totals, and the sums n p_a p_b of
-    the rows whose rate is not cut."""
-    n = len(v)
-    p, at = [F.col(posterior)[d] for d in range(n)], F.col("_along")
-    rated = (members.select(tokens, posterior, _along(v, posterior).alias("_along"))
-             .withColumn("_r", F.greatest(F.lit(0.0), F.lit(1.0) - at)))
-    r, free = F.col("_r"), F.when(F.col("_r") > 0, F.col(tokens)).otherwise(F.lit(0))
+@dataclass(frozen=True)
+class Fit:
+    """Rates as a rule: ``plan`` has (restart, momentum, step) of each iteration."""
+    plan: tuple[tuple[bool, float, np.ndarray], ...]
+    low: float
+    high: float
+    total: np.ndarray
+    goal: np.ndarray
+    gap: float
+    passes: int
+
+    def shares(self) -> np.ndarray:
+        return self.total / max(self.total.sum(), 1e-300)
+
+
+def replay(p: np.ndarray, plan, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """(rates, extrapolated rates) of documents with posteriors ``p``."""
+    r = np.ones(len(p))
+    y = r
+    for restart, momentum, step in plan:
+        new = np.clip((r if restart else y) - p @ step, low, high)
+        y = new + momentum * (new - r)
+        r = new
+    return r, y
+
+
+def _matrix(column: pa.Array, n: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+
+
+def _totals(members: DataFrame, plan, low: float, high: float, n: int, tokens: str, posterior: str):
+    """Domain totals for the rates and for the extrapolated ones, in one pass."""
+    def add(batches):
+        sums = np.zeros((2, n))
+        for batch in batches:
+            p = _matrix(batch.column(1), n)
+            weights = batch.column(0).to_numpy(zero_copy_only=False)
+            for i, x in enumerate(replay(p, plan, low, high)):
+                sums[i] += (x * weights) @ p
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(sums[0]), pa.array(sums[1])],
+                                         names=["d", "r", "y"])
+
+    rows = (members.select(F.coalesce(F.col(tokens), F.lit(0)).cast("long"), posterior)
+            .mapInArrow(add, "d long, r double, y double").groupBy("d").agg(F.sum("r").alias("r"), F.sum("y").alias("y")))
+    out = np.zeros((2, n))
+    for x in rows.collect():
+        out[0, x["d"]], out[1, x["d"]] = x["r"], x["y"]
+    return out
+
+
+def _gram(members: DataFrame, n: int, tokens: str, posterior: str) -> np.ndarray:
+    """Sums of n p_a p_b."""
+    p = [F.col(posterior)[d] for d in range(n)]
     pairs = [(a, b) for a in range(n) for b in range(a, n)]
-    row = rated.agg(F.sum(F.col(tokens) * ((r - 1) * (r - 1) / 2 + r * at)),
-                    *[F.sum(F.col(tokens) * p[d] * r) for d in range(n)],
-                    *[F.sum(free * p[a] * p[b]) for a, b in pairs]).first()
-    row = [x or 0.0 for x in row]
+    row = members.agg(*[F.sum(F.col(tokens) * p[a] * p[b]) for a, b in pairs]).first()
     gram = np.zeros((n, n))
-    for (a, b), x in zip(pairs, row[n + 1:]):
-        gram[a, b] = gram[b, a] = x
-    return row[0], np.array(row[1:n + 1]), gram
+    for (a, b), x in zip(pairs, row):
+        gram[a, b] = gram[b, a] = x or 0.0
+    return gram
 
 
 def gaps(total: np.ndarray, goal: np.ndarray) -> np.ndarray:
@@ -189,64 +217,63 @@ def gaps(total: np.ndarray, goal: np.ndarray) -> np.ndarray:
     return np.where(goal > 0, np.abs(total - goal) / np.where(goal > 0, goal, 1.0), 0.0)
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None,
-              tokens: str = "n_tokens", posterior: str = "posterior") -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(steps, totals reached, targets).  ``members`` is read at least twice, so
-    store it first.  ``gaps`` tells whether the targets are met."""
+def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | None = None, tokens: str = "n_tokens",
+              posterior: str = "posterior", most_copies: float = MOST_COPIES) -> Fit:
+    """The rates of ``members``, which is read once an iteration: store it."""
     w = np.array(list(weights.values()), float)
-    w = w / w.sum()
     n = len(w)
-    _, start, gram = _sums(members, np.zeros(n), tokens, posterior)
-    if not start.sum():
-        return [], start, start
-    live = start > 1e-9 * start.sum()
-    share = np.where(live, w, 0.0) / w[live].sum()
-    goal = share * (budget or float((start[live] / share[live]).max()))
-    scale = np.where(live, 1 / np.sqrt(np.where(live, goal, 1.0)), 0.0)
-    top = float(np.linalg.eigvalsh(gram * scale[:, None] * scale[None, :])[-1])
-    steps: list[np.ndarray] = []
-    v, total = np.zeros(n), start
-    while gaps(total, goal).max() >= TOLERANCE and len(steps) < GRADIENT_STEPS:
-        step = scale ** 2 * np.where(live, total - goal, 0.0) / top
-        if (v + step).max() > 1:  # a pure posterior's rate would be cut
-            break
-        steps.append(step)
-        v = v + step
-        total = start - gram @ v
-    value, total, gram = _sums(members, v, tokens, posterior)
-    if gaps(total, goal).max() < TOLERANCE:
-        return steps, total, goal
-    # Newton on the convex dual: its gradient is target - total.
-    passes = 0
-    dual = goal @ v - value + RIDGE / 2 * goal @ (v * v)
-    while gaps(total, goal).max() >= TOLERANCE and passes < MAX_PASSES:
-        grad = np.where(live, goal - total + RIDGE * goal * v, 0.0)
-        curve = gram * scale[:, None] * scale[None, :] + RIDGE * np.eye(n)
-        move = -scale * np.linalg.solve(curve, scale * grad)
-        slope, part = float(grad @ move), 1.0
-        if slope > -1e-14 * goal.sum():
+    ship_package(members.sparkSession)
+    gram = _gram(members, n, tokens, posterior)
+    start = gram.sum(axis=1)
+    low, high = (1.0, max(1.0, most_copies)) if budget is None else (0.0, most_copies)
+    live = start > 1e-12 * start.sum()
+    if not start.sum() or not w[live].sum():
+        return Fit((), low, high, start, start, 0.0, 0)
+    w = np.where(live, w, 0.0) / w[live].sum()
+    wanted = live & (w > 0)
+    size = budget or float((start[wanted] / w[wanted]).max())
+    metric = np.linalg.inv(gram + 1e-9 * np.trace(gram) * np.eye(n))
+    plan: list[tuple[bool, float, np.ndarray]] = []
+    best, seen, before, inertia, since = None, [], np.inf, 1.0, 0
+    for passes in range(1, MAX_PASSES + 1):
+        total, ahead = _totals(members, plan, low, high, n, tokens, posterior)
+        goal = size * w
+        gap = float(gaps(total / total.sum(), w).max() if budget is None else gaps(total, goal).max())
+        since = 0 if best is None or gap < 0.99 * best.gap else since + 1
+        if best is None or gap < best.gap:
+            best = Fit(tuple(plan), low, high, total, goal if budget else w * total.sum(), gap, passes)
+        if gap < TOLERANCE or since >= LAST_PATIENCE:
             break
-        while passes < MAX_PASSES:
-            passes += 1
-            new = v + part * move
-            got = _sums(members, new, tokens, posterior)
-            low = goal @ new - got[0] + RIDGE / 2 * goal @ (new * new)
-            if low <= dual + 1e-4 * part * slope + 1e-13 * abs(dual):
-                v, dual, (_, total, gram) = new, low, got
+        value = float((total - goal) @ metric @ (total - goal))
+        restart = value > before
+        seen.append(value)
+        before = value
+        if len(seen) > PATIENCE and value > 0.5 * seen[-1 - PATIENCE]:
+            need = float((total[wanted] / w[wanted]).max())
+            if budget is None and need > size * (1 + 1e-9):
+                size += GROWTH * (need - size)
+                seen, before, restart = [], np.inf, True
+            elif value > 0.98 * seen[-1 - PATIENCE]:
                 break
-            part /= 2
-    return [v], total, goal
+        inertia = 1.0 if restart else inertia
+        after = (1 + np.sqrt(1 + 4 * inertia * inertia)) / 2
+        step = metric @ ((total if restart else ahead) - size * w)
+        plan.append((restart, (inertia - 1) / after, step))
+        inertia = after
+    return best
 
 
-def least_rate(steps: list[np.ndarray]) -> float:
-    """The least rate any posterior can have: a rate that is never cut at zero
-    is linear in the posterior, so a pure one has the least."""
-    if not steps:
-        return 1.0
-    pure = np.ones(len(steps[0]))
-    for step in steps:
-        pure = np.maximum(0.0, pure - step)
-    return float(pure.min())
+def rate_column(fit: Fit, posterior: str = "posterior") -> Column:
+    """The fitted rate of a document."""
+    plan, low, high = fit.plan, fit.low, fit.high
+
+    @F.pandas_udf("double")
+    def rate(p: pd.Series) -> pd.Series:
+        if not len(p):
+            return pd.Series([], dtype="float64")
+        return pd.Series(replay(np.stack(p.to_list()), plan, low, high)[0])
+
+    return rate(F.col(posterior))
 
 
 def copies_column(rate: Column, key: Column) -> Column:
@@ -255,37 +282,31 @@ def copies_column(rate: Column, key: Column) -> Column:
     return (F.floor(rate) + (unit < rate - F.floor(rate)).cast("bigint")).cast("int")
 
 
-def shares(domains: list[str], total: np.ndarray, goal: np.ndarray) -> str:
-    return "Shares reached (wanted): " + ", ".join(
-        f"{d} {x:.4f} ({y:.4f})" for d, x, y in zip(domains, total / total.sum(), goal / goal.sum()))
-
-
-def report(domains: list[str], total: np.ndarray, goal: np.ndarray) -> None:
+def report(domains: list[str], fit: Fit) -> None:
     """Warn of targets that are not met."""
-    if total.sum() and gaps(total, goal).max() >= TOLERANCE:
-        warnings.warn(f"mixing: targets not met, largest relative gap {gaps(total, goal).max():.2g}. "
-                      f"{shares(domains, total, goal)}", RuntimeWarning, stacklevel=3)
+    if fit.gap >= TOLERANCE:
+        wanted = fit.goal / max(fit.goal.sum(), 1e-300)
+        said = ", ".join(f"{d} {x:.4f} ({y:.4f})" for d, x, y in zip(domains, fit.shares(), wanted))
+        warnings.warn(f"mixing: targets not met, largest relative gap {fit.gap:.2g}. Shares reached (wanted): {said}",
+                      RuntimeWarning, stacklevel=3)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None,
         id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None,
-        most: int = LABELLED) -> DataFrame:
+        most: int = LABELLED, most_copies: float = MOST_COPIES) -> DataFrame:
     """Columns ``keep`` of ``docs`` (default: all) plus ``n_tokens``,
-    ``posterior`` (array, in the order of ``weights``), ``rate`` and ``copies``."""
+    ``posterior`` (array, in the order of ``weights``), ``rate``, ``copies``,
+    and of the whole mix ``gap`` and ``shares`` (array)."""
     domains = list(weights)
-    logs = evidence(word_counts(labelled_sample(docs.select(id_col, F.col(text).alias("text")), labelled,
-                                                id_col, most), domains))
-    members = memberships(docs, logs, text, keep).withColumn("_row", F.monotonically_increasing_id())
+    counts = word_counts(labelled_sample(docs.select(id_col, F.col(text).alias("text")), labelled, id_col, most), domains)
+    results = ("n_tokens", "posterior", "rate", "copies", "gap", "shares", "_row")
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in results]
+    members = memberships(docs, evidence(counts), text, keep).withColumn("_row", F.monotonically_increasing_id())
     members = stored(members, "mixing-members")
-    steps, total, goal = fit_rates(members, weights, budget)
-    report(domains, total, goal)
-    least = least_rate(steps) if budget is None else 1.0
-    if least <= 0:  # of pure posteriors, which need not occur
-        least = members.where("n_tokens > 0").agg(F.min(rate_column(steps))).first()[0]
-        if least <= 0:
-            raise ValueError("mixing: no repetition of documents comes to the targets without dropping some; "
-                             f"give a budget or other targets. {shares(domains, total, goal)}")
-    rate = rate_column(steps) / F.lit(least)
-    rated = members.drop("rate", "copies").withColumn(
-        "rate", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)))
-    return rated.withColumn("copies", copies_column(F.col("rate"), F.col("_row"))).drop("_row")
+    live = {d: w for d, w, n in zip(domains, weights.values(), counts.sum(axis=1)) if n}
+    fit = fit_rates(members, weights if live else dict.fromkeys(domains, 1.0), budget, most_copies=most_copies)
+    report(domains, fit)
+    rated = members.withColumn("rate", F.when(F.col("n_tokens") > 0, rate_column(fit)).otherwise(F.lit(1.0)))
+    return (rated.withColumn("copies", copies_column(F.col("rate"), F.col("_row")))
+            .withColumn("gap", F.lit(fit.gap)).withColumn("shares", F.array(*[F.lit(float(x)) for x in fit.shares()]))
+            .drop("_row"))
