@@ -14,7 +14,7 @@ the blocks routes each fingerprint to the blocks it may link into (from its
 own block on: links are symmetric); one task builds the index of one block and
 searches it for a slice of at most SLICE queries, then reports a spanning
 forest of the links found, never the links themselves.  Components of the
-forests' edges follow by alternating large-star / small-star steps.
+forests' edges follow by ``components``.
 
 Defined results: null text counts as empty; a text without words has
 fingerprint zero and is linked like any other; fewer words than a shingle give
@@ -37,12 +37,15 @@ from pyspark.sql import types as T
 
 from ..session import ship_package
 from .common import annotate, field, stored
+from .components import components, unite
 
 SEED = 42
 BLOCK = 65_536
 MAX_BLOCKS = 4096
 SLICE = 262_144
 FANOUT = 16
+#: Numbers of rows to drop that are sent to every task, 8 bytes each.
+BROADCAST_ROWS = 4_000_000
 #: (query, node) pairs looked at together in a search.
 FRONTIER = 1 << 19
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -145,20 +148,6 @@ class GrayIndex:
                                   np.repeat(diff[j:j + part], FANOUT)[inside]))
 
 
-def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Merge the groups of a[i] and b[i]; a group's label is its least number."""
-    while True:
-        x, y = labels[a], labels[b]
-        if (x == y).all():
-            return labels
-        np.minimum.at(labels, np.maximum(x, y), np.minimum(x, y))
-        while True:
-            nxt = labels[labels]
-            if (nxt == labels).all():
-                break
-            labels = nxt
-
-
 def _forest(max_bits: int, key, pdf):
     """Spanning forest of the links between a block and a slice of queries."""
     import pandas as pd
@@ -174,7 +163,7 @@ def _forest(max_bits: int, key, pdf):
             a, b = at_query[q], at_member[m]
             other = labels[a] != labels[b]
             if other.any():
-                labels = _unite(labels, a[other], b[other])
+                labels = unite(labels, a[other], b[other])
     moved = np.flatnonzero(labels != np.arange(len(nodes)))
     return pd.DataFrame({"a": nodes[moved].view(np.int64), "b": nodes[labels[moved]].view(np.int64)})
 
@@ -236,32 +225,7 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return dealt.groupBy("block", "slice").applyInPandas(partial(_forest, max_bits), "a long, b long")
 
 
-# -- components -----------------------------------------------------------
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): every node of ``edges`` (a, b) other than its component's
-    smallest node, with that node as root.
-
-    Alternating large-star and small-star steps, each result stored under the
-    checkpoint folder; the number of edges never grows, the rounds grow with
-    the logarithm of a component's size."""
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                 .distinct(), "simhash-star")
-    mark = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark or state[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mark = state
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = (both.join(least, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        first = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(first, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(first.select("u", F.col("m").alias("v"))).distinct())
-        now = stored(small, "simhash-star")
-
+# -- groups ---------------------------------------------------------------
 
 def groups(rows: DataFrame, id_col: str, max_bits: int = 2) -> DataFrame:
     """(fp, component_id, keeper) per distinct fingerprint of ``rows`` (stored;
@@ -272,7 +236,9 @@ def groups(rows: DataFrame, id_col: str, max_bits: int = 2) -> DataFrame:
     roots = components(links(fps, max_bits))
     rooted = (fps.join(roots, fps["fp"] == roots["node"], "left")
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    best = rooted.groupBy("root").agg(F.min("first").alias("best"))
+    rooted = stored(rooted, "simhash-rooted")
+    best = stored(rooted.groupBy("root").agg(F.min("first").alias("best")), "simhash-best")
+    # Two stored tables: a large group's partition can be split.
     return rooted.join(best, "root").select("fp", F.col("best.id").alias("component_id"),
                                             F.col("best.uid").alias("keeper"))
 
@@ -295,5 +261,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, tex
                     .withColumn("_uid", F.monotonically_increasing_id()), "simhash-docs")
     slim = marked.select(F.col("_fp").alias("fp"), F.col("_uid").alias("uid"), id_col)
     found = groups(slim, id_col, max_bits)
-    extra = (slim.join(found, "fp").where("uid <> keeper").select(F.col("uid").alias("_uid")))
+    extra = stored(slim.join(found, "fp").where("uid <> keeper").select(F.col("uid").alias("_uid")), "simhash-extra")
+    if extra.count() <= BROADCAST_ROWS:
+        extra = F.broadcast(extra)  # the texts stay where they are
     return marked.join(extra, "_uid", "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -169,9 +169,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int],
         part = (known.where(F.col("_y") == y).withColumn("_at", F.xxhash64(F.lit(11), F.col(id_col)))
                 .orderBy("_at", id_col).limit(n))
         picked = part if picked is None else picked.unionByName(part)
-    # At most sum(most) rows of two numbers.
+    # At most sum(most) rows of two numbers, and as many texts: of an id that
+    # is repeated the least one.
     return (docs.select(id_col, text).join(F.broadcast(picked), id_col)
-            .select("_at", F.col(text).alias("text"), F.col("_y").alias("y")).collect())
+            .groupBy(id_col).agg(F.first("_at").alias("_at"), F.min(text).alias("text"), F.first("_y").alias("y"))
+            .drop(id_col).collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",

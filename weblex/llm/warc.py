@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from functools import partial
@@ -52,7 +53,7 @@ def _files(folder: str):
     from pyarrow import fs
     if urlparse(folder).scheme in ("", "file"):
         return fs.LocalFileSystem(), urlparse(folder).path
-    return fs.FileSystem.from_uri(folder)
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", folder))
 
 
 def digest(payload: bytes) -> str:
@@ -183,6 +184,9 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     smallest = (rows.where(F.octet_length("html") >= min_revisit)
                 .groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
                 .where("n > 1").select("sha1", "first"))
+    # Stored: few repeated payloads are sent to every task, which Spark decides
+    # by their size; many meet the pages in a join whose large partitions split.
+    smallest = stored(smallest, "warc-repeated")
     marked = (rows.join(smallest, "sha1", "left")
               .select("page_id", "url", "html", "first"))
     return stored(marked.mapInArrow(partial(_write, folder, frame), INDEX), "warc-index")
