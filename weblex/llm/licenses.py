@@ -2,7 +2,7 @@
 
 A template is mandatory wording with marked regions, in a markup of its own:
 
-    [[ ... ]]     optional wording, taken whole or not at all
+    [[ ... ]]     optional wording, taken whole or not at all; regions may nest
     {{n}}         replaceable text of 0 to n words
 
 It compiles to an automaton over words whose states are positions in the
@@ -68,32 +68,35 @@ def words_of(text: str | None) -> list[bytes]:
 
 class Automaton:
     """States are positions in the template; ``steps[i]`` is a word, or a
-    bound (replaceable words may follow, up to it); ``skips[i]`` a position
-    reachable without a word."""
+    bound (replaceable words may follow, up to it); ``skips[i]`` the positions
+    reachable without a word.  Marks that do not pair are refused."""
 
     def __init__(self, label: str, template: str):
         self.label = label
         self.steps: list[bytes | int] = []
-        self.skips: dict[int, int] = {}
+        self.skips: dict[int, set[int]] = {}
         runs: list[list[bytes]] = [[]]
-        open_at = None
+        opened: list[int] = []
         for m in _MARKUP.finditer(template):
             part = m.group(0)
             if part == "[[":
-                open_at = len(self.steps)
+                opened.append(len(self.steps))
                 runs.append([])
             elif part == "]]":
-                self.skips[open_at] = len(self.steps)
-                open_at = None
+                if not opened:
+                    raise ValueError("]] without [[ in a template")
+                self.skips.setdefault(opened.pop(), set()).add(len(self.steps))
                 runs.append([])
             elif m.group(1):
                 self.steps.append(int(m.group(1)))
-                if open_at is None:
+                if not opened:
                     runs.append([])
             else:
                 self.steps.append(part.encode())
-                if open_at is None:
+                if not opened:
                     runs[-1].append(part.encode())
+        if opened:
+            raise ValueError("[[ without ]] in a template")
         longest = max(runs, key=lambda r: (len(r), sum(map(len, r))))
         if not longest:
             raise ValueError("a template needs mandatory wording")
@@ -114,8 +117,7 @@ class Automaton:
             if best.get(at, used + 1) <= used:
                 continue
             best[at] = used
-            if at in self.skips:
-                todo.append((self.skips[at], 0))
+            todo += [(to, 0) for to in self.skips.get(at, ())]
             if isinstance(self._step(at), int):
                 todo.append((at + 1, 0))
         return set(best.items())
