@@ -84,6 +84,14 @@ def test_policies_and_ablations(spark):
     got = {r["rule"]: (r["n_failed"], r["n_freed"]) for r in quality.ablations(led).collect()}
     assert got["few_words"] == (3, 2) and got["repeated_words"] == (2, 1) and got["symbols"] == (1, 1)
     assert got["duplicate_lines"] == (1, 1) and got["capitals"] == (0, 0)
+    freed = {r["fail_bits"]: r["freed_bits"] for r in quality.judge(led).collect()}
+    policy = quality.POLICIES[quality.DEFAULT_POLICY]
+
+    def rejected(bits):
+        return bool(bits & policy.hard) or bin(bits & policy.soft).count("1") >= policy.soft_limit
+
+    assert freed == {b: sum(bit for bit in quality.BIT.values() if rejected(b) and not rejected(b & ~bit)) for b in freed}
+    assert freed[3] == 0 and freed[20] == 20
 
 
 # -- token counts ---------------------------------------------------------
@@ -129,6 +137,41 @@ def test_token_counts_odd_rows(spark, odd):
 
 # -- licences -------------------------------------------------------------
 
+def test_nested_regions_and_unpaired_marks():
+    a = licenses.Automaton("x", "alpha [[beta [[gamma]] delta]] [[[[one]] two]] omega")
+    ok = ["alpha omega", "alpha beta delta omega", "alpha beta gamma delta omega", "alpha two omega",
+          "alpha beta delta one two omega"]
+    bad = ["alpha beta omega", "alpha gamma omega", "alpha one omega", "alpha beta gamma omega", "alpha delta omega"]
+    for text in ok + bad:
+        words = licenses.words_of(text)
+        assert (a.accepts(words, 0) == len(words)) == (text in ok), text
+    for template in ("alpha ]] beta", "alpha [[ beta", "alpha [[ b ]] ]] c"):
+        with pytest.raises(ValueError):
+            licenses.Automaton("x", template)
+
+
+COMMON = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.exists(f"{COMMON}/BSD"), reason="no licence texts on this machine")
+def test_whole_licence_texts_as_templates(spark):
+    """Whole texts are templates whose names may be replaced; one changed
+    mandatory word is refused."""
+    with open(f"{COMMON}/BSD", encoding="utf-8") as f:
+        text = f.read()
+    words = [w.decode() for w in licenses.words_of(text)]
+    holder = "the regents of the university of california"
+    plain = " ".join(words)
+    assert plain.count(holder) >= 1
+    template = plain.replace(holder, "{{12}}", 1)
+    renamed = text.replace("The Regents of the University of California", "Nobody & Sons, Inc.", 1)
+    changed = text.replace("Redistributions", "Distributions", 1)
+    docs = spark.createDataFrame([(1, text), (2, renamed), (3, changed), (4, f"/* {text} */ int main() {{}}")],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs, templates=[("bsd", template)]).collect()}
+    assert got == {1: "bsd", 2: "bsd", 3: "", 4: "bsd"}
+
+
 def test_template_markup():
     a = licenses.Automaton("x", "[[this {{2}} is]] under the x license {{3}} end")
     ok = ["this is under the x license end", "this a b is under the x license 1 2 3 end", "under the x license end"]

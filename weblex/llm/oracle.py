@@ -13,6 +13,13 @@ SPACE = r"\x20\x09-\x0D"
 def quality_sql() -> str:
     bits = " + ".join(f"(CASE WHEN {cond} THEN {1 << i} ELSE 0 END)" for i, (_, cond) in enumerate(quality.RULES))
     p = quality.POLICIES[quality.DEFAULT_POLICY]
+
+    def rejects(b: str) -> str:
+        return f"(({b} & {p.hard}) <> 0 OR bit_count(({b} & {p.soft})::BIGINT) >= {p.soft_limit})"
+
+    freed = " + ".join(f"(CASE WHEN {rejects('fail_bits')} AND (fail_bits & {1 << i}) <> 0 "
+                       f"AND NOT {rejects(f'(fail_bits - {1 << i})')} THEN {1 << i} ELSE 0 END)"
+                       for i in range(len(quality.RULES)))
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+') AS words,
@@ -34,7 +41,7 @@ m AS (SELECT doc_id, len(words)::BIGINT AS n_words,
 b AS (SELECT *, ({bits})::BIGINT AS fail_bits,
              (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM m)
 SELECT *, (NOT base_failed AND (fail_bits & {p.hard}) = 0 AND bit_count((fail_bits & {p.soft})::BIGINT) < {p.soft_limit}) AS kept,
-       '{p.version}' AS policy FROM b"""
+       ({freed})::BIGINT AS freed_bits, '{p.version}' AS policy FROM b"""
 
 
 def _template_regex(template: str) -> str:

@@ -143,24 +143,37 @@ def ledger(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     return measured.withColumn("fail_bits", bits)
 
 
+def freed_bits(bits: Column, policy: Policy) -> Column:
+    """The rules that alone stand between a document and the policy: switching
+    off any one of them would keep it."""
+    out = F.lit(0).cast("bigint")
+    for bit in BIT.values():
+        without = bits.bitwiseAND(F.lit(~bit).cast("bigint"))
+        freed = policy.rejects(bits) & ~policy.rejects(without)
+        out = out.bitwiseOR(F.when(freed, F.lit(bit).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return out
+
+
 def judge(led: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:
-    """The ledger plus ``base_failed`` and ``kept`` under a policy."""
+    """The ledger plus ``base_failed``, ``kept`` and ``freed_bits`` under a
+    policy."""
     base = F.col("fail_bits").bitwiseAND(F.lit(BASE).cast("bigint")) != 0
+    policy = POLICIES[version]
     return (led.withColumn("base_failed", base)
-               .withColumn("kept", ~base & ~POLICIES[version].rejects(F.col("fail_bits"))))
+               .withColumn("kept", ~base & ~policy.rejects(F.col("fail_bits")))
+               .withColumn("freed_bits", freed_bits(F.col("fail_bits"), policy)))
 
 
 def ablations(led: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:
     """Per rule: documents failing it, and documents the policy would keep
     more if that rule alone were switched off.  One row per rule."""
-    policy = POLICIES[version]
     patterns = led.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
-    bits = F.col("fail_bits")
     rules = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(b).cast("bigint").alias("bit"))
                                 for n, b in BIT.items()])).alias("r")
-    per = patterns.select("fail_bits", "n", rules)
-    without = bits.bitwiseAND(F.bitwise_not(F.col("r.bit")))
-    freed = policy.rejects(bits) & ~policy.rejects(without)
-    return per.groupBy(F.col("r.rule").alias("rule")).agg(
-        F.sum(F.when(bits.bitwiseAND(F.col("r.bit")) != 0, F.col("n")).otherwise(0)).alias("n_failed"),
-        F.sum(F.when(freed, F.col("n")).otherwise(0)).alias("n_freed"))
+    per = patterns.select("n", "fail_bits", freed_bits(F.col("fail_bits"), POLICIES[version]).alias("freed"), rules)
+
+    def having(bits: str) -> Column:
+        return F.sum(F.when(F.col(bits).bitwiseAND(F.col("r.bit")) != 0, F.col("n")).otherwise(0))
+
+    return per.groupBy(F.col("r.rule").alias("rule")).agg(having("fail_bits").alias("n_failed"),
+                                                          having("freed").alias("n_freed"))
