@@ -81,6 +81,36 @@ def test_top_domains_and_lists(spark):
     assert lists == {"t": "c.com,a.com,b.com", "u": "x.com"}
 
 
+def test_levels_of_a_merge():
+    assert ranking.merge_levels(10, 5) == [1]
+    assert ranking.merge_levels(161, 5) == [2, 1]
+    assert ranking.merge_levels(32 * 1000 * 40, 1000) == [40, 2, 1]
+    for rows in (10**6, 10**9, 10**12):
+        levels = ranking.merge_levels(rows, 1000)
+        assert rows / levels[0] <= 32_000 and levels[-1] == 1
+        assert all(a / b <= 33 for a, b in zip(levels, levels[1:]))
+
+
+def test_one_term_that_meets_every_domain(spark):
+    """Lists are merged level by level: the rows a task of the last level gets
+    are bounded by the lists of the level before."""
+    hot = spark.range(40_000).select(F.lit("hot").alias("term"), F.format_string("d%05d.com", "id").alias("domain"),
+                                     (F.col("id") * 7919 % 997 + 1).alias("n"))
+    rare = spark.range(500).select(F.format_string("t%03d", F.col("id") % 50).alias("term"),
+                                   F.format_string("d%05d.com", "id").alias("domain"), (F.col("id") % 9 + 1).alias("n"))
+    td = hot.unionByName(rare).repartition(8)
+    got = ranking.top_domains(td, 10)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("WindowGroupLimit") == len(ranking.merge_levels(40_000, 10)) == 3
+    rows = [tuple(r) for r in td.collect()]
+    want = []
+    for term in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == term), key=lambda r: (-r[2], r[1]))[:10]
+        want += [(*r, i + 1) for i, r in enumerate(mine)]
+    assert sorted(map(tuple, got.select("term", "domain", "n", "rank").collect())) == sorted(want)
+    assert ranking.top_domains(td.filter("n < 0"), 10).count() == 0
+
+
 def test_first_seen(spark):
     occ = spark.createDataFrame([(5, "t", "b.com"), (1, "t", "c.com"), (3, "t", "a.com"),
                                  (2, "t", "c.com"), (9, "t", "d.com")],

@@ -42,9 +42,9 @@ NOTES = {
   terms at it (`TakeOrderedAndProject`), both from one small boundary action
   over the count histogram.
 * Top domains: the kept-term semi join comes first, so the long tail is not
-  ranked.  Then two limits: `WindowGroupLimit ... Partial` before the shuffle on
-  (term, part of the term), N rows a part, and the window over the term, which
-  gets at most `SALTS` x N rows.
+  ranked.  Then a limit a level: `WindowGroupLimit ... Partial` before the shuffle
+  on (term, part of the term), the last on the term alone; about `FAN_IN` x N rows
+  of a term meet in a task, and small tables have one level.
 * The term-count shuffle is shared through `ReusedExchange`.
 """,
     "q1_extract_hosts": """* Two scans (files spelling the column `url` and `URL`), each reading only

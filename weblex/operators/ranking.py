@@ -11,10 +11,11 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.materialize import materialize
 from .ordinal import with_ordinal
 
-# Parts in which a key's rows are limited before they meet.
-SALTS = 32
+# Lists of N rows that meet in one task while a key's rows are limited.
+FAN_IN = 32
 
 # Up to this many terms tied at the boundary count are ordered by a
 # single-task top-k; larger tie groups use the distributed ordinal.
@@ -84,31 +85,55 @@ def share_cutoff(counts: DataFrame, share: float, key: str = "term",
     return above.unionByName(at)
 
 
-def _limited(td: DataFrame, order, key: str, item: str, most: int) -> DataFrame:
-    """The first ``most`` rows of each key in ``order``, with their ``rank``."""
-    part = Window.partitionBy(key, F.pmod(F.xxhash64(item), F.lit(SALTS))).orderBy(*order)
-    some = td.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= most).drop("rank")
-    return (some.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-                .filter(F.col("rank") <= most)
-                .withColumn("rank", F.col("rank").cast("bigint")))
+def merge_levels(rows: int, most: int, fan_in: int = FAN_IN) -> list[int]:
+    """Numbers of parts in which a key of ``rows`` rows is limited, level by
+    level, so that about fan_in * most rows meet in each; the last is 1."""
+    levels, parts = [], -(-rows // max(1, fan_in * most))
+    while parts > 1:
+        levels.append(parts)
+        parts = -(-parts // fan_in)
+    return [*levels, 1]
 
 
-def top_domains(td: DataFrame, max_domains: int, key: str = "term",
-                item: str = "domain", n: str = "n") -> DataFrame:
+def _largest(pairs: DataFrame, key: str, enough: int) -> int:
+    """Rows of the most frequent key of a stored table, or of the whole table
+    if that is small."""
+    rows = pairs.count()
+    if rows > enough:
+        rows = pairs.groupBy(key).count().agg(F.max("count")).first()[0]
+    return rows
+
+
+def _limited(td: DataFrame, order, key: str, item: str, most: int, pairs: DataFrame | None) -> DataFrame:
+    """The first ``most`` rows of each key in ``order``, with their ``rank``.
+
+    A key's rows are limited in parts first, the lists that are left in fewer
+    parts, and so on: no task gets the lists of all tasks before it."""
+    if pairs is None:
+        td = pairs = materialize(td, "ranked-pairs")
+    out, at = td, F.xxhash64(item)
+    for parts in merge_levels(_largest(pairs, key, FAN_IN * most), most):
+        at = F.pmod(at, F.lit(parts))
+        by = Window.partitionBy(key, *([at] if parts > 1 else [])).orderBy(*order)
+        out = out.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= most)
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def top_domains(td: DataFrame, max_domains: int, key: str = "term", item: str = "domain", n: str = "n",
+                pairs: DataFrame | None = None) -> DataFrame:
     """The ``max_domains`` most frequent items per key (ties: item asc).
 
-    ``row_number() <= N`` lets Spark put a partial group limit before the
-    shuffle; a first limit within each of SALTS parts of a key keeps the
-    last window of a very common key at SALTS * N rows.
-    """
-    return _limited(td, [F.desc(n), F.asc(item)], key, item, max_domains)
+    ``row_number() <= N`` lets Spark put a partial group limit before each
+    shuffle.  ``pairs``: a stored table with at least these keys' rows, from
+    which the number of levels follows; without it ``td`` is stored."""
+    return _limited(td, [F.desc(n), F.asc(item)], key, item, max_domains, pairs)
 
 
-def first_seen_rank(td: DataFrame, max_domains: int, first: str = "first_seen",
-                    key: str = "term", item: str = "domain") -> DataFrame:
+def first_seen_rank(td: DataFrame, max_domains: int, first: str = "first_seen", key: str = "term",
+                    item: str = "domain", pairs: DataFrame | None = None) -> DataFrame:
     """Per key, the first ``max_domains`` distinct items met, ranked by
     the position (``first``) where each pair was first seen."""
-    return _limited(td, [F.asc(first), F.asc(item)], key, item, max_domains)
+    return _limited(td, [F.asc(first), F.asc(item)], key, item, max_domains, pairs)
 
 
 def first_seen_domains(occ: DataFrame, max_domains: int, order: str = "ord",

@@ -20,11 +20,12 @@ from .materialize import materialize
 
 def term_report(td: DataFrame, share: float = 0.8,
                 max_domains: int = 1000) -> DataFrame:
-    """W1-W5 over pair counts: term, frequency, domains (top domains by count)."""
+    """W1-W5 over stored pair counts: term, frequency, domains (top domains by
+    count)."""
     tc = terms.term_counts(td)
-    kept = ranking.share_cutoff(tc, share)
+    kept = materialize(ranking.share_cutoff(tc, share), "kept-terms")  # few rows, read twice
     # Kept terms first, so that the long tail is neither ranked nor shuffled.
-    top = ranking.top_domains(ranking.restrict_to(td, kept), max_domains)
+    top = ranking.top_domains(ranking.restrict_to(td, kept), max_domains, pairs=td)
     lists = ranking.domain_lists(top)
     return (kept.join(lists, "term")
                 .select("term", F.col("n").alias("frequency"), "domains")
@@ -96,7 +97,7 @@ def first_seen_term_frequency(urls: DataFrame, rules: SuffixRules, order: str,
     td = materialize(terms.term_domain_counts(words, min_len, first_seen=order),
                      "term-domain-first", store)
     kept = ranking.share_cutoff(terms.term_counts(td), share)
-    first = ranking.first_seen_rank(ranking.restrict_to(td, kept), max_domains)
+    first = ranking.first_seen_rank(ranking.restrict_to(td, kept), max_domains, pairs=td)
     lists = ranking.domain_lists(first)
     return (kept.join(lists, "term")
                 .select("term", F.col("n").alias("frequency"), "domains")
