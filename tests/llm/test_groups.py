@@ -177,6 +177,27 @@ def test_top_k_against_brute_force(spark, monkeypatch, chunk, queries_, big):
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 7)
 
 
+def test_top_k_skips_blocks_of_unlike_rows(spark, monkeypatch):
+    """Clusters: most blocks and most chunks stay out, results stay whole."""
+    monkeypatch.setattr(topk, "CHUNK", 500)
+    gen = np.random.default_rng(8)
+    centres = gen.normal(size=(24, 16)) * 12
+    rows = [(i, np.rint(centres[gen.integers(24)] + gen.normal(size=16)).astype(int).tolist()) for i in range(6000)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    asks = F.col("vec_id") % 300 == 0
+    got = topk.top_k(df, asks, k=7, scale=1).collect()
+    v = np.array([r[1] for r in rows])
+    want = []
+    for q in range(0, 6000, 300):
+        s = v @ v[q]
+        best = [i for i in np.lexsort((np.arange(6000), -s)) if i != q][:7]
+        want += [(q, r + 1, int(i), int(s[i])) for r, i in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    spent = topk.candidates(df, asks, k=7, scale=1).agg(F.sum("scored"), F.sum("asked")).first()
+    every = 20 * -(-6000 // topk.BLOCK)
+    assert spent[0] < 0.35 * every
+
+
 def test_top_k_odd_rows(spark):
     nan = float("nan")
     rows = [(0, [1.0, 2.0]), (1, [1.0, None]), (2, None), (3, [nan, 1.0]), (4, [1.0, 1.0]), (None, [1.0, 1.0]),
