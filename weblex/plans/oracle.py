@@ -15,9 +15,9 @@ Builders return SQL text; ``with_ctes`` glues named CTEs into one statement.
 
 from __future__ import annotations
 
+from urllib.parse import uses_params
+
 from ..functions.lexicon import default_stopwords
-from ..functions.urls import PARAM_SCHEMES, URL_SPLIT_RE
-from ..sources.pages import HREF_RE, PAGE_HOST_RE
 from ..sources.suffixes import FIXTURE_EXTRA_SUFFIXES, icann_text
 
 
@@ -44,27 +44,35 @@ def clean_sql(e: str) -> str:
     return f"regexp_replace({e}, '[\\t\\r\\n]', '', 'g')"
 
 
-def part_sql(e: str, group: int) -> str:
-    return f"regexp_extract({clean_sql(e)}, {q(URL_SPLIT_RE)}, {group})"
+#: Scheme at the start of a URL.
+SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
+
+
+def _before_query(e: str) -> str:
+    return f"split_part(split_part({clean_sql(e)}, '#', 1), '?', 1)"
+
+
+def _after_scheme(e: str) -> str:
+    return f"regexp_replace({_before_query(e)}, {q(SCHEME)}, '')"
 
 
 def scheme_sql(e: str) -> str:
-    return f"lower({part_sql(e, 1)})"
+    return f"lower(regexp_extract({_before_query(e)}, {q(SCHEME)}, 1))"
 
 
 def netloc_sql(e: str) -> str:
-    return f"lower({part_sql(e, 2)})"
+    return f"lower(regexp_extract({_after_scheme(e)}, '^//([^/]*)', 1))"
 
 
 def path_sql(e: str) -> str:
-    schemes = ", ".join(q(s) for s in PARAM_SCHEMES)
-    raw = part_sql(e, 3)
+    schemes = ", ".join(q(s) for s in uses_params)
+    raw = f"regexp_replace({_after_scheme(e)}, '^//[^/]*', '')"
     return (f"lower(CASE WHEN {scheme_sql(e)} IN ({schemes}) "
             f"THEN regexp_replace({raw}, ';[^/]*$', '') ELSE {raw} END)")
 
 
 def query_sql(e: str) -> str:
-    return f"lower({part_sql(e, 4)})"
+    return f"lower(substr(split_part({clean_sql(e)}, '#', 1), length({_before_query(e)}) + 2))"
 
 
 def valid_sql(netloc: str) -> str:
@@ -115,14 +123,14 @@ def stopword_list_sql() -> str:
 
 def link_urls_sql() -> str:
     """(page_id, pos, url) from pages, as the Spark link corpus."""
-    hrefs = f"regexp_extract_all(html, {q(HREF_RE)}, 1)"
+    hrefs = """regexp_extract_all(html, 'href="([^"]+)"', 1)"""
     return f"""
 SELECT page_id, CAST(pos AS BIGINT) AS pos,
        CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
             WHEN starts_with(href, '//') THEN 'http:' || href
             WHEN starts_with(href, '/') THEN 'http://' || host || href
             ELSE 'http://' || host || '/' || href END AS url
-FROM (SELECT page_id, regexp_extract(url, {q(PAGE_HOST_RE)}, 1) AS host,
+FROM (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host,
              unnest({hrefs}) AS href,
              unnest(generate_series(0, len({hrefs}) - 1)) AS pos
       FROM pages)"""
