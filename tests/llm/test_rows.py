@@ -234,6 +234,76 @@ def synthetic(n, seed, bad=("vrakulo", "zbinto", "morgefu")):
     return rows
 
 
+def plain_grams(word):
+    """Buckets of a word's n-grams, one character after the other."""
+    chars, out = [ord(c) for c in f"<{word}>"], []
+    for n in range(toxicity.SHORTEST, toxicity.LONGEST + 1):
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for c in chars[i:i + n]:
+                h = (h * 0x100000001B3 + c + 1) % 2**64
+            x = h * 0x9E3779B97F4A7C15 % 2**64
+            out.append(((x ^ (x >> 29)) >> 7) % toxicity.BUCKETS)
+    return out
+
+
+def test_subwords_match_plain_loops():
+    words = ["a", "ab", "vrakulo", "über", "日本", "x" * 40, "abcabc", "😀ok"]
+    of, bucket, size = toxicity.subwords(words)
+    for i, w in enumerate(words):
+        assert sorted(bucket[of == i].tolist()) == sorted(plain_grams(w)) and size[i] == len(plain_grams(w))
+
+
+def test_training_matches_a_plain_gradient():
+    """Vectors and softmax by loops over documents, words and n-grams."""
+    rows = [(t, y) for _, t, y in synthetic(24, 3)]
+    epochs, dim = 4, toxicity.DIM
+    model = toxicity.train([t for t, _ in rows], [y for _, y in rows], epochs=epochs)
+    soft, bias = np.random.default_rng(7).normal(0, 1, dim), 0.0
+    emb = {g: np.zeros(dim) for t, _ in rows for w in toxicity.words_of(t) for g in plain_grams(w)}
+    share = sum(y for _, y in rows) / len(rows)
+    moments = {}
+
+    def adam(name, grad, t):
+        m, v = moments.get(name, (0.0, 0.0))
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        moments[name] = m, v
+        return toxicity.RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + toxicity.DAMP)
+
+    for t in range(1, epochs + 1):
+        grads, soft_grad, bias_grad = {g: toxicity.DECAY * e for g, e in emb.items()}, toxicity.DECAY * soft, 0.0
+        for text, y in rows:
+            words = toxicity.words_of(text)
+            vec = sum(np.mean([emb[g] for g in plain_grams(w)], axis=0) for w in words) / math.sqrt(len(words))
+            z = toxicity.GAIN * float(vec @ soft) + bias
+            d = (1 / (1 + math.exp(-z)) - y) * 0.5 / len(rows) / (share if y else 1 - share)
+            bias_grad += d
+            soft_grad = soft_grad + toxicity.GAIN * d * vec
+            for w in words:
+                grams = plain_grams(w)
+                for g in grams:
+                    grads[g] = grads[g] + toxicity.GAIN * d / math.sqrt(len(words)) / len(grams) * soft
+        for g in emb:
+            emb[g] = emb[g] - adam(g, grads[g], t)
+        soft, bias = soft - adam("soft", soft_grad, t), bias - adam("bias", bias_grad, t)
+    assert abs(model.bias - bias) < 1e-6
+    got, want = np.array([model.weights[g] for g in emb]), np.array([e @ soft for e in emb.values()])
+    assert np.allclose(got, want, atol=1e-5) and np.abs(want).max() > 0.1
+    # A score is the same sum, word by word.
+    text = rows[0][0] + " vrakulo"
+    words = toxicity.words_of(text)
+    z = toxicity.GAIN * sum(np.mean([model.weights[g] for g in plain_grams(w)]) for w in words) / math.sqrt(len(words))
+    assert abs(model.score(text) - 1 / (1 + math.exp(-(z + model.bias)))) < 1e-5
+
+
+def test_a_repeated_id_teaches_once(spark):
+    rows = synthetic(60, 4)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(rows[0][0], rows[0][1])] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    assert len(toxicity.sample(docs, labels, "toxic", {0: 100, 1: 100})) == \
+        sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _, _ in rows)
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rows = synthetic(3000, 1)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
@@ -263,6 +333,36 @@ def test_toxicity_odd_rows(spark, odd):
     assert by_id(odd.select("doc_id", toxicity.held_out().alias("h")))[None]["h"] is True
 
 
+def test_queries_return_their_contracts(spark):
+    """The queries without SQL, on the smallest tables."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+    lib = tokens.Encoder(queries.tokenizer_path())._tok
+    size = {r["doc_id"]: len(lib.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs}
+    counted = queries.op9_token_counts(spark, SF_SMALL).collect()
+    assert {(r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in counted} == \
+        {(r["doc_id"], len((r["text"] or "").encode()), size[r["doc_id"]], size[r["doc_id"]] > 512) for r in docs}
+    toxic = queries.op3_toxicity(spark, SF_SMALL).collect()
+    assert len(toxic) == len(docs)
+    for r in toxic:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    pieces = queries.op6_packing(spark, SF_SMALL).collect()
+    total, room = {}, {}
+    for r in pieces:
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
+        room.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert r["doc_tokens"] == size[r["doc_id"]] + 1
+    assert total == {i: n + 1 for i, n in size.items()}
+    for held in room.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(held)]).tolist()]
+        assert [a for a, _ in sorted(held)] == ends[:-1] and ends[-1] <= 2048
+    rates = queries.op4_mixing_rates(spark, SF_SMALL).collect()
+    assert len(rates) == len(docs) and all(r["rate"] >= 1 and abs(r["copies"] - r["rate"]) < 1 for r in rates)
+    reached = sum(np.array(r["posterior"]) * r["n_tokens"] * r["rate"] for r in rates)
+    wanted = np.array(list(queries.TARGETS.values()))
+    assert np.abs(reached / reached.sum() / wanted - 1).max() < max(mixing.TOLERANCE, rates[0]["gap"]) + 1e-6
+
+
 # -- mixing ---------------------------------------------------------------
 
 def mixing_rows():
