@@ -72,7 +72,7 @@ def test_first_seen_pairs_parse_once(spark):
     static.conf.set("spark.sql.adaptive.enabled", "false")   # child session only
     links = link_corpus(static, SF_SMALL).withColumn("ord", F.struct("page_id", "pos"))
     words = terms.url_words(links, fixture_rules(static), keep=("ord",))
-    plan = executed(terms.term_domain_counts(words, first_seen="ord"))
+    plan = executed(terms.word_domain_counts(words, first_seen="ord"))  # the job stores them
     assert plan.count("Generate explode(CASE WHEN (isnotnull(domain") == 1
 
 
@@ -87,3 +87,9 @@ def test_union_of_partials_counts_null_and_negative_pages(spark, tmp_path):
     assert None in batches and any(b is not None and b % 3 and b < 0 for b in batches)
     key = lambda r: (r["batch"], r["term"], r["domain"], r["n"])
     assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)
+    # Incremental runs take the same pages in, null and negative ids in the second arrival.
+    whole = {(r.term, r.domain): r.n for r in catalog._td(spark, str(tmp_path)).collect()}
+    for name in ("t1_incremental_partials", "t1_compacted_partials"):
+        assert {(r.term, r.domain): r.n for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()} == whole
+    first = catalog.QUERIES["w4_first_seen_domains"](spark, str(tmp_path)).collect()
+    assert {r.rank for r in first} <= {1, 2, 3} and {r.term for r in first} == {t for t, _ in whole}

@@ -199,6 +199,16 @@ def test_statistics_from_sketches(spark):
         assert abs(near[c] - exact[c]) <= 0.05 * exact[c]
 
 
+def test_a_batch_without_any_domain(spark):
+    root = scratch_path(spark, "t1-none")
+    parts, ckpt = os.path.join(root, "parts"), os.path.join(root, "ckpt")
+    spark.createDataFrame([("http://localhost/x",), ("",)], "value string").write.text(os.path.join(root, "in", "a"))
+    incremental.run_incremental(spark, os.path.join(root, "in", "*"), parts, ckpt, fixture_rules(spark))
+    for approximate in (False, True):
+        assert tuple(incremental.run_stats(spark, parts, approximate).first()) == (1, 0, 0, 0, 0)
+    assert incremental.merged_counts(spark, parts).count() == 0
+
+
 def test_words_are_stemmed_once_over_all_batches(spark, monkeypatch):
     rules = fixture_rules(spark)
     root, src, links, arrive = arrivals(spark, 2)

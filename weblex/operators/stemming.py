@@ -30,7 +30,7 @@ from ..session import ship_package
 
 
 def vocabulary(words: DataFrame, word_col: str = "word",
-               weight: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+               weight: str | None = None) -> DataFrame:
     """(word, rows, pairs): per-word total (sum of ``weight``, or rows) and
     number of input rows.
 
@@ -39,30 +39,17 @@ def vocabulary(words: DataFrame, word_col: str = "word",
     (word, domain, n) aggregate would be rewritten into a second pass over
     the raw words, while summing that aggregate's own count column keeps
     the branches identical and its shuffle output is reused.
-
-    ``carry``: further aggregate columns of ``words`` (e.g. a first-seen
-    position); their minimum is kept so that every column of the input
-    aggregate stays in use (see ``guard``).
     """
     total = F.sum(weight) if weight else F.count(F.lit(1))
     return words.groupBy(F.col(word_col).alias("word")).agg(
-        total.alias("rows"), F.count(F.lit(1)).alias("pairs"),
-        *[F.min(c).alias(c) for c in carry])
+        total.alias("rows"), F.count(F.lit(1)).alias("pairs"))
 
 
 def guard(vocab: DataFrame) -> Column:
-    """A condition true for every vocabulary row that reads all its columns.
-
-    Each branch reading the vocabulary must use the same columns, or column
-    pruning gives the branches different input aggregates and the input is
-    recomputed instead of its shuffle being reused.  (Conditions on
-    non-nullable columns would be folded away, so nullable ones are used.)
-    """
-    cond = F.col("rows") > 0
-    for c in vocab.columns:
-        if c not in ("word", "rows", "pairs"):
-            cond = cond & F.col(c).isNotNull()
-    return cond
+    """A condition true for every vocabulary row that reads its total, so that
+    branches over the vocabulary keep the same input aggregate and share its
+    shuffle (see ``vocabulary``)."""
+    return F.col("rows") > 0
 
 
 def stem_vocabulary(vocab: DataFrame, min_len: int = 1, method: str = "sql",

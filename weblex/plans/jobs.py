@@ -91,12 +91,13 @@ def first_seen_term_frequency(urls: DataFrame, rules: SuffixRules, order: str,
     input order (W4) instead of its most frequent ones.
 
     The pair table carries the first position a pair was seen, so the
-    same pre-aggregation as Q4 serves both counts and first-seen order.
+    same pre-aggregation as Q4 serves both counts and first-seen order.  Word
+    pairs are stored once; the vocabulary and the counts read them.
     """
     words = terms.url_words(urls, rules, "url", min_len, keep=(order,))
-    td = materialize(terms.term_domain_counts(words, min_len, first_seen=order),
-                     "term-domain-first", store)
-    kept = ranking.share_cutoff(terms.term_counts(td), share)
+    pairs = materialize(terms.word_domain_counts(words, first_seen=order), "word-domain-first", store)
+    td = materialize(terms.terms_from_pairs(pairs, min_len, first_seen=order), "term-domain-first", store)
+    kept = materialize(ranking.share_cutoff(terms.term_counts(td), share), "kept-terms", store)
     first = ranking.first_seen_rank(ranking.restrict_to(td, kept), max_domains, pairs=td)
     lists = ranking.domain_lists(first)
     return (kept.join(lists, "term")

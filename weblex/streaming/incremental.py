@@ -102,7 +102,7 @@ def store_batch(urls: DataFrame, rules: SuffixRules, partial_dir: str, folder: s
     row = _figures(counts, domains, F.hll_sketch_agg("domain").alias("domain_sketch"),
                    F.hll_sketch_agg("term").alias("term_sketch")).first()
     return ({k: row[k] for k in FIGURES}
-            | {k: base64.b64encode(bytes(row[k])).decode() for k in SKETCHES})
+            | {k: row[k] and base64.b64encode(bytes(row[k])).decode() for k in SKETCHES})  # null: nothing counted
 
 
 def _sum(col: str, name: str):
@@ -214,7 +214,7 @@ def run_stats(spark: SparkSession, partial_dir: str, approximate: bool = False)
     batches = now.batches()
     first = F.lit(len(batches)).cast("bigint").alias("batches")
     if approximate:
-        rows = [[r["processed_urls"], r["total_terms"], *(bytearray(base64.b64decode(r[k])) for k in SKETCHES)]
+        rows = [[r["processed_urls"], r["total_terms"], *(r[k] and bytearray(base64.b64decode(r[k])) for k in SKETCHES)]
                 for r in batches]
         df = spark.createDataFrame(rows, "processed_urls bigint, total_terms bigint, domains binary, terms binary")
         return df.agg(first, _sum("processed_urls", "processed_urls"), _estimate("domains", "unique_domains"),
