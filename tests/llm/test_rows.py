@@ -67,7 +67,7 @@ def test_repeated_words_against_brute_force():
 def test_ledger_odd_rows_and_empty_table(spark, odd):
     led = quality.judge(quality.ledger(odd))
     assert led.columns == ["doc_id", "text", "lang", "source", "n_chars", "Score", "FP", *quality.MEASURES,
-                           "fail_bits", "base_failed", "kept"]
+                           "fail_bits", "base_failed", "kept", "freed_bits"]
     rows = by_id(led)
     assert rows[1]["n_words"] == rows[2]["n_words"] == rows[6]["n_words"] == 0
     assert rows[1]["fail_bits"] & quality.BIT["few_words"] and not rows[1]["kept"]
