@@ -3,6 +3,7 @@ tables kept in the shared scratch folder."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
 import numpy as np
@@ -31,6 +32,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses back to the system: workers
+    outlive their tasks, and the next one's may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_slices(texts: pa.Array, rows: int, size: int) -> list[tuple[int, int]]:
     """(first row, number of rows) of slices of at most ``rows`` rows and, unless
     a single text is longer, ``size`` bytes."""
@@ -78,6 +89,7 @@ def annotate(df: DataFrame, make: Callable, fields: list[T.StructField], text: s
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=t)
                            for x, t in zip(out, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+            release()
 
     return src.mapInArrow(run, schema)
 

@@ -41,14 +41,13 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_package
-from .common import annotate, field, stored
+from .common import annotate, field, release, stored
 
 BUCKETS = 1 << 14
 #: Most labelled rows read, those whose hashed ids come first.
@@ -190,6 +189,7 @@ def _totals(members: DataFrame, plan, low: float, high: float, n: int, tokens: s
             weights = batch.column(0).to_numpy(zero_copy_only=False)
             for i, x in enumerate(replay(p, plan, low, high)):
                 sums[i] += (x * weights) @ p
+        release()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(sums[0]), pa.array(sums[1])],
                                          names=["d", "r", "y"])
 
@@ -264,16 +264,24 @@ def fit_rates(members: DataFrame, weights: dict[str, float], budget: float | Non
 
 
 def rate_column(fit: Fit, posterior: str = "posterior") -> Column:
-    """The fitted rate of a document."""
-    plan, low, high = fit.plan, fit.low, fit.high
-
-    @F.pandas_udf("double")
-    def rate(p: pd.Series) -> pd.Series:
-        if not len(p):
-            return pd.Series([], dtype="float64")
-        return pd.Series(replay(np.stack(p.to_list()), plan, low, high)[0])
-
-    return rate(F.col(posterior))
+    """The fitted rate of a document, by built-in functions."""
+    if not fit.plan:
+        return F.lit(1.0)
+    steps = F.array(*[F.struct(F.lit(bool(restart)).alias("restart"), F.lit(float(momentum)).alias("momentum"),
+                               F.array(*[F.lit(float(x)) for x in step]).alias("step"))
+                      for restart, momentum, step in fit.plan])
+    zero, low, high = F.lit(0.0), F.lit(float(fit.low)), F.lit(float(fit.high))
+
+    def move(at: Column, one: Column) -> Column:
+        along = F.aggregate(F.zip_with(F.col(posterior), one["step"], lambda p, s: p * s), zero, lambda a, x: a + x)
+        return F.least(high, F.greatest(low, F.when(one["restart"], at["r"]).otherwise(at["y"]) - along))
+
+    def step(at: Column, one: Column) -> Column:
+        # The new rate is bound once, by a transform of one element.
+        return F.transform(F.array(move(at, one)), lambda new: F.struct(
+            new.alias("r"), (new + one["momentum"] * (new - at["r"])).alias("y")))[0]
+
+    return F.aggregate(steps, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), step, lambda at: at["r"])
 
 
 def copies_column(rate: Column, key: Column) -> Column:

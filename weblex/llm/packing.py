@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .common import release
 from .tokens import encoder, slices
 
 TOKENS = 2048
 #: No limit on segments.
 ANY_SEGMENTS = 1 << 40
-GROUP, GROUP_TOKENS = 2048, 1 << 22
+GROUP, GROUP_TOKENS = 2048, 1 << 20
 END_ID = 1
 
 
@@ -130,9 +131,11 @@ def _packer(path: str, limits: tuple[int, int, int], key_type, batches):
                 if len(waiting) >= GROUP or held >= GROUP_TOKENS:
                     yield flush(False)
                     held = sum(len(w[2]) for w in waiting)
+        release()
     done = flush(True)
     if done is not None:
         yield done
+    release()
 
 
 def pack_documents(docs: DataFrame, path: str, tokens: int = TOKENS, segments: int | None = None,

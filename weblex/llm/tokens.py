@@ -38,11 +38,11 @@ OVERLAP = 256
 #: Texts over this many characters go window by window.
 HUGE = 65536
 #: Pieces remembered.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 #: Pieces encoded in one call of the library.
 TOGETHER = 4096
 #: Texts cut and looked up at once.
-TEXTS, TEXT_BYTES = 4096, 16 << 20
+TEXTS, TEXT_BYTES = 1024, 4 << 20
 MARKS = ".,;:!?"
 
 _CUT = re.compile(r" (?=\S)")
