@@ -52,10 +52,10 @@ NOTES = {
   and rows without a host are dropped inside the `inline` generator.
 * One shuffle on (file, host) after a partial distinct.
 """,
-    "d4_adjacent_dedup": """* Buckets of consecutive ids (`event_id div 1000000`); `lag` and the bucket's
-  last row come from the same windowed shuffle (`ReusedExchange`).
-* The only single-partition step is the lag over one row per bucket
-  (`Exchange SinglePartition`), bounded by ids / bucket size.
+    "d4_adjacent_dedup": """* No exchange over rows: each task sorts the rows of its input split and
+  compares neighbours (`MapInArrow`).
+* The broadcast table has a row per split: the last value of the nearest
+  earlier split, read from a stored table of split edges.
 """,
 }
 
