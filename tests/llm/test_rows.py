@@ -9,6 +9,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ROOT, SF_SMALL
 from pyspark.sql import functions as F
@@ -110,6 +111,40 @@ def test_encoder_equals_library(window, overlap, huge):
         assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == want, text
 
 
+def test_words_of_letters_skip_the_search_for_pre_tokens():
+    """op6 was over its CPU budget: every new word went through the library's
+    pre-tokenizer, and words with other marks at the end were new ones."""
+    enc = tokens.Encoder(queries.tokenizer_path())
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcxyzABÀßéñœŠž", k=rng.randrange(1, 12))) for _ in range(3000)]
+    texts = [" ".join(w + rng.choice(["", "***", ",", '")', "$$$.", "|>"]) for w in words[i:i + 100])
+             for i in range(0, len(words), 100)]
+    whole, seen = enc._whole, []
+    enc._whole = lambda parts: seen.extend(parts) or whole(parts)
+    counts, ids = enc.ids(pa.array(texts))
+    want = [enc._tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert sum(map(len, seen)) < sum(map(len, texts)) / 20
+
+
+def test_units_of_all_kinds_equal_the_library_when_the_memory_overflows(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 150)
+    monkeypatch.setattr(tokens, "TOGETHER", 7)
+    enc = tokens.Encoder(queries.tokenizer_path())
+    rng = random.Random(7)
+    letters = [chr(c) for c in range(0x180) if chr(c).isalpha()]
+    others = list(tokens.MARKS) + ["'s", "'", "'LL", "\u00ad", "\u00a0", "\u0661", "7", "½", "中", "\u0301", "\n", "\t"]
+    for _ in range(20):
+        units = ["".join(rng.choices(letters if rng.random() < 0.5 else letters[:52] + others * 3, k=rng.randrange(0, 6)))
+                 for _ in range(200)] + ["old", "older", "old***", "'s", "***"]
+        rng.shuffle(units)
+        texts = [" ".join(units[i:i + 5]) for i in range(0, len(units), 5)] + [None, ""]
+        counts, ids = enc.ids(pa.array(texts))
+        want = [enc._tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+        assert enc.counts(pa.array(texts)).tolist() == counts.tolist()
+
+
 def test_splice_widens_when_no_boundary_is_stable():
     enc = tokens.Encoder(queries.tokenizer_path())
     text = "x" * 5000 + " y" + "\n" * 3000 + "z z z"

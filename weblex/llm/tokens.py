@@ -43,7 +43,11 @@ MEMO_ENTRIES = 300_000
 TOGETHER = 4096
 #: Texts cut and looked up at once.
 TEXTS, TEXT_BYTES = 1024, 4 << 20
-MARKS = ".,;:!?"
+#: Marks that the pre-tokenizer cuts off after a letter or digit: ASCII ones but
+#: for the apostrophe, which may start an ending.
+MARKS = ".,;:!?\"#$%&()*+-/<=>@[\\]^_`{|}~"
+#: Letters of every Unicode version: units of them alone are one pre-token.
+LETTERS = "A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F"
 
 _CUT = re.compile(r" (?=\S)")
 #: Whitespace as str.isspace() has it; texts with a space that is no stable
@@ -132,7 +136,7 @@ class Encoder:
             return
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         tok = Tokenizer.from_file(path)
         self._tok = tok
         self._whole = lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -149,6 +153,14 @@ class Encoder:
             self.lengths = np.zeros(max(tok.get_vocab().values()) + 1, np.int64)
             for word, i in tok.get_vocab().items():
                 self.lengths[i] = len(word)
+            # The same model for pre-tokens spelled already, a line each.
+            self._spelled = Tokenizer(tok.model)
+            self._spelled.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.spelling = np.zeros(256, "<u4")
+            for c in filter(re.compile(f"[{LETTERS} ]").match, map(chr, range(0x180))):
+                self.spelling[list(c.encode())] = list(map(ord, spell(c)[0][0]))
+            self.spelling[ord("\n")] = ord("\n")
 
     def _with_offsets(self, part: str):
         e = self._tok.encode(part, add_special_tokens=False)
@@ -159,45 +171,60 @@ class Encoder:
         found = [np.asarray(x, "<u4") for x in self._whole(pieces)] if pieces else []
         return np.fromiter(map(len, found), np.int64, len(found)), np.concatenate([np.zeros(0, "<u4"), *found])
 
-    def _together(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _together(self, units: pa.Array, spelled: bool) -> tuple[np.ndarray, np.ndarray]:
         """The same of units that follow a space, many in one text, which is cut
-        again by the tokens' byte lengths: no token crosses a stable boundary."""
+        again by the tokens' byte lengths: no token crosses a stable boundary.
+        Units of LETTERS alone may be spelled here, which spares the library
+        the search for pre-tokens."""
         sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
         offsets = np.append(np.arange(0, len(units), TOGETHER), len(units))
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), units)
-        joined = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist()
+        joined = pc.binary_join(lists, pa.scalar("\n " if spelled else " ", pa.large_string()))
         lengths = pc.binary_length(units).to_numpy()
         for text, i, j in zip(joined, offsets, offsets[1:]):
-            got = np.asarray(self._whole([". " + text])[0], "<u4")
-            ends = np.cumsum(self.lengths[got])
-            stops = np.cumsum(np.append(1, lengths[i:j] + 1))
+            if spelled:
+                codes = self.spelling[np.frombuffer(b" " + text.as_buffer().to_pybytes(), np.uint8)]
+                line = codes.tobytes().decode("utf-32-le")
+                got = self._spelled.encode_batch_fast([line], add_special_tokens=False)[0].ids
+            else:
+                got = self._whole([". " + text.as_py()])[0]
+            got = np.asarray(got, "<u4")
+            ends = np.cumsum(np.append(0, self.lengths[got]))
+            stops = np.cumsum(np.append(0 if spelled else 1, lengths[i:j] + 1))
             at = np.searchsorted(ends, stops)
-            if not (ends[at] == stops).all():
+            if ends[-1] != stops[-1] or not (ends[at] == stops).all():
                 raise ValueError("a token crosses a stable boundary")
             sizes.append(np.diff(at))
-            ids.append(got[at[0] + 1:])
+            ids.append(got[at[0]:])
         return np.concatenate(sizes), np.concatenate(ids)
 
     def _remember(self, units: pa.Array) -> np.ndarray:
         """Where the distinct ``units`` are in the memory; the new ones join it.
         A memory that grows too large is cut to the units now asked for."""
         at = pc.index_in(units, value_set=self.units)
-        new = units.filter(at.is_null())
-        if not len(new):
-            return at.to_numpy(zero_copy_only=False)
+        is_new = at.is_null().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        if not is_new.any():
+            return at
+        new = units.filter(pa.array(is_new))
         if len(self.units) + len(new) > MEMO_ENTRIES:
-            kept = at.drop_null().to_numpy().astype(np.int64)
+            kept = at[~is_new]
             begin = np.cumsum(self.sizes) - self.sizes
             self.store = _runs(self.store, begin[kept], self.sizes[kept])
             self.units, self.sizes = self.units.take(pa.array(kept)), self.sizes[kept]
+            at[~is_new] = np.arange(len(kept))
+        plain = pc.match_substring_regex(new, f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False)
         odd = pc.match_substring_regex(new, _EDGES).to_numpy(zero_copy_only=False)
-        plain, alone = new.filter(pa.array(~odd)), new.filter(pa.array(odd))
-        sizes, ids = self._together(plain)
-        more, others = self._each([" " + w for w in alone.to_pylist()])
-        self.units = pa.concat_arrays([self.units, plain, alone])
-        self.sizes = np.concatenate([self.sizes, sizes, more])
-        self.store = np.concatenate([self.store, ids, others])
-        return pc.index_in(units, value_set=self.units).to_numpy(zero_copy_only=False)
+        kinds = [np.flatnonzero(k) for k in (plain, ~plain & ~odd, odd)]
+        letters, mixed, alone = (new.take(pa.array(k)) for k in kinds)
+        found = [self._together(letters, True), self._together(mixed, False),
+                 self._each([" " + w for w in alone.to_pylist()])]
+        order = np.concatenate(kinds)
+        at[np.flatnonzero(is_new)[order]] = len(self.units) + np.arange(len(order))
+        self.units = pa.concat_arrays([self.units, letters, mixed, alone])
+        self.sizes = np.concatenate([self.sizes, *[sizes for sizes, _ in found]])
+        self.store = np.concatenate([self.store, *[ids for _, ids in found]])
+        return at
 
     def _pieces(self, words: pa.Array, heads: pa.Array, is_head: np.ndarray, whole: bool):
         """(number of tokens of each piece, their ids) where heads, which no
@@ -211,8 +238,8 @@ class Encoder:
         marked = pc.and_(pc.less(pc.binary_length(core), pc.binary_length(known)),
                          pc.match_substring_regex(core, r"[\p{L}\p{N}]$"))
         units = pc.if_else(marked, core, known).dictionary_encode()
-        marks = pc.extract_regex(pc.if_else(marked, known, ""), f"(?P<m>[{MARKS}]*)$").field(0).dictionary_encode()
-        unit = self._remember(units.dictionary)[units.indices.to_numpy()].astype(np.int64)
+        marks = pc.extract_regex(pc.if_else(marked, known, ""), f"(?P<m>[{re.escape(MARKS)}]*)$").field(0).dictionary_encode()
+        unit = self._remember(units.dictionary)[units.indices.to_numpy()]
         head_sizes, head_ids = self._each(heads.dictionary.to_pylist())
         mark_sizes, mark_ids = self._each(marks.dictionary.to_pylist())
         sizes = np.concatenate([self.sizes, head_sizes, mark_sizes])
